@@ -21,10 +21,6 @@ HALO = "_halo"
 Stage = Callable[[WindowSpec], dict[str, Column]]
 
 
-def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], policy: SkewPolicy) -> DataFrame:
-    return df if SEG in df.columns else segmented(df, keys, order[0], policy)
-
-
 def _edge_rows(sliced: DataFrame, keys: Sequence[str], order: Sequence[str], depth: int, before: bool) -> DataFrame:
     """For each slice of a hot key, the ``depth`` rows just before (or after) it."""
     ranked = [F.col(c).desc() if before else F.col(c).asc() for c in order]
@@ -39,43 +35,94 @@ def _edge_rows(sliced: DataFrame, keys: Sequence[str], order: Sequence[str], dep
     return pool.select(*keys, SEG, F.inline(F.slice("_near", start, F.lit(depth))))
 
 
-def windowed(
+# kind -> (aggregate of a slice, window function over slices and over rows)
+_KINDS = {
+    "sum": (lambda x, at: F.sum(x), F.sum),
+    "max": (lambda x, at: F.max(x), F.max),
+    "min": (lambda x, at: F.min(x), F.min),
+    "last": (lambda x, at: F.max(F.when(x.isNotNull(), F.struct(at, x.alias("v")))).getField("v"),
+             lambda x: F.last(x, ignorenulls=True)),
+}
+
+
+def _total_rows(rows: DataFrame, keys: Sequence[str], order: Sequence[str], kinds: dict[str, str]) -> DataFrame:
+    """For each slice of a hot key, one row with the totals of all earlier slices."""
+    at = F.struct(*[F.col(c) for c in order]).alias("at")
+    per_slice = (
+        rows.where(F.col(LOW).isNotNull())
+        .groupBy(*keys, SEG)
+        .agg(*[_KINDS[kind][0](F.col(c), at).alias(c) for c, kind in kinds.items()])
+    )
+    earlier = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
+    return per_slice.select(*keys, SEG, *[_KINDS[kind][1](F.col(c)).over(earlier).alias(c) for c, kind in kinds.items()])
+
+
+def sweep(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    *stages: Stage,
+    totals: dict[str, tuple[str, Column]] | None = None,
+    stages: Sequence[Stage] = (),
     before: int = 0,
     after: int = 0,
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
-    """Evaluate window expressions over each key's rows in ``order``.
-
-    ``before``/``after`` say how many neighbouring rows the expressions may reach. Each
-    stage maps a window to new columns; a later stage may use the columns of an earlier
-    one. ``order[0]`` must be numeric, and ``order`` must be unique within a key for a
-    deterministic result.
+    """One pass over each key's rows in ``order``: running totals, then window expressions.
+
+    ``totals`` maps a column to ``(kind, expression)`` with kind ``sum``, ``max``, ``min``
+    or ``last`` (last value that is not NULL), from the key's first row up to the current
+    one; a kind with the suffix ``_before`` leaves the current row out. ``stages`` map a
+    window to further columns, which may reach ``before``/``after`` neighbouring rows of
+    the input; a later stage may use the columns of an earlier one. ``order[0]`` must be
+    numeric, and ``order`` unique within a key for a deterministic result.
     """
-    sliced = _sliced(df, keys, order, policy)
-    rows = sliced.withColumn(HALO, F.lit(0))
+    sliced = df if SEG in df.columns else segmented(df, keys, order[0], policy)
+    totals = totals or {}
+    rows = sliced
+    if totals:
+        inputs = {f"_in_{n}": (kind.removesuffix("_before"), expr) for n, (kind, expr) in totals.items()}
+        rows = sliced.withColumns({c: expr for c, (_, expr) in inputs.items()})
+    stacked = rows.withColumn(HALO, F.lit(0))
+
+    def add(extra: DataFrame, halo: int) -> None:
+        nonlocal stacked
+        stacked = stacked.unionByName(extra.withColumn(HALO, F.lit(halo)), allowMissingColumns=True)
+
+    if totals:
+        add(_total_rows(rows, keys, order, {c: kind for c, (kind, _) in inputs.items()}), -2)
     if before:
-        rows = rows.unionByName(_edge_rows(sliced, keys, order, before, True).withColumn(HALO, F.lit(-1)))
+        add(_edge_rows(sliced, keys, order, before, True), -1)
     if after:
-        rows = rows.unionByName(_edge_rows(sliced, keys, order, after, False).withColumn(HALO, F.lit(1)))
+        add(_edge_rows(sliced, keys, order, after, False), 1)
+
     window = Window.partitionBy(*keys, SEG).orderBy(HALO, *order)
+    if totals:
+        upto = {True: window.rowsBetween(Window.unboundedPreceding, -1), False: window.rowsBetween(Window.unboundedPreceding, 0)}
+        stacked = stacked.withColumns(
+            {
+                n: _KINDS[kind.removesuffix("_before")][1](F.col(f"_in_{n}")).over(upto[kind.endswith("_before")])
+                for n, (kind, _) in totals.items()
+            }
+        ).drop(*inputs)
+    if stages and totals:  # neighbours are real rows only
+        stacked = stacked.where(F.col(HALO) > -2)
     for stage in stages:
-        rows = rows.withColumns(stage(window))
-    kept = rows.where(F.col(HALO) == 0).drop(HALO)
+        stacked = stacked.withColumns(stage(window))
+    kept = stacked.where(F.col(HALO) == 0).drop(HALO)
     return kept if SEG in df.columns else kept.drop(SEG, LOW)
 
 
-# kind -> (aggregate of a slice, window function over slices and over rows)
-_KINDS = {
-    "sum": (lambda x, at: F.sum(x), F.sum),
-    "max": (lambda x, at: F.max(x), F.max),
-    "min": (lambda x, at: F.min(x), F.min),
-    "last": (lambda x, at: F.max(F.when(x.isNotNull(), F.struct(at, x.alias("v")))).getField("v"),
-             lambda x: F.last(x, ignorenulls=True)),
-}
+def windowed(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    *stages: Stage,
+    before: int = 0,
+    after: int = 0,
+    policy: SkewPolicy = DEFAULT,
+) -> DataFrame:
+    """Window expressions over each key's rows in ``order`` (see ``sweep``)."""
+    return sweep(df, keys, order, None, stages, before, after, policy)
 
 
 def running(
@@ -85,32 +132,8 @@ def running(
     totals: dict[str, tuple[str, Column]],
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
-    """Running aggregates from a key's first row up to and including the current one.
-
-    ``totals`` maps a new column to ``(kind, expression)`` with kind ``sum``, ``max``,
-    ``min`` or ``last`` (last value that is not NULL).
-    """
-    sliced = _sliced(df, keys, order, policy)
-    inputs = {name: f"_in_{name}" for name in totals}
-    rows = sliced.withColumns({inputs[n]: expr for n, (_, expr) in totals.items()})
-
-    at = F.struct(*[F.col(c) for c in order]).alias("at")
-    per_slice = (
-        rows.where(F.col(LOW).isNotNull())
-        .groupBy(*keys, SEG)
-        .agg(*[_KINDS[kind][0](F.col(inputs[n]), at).alias(inputs[n]) for n, (kind, _) in totals.items()])
-    )
-    earlier = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_slice.select(
-        *keys, SEG, *[_KINDS[kind][1](F.col(inputs[n])).over(earlier).alias(inputs[n]) for n, (kind, _) in totals.items()]
-    )
-    stacked = rows.withColumn(HALO, F.lit(0)).unionByName(carry.withColumn(HALO, F.lit(-1)), allowMissingColumns=True)
-    window = Window.partitionBy(*keys, SEG).orderBy(HALO, *order).rowsBetween(Window.unboundedPreceding, 0)
-    result = stacked.withColumns(
-        {n: _KINDS[kind][1](F.col(inputs[n])).over(window) for n, (kind, _) in totals.items()}
-    )
-    kept = result.where(F.col(HALO) == 0).drop(HALO, *inputs.values())
-    return kept if SEG in df.columns else kept.drop(SEG, LOW)
+    """Running totals over each key's rows in ``order`` (see ``sweep``)."""
+    return sweep(df, keys, order, totals, policy=policy)
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

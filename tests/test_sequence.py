@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from courierflow.operators.sequence import asof_join, latest, running, windowed
+from courierflow.operators.sequence import asof_join, latest, running, sweep, windowed
 from courierflow.operators.skew import SkewPolicy, hot_keys, lookup_join, segmented
 
 POLICIES = [SkewPolicy(max_rows=5, oversplit=2), SkewPolicy(max_rows=40), SkewPolicy(max_rows=10**9)]
@@ -113,3 +113,31 @@ def test_latest(rows):
         want[r.k] = max(want.get(r.k, (-1, -1)), (r.t, r.id))
     assert got == {k: v[1] for k, v in want.items()}
     assert "WindowGroupLimit" in latest(rows, ["k"], ["t", "id"])._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("policy", POLICIES)
+def test_sweep_mixes_totals_and_neighbours(rows, policy):
+    pair = F.struct("x", "id")
+    got = sweep(
+        rows,
+        ["k"],
+        ["t", "id"],
+        {"best": ("max", pair), "was_best": ("max_before", pair), "n_before": ("sum_before", F.lit(1))},
+        [lambda w: {"next_t": F.lead("t").over(w), "prev_x": F.lag("x").over(w)}],
+        before=1,
+        after=1,
+        policy=policy,
+    )
+    w = Window.partitionBy("k").orderBy("t", "id")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    want = rows.withColumns(
+        {
+            "best": F.max(pair).over(upto),
+            "was_best": F.max(pair).over(earlier),
+            "n_before": F.sum(F.lit(1)).over(earlier),
+            "next_t": F.lead("t").over(w),
+            "prev_x": F.lag("x").over(w),
+        }
+    )
+    same(got, want)
