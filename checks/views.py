@@ -22,4 +22,7 @@ def with_views(sql: str) -> str:
         return sql.strip()
     ctes = ",\n".join(f"{v} AS (\n{VIEWS[v]}\n)" for v in used)
     body = sql.strip()
-    return f"WITH {ctes},\n{body[5:].lstrip()}" if body[:5].upper() == "WITH " else f"WITH {ctes}\n{body}"
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if body.startswith(start):
+            return f"{start}{ctes},\n{body[len(start):]}"
+    return f"WITH {ctes}\n{body}"

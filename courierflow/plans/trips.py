@@ -36,12 +36,18 @@ def leg_profile(pings: DataFrame, slow_kmph: float = 14.0, policy: SkewPolicy =
         .groupBy("dp_id", "order_id", "trip_leg")
         .agg(
             F.count(F.lit(1)).alias("pings"),
-            F.round(F.coalesce(F.sum("step_km"), F.lit(0.0)), 6).alias("km"),
+            F.coalesce(F.sum("step_km"), F.lit(0.0)).alias("km"),
             (F.max("event_s") - F.min("event_s")).alias("took_s"),
         )
     )
-    kmph = F.round(F.try_divide(F.col("km") * 3600, F.col("took_s")), 4)
-    return legs.withColumn("mean_kmph", kmph).withColumn("is_slow", F.coalesce(F.col("mean_kmph") < slow_kmph, F.lit(False)))
+    kmph = F.try_divide(F.col("km") * 3600, F.col("took_s"))
+    return legs.withColumns(
+        {
+            "km": F.round("km", 6),
+            "mean_kmph": F.round(kmph, 4),
+            "is_slow": F.coalesce(kmph < slow_kmph, F.lit(False)),
+        }
+    )
 
 
 def gaps(pings: DataFrame, nominal_s: int, factor: float, policy: SkewPolicy = DEFAULT) -> DataFrame:
