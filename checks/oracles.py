@@ -335,7 +335,8 @@ SQL |= {
  WHERE p.state = 'PLACED' AND a.state = 'ACCEPTED' AND a.event_s BETWEEN p.event_s AND p.event_s + 600""",
     "stream_zone_enrich": "SELECT zone_id, name AS zone_name, count(*) AS orders FROM fx_order_lifecycle JOIN fx_zones USING (zone_id) WHERE state = 'PLACED' GROUP BY 1, 2",
     "stream_orders_current": f"SELECT order_id, state, event_s FROM fx_order_lifecycle QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY event_s DESC, {ORD} DESC) = 1",
-    "stream_dp_intervals": f"WITH {SPANS} SELECT dp_id, event_id, status, event_s, until_s, next_status FROM spans WHERE until_s IS NOT NULL",
+    "stream_dp_intervals": f"""WITH {SPANS} SELECT dp_id, event_id, status, event_s, until_s, next_status,
+  EXISTS (SELECT 1 FROM fx_legal_transitions t WHERE t.machine <> 'order' AND t.from_state = status AND t.to_state = next_status) AS is_legal FROM spans WHERE until_s IS NOT NULL""",
 }
 SQL["m05_eta_variance_restaurant"] = SQL["m05_eta_variance"].replace("zone_id, count(*) AS delivered", "restaurant_id, count(*) AS delivered")
 

@@ -38,6 +38,7 @@ def _edge_rows(sliced: DataFrame, keys: Sequence[str], order: Sequence[str], dep
 # kind -> (aggregate of a slice, window function over slices and over rows)
 _KINDS = {
     "sum": (lambda x, at: F.sum(x), F.sum),
+    "xor": (lambda x, at: F.bit_xor(x), F.bit_xor),
     "max": (lambda x, at: F.max(x), F.max),
     "min": (lambda x, at: F.min(x), F.min),
     "last": (lambda x, at: F.max(F.when(x.isNotNull(), F.struct(at, x.alias("v")))).getField("v"),
@@ -69,7 +70,7 @@ def sweep(
 ) -> DataFrame:
     """One pass over each key's rows in ``order``: running totals, then window expressions.
 
-    ``totals`` maps a column to ``(kind, expression)`` with kind ``sum``, ``max``, ``min``
+    ``totals`` maps a column to ``(kind, expression)`` with kind ``sum``, ``xor``, ``max``, ``min``
     or ``last`` (last value that is not NULL), from the key's first row up to the current
     one; a kind with the suffix ``_before`` leaves the current row out. ``stages`` map a
     window to further columns, which may reach ``before``/``after`` neighbouring rows of

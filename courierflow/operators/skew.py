@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class SkewPolicy:
     """``max_rows``: rows of one key a task may hold. ``oversplit``: spare factor for
-    keys whose rows bunch together in time."""
+    keys whose rows bunch together in time. ``broadcast_rows``: rows of a dimension that
+    may be copied to every executor."""
 
     max_rows: int = 2_000_000
     oversplit: int = 4
+    broadcast_rows: int = 200_000
 
 
 DEFAULT = SkewPolicy()
@@ -55,7 +57,27 @@ def segmented(df: DataFrame, keys: Sequence[str], order: str, policy: SkewPolicy
     hot = hot.select(*[f"_hot_{k}" for k in keys], LOW, F.greatest(F.lit(1.0), width).alias("_width"))
     joined = df.join(F.broadcast(hot), null_safe(df, hot, [(k, f"_hot_{k}") for k in keys]), "left")
     slice_no = F.floor((F.col(order) - F.col(LOW)) / F.col("_width")).cast("long")
-    return joined.select(*[df[c] for c in df.columns], F.coalesce(slice_no, F.lit(0).cast("long")).alias(SEG), LOW)
+    return joined.withColumn(SEG, F.coalesce(slice_no, F.lit(0).cast("long"))).drop("_width", *[f"_hot_{k}" for k in keys])
+
+
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    """Whether a table has at most ``max_rows`` rows; reads no more than that."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def dimension_join(
+    facts: DataFrame,
+    dimension: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    spread_by: Sequence[str] = (),
+    policy: SkewPolicy = DEFAULT,
+) -> DataFrame:
+    """Join facts to a dimension table: broadcast it if its counted rows allow, so that the
+    facts stay where they are; otherwise join with salted keys."""
+    if is_small(dimension, policy.broadcast_rows):
+        return facts.join(F.broadcast(dimension), list(keys), how)
+    return lookup_join(facts, dimension, keys, how, spread_by, policy)
 
 
 def lookup_join(
@@ -68,11 +90,10 @@ def lookup_join(
 ) -> DataFrame:
     """Join facts to a table with one (or a few) rows per key; hot fact keys are salted.
 
-    The facts of a hot key are spread over ``ceil(n / max_rows)`` salts by a hash of
-    ``spread_by`` (columns that vary inside the key), and the key's lookup rows are
-    repeated once per salt. NULL keys count as a key, so they spread out as well.
-    The size of ``lookup`` is left to adaptive execution, which broadcasts it when its
-    measured size allows.
+    For lookups that grow with the facts (one row per order, say). The facts of a hot key
+    are spread over ``ceil(n / max_rows)`` salts by a hash of ``spread_by`` (columns that
+    vary inside the key), and the key's lookup rows are repeated once per salt. NULL keys
+    count as a key, so they spread out as well.
     """
     hot = hot_keys(facts, keys, policy)
     salts = F.ceil(F.col("_n") / F.lit(policy.max_rows)).cast("int")
@@ -81,11 +102,8 @@ def lookup_join(
 
     varying = [F.col(c) for c in (spread_by or [c for c in facts.columns if c not in keys])]
     salt = F.coalesce(F.pmod(F.xxhash64(*varying), F.col("_salts")).cast("int"), F.lit(0))
-    left = facts.join(F.broadcast(hot), null_safe(facts, hot, pairs), "left").select(
-        *[facts[c] for c in facts.columns], salt.alias("_salt")
-    )
-    right = lookup.join(F.broadcast(hot), null_safe(lookup, hot, pairs), "left").select(
-        *[lookup[c] for c in lookup.columns],
-        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)).alias("_salt"),
-    )
+    spare = ["_salts", *[f"_hot_{k}" for k in keys]]
+    left = facts.join(F.broadcast(hot), null_safe(facts, hot, pairs), "left").withColumn("_salt", salt).drop(*spare)
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
+    right = lookup.join(F.broadcast(hot), null_safe(lookup, hot, pairs), "left").withColumn("_salt", copies).drop(*spare)
     return left.join(right, [*keys, "_salt"], how).drop("_salt")

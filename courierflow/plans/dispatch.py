@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from courierflow.functions import geo, scoring
 from courierflow.operators.knn import nearest_k
 from courierflow.operators.sequence import running, sweep, windowed
-from courierflow.operators.skew import DEFAULT, SkewPolicy, lookup_join
+from courierflow.operators.skew import DEFAULT, SkewPolicy, dimension_join, lookup_join
 from courierflow.plans.orders import order_times
 from courierflow.schemas import SCHEMAS
 from courierflow.session import materialize
@@ -27,8 +28,8 @@ def top_partners(
     ready = orders.where(F.col("state") == "READY").select("order_id", "restaurant_id", "zone_id")
     spots = restaurants.select("restaurant_id", "lat", "lon")
     origins = ready.select("restaurant_id", "zone_id").distinct().join(spots, "restaurant_id")
-    near = nearest_k(origins, partners, k, "restaurant_id", "dp_id", carry=["rating"])
-    out = lookup_join(ready, near, ["restaurant_id", "zone_id"], "inner", ["order_id"], policy)
+    near = materialize(nearest_k(origins, partners, k, "restaurant_id", "dp_id", carry=["rating"]), "nearest")
+    out = dimension_join(ready, near, ["restaurant_id", "zone_id"], "inner", ["order_id"], policy)
     score = scoring.dispatch_score(F.col("distance_km"), F.col("rating"))
     return out.select("order_id", "dp_id", "distance_km", F.col("rank").cast("long").alias("rank"), score.alias("score"))
 
@@ -64,7 +65,7 @@ def drop_sequence(
     owner = order_times(orders).select("order_id", "restaurant_id")
     rows = trips(dispatch, policy).select("dp_id", "trip_id", "order_id").join(owner, "order_id").join(drops, "order_id")
     spots = restaurants.select("restaurant_id", "lat", "lon")
-    placed = lookup_join(rows, spots, ["restaurant_id"], "inner", ["order_id"], policy)
+    placed = dimension_join(rows, spots, ["restaurant_id"], "inner", ["order_id"], policy)
     km = F.round(geo.haversine_km(F.col("lat"), F.col("lon"), F.col("drop_lat"), F.col("drop_lon")), 6)
     placed = placed.select("dp_id", "trip_id", "order_id", km.alias("drop_km"))
     return running(placed, ["dp_id", "trip_id"], ["drop_km", "order_id"], {"position": ("sum", F.lit(1))}, policy)
@@ -88,8 +89,8 @@ def planned_distance(
     )
     kitchens = restaurants.select("restaurant_id", F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"))
     riders = partners.select("dp_id", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
-    rows = lookup_join(rows, kitchens, ["restaurant_id"], "inner", ["order_id"], policy)
-    rows = lookup_join(rows, riders, ["dp_id"], "inner", ["order_id"], policy)
+    rows = dimension_join(rows, kitchens, ["restaurant_id"], "inner", ["order_id"], policy)
+    rows = dimension_join(rows, riders, ["dp_id"], "inner", ["order_id"], policy)
 
     def km(a, b):
         return geo.haversine_km(F.col(f"{a}_lat"), F.col(f"{a}_lon"), F.col(f"{b}_lat"), F.col(f"{b}_lon"))
@@ -135,69 +136,70 @@ def batch_members(events_json: DataFrame) -> DataFrame:
     ).withColumn("companion_id", F.col("companion_id").cast("long"))
 
 
+def _number(df: DataFrame, name: str) -> Column:
+    """An id as a number: itself, or the hash of a text id."""
+    return F.col(name) if isinstance(df.schema[name].dataType, T.LongType) else F.xxhash64(name)
+
+
 def batch_candidates(orders: DataFrame, status: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
     """For each order that becomes READY: another order of the same restaurant whose
     partner is waiting at a restaurant and carries that order alone.
 
     Two sweeps replace the self join. The partner's timeline of assignments, endings and
-    status changes gives the spells in which it waits with exactly one order; while the
-    load is one, the running sums of order and restaurant ids *are* that order and that
-    restaurant (ids are numeric). The restaurant's timeline of spells then answers each
-    READY event: some spell holds at that moment iff the greatest end among the spells
-    begun so far lies after it. A second-best end, of a different order, stands in when
-    the best spell belongs to the asking order itself.
+    status changes gives the spells in which it waits with exactly one order: the XOR of
+    the ids of all orders taken and finished so far *is* that order while the load is one.
+    The restaurant's timeline of spells then answers each READY event: some spell holds at
+    that moment iff the greatest end among the spells begun so far lies after it. A
+    second-best end, of a different order, stands in when the best spell belongs to the
+    asking order itself. The spell that lasts longest is the answer.
     """
     times = order_times(orders)
+    times = times.withColumns({"_order": _number(times, "order_id"), "_rest": _number(times, "restaurant_id")})
     carried = times.where("assigned_s IS NOT NULL AND dp_id IS NOT NULL")
-    finish = F.least("delivered_s", "cancelled_s")
 
     def change(at, sign):
-        return F.struct(
-            at.alias("event_s"),
-            F.lit(sign).alias("d_load"),
-            (F.col("order_id") * sign).alias("d_order"),
-            (F.col("restaurant_id") * sign).alias("d_rest"),
-        )
+        return F.struct(at.alias("event_s"), F.lit(sign).alias("d_load"))
 
+    finish = F.least("delivered_s", "cancelled_s")
     loads = carried.select(
-        "dp_id", F.inline(F.array(change(F.col("assigned_s"), 1), change(finish, -1))), F.col("order_id").alias("_id")
+        "dp_id", F.inline(F.array(change(F.col("assigned_s"), 1), change(finish, -1))), "_order", "_rest", F.col("_order").alias("_id")
     ).where("event_s IS NOT NULL")
     marks = status.select("dp_id", "event_s", "status", F.col("event_id").alias("_id"))
     line = loads.withColumn("_kind", F.col("d_load")).unionByName(marks.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
-    order = ["event_s", "_kind", "_id"]
-    zero = lambda c: ("sum", F.coalesce(F.col(c), F.lit(0)))
     line = sweep(
         line,
         ["dp_id"],
-        order,
-        {"load": zero("d_load"), "with_order_id": zero("d_order"), "at_rest": zero("d_rest"), "now": ("last", F.col("status"))},
+        ["event_s", "_kind", "_id"],
+        {
+            "load": ("sum", F.coalesce("d_load", F.lit(0))),
+            "other": ("xor", F.coalesce("_order", F.lit(0))),
+            "at_rest": ("xor", F.coalesce("_rest", F.lit(0))),
+            "now": ("last", F.col("status")),
+        },
         [lambda w: {"until_s": F.lead("event_s").over(w)}],
         after=1,
         policy=policy,
     )
     spells = line.where("load = 1 AND now = 'WAITING_AT_RESTAURANT' AND (until_s IS NULL OR until_s > event_s)")
-    spell = F.struct(F.coalesce("until_s", F.lit(NEVER)).alias("until_s"), "with_order_id", "dp_id")
+    spell = F.struct(F.coalesce("until_s", F.lit(NEVER)).alias("until_s"), "other", "dp_id")
 
-    starts = spells.select(F.col("at_rest").alias("restaurant_id"), "event_s", F.lit(0).alias("_kind"), F.col("_id").alias("order_id"), spell.alias("spell"))
-    ready = times.where("ready_s IS NOT NULL").select("restaurant_id", F.col("ready_s").alias("event_s"), "order_id")
+    starts = spells.select(F.col("at_rest").alias("_rest"), "event_s", F.lit(0).alias("_kind"), F.col("_id").alias("_order"), spell.alias("spell"))
+    ready = times.where("ready_s IS NOT NULL").select("_rest", F.col("ready_s").alias("event_s"), "_order", "order_id", "restaurant_id")
     asks = starts.unionByName(ready.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
-    key, order = ["restaurant_id"], ["event_s", "_kind", "order_id", "spell"]
-    # the second sweep needs the first one's result more than once
+    key, order = ["_rest"], ["event_s", "_kind", "_order", "spell"]
     asks = sweep(
         asks, key, order, {"best": ("max", F.col("spell")), "was_best": ("max_before", F.col("spell"))}, policy=policy
     )
-    asks = materialize(asks, "batch-candidates")
+    asks = materialize(asks, "batch-candidates")  # the second sweep reads this more than once
     loser = F.when(
-        F.col("spell").isNotNull() & (F.col("spell.with_order_id") != F.col("was_best.with_order_id")),
+        F.col("spell").isNotNull() & (F.col("spell.other") != F.col("was_best.other")),
         F.when(F.col("spell") < F.col("was_best"), F.col("spell")).otherwise(F.col("was_best")),
     )
     asks = running(asks, key, order, {"second": ("max", loser)}, policy)
-    pick = F.when(F.col("best.with_order_id") != F.col("order_id"), F.col("best")).otherwise(F.col("second"))
+    pick = F.when(F.col("best.other") != F.col("_order"), F.col("best")).otherwise(F.col("second"))
     found = asks.where("_kind = 1").withColumn("pick", pick).where(F.col("pick.until_s") > F.col("event_s"))
-    return found.select(
-        "order_id",
-        "restaurant_id",
-        F.col("event_s").alias("ready_s"),
-        F.col("pick.with_order_id").alias("with_order_id"),
-        F.col("pick.dp_id").alias("dp_id"),
+    found = found.select(
+        "order_id", "restaurant_id", F.col("event_s").alias("ready_s"), F.col("pick.other").alias("_other"), F.col("pick.dp_id").alias("dp_id")
     )
+    names = carried.select(F.col("_order").alias("_other"), F.col("order_id").alias("with_order_id"))
+    return lookup_join(found, names, ["_other"], "inner", ["order_id"], policy).drop("_other")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from courierflow.functions import clock, geo, scoring
 from courierflow.operators.sequence import latest, windowed
-from courierflow.operators.skew import DEFAULT, SkewPolicy, lookup_join
+from courierflow.operators.skew import DEFAULT, SkewPolicy, dimension_join
 from courierflow.operators.stats import mean_of_histogram, percentiles, stddev_of_histogram
 from courierflow.states import ORDER_STATES, ORDER_TERMINAL, legal_moves_frame, state_ordinal
 
@@ -234,17 +234,14 @@ def eta_estimate(
         scoring.queue_prep_minutes(F.col("avg_prep_minutes"), F.col("current_backlog")).alias("prep_minutes"),
     )
     centres = zones.select("zone_id", F.col("lat").alias("z_lat"), F.col("lon").alias("z_lon"))
-    # route and preparation depend on (restaurant, zone) only: work them out once per pair
-    pairs = placed.select("restaurant_id", "zone_id").distinct().join(kitchens, "restaurant_id").join(centres, "zone_id")
+    rows = dimension_join(placed, kitchens, ["restaurant_id"], "inner", ["order_id"], policy)
+    rows = dimension_join(rows, centres, ["zone_id"], "inner", ["order_id"], policy)
     km = geo.haversine_km(F.col("r_lat"), F.col("r_lon"), F.col("z_lat"), F.col("z_lon"))
     minutes = scoring.eta_minutes(F.col("prep_minutes"), km, km_per_minute, buffer_minutes)
-    planned = pairs.select(
-        "restaurant_id", "zone_id", F.round("prep_minutes", 6).alias("prep_minutes"), F.round(minutes, 6).alias("eta_minutes")
-    )
-    out = lookup_join(placed, planned, ["restaurant_id", "zone_id"], "inner", ["order_id"], policy)
+    out = rows.withColumn("eta_minutes", F.round(minutes, 6))
     return out.select(
         "order_id",
-        "prep_minutes",
+        F.round("prep_minutes", 6).alias("prep_minutes"),
         "eta_minutes",
         (F.col("event_s") + F.floor(F.col("eta_minutes") * 60)).cast("long").alias("eta_s"),
     )

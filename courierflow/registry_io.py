@@ -17,7 +17,6 @@ from courierflow.schemas import KAFKA_RECORD, MALFORMED, MALFORMED_TABLE, METADA
 from courierflow.session import scratch
 from courierflow.sinks.tables import BATCH, append_batch, as_messages, write_clustered
 from courierflow.sources.files import read_table, stream_files
-from courierflow.states import state_ordinal
 from courierflow.streaming import stateful, windows
 from courierflow.streaming.ingest import start_ingest, write_batch
 from courierflow.streaming.replay import drain, finish, replay, slices_of, state_partitions
@@ -289,49 +288,26 @@ def stream_zone_enrich(v):
 
 @query
 def stream_orders_current(v):
-    """Latest state per order from keyed state; the change log is reduced to its newest row."""
-    spark = v.spark
-    rows = v.order_lifecycle.select(
-        "order_id", "state", "event_s", state_ordinal(F.col("state")).cast("long").alias("rank")
-    )
-    feed, root = scratch(spark, "current-feed"), scratch(spark, "current")
+    """Latest state per order from a streaming aggregate's change log."""
+    rows = v.order_lifecycle.select("order_id", "state", "event_s")
+    feed, root = scratch(v.spark, "current-feed"), scratch(v.spark, "current")
     for part in slices_of(rows, "event_s", 2):
         part.write.mode("append").parquet(feed)
-        run_state_stream(v, feed, rows.schema, root)
-    changes = spark.read.parquet(f"{root}/changes")
-    return latest(changes, ["order_id"], ["event_s", "rank"]).select("order_id", "state", "event_s")
-
-
-def run_state_stream(v: Views, feed: str, schema, root: str) -> None:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        append_batch(batch, f"{root}/changes", run, batch_id, ())
-
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = v.spark.conf.get(key)
-    stateful.use_rocksdb(v.spark)
-    try:
         with state_partitions(v.spark):
-            changes = stateful.latest_states(stream_files(v.spark, feed, schema))
-            started = (
-                changes.writeStream.foreachBatch(write)
-                .outputMode("update")
-                .option("checkpointLocation", f"{root}/_checkpoint")
-                .trigger(availableNow=True)
-                .start()
-            )
+            changes = stateful.latest_states(stream_files(v.spark, feed, rows.schema))
+            started = stateful.start_changes(changes, f"{root}/changes", f"{root}/_checkpoint")
         finish(started)
-    finally:
-        v.spark.conf.set(key, before)
+    changes = v.spark.read.parquet(f"{root}/changes")
+    return latest(changes, ["order_id"], ["event_s", "rank"]).select("order_id", "state", "event_s")
 
 
 @query
 def stream_dp_intervals(v):
-    """Closed status spans per partner across batches; equals the batch plan's spans."""
+    """Closed status spans per partner across batches, with illegal moves marked."""
     rows = v.dp_status
     feed, root = scratch(v.spark, "spans-feed"), scratch(v.spark, "spans")
     for part in slices_of(rows, "event_s", 2):
         part.write.mode("append").parquet(feed)
         finish(stateful.start_span_tracker(stream_files(v.spark, feed, rows.schema), root, f"{root}/_checkpoint"))
     spans = v.spark.read.parquet(f"{root}/spans")
-    return spans.select("dp_id", "event_id", "status", "event_s", "until_s", "next_status")
+    return spans.select("dp_id", "event_id", "status", "event_s", "until_s", "next_status", "is_legal")

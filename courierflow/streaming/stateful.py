@@ -2,91 +2,81 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from courierflow.operators.sequence import latest
 from courierflow.operators.skew import DEFAULT, SkewPolicy
 from courierflow.plans.supply import status_spans
-from courierflow.schemas import LONG, STRING
-from courierflow.sinks.tables import BATCH, RUN, append_batch
+from courierflow.sinks.tables import RUN, append_batch
 from courierflow.sources.files import read_table
+from courierflow.states import legal_moves_frame, state_ordinal
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-CURRENT = T.StructType(
-    [T.StructField("order_id", LONG), T.StructField("state", STRING), T.StructField("event_s", LONG), T.StructField("rank", LONG)]
-)
+SLOTS = 3  # state versions kept; a replay only needs the one before its batch
 
 
-class LatestState(StatefulProcessor):
-    """Keep the newest (event time, state rank) per key; emit it whenever it changes.
+def latest_states(events: DataFrame) -> DataFrame:
+    """Current state per order as a streaming aggregate (update mode).
 
-    The comparison does not depend on arrival order, so the rows of a key are read chunk
-    by chunk and never held together, however many a batch brings.
+    The greatest (event time, life-cycle rank) wins, whatever the arrival order, and
+    rows are combined on the map side before they reach the state of their key.
     """
+    newest = F.max(F.struct("event_s", state_ordinal(F.col("state")).alias("rank"), "state"))
+    out = events.groupBy("order_id").agg(newest.alias("newest"))
+    return out.select("order_id", "newest.state", "newest.event_s", F.col("newest.rank").cast("long").alias("rank"))
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.newest = handle.getValueState("newest", "event_s long, rank long, state string")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        before = self.newest.get() if self.newest.exists() else None
-        best = tuple(before) if before is not None else None
-        for chunk in rows:
-            top = chunk.sort_values(["event_s", "rank"]).iloc[-1]
-            seen = (int(top["event_s"]), int(top["rank"]), str(top["state"]))
-            best = seen if best is None or seen[:2] > tuple(best[:2]) else best
-        if best is not None and (before is None or tuple(before) != tuple(best)):
-            self.newest.update(best)
-            yield pd.DataFrame({"order_id": [key[0]], "state": [best[2]], "event_s": [best[0]], "rank": [best[1]]})
 
-    def close(self) -> None:
-        pass
-
-
-def latest_states(events: DataFrame) -> DataFrame:
-    """Changes of the current state per order. Needs the RocksDB state store.
-
-    ``events`` has order_id, state, event_s and rank.
-    """
-    return events.groupBy("order_id").transformWithStateInPandas(
-        statefulProcessor=LatestState(), outputStructType=CURRENT, outputMode="Update", timeMode="None"
-    )
+def start_changes(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write an update-mode aggregate as a change log; the newest row of a key is its value."""
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        append_batch(batch, path, run, batch_id, ())
 
-def use_rocksdb(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    writer = changes.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
 
 
 def start_span_tracker(
-    events: DataFrame, root: str, checkpoint: str, policy: SkewPolicy = DEFAULT
+    events: DataFrame,
+    root: str,
+    checkpoint: str,
+    machines: tuple[str, ...] = ("dp", "dp_observed"),
+    policy: SkewPolicy = DEFAULT,
 ) -> StreamingQuery:
-    """Write closed status spans per partner to ``root/spans``; one set of rows per batch.
-
-    The state is the last event of each partner, kept as one table version per batch under
-    ``root/open``. A batch joins the version of the batch before it, so a replay reads the
-    same state and overwrites the same output. Spans come from the batch plan's sliced
-    window, which also copes with a partner that sends most of a batch's rows. Events of a
-    partner must not arrive a batch late; drop them with a watermark upstream.
+    """Write closed status spans per partner to ``root/spans``, each with the legality of
+    the move that closed it.
+
+    The state is the last event of each partner, one table version per batch in a ring of
+    ``SLOTS`` folders under ``root/open``. A batch reads the version of the batch before
+    it, so a replay finds the same state and overwrites the same output. Spans come from
+    the sliced window of the batch plan, which also copes with a partner that sends most
+    of a batch. Events of a partner must not arrive a batch late: drop such events
+    upstream, by watermark.
     """
     spark = events.sparkSession
     columns = ["dp_id", "zone_id", "event_s", "event_id", "status", "order_id"]
     schema = T.StructType([events.schema[c] for c in columns])
+    legal = legal_moves_frame(spark, *machines).select(
+        F.col("from_state").alias("status"), F.col("to_state").alias("next_status"), F.lit(True).alias("_legal")
+    )
 
     def process(batch: DataFrame, batch_id: int) -> None:
         run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        opened = read_table(spark, f"{root}/open/{RUN}={run}/{BATCH}={batch_id - 1}", schema)
+        opened = spark.createDataFrame([], schema)
+        if batch_id > 0:
+            opened = read_table(spark, f"{root}/open/{RUN}={run}/slot={(batch_id - 1) % SLOTS}", schema)
         rows = batch.select(*columns).unionByName(opened).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             closed = status_spans(rows, policy).where("until_s IS NOT NULL")
-            append_batch(closed, f"{root}/spans", run, batch_id, ())
-            append_batch(latest(rows, ["dp_id"], ["event_s", "event_id"]), f"{root}/open", run, batch_id, ())
+            checked = closed.join(F.broadcast(legal), ["status", "next_status"], "left")
+            checked = checked.withColumn("is_legal", F.coalesce("_legal", F.lit(False))).drop("_legal")
+            append_batch(checked, f"{root}/spans", run, batch_id, ())
+            newest = latest(rows, ["dp_id"], ["event_s", "event_id"])
+            newest.write.mode("overwrite").parquet(f"{root}/open/{RUN}={run}/slot={batch_id % SLOTS}")
         finally:
             rows.unpersist()
 
