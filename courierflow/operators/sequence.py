@@ -1,9 +1,9 @@
 """Ordered operators that never need all rows of a key in one task.
 
 ``Window.partitionBy(key)`` sorts a key's rows in one task, which a hot key turns into
-a straggler. Here a hot key is cut into slices (``skew.segmented``) and the window runs
-per ``(key, slice)``. What a slice has to know about the rest of its key travels in as
-extra *carry* rows: the nearest rows of the neighbouring slices for ``lag``/``lead``, or
+a straggler. Where the probe of ``skew.hot_keys`` finds such keys, they are cut into
+slices and the window runs per ``(key, slice)``. What a slice has to know about the rest
+of its key travels in as extra *carry* rows: the nearest rows of the neighbouring slices for ``lag``/``lead``, or
 one row with the totals of all earlier slices for running aggregates. Carry rows are
 built from per-slice aggregates of hot keys only and are dropped again at the end.
 """
@@ -11,24 +11,25 @@ built from per-slice aggregates of hot keys only and are dropped again at the en
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from courierflow.operators.skew import DEFAULT, LOW, SEG, SkewPolicy, segmented
+from courierflow.operators.skew import DEFAULT, LOW, SEG, HotKeys, SkewPolicy, hot_keys, sliced
 
 HALO = "_halo"
 Stage = Callable[[WindowSpec], dict[str, Column]]
 
 
-def _edge_rows(sliced: DataFrame, keys: Sequence[str], order: Sequence[str], depth: int, before: bool) -> DataFrame:
+def _edge_rows(rows: DataFrame, keys: Sequence[str], order: Sequence[str], depth: int, before: bool) -> DataFrame:
     """For each slice of a hot key, the ``depth`` rows just before (or after) it."""
     ranked = [F.col(c).desc() if before else F.col(c).asc() for c in order]
     rank = F.row_number().over(Window.partitionBy(*keys, SEG).orderBy(*ranked))
-    edges = sliced.where(F.col(LOW).isNotNull()).withColumn("_rank", rank).where(F.col("_rank") <= depth)
-    payload = [c for c in sliced.columns if c not in {*keys, *order, SEG}]
-    rows = F.sort_array(F.collect_list(F.struct(*order, *payload)))  # at most `depth` rows
-    per_slice = edges.groupBy(*keys, SEG).agg(rows.alias("_rows"))
+    edges = rows.where(F.col(LOW).isNotNull()).withColumn("_rank", rank).where(F.col("_rank") <= depth)
+    payload = [c for c in rows.columns if c not in {*keys, *order, SEG}]
+    packed = F.sort_array(F.collect_list(F.struct(*order, *payload)))  # at most `depth` rows
+    per_slice = edges.groupBy(*keys, SEG).agg(packed.alias("_rows"))
     near = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(*((-depth, -1) if before else (1, depth)))
     pool = per_slice.withColumn("_near", F.flatten(F.collect_list("_rows").over(near)))
     start = F.greatest(F.size("_near") - depth, F.lit(0)) + 1 if before else F.lit(1)
@@ -67,6 +68,7 @@ def sweep(
     before: int = 0,
     after: int = 0,
     policy: SkewPolicy = DEFAULT,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """One pass over each key's rows in ``order``: running totals, then window expressions.
 
@@ -75,42 +77,39 @@ def sweep(
     one; a kind with the suffix ``_before`` leaves the current row out. ``stages`` map a
     window to further columns, which may reach ``before``/``after`` neighbouring rows of
     the input; a later stage may use the columns of an earlier one. ``order[0]`` must be
-    numeric, and ``order`` unique within a key for a deterministic result.
+    numeric, and ``order`` unique within a key for a deterministic result. Pass ``hot``
+    to share the probe between passes over the same rows.
     """
-    sliced = df if SEG in df.columns else segmented(df, keys, order[0], policy)
     totals = totals or {}
-    rows = sliced
-    if totals:
-        inputs = {f"_in_{n}": (kind.removesuffix("_before"), expr) for n, (kind, expr) in totals.items()}
-        rows = sliced.withColumns({c: expr for c, (_, expr) in inputs.items()})
-    stacked = rows.withColumn(HALO, F.lit(0))
-
-    def add(extra: DataFrame, halo: int) -> None:
-        nonlocal stacked
-        stacked = stacked.unionByName(extra.withColumn(HALO, F.lit(halo)), allowMissingColumns=True)
-
-    if totals:
-        add(_total_rows(rows, keys, order, {c: kind for c, (kind, _) in inputs.items()}), -2)
-    if before:
-        add(_edge_rows(sliced, keys, order, before, True), -1)
-    if after:
-        add(_edge_rows(sliced, keys, order, after, False), 1)
+    kinds = {n: kind.removesuffix("_before") for n, (kind, _) in totals.items()}
+    hot = hot or hot_keys(df, keys, policy, order[0])
+    rows = df.withColumns({f"_in_{n}": expr for n, (_, expr) in totals.items()}) if totals else df
+    window = Window.partitionBy(*keys).orderBy(*order)
+    if hot.table is not None:
+        cut = sliced(df, keys, order[0], hot, policy)
+        rows = sliced(rows, keys, order[0], hot, policy)
+        parts = [rows.withColumn(HALO, F.lit(0))]
+        if totals:
+            parts.append(_total_rows(rows, keys, order, {f"_in_{n}": k for n, k in kinds.items()}).withColumn(HALO, F.lit(-2)))
+        if before:
+            parts.append(_edge_rows(cut, keys, order, before, True).withColumn(HALO, F.lit(-1)))
+        if after:
+            parts.append(_edge_rows(cut, keys, order, after, False).withColumn(HALO, F.lit(1)))
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        window = Window.partitionBy(*keys, SEG).orderBy(HALO, *order)
+
+    def total(name: str, kind: str) -> Column:
+        last = -1 if kind.endswith("_before") else 0
+        frame = window.rowsBetween(Window.unboundedPreceding, last)
+        return _KINDS[kinds[name]][1](F.col(f"_in_{name}")).over(frame)
 
-    window = Window.partitionBy(*keys, SEG).orderBy(HALO, *order)
     if totals:
-        upto = {True: window.rowsBetween(Window.unboundedPreceding, -1), False: window.rowsBetween(Window.unboundedPreceding, 0)}
-        stacked = stacked.withColumns(
-            {
-                n: _KINDS[kind.removesuffix("_before")][1](F.col(f"_in_{n}")).over(upto[kind.endswith("_before")])
-                for n, (kind, _) in totals.items()
-            }
-        ).drop(*inputs)
-    if stages and totals:  # neighbours are real rows only
-        stacked = stacked.where(F.col(HALO) > -2)
+        rows = rows.withColumns({n: total(n, kind) for n, (kind, _) in totals.items()}).drop(*[f"_in_{n}" for n in totals])
+    if hot.table is not None and totals and stages:
+        rows = rows.where(F.col(HALO) > -2)  # neighbours are real rows only
     for stage in stages:
-        stacked = stacked.withColumns(stage(window))
-    kept = stacked.where(F.col(HALO) == 0).drop(HALO)
-    return kept if SEG in df.columns else kept.drop(SEG, LOW)
+        rows = rows.withColumns(stage(window))
+    return rows if hot.table is None else rows.where(F.col(HALO) == 0).drop(HALO, SEG, LOW)
 
 
 def windowed(
@@ -121,9 +120,10 @@ def windowed(
     before: int = 0,
     after: int = 0,
     policy: SkewPolicy = DEFAULT,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Window expressions over each key's rows in ``order`` (see ``sweep``)."""
-    return sweep(df, keys, order, None, stages, before, after, policy)
+    return sweep(df, keys, order, None, stages, before, after, policy, hot)
 
 
 def running(
@@ -132,9 +132,10 @@ def running(
     order: Sequence[str],
     totals: dict[str, tuple[str, Column]],
     policy: SkewPolicy = DEFAULT,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Running totals over each key's rows in ``order`` (see ``sweep``)."""
-    return sweep(df, keys, order, totals, policy=policy)
+    return sweep(df, keys, order, totals, policy=policy, hot=hot)
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -2,9 +2,11 @@
 
 A key is *hot* when it holds more rows than one task should have to order or join
 (``SkewPolicy.max_rows``). There can be at most ``total_rows / max_rows`` hot keys, so
-the table of hot keys is small by construction and is the only thing broadcast here.
-It comes from a map-side combined count over the key columns alone. When no key is hot,
-adaptive execution finds the broadcast table empty and drops the extra branches.
+the table of hot keys is small by construction and may be broadcast. It comes from a
+probe: a map-side combined count over the key columns alone, run while the plan is built.
+Without hot keys the operators fall back to the plain window or join, so ordinary data
+pays for the probe and nothing else; with hot keys the table is written to the shared
+folder and the plan is built around it.
 """
 
 from __future__ import annotations
@@ -13,9 +15,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from courierflow.session import materialize
+
 
 @dataclass(frozen=True)
 class SkewPolicy:
@@ -33,31 +37,38 @@ DEFAULT = SkewPolicy()
 SEG, LOW = "_seg", "_low"
 
 
-def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
+@dataclass(frozen=True)
+class HotKeys:
+    """Result of a probe: a small table with key columns ``_hot_<key>``, or None."""
+
+    table: DataFrame | None
 
+    def join(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """``df`` with the columns of its hot key, NULL for other keys. NULL is a key."""
+        pairs = [df[k].eqNullSafe(self.table[f"_hot_{k}"]) for k in keys]
+        return df.join(F.broadcast(self.table), reduce(lambda a, b: a & b, pairs), "left").drop(*[f"_hot_{k}" for k in keys])
 
-def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy, *extra: Column) -> DataFrame:
-    """Keys above the limit with their row count ``_n``; key columns get a ``_hot_`` prefix."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *extra).where(F.col("_n") > policy.max_rows)
-    renamed = [F.col(k).alias(f"_hot_{k}") for k in keys]
-    return counted.select(*renamed, *[c for c in counted.columns if c not in keys])
 
+def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy, order: str | None = None) -> HotKeys:
+    """Probe for hot keys: row count ``_n`` and, with ``order``, its range per key."""
+    ends = [F.min(order).alias(LOW), F.max(order).alias("_high")] if order else []
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *ends).where(F.col("_n") > policy.max_rows)
+    table = counted.withColumnsRenamed({k: f"_hot_{k}" for k in keys})
+    return HotKeys(None if table.isEmpty() else materialize(table, "hot-keys"))
 
-def segmented(df: DataFrame, keys: Sequence[str], order: str, policy: SkewPolicy = DEFAULT) -> DataFrame:
+
+def sliced(df: DataFrame, keys: Sequence[str], order: str, hot: HotKeys, policy: SkewPolicy = DEFAULT) -> DataFrame:
     """Add ``_seg``: the slice of its key's ``order`` range that a row falls into.
 
-    Keys that are not hot stay in one slice (0). A hot key is cut into equal ranges of
-    the numeric ``order`` column, about ``max_rows / oversplit`` rows each, so a slice can
-    be sorted by one task. ``_low`` is set on hot rows only.
+    A hot key is cut into equal ranges of the numeric ``order`` column, about
+    ``max_rows / oversplit`` rows each, so one task can sort a slice; other keys are one
+    slice (0). ``_low`` is set on hot rows only.
     """
-    hot = hot_keys(df, keys, policy, F.min(order).alias(LOW), F.max(order).alias("_high"))
     span = (F.col("_high") - F.col(LOW) + F.lit(1)).cast("double")
-    width = span * F.lit(float(policy.max_rows)) / (F.col("_n") * F.lit(policy.oversplit))
-    hot = hot.select(*[f"_hot_{k}" for k in keys], LOW, F.greatest(F.lit(1.0), width).alias("_width"))
-    joined = df.join(F.broadcast(hot), null_safe(df, hot, [(k, f"_hot_{k}") for k in keys]), "left")
-    slice_no = F.floor((F.col(order) - F.col(LOW)) / F.col("_width")).cast("long")
-    return joined.withColumn(SEG, F.coalesce(slice_no, F.lit(0).cast("long"))).drop("_width", *[f"_hot_{k}" for k in keys])
+    width = F.greatest(F.lit(1.0), span * F.lit(float(policy.max_rows)) / (F.col("_n") * F.lit(policy.oversplit)))
+    slice_no = F.floor((F.col(order) - F.col(LOW)) / width).cast("long")
+    marked = hot.join(df, keys)
+    return marked.withColumn(SEG, F.coalesce(slice_no, F.lit(0).cast("long"))).drop("_n", "_high")
 
 
 def is_small(df: DataFrame, max_rows: int) -> bool:
@@ -96,14 +107,12 @@ def lookup_join(
     count as a key, so they spread out as well.
     """
     hot = hot_keys(facts, keys, policy)
+    if hot.table is None:
+        return facts.join(lookup, list(keys), how)
     salts = F.ceil(F.col("_n") / F.lit(policy.max_rows)).cast("int")
-    hot = hot.select(*[f"_hot_{k}" for k in keys], salts.alias("_salts"))
-    pairs = [(k, f"_hot_{k}") for k in keys]
-
     varying = [F.col(c) for c in (spread_by or [c for c in facts.columns if c not in keys])]
-    salt = F.coalesce(F.pmod(F.xxhash64(*varying), F.col("_salts")).cast("int"), F.lit(0))
-    spare = ["_salts", *[f"_hot_{k}" for k in keys]]
-    left = facts.join(F.broadcast(hot), null_safe(facts, hot, pairs), "left").withColumn("_salt", salt).drop(*spare)
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
-    right = lookup.join(F.broadcast(hot), null_safe(lookup, hot, pairs), "left").withColumn("_salt", copies).drop(*spare)
+    salt = F.coalesce(F.pmod(F.xxhash64(*varying), salts).cast("int"), F.lit(0))
+    left = hot.join(facts, keys).withColumn("_salt", salt).drop("_n")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1))
+    right = hot.join(lookup, keys).withColumn("_salt", copies).drop("_n")
     return left.join(right, [*keys, "_salt"], how).drop("_salt")

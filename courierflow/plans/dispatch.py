@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from courierflow.functions import geo, scoring
 from courierflow.operators.knn import nearest_k
 from courierflow.operators.sequence import running, sweep, windowed
-from courierflow.operators.skew import DEFAULT, SkewPolicy, dimension_join, lookup_join
+from courierflow.operators.skew import DEFAULT, SkewPolicy, dimension_join, hot_keys, lookup_join
 from courierflow.plans.orders import order_times
 from courierflow.schemas import SCHEMAS
 from courierflow.session import materialize
@@ -187,19 +187,21 @@ def batch_candidates(orders: DataFrame, status: DataFrame, policy: SkewPolicy =
     ready = times.where("ready_s IS NOT NULL").select("_rest", F.col("ready_s").alias("event_s"), "_order", "order_id", "restaurant_id")
     asks = starts.unionByName(ready.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
     key, order = ["_rest"], ["event_s", "_kind", "_order", "spell"]
-    asks = sweep(
-        asks, key, order, {"best": ("max", F.col("spell")), "was_best": ("max_before", F.col("spell"))}, policy=policy
-    )
-    asks = materialize(asks, "batch-candidates")  # the second sweep reads this more than once
+    asks = materialize(asks, "batch-asks")  # read by the probe and by the sweeps
+    hot = hot_keys(asks, key, policy, "event_s")
+    best = {"best": ("max", F.col("spell")), "was_best": ("max_before", F.col("spell"))}
+    asks = sweep(asks, key, order, best, policy=policy, hot=hot)
     loser = F.when(
         F.col("spell").isNotNull() & (F.col("spell.other") != F.col("was_best.other")),
         F.when(F.col("spell") < F.col("was_best"), F.col("spell")).otherwise(F.col("was_best")),
     )
-    asks = running(asks, key, order, {"second": ("max", loser)}, policy)
+    asks = running(asks, key, order, {"second": ("max", loser)}, policy, hot)
     pick = F.when(F.col("best.other") != F.col("_order"), F.col("best")).otherwise(F.col("second"))
     found = asks.where("_kind = 1").withColumn("pick", pick).where(F.col("pick.until_s") > F.col("event_s"))
     found = found.select(
         "order_id", "restaurant_id", F.col("event_s").alias("ready_s"), F.col("pick.other").alias("_other"), F.col("pick.dp_id").alias("dp_id")
     )
+    if isinstance(orders.schema["order_id"].dataType, T.LongType):
+        return found.withColumnRenamed("_other", "with_order_id")
     names = carried.select(F.col("_order").alias("_other"), F.col("order_id").alias("with_order_id"))
     return lookup_join(found, names, ["_other"], "inner", ["order_id"], policy).drop("_other")

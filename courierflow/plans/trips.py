@@ -125,9 +125,12 @@ def anomalies(pings: DataFrame, max_kmph: float, trip_pings: DataFrame, eps_km:
 def wait_time(status: DataFrame, orders: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
     """WAITING_AT_RESTAURANT directly followed by PICKED_UP, per restaurant of the order."""
     waits = status_spans(status, policy).where("status = 'WAITING_AT_RESTAURANT' AND next_status = 'PICKED_UP'")
-    waits = waits.select("order_id", "event_id", (F.col("until_s") - F.col("event_s")).alias("wait_s"))
-    owner = order_times(orders).select("order_id", "restaurant_id")
-    return _wait_summary(lookup_join(waits, owner, ["order_id"], "inner", ["event_id"], policy))
+    wait = F.col("until_s") - F.col("event_s")
+    # one row per order on both sides of the join
+    per_order = waits.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(wait).alias("_sum"), F.max(wait).alias("_max")
+    )
+    return _wait_summary(per_order.join(order_times(orders).select("order_id", "restaurant_id"), "order_id"))
 
 
 def wait_time_gps(pings: DataFrame, orders: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
@@ -135,13 +138,14 @@ def wait_time_gps(pings: DataFrame, orders: DataFrame, policy: SkewPolicy = DEFA
     picked = orders.where(F.col("state") == "PICKED_UP").select("order_id", "restaurant_id", "event_s")
     arrivals = pings.where(F.col("trip_leg") == "TO_RESTAURANT").select("order_id", "event_s", "event_id")
     matched = asof_join(picked, arrivals, ["order_id"], "event_s", ["event_id"], policy)
-    waits = matched.where("event_id IS NOT NULL").withColumn("wait_s", F.col("event_s") - F.col("asof_event_s"))
-    return _wait_summary(waits)
+    wait = F.col("event_s") - F.col("asof_event_s")
+    waits = matched.where("event_id IS NOT NULL")
+    return _wait_summary(waits.select("restaurant_id", F.lit(1).alias("_n"), wait.alias("_sum"), wait.alias("_max")))
 
 
 def _wait_summary(waits: DataFrame) -> DataFrame:
     return waits.groupBy("restaurant_id").agg(
-        F.count(F.lit(1)).alias("trips"), F.round(F.avg("wait_s"), 6).alias("avg_wait_s"), F.max("wait_s").alias("max_wait_s")
+        F.sum("_n").alias("trips"), F.round(F.sum("_sum") / F.sum("_n"), 6).alias("avg_wait_s"), F.max("_max").alias("max_wait_s")
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from courierflow.operators.sequence import asof_join, latest, running, sweep, windowed
-from courierflow.operators.skew import SkewPolicy, hot_keys, lookup_join, segmented
+from courierflow.operators.skew import SkewPolicy, hot_keys, lookup_join, sliced
 
 POLICIES = [SkewPolicy(max_rows=5, oversplit=2), SkewPolicy(max_rows=40), SkewPolicy(max_rows=10**9)]
 
@@ -101,9 +101,12 @@ def test_lookup_join(spark, rows, policy, how):
 
 def test_slices_are_bounded(rows):
     policy = SkewPolicy(max_rows=20, oversplit=4)
-    sizes = segmented(rows.where("t >= 5200 OR k <> 1"), ["k"], "t", policy).groupBy("k", "_seg").count()
+    even = rows.where("t >= 5200 OR k <> 1")
+    hot = hot_keys(even, ["k"], policy, "t")
+    assert 1 <= hot.table.count() <= 600 / 20
+    sizes = sliced(even, ["k"], "t", hot, policy).groupBy("k", "_seg").count()
     assert sizes.agg(F.max("count")).first()[0] <= 20
-    assert hot_keys(rows, ["k"], policy).count() <= 600 / 20
+    assert hot_keys(even, ["k"], SkewPolicy(max_rows=10**6)).table is None
 
 
 def test_latest(rows):
