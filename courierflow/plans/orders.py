@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from courierflow.functions import clock, geo, scoring
 from courierflow.operators.sequence import latest, windowed
-from courierflow.operators.skew import DEFAULT, SkewPolicy, dimension_join
+from courierflow.operators.skew import DEFAULT, SkewPolicy, dimension_join, lookup_join
 from courierflow.operators.stats import mean_of_histogram, percentiles, stddev_of_histogram
 from courierflow.states import ORDER_STATES, ORDER_TERMINAL, legal_moves_frame, state_ordinal
 
@@ -245,3 +245,26 @@ def eta_estimate(
         "eta_minutes",
         (F.col("event_s") + F.floor(F.col("eta_minutes") * 60)).cast("long").alias("eta_s"),
     )
+
+
+def enriched(
+    events: DataFrame, zones: DataFrame, restaurants: DataFrame, customers: DataFrame, policy: SkewPolicy = DEFAULT
+) -> DataFrame:
+    """Placed orders with their zone's name, the restaurant's rating and the customer's
+    segment. Zones and restaurants are dimensions; customers grow with the orders."""
+    placed = events.where(F.col("state") == "PLACED").select(
+        "order_id", "customer_id", "restaurant_id", "zone_id", "event_s", "order_value_inr"
+    )
+    names = zones.select("zone_id", F.col("name").alias("zone_name"))
+    ratings = restaurants.select("restaurant_id", F.col("rating").alias("restaurant_rating"))
+    rows = dimension_join(placed, names, ["zone_id"], "left", ["order_id"], policy)
+    rows = dimension_join(rows, ratings, ["restaurant_id"], "left", ["order_id"], policy)
+    return lookup_join(rows, customers, ["customer_id"], "left", ["order_id"], policy)
+
+
+def sales_by_segment(orders: DataFrame) -> DataFrame:
+    return orders.groupBy("zone_name", F.coalesce("segment", F.lit("unknown")).alias("segment")).agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.round(F.sum("order_value_inr"), 2).alias("order_value"),
+        F.round(F.avg("restaurant_rating"), 6).alias("avg_rating"),
+    )

@@ -381,6 +381,12 @@ def zone_scorecard_report(v):
 QUERIES["zone_scorecard"] = QUERIES.pop("zone_scorecard_report")
 
 
+@query
+def order_enrichment(v):
+    customers = v.table("customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("segment"))
+    return orders.sales_by_segment(orders.enriched(v.order_lifecycle, v.zones, v.restaurants, customers))
+
+
 @query
 def top_zones(v):
     return orders.top_zones(v.order_lifecycle)
@@ -399,6 +405,15 @@ def duplicate_rate(v):
     return quality.duplicate_rate(v.arrivals, "event_type")
 
 
+@query
+def duplicate_rate_estimate(v):
+    """Sketch-based rate per event type, next to the exact one; a bound on their distance."""
+    exact = quality.duplicate_rate(v.arrivals, "event_type").select("event_type", "events", F.col("duplicate_rate").alias("_exact"))
+    estimate = quality.approx_duplicate_rate(v.arrivals, "event_type", rsd=0.01).select("event_type", F.col("duplicate_rate").alias("_estimate"))
+    close = F.abs(F.col("_exact") - F.col("_estimate")) < 0.05
+    return exact.join(estimate, "event_type").select("event_type", "events", close.alias("within_5_points"))
+
+
 @query
 def lateness_profile(v):
     return quality.lateness_profile(v.arrivals, "event_type", (0, 600, 3600, 7200))

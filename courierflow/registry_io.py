@@ -137,10 +137,10 @@ def stream_scan_counts(v):
 
 
 def feed_of(v: Views, name: str, slices: int = 3) -> str:
-    """The Kafka-shaped table as several files in offset order."""
+    """The Kafka-shaped table as files in offset order, each slice spread like a topic's partitions."""
     feed = scratch(v.spark, f"{name}-feed")
     for part in slices_of(v.kafka, "offset", slices):
-        part.write.mode("append").parquet(feed)
+        part.repartition(v.spark.sparkContext.defaultParallelism).write.mode("append").parquet(feed)
     return feed
 
 
@@ -277,6 +277,21 @@ def stream_accept_latency(v):
     return replay(rows, plan, "accept", "event_s")[0]
 
 
+@query
+def stream_pickup_wait(v):
+    plan = lambda s: windows.pickup_wait(s, 10 * 86400, "12 days")
+    rows = v.dp_status.select("dp_id", "order_id", "status", "event_s").where("status IN ('WAITING_AT_RESTAURANT', 'PICKED_UP')")
+    return replay(rows, plan, "pickup", "event_s")[0]
+
+
+@query
+def stream_backlog_windows(v):
+    plan = lambda s: windows.backlog_windows(s, "6 hours", "1 hour")
+    rows = v.restaurant_status.select("restaurant_id", "event_s", "current_backlog", "capacity_orders")
+    out, _ = replay(rows, plan, "backlog", "event_s", marker={"restaurant_id": -1})
+    return out.drop("window_end_s")
+
+
 @query
 def stream_zone_enrich(v):
     zones = v.zones.select("zone_id", F.col("name").alias("zone_name"))

@@ -127,3 +127,11 @@ def test_as_of_views_agree(views):
     got = {r.zone_id: r.idle_partners for r in ratio.where(F.col("window_s") == start).collect()}
     want = {r.zone_id: r.idle for r in supply.idle_pool(views.dp_status, start + 3600).collect()}
     assert {z: n for z, n in got.items() if n} == {z: n for z, n in want.items() if n} and got
+
+
+def test_weighted_pick_and_enrichment(views):
+    picks = kitchen.weighted_pick(views.restaurants, 2, seed=5)
+    assert picks.groupBy("zone_id").count().where("count <> 2").count() == 0 and picks.where("NOT is_online").count() == 0
+    customers = views.table("customer").selectExpr("c_custkey AS customer_id", "c_mktsegment AS segment")
+    go = lambda p: rows_of(orders.enriched(views.order_lifecycle, views.zones, views.restaurants, customers, p))
+    assert go(SkewPolicy()) == go(TINY)

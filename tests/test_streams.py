@@ -1,5 +1,7 @@
 """Streams: same rows as the batch plans, replay and resume, isolation, late data."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,3 +140,21 @@ def test_timeout_is_an_error(spark, views):
     with pytest.raises(TimeoutError):
         finish(query, timeout=2)
     assert not query.isActive
+
+
+def test_monitor_follows_progress(spark, views):
+    from courierflow.streaming.monitor import QueryMonitor
+
+    monitor = QueryMonitor()
+    spark.streams.addListener(monitor)
+    try:
+        root = scratch(spark, "t-monitor")
+        finish(ingest_feed(views, feed_of(views, "t-monitor", 1), root, f"{root}/_checkpoint", name="watched"))
+        for _ in range(100):  # reports arrive on their own thread
+            if "watched" in monitor.gauges and monitor.gauges["watched"].rows == 1000:
+                break
+            time.sleep(0.1)
+        gauge = monitor.gauges["watched"]
+        assert gauge.rows == 1000 and gauge.batches >= 1 and gauge.error is None and 0 <= gauge.freshness_s() < 60
+    finally:
+        spark.streams.removeListener(monitor)
