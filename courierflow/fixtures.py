@@ -143,10 +143,19 @@ class Views:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
         self._built: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """One of the given tables. A file of few row groups gives few input splits; its
+        rows are then spread over the cores by their id, which large tables never need."""
+        if name not in self._tables:
+            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            cores = self.spark.sparkContext.defaultParallelism
+            if df.rdd.getNumPartitions() * 2 <= cores:
+                df = df.repartition(cores, df.columns[0])
+            self._tables[name] = df
+        return self._tables[name]
 
     def __getattr__(self, short: str) -> DataFrame:
         name = f"fx_{short}"

@@ -10,7 +10,7 @@ from courierflow.functions import geo, scoring
 from courierflow.operators.knn import nearest_k
 from courierflow.operators.sequence import running, sweep, windowed
 from courierflow.operators.skew import DEFAULT, SkewPolicy, dimension_join, hot_keys, lookup_join
-from courierflow.plans.orders import order_times
+from courierflow.plans.orders import order_restaurants, order_times
 from courierflow.schemas import SCHEMAS
 from courierflow.session import materialize
 
@@ -62,13 +62,17 @@ def drop_sequence(
     dispatch: DataFrame, orders: DataFrame, restaurants: DataFrame, drops: DataFrame, policy: SkewPolicy = DEFAULT
 ) -> DataFrame:
     """Position of each order in its trip: nearest to its restaurant first, sorted once."""
-    owner = order_times(orders).select("order_id", "restaurant_id")
-    rows = trips(dispatch, policy).select("dp_id", "trip_id", "order_id").join(owner, "order_id").join(drops, "order_id")
+    owner = order_restaurants(orders)
+    rows = trips(dispatch, policy).select("dp_id", "trip_id", "order_id")
+    key = ["dp_id", "trip_id"]
+    hot = hot_keys(rows, key, policy)  # probe before the joins, which add no rows
+    rows = rows.join(owner, "order_id").join(drops, "order_id")
     spots = restaurants.select("restaurant_id", "lat", "lon")
     placed = dimension_join(rows, spots, ["restaurant_id"], "inner", ["order_id"], policy)
     km = F.round(geo.haversine_km(F.col("lat"), F.col("lon"), F.col("drop_lat"), F.col("drop_lon")), 6)
     placed = placed.select("dp_id", "trip_id", "order_id", km.alias("drop_km"))
-    return running(placed, ["dp_id", "trip_id"], ["drop_km", "order_id"], {"position": ("sum", F.lit(1))}, policy)
+    ranked = {"position": ("sum", F.lit(1))}
+    return running(placed, key, ["drop_km", "order_id"], ranked, policy, hot if hot.table is None else None)
 
 
 def planned_distance(
@@ -80,7 +84,7 @@ def planned_distance(
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """Planned kilometres per assigned order from positions (see ``planned_distance_km``)."""
-    owner = order_times(orders).select("order_id", "restaurant_id")
+    owner = order_restaurants(orders)
     rows = (
         dispatch.where(F.col("decision") == "ASSIGNED")
         .select("order_id", F.col("assigned_dp_id").alias("dp_id"), "is_batched")

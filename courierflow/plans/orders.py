@@ -38,6 +38,11 @@ def order_times(events: DataFrame) -> DataFrame:
     )
 
 
+def order_restaurants(events: DataFrame) -> DataFrame:
+    """Restaurant per order, hash-partitioned by the order and so ready to join on it."""
+    return events.groupBy("order_id").agg(F.max("restaurant_id").alias("restaurant_id"))
+
+
 def current_orders(events: DataFrame, as_of_s: int | None = None) -> DataFrame:
     """Latest state per order, optionally as of a moment."""
     seen = events if as_of_s is None else events.where(F.col("event_s") <= as_of_s)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from courierflow.functions import geo
 from courierflow.operators.sequence import asof_join, windowed
 from courierflow.operators.skew import DEFAULT, SkewPolicy, lookup_join
-from courierflow.plans.orders import order_times
+from courierflow.plans.orders import order_restaurants, order_times
 from courierflow.plans.supply import status_spans
 
 _ORDER = ["event_s", "event_id"]
@@ -130,7 +130,7 @@ def wait_time(status: DataFrame, orders: DataFrame, policy: SkewPolicy = DEFAULT
     per_order = waits.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("_n"), F.sum(wait).alias("_sum"), F.max(wait).alias("_max")
     )
-    return _wait_summary(per_order.join(order_times(orders).select("order_id", "restaurant_id"), "order_id"))
+    return _wait_summary(per_order.join(order_restaurants(orders), "order_id"))
 
 
 def wait_time_gps(pings: DataFrame, orders: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
