@@ -330,6 +330,11 @@ SQL |= {
     "stream_sessions": """WITH b AS (SELECT dp_id, event_s, CASE WHEN event_s - lag(event_s) OVER (PARTITION BY dp_id ORDER BY event_s) <= 43200 THEN 0 ELSE 1 END AS fresh FROM fx_dp_status),
  n AS (SELECT *, sum(fresh) OVER (PARTITION BY dp_id ORDER BY event_s ROWS UNBOUNDED PRECEDING) AS nth FROM b)
  SELECT dp_id, min(event_s) AS window_s, max(event_s) + 43200 AS window_end_s, count(*) AS events FROM n GROUP BY dp_id, nth""",
+    "stream_late_drop": """WITH b AS (SELECT min(off) AS lo, (max(off) - min(off)) // 4 + 1 AS width FROM fx_arrivals),
+ a AS (SELECT event_type, event_s, event_s - event_s % 3600 + 3600 AS closes_s, (off - lo) // width AS arrival FROM fx_arrivals, b),
+ mark AS (SELECT arrival + 1 AS arrival, max(max(event_s)) OVER (ORDER BY arrival) - 1800 AS mark_s FROM a GROUP BY arrival),
+ c AS (SELECT event_type, mark_s IS NULL OR closes_s > mark_s AS open FROM a LEFT JOIN mark USING (arrival))
+ SELECT event_type, count(*) FILTER (WHERE open) AS counted, count(*) FILTER (WHERE NOT open) AS dropped, (SELECT count(*) FROM c WHERE NOT open) > 0 AS drops_reported FROM c GROUP BY 1""",
     "stream_dedup": "SELECT event_type, count(DISTINCT event_id) AS events, count(DISTINCT event_id) AS distinct_events FROM fx_arrivals GROUP BY 1",
     "stream_accept_latency": """SELECT p.order_id, p.zone_id, p.event_s AS placed_s, a.event_s - p.event_s AS latency_s FROM fx_order_lifecycle p JOIN fx_order_lifecycle a USING (order_id)
  WHERE p.state = 'PLACED' AND a.state = 'ACCEPTED' AND a.event_s BETWEEN p.event_s AND p.event_s + 600""",

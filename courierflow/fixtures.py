@@ -166,7 +166,8 @@ class Views:
                 sql = SPARK_VIEWS[name]
                 for source in ("events", "orders"):
                     if re.search(rf"\bFROM {source}\b", sql):
-                        self.table(source).createOrReplaceTempView(source)
+                        sql = re.sub(rf"\bFROM {source}\b", f"FROM fx_source_{source}", sql)
+                        self.table(source).createOrReplaceTempView(f"fx_source_{source}")
                 self._built[name] = self.spark.sql(sql)
             else:
                 raise AttributeError(name)

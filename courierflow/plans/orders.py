@@ -180,7 +180,8 @@ def peak_window_demand(events: DataFrame, windows: DataFrame, base_orders_per_mi
     """Orders per minute by zone and demand window, against the off-peak base rate.
 
     Placed orders are first counted per zone and second of day (at most 86,400 rows a
-    zone); the range join to the small window table then runs on those counts.
+    zone). The range join runs on those counts, as an equi join on the hours that a
+    window touches.
     """
     placed = events.where(F.col("state") == "PLACED")
     per_second = placed.groupBy("zone_id", clock.second_of_day(F.col("event_s")).alias("sod")).agg(F.count(F.lit(1)).alias("n"))
@@ -188,7 +189,10 @@ def peak_window_demand(events: DataFrame, windows: DataFrame, base_orders_per_mi
         (F.floor(F.max("event_s") / 86400) - F.floor(F.min("event_s") / 86400) + 1).alias("days")
     )
     hour = clock.hour_of_day(F.col("sod"))
-    matched = per_second.join(F.broadcast(windows), hour.between(F.col("start_h"), F.col("end_h")), "left")
+    touched = F.explode(F.sequence(F.floor("start_h"), F.floor("end_h")))
+    by_hour = windows.select("ord", "label", "start_h", "end_h", touched.alias("_h"))
+    inside = (F.floor(F.col("sod") / 3600) == F.col("_h")) & hour.between(F.col("start_h"), F.col("end_h"))
+    matched = per_second.join(by_hour, inside, "left")
     # windows may overlap: the first one wins
     first = matched.groupBy("zone_id", "sod").agg(F.max("n").alias("n"), F.min(F.struct("ord", "label")).alias("w"))
     by_label = first.groupBy("zone_id", F.coalesce("w.label", F.lit(clock.OFF_PEAK)).alias("label")).agg(
@@ -218,7 +222,7 @@ def peak_window_demand(events: DataFrame, windows: DataFrame, base_orders_per_mi
 def top_zones(events: DataFrame, k: int = 3) -> DataFrame:
     """The ``k`` zones with the largest share of placed orders."""
     counts = events.where(F.col("state") == "PLACED").groupBy("zone_id").agg(F.count(F.lit(1)).alias("orders"))
-    share = F.round(F.col("orders") / F.sum("orders").over(Window.partitionBy()), 6)
+    share = F.round(F.col("orders") / F.sum("orders").over(Window.partitionBy()), 6)  # one row per zone
     return counts.withColumn("share", share).orderBy(F.desc("orders"), "zone_id").limit(k)
 
 

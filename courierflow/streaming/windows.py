@@ -21,6 +21,13 @@ def _window_columns(df: DataFrame) -> DataFrame:
     return df.select(start.alias("window_s"), end.alias("window_end_s"), *[c for c in df.columns if c != "window"])
 
 
+def counts(events: DataFrame, key: str, width: str, delay: str) -> DataFrame:
+    """Events per key and tumbling window. Rows whose window closed before they arrived are
+    dropped, and the query's progress reports them."""
+    out = with_watermark(events, delay).groupBy(F.window("event_ts", width), key).agg(F.count(F.lit(1)).alias("events"))
+    return _window_columns(out)
+
+
 def tumbling_orders(orders: DataFrame, width: str, delay: str) -> DataFrame:
     """Placed orders and their value per zone and window."""
     placed = with_watermark(orders.where(F.col("state") == "PLACED"), delay)

@@ -14,7 +14,6 @@ from courierflow.plans.silver import COLUMNS, bad_times, silver
 from courierflow.schemas import KAFKA_RECORD, PAYLOADS, SCHEMAS, TOPICS
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-ROWS_ONLY = {"stream_late_drop"}
 
 
 @pytest.fixture(scope="module")
@@ -25,14 +24,13 @@ def duck():
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_sql(spark, duck, name):
     _, rows, ok, why = compare(spark, duck, name, QUERIES[name], ORACLES.get(name), SF)
-    assert ok is not False, why
-    assert (ok is None) == (name in ROWS_ONLY)
+    assert ok, why
     assert rows > 0 or name in ("batch_candidates", "gps_gaps")
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 6
-    assert set(ORACLES) == set(QUERIES) - ROWS_ONLY
+    assert set(ORACLES) == set(QUERIES)
 
 
 def event(topic, n, second, **fields):

@@ -53,9 +53,7 @@ def test_one_topic_of_a_real_schema(spark, views):
 
 
 def test_late_rows_are_dropped_and_counted(spark, views):
-    plan = lambda s: windows._window_columns(
-        windows.with_watermark(s, "30 minutes").groupBy(F.window("event_ts", "1 hour"), "event_type").agg(F.count(F.lit(1)).alias("events"))
-    )
+    plan = lambda s: windows.counts(s, "event_type", "1 hour", "30 minutes")
     out, progress = replay(views.arrivals, plan, "t-late", "off", slices=4, marker={"event_type": "end"})
     dropped = sum(op["numRowsDroppedByWatermark"] for p in progress for op in p["stateOperators"])
     counted = out.agg(F.sum("events")).first()[0]
