@@ -50,9 +50,10 @@ def report(spark: SparkSession, args: argparse.Namespace) -> int:
     tables = {t.key: read_table(spark, f"{args.root}/{t.table}", table_schema(t.key)) for t in TOPICS.values()}
     rows = health.health_report(tables).cache()
     rows.show(truncate=False)
-    health.malformed_by_reason(read_table(spark, f"{args.root}/{MALFORMED_TABLE}", table_schema(MALFORMED_TABLE))).show(truncate=False)
+    quarantine = read_table(spark, f"{args.root}/{MALFORMED_TABLE}", table_schema(MALFORMED_TABLE))
+    health.malformed_by_reason(quarantine).show(truncate=False)
     if health.is_empty_everywhere(rows):
-        print("no rows in any table: are events produced, are the streams running, do the topic names match?", file=sys.stderr)
+        print("no rows in any table. Are events produced? Do the streams run? Do topic names match?", file=sys.stderr)
         return 1
     return 0
 

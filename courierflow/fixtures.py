@@ -124,7 +124,9 @@ def _dp_status(events: DataFrame) -> DataFrame:
     )
     numbered = running(rows, ["dp_id"], ["event_us", "event_id"], {"nth": ("sum", F.lit(1))})
     r = F.col("nth") - 1
-    cycle = ["IDLE", "EN_ROUTE_TO_RESTAURANT", "WAITING_AT_RESTAURANT", "PICKED_UP", "EN_ROUTE_TO_CUSTOMER", "DELIVERED"]
+    cycle = (
+        "IDLE EN_ROUTE_TO_RESTAURANT WAITING_AT_RESTAURANT PICKED_UP EN_ROUTE_TO_CUSTOMER DELIVERED"
+    ).split()
     step = F.element_at(F.array(*[F.lit(s) for s in cycle]), (r % 6 + 1).cast("int"))
     status = F.when(F.col("event_id") % 23 == 0, "OFFLINE").otherwise(step)
     order = F.when(~F.col("status").isin("IDLE", "OFFLINE"), (F.col("dp_id") * 97 + r - r % 6) % 1000)

@@ -47,7 +47,8 @@ def spread_over_buckets(
     rows = spans.select(*by, *[m.alias(f"_w_{n}") for n, m in measures.items()], F.inline(marks))
     aggs = []
     for n in measures:
-        aggs += [F.sum(F.col("_part") * F.col(f"_w_{n}")).alias(f"_p_{n}"), F.sum(F.col("_open") * F.col(f"_w_{n}")).alias(f"_o_{n}")]
+        aggs.append(F.sum(F.col("_part") * F.col(f"_w_{n}")).alias(f"_p_{n}"))
+        aggs.append(F.sum(F.col("_open") * F.col(f"_w_{n}")).alias(f"_o_{n}"))
     summed = rows.groupBy(*by, "bucket_s").agg(*aggs)
     filled = dense_buckets(summed, by, "bucket_s", seconds).join(summed, [*by, "bucket_s"], "left").fillna(0)
     level = running_level(filled, by, "bucket_s", [f"_o_{n}" for n in measures])

@@ -39,7 +39,8 @@ def nearest_k(
     ``k`` first. Ties go to the smaller id. Zones must not span the 180th meridian.
     """
     here = Window.partitionBy(zone, "lat", "lon").orderBy(place_id)
-    spots = places.select(zone, place_id, "lat", "lon", *carry).withColumn("_n", F.row_number().over(here)).where(F.col("_n") <= k)
+    spots = places.select(zone, place_id, "lat", "lon", *carry)
+    spots = spots.withColumn("_n", F.row_number().over(here)).where(F.col("_n") <= k)
     level = F.explode(F.array(*[F.lit(i) for i in (*range(levels), WHOLE_ZONE)])).alias("_level")
     cells = [
         _cell(F.col(c), F.col("_level"), finest).alias(f"_{c}_cell") for c in ("lat", "lon")
@@ -47,7 +48,7 @@ def nearest_k(
     cell_key = [zone, "_level", "_lat_cell", "_lon_cell"]
 
     spot_cells = spots.select(zone, place_id, "lat", "lon", *carry, level).select("*", *cells)
-    counts = spot_cells.groupBy(*cell_key).agg(F.count(F.lit(1)).alias("_count"))
+    counts = spot_cells.groupBy(*cell_key).agg(F.count("*").alias("_count"))
 
     def block(df: DataFrame, radius: Column) -> DataFrame:
         span = lambda c: F.explode(F.sequence(F.col(c) - radius, F.col(c) + radius))

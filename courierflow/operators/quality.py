@@ -19,15 +19,15 @@ def dedup(events: DataFrame, key: str = "event_id", order: Sequence[str] = ("off
 
 
 def duplicate_rate(events: DataFrame, by: str, key: str = "event_id") -> DataFrame:
-    per_event = events.groupBy(by, key).agg(F.count(F.lit(1)).alias("_copies"))
-    out = per_event.groupBy(by).agg(F.sum("_copies").alias("events"), F.count(F.lit(1)).alias("distinct_events"))
+    per_event = events.groupBy(by, key).agg(F.count("*").alias("_copies"))
+    out = per_event.groupBy(by).agg(F.sum("_copies").alias("events"), F.count("*").alias("distinct_events"))
     extra = F.col("events") - F.col("distinct_events")
     return out.withColumns({"duplicates": extra, "duplicate_rate": F.round(F.try_divide(extra, F.col("events")), 6)})
 
 
 def approx_duplicate_rate(events: DataFrame, by: str, key: str = "event_id", rsd: float = 0.01) -> DataFrame:
     """One-shuffle estimate with a sketch per group instead of a row per event."""
-    out = events.groupBy(by).agg(F.count(F.lit(1)).alias("events"), F.approx_count_distinct(key, rsd).alias("_d"))
+    out = events.groupBy(by).agg(F.count("*").alias("events"), F.approx_count_distinct(key, rsd).alias("_d"))
     return out.select(by, "events", F.greatest(F.lit(0.0), 1 - F.col("_d") / F.col("events")).alias("duplicate_rate"))
 
 
@@ -62,5 +62,5 @@ def lateness_profile(events: DataFrame, by: str, bounds: Sequence[int], policy:
         label = F.when(F.col("late_s") <= bound, f"within_{bound}s").otherwise(label)
     return (
         late.groupBy(by, label.alias("lateness"))
-        .agg(F.count(F.lit(1)).alias("events"), F.max("late_s").alias("max_late_s"))
+        .agg(F.count("*").alias("events"), F.max("late_s").alias("max_late_s"))
     )

@@ -56,7 +56,8 @@ def _total_rows(rows: DataFrame, keys: Sequence[str], order: Sequence[str], kind
         .agg(*[_KINDS[kind][0](F.col(c), at).alias(c) for c, kind in kinds.items()])
     )
     earlier = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
-    return per_slice.select(*keys, SEG, *[_KINDS[kind][1](F.col(c)).over(earlier).alias(c) for c, kind in kinds.items()])
+    totals = [_KINDS[kind][1](F.col(c)).over(earlier).alias(c) for c, kind in kinds.items()]
+    return per_slice.select(*keys, SEG, *totals)
 
 
 def sweep(
@@ -90,7 +91,8 @@ def sweep(
         rows = sliced(rows, keys, order[0], hot, policy)
         parts = [rows.withColumn(HALO, F.lit(0))]
         if totals:
-            parts.append(_total_rows(rows, keys, order, {f"_in_{n}": k for n, k in kinds.items()}).withColumn(HALO, F.lit(-2)))
+            earlier = _total_rows(rows, keys, order, {f"_in_{n}": k for n, k in kinds.items()})
+            parts.append(earlier.withColumn(HALO, F.lit(-2)))
         if before:
             parts.append(_edge_rows(cut, keys, order, before, True).withColumn(HALO, F.lit(-1)))
         if after:
@@ -104,7 +106,8 @@ def sweep(
         return _KINDS[kinds[name]][1](F.col(f"_in_{name}")).over(frame)
 
     if totals:
-        rows = rows.withColumns({n: total(n, kind) for n, (kind, _) in totals.items()}).drop(*[f"_in_{n}" for n in totals])
+        rows = rows.withColumns({n: total(n, kind) for n, (kind, _) in totals.items()})
+        rows = rows.drop(*[f"_in_{n}" for n in totals])
     if hot.table is not None and totals and stages:
         rows = rows.where(F.col(HALO) > -2)  # neighbours are real rows only
     for stage in stages:

@@ -46,13 +46,14 @@ class HotKeys:
     def join(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
         """``df`` with the columns of its hot key, NULL for other keys. NULL is a key."""
         pairs = [df[k].eqNullSafe(self.table[f"_hot_{k}"]) for k in keys]
-        return df.join(F.broadcast(self.table), reduce(lambda a, b: a & b, pairs), "left").drop(*[f"_hot_{k}" for k in keys])
+        same = reduce(lambda a, b: a & b, pairs)
+        return df.join(F.broadcast(self.table), same, "left").drop(*[f"_hot_{k}" for k in keys])
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy, order: str | None = None) -> HotKeys:
     """Probe for hot keys: row count ``_n`` and, with ``order``, its range per key."""
     ends = [F.min(order).alias(LOW), F.max(order).alias("_high")] if order else []
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *ends).where(F.col("_n") > policy.max_rows)
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"), *ends).where(F.col("_n") > policy.max_rows)
     table = counted.withColumnsRenamed({k: f"_hot_{k}" for k in keys})
     return HotKeys(None if table.isEmpty() else materialize(table, "hot-keys"))
 

@@ -17,7 +17,7 @@ def percentiles(
     aggregate sees distinct values (whole seconds here), never rows. ``extra`` aggregates
     run over the histogram and may use ``_v`` (value) and ``_n`` (rows with that value).
     """
-    histogram = df.where(value.isNotNull()).groupBy(*by, value.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    histogram = df.where(value.isNotNull()).groupBy(*by, value.alias("_v")).agg(F.count("*").alias("_n"))
     cuts = [F.round(F.percentile("_v", p, F.col("_n")), digits).alias(name) for name, p in points.items()]
     return histogram.groupBy(*by).agg(*extra, *cuts)
 

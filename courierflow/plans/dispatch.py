@@ -31,7 +31,8 @@ def top_partners(
     near = materialize(nearest_k(origins, partners, k, "restaurant_id", "dp_id", carry=["rating"]), "nearest")
     out = dimension_join(ready, near, ["restaurant_id", "zone_id"], "inner", ["order_id"], policy)
     score = scoring.dispatch_score(F.col("distance_km"), F.col("rating"))
-    return out.select("order_id", "dp_id", "distance_km", F.col("rank").cast("long").alias("rank"), score.alias("score"))
+    rank = F.col("rank").cast("long")
+    return out.select("order_id", "dp_id", "distance_km", rank.alias("rank"), score.alias("score"))
 
 
 def trips(dispatch: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
@@ -47,15 +48,15 @@ def trips(dispatch: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
 
 def batch_share(dispatch: DataFrame) -> DataFrame:
     zone = dispatch.where(F.col("decision") == "ASSIGNED").groupBy("zone_id").agg(
-        F.count(F.lit(1)).alias("assigned"), F.count_if("is_batched").alias("batched")
+        F.count("*").alias("assigned"), F.count_if("is_batched").alias("batched")
     )
     return zone.withColumn("batched_share", F.round(F.try_divide(F.col("batched"), F.col("assigned")), 6))
 
 
 def orders_per_trip(dispatch: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
     """How many trips carried how many orders."""
-    sizes = trips(dispatch, policy).groupBy("dp_id", "trip_id").agg(F.count(F.lit(1)).alias("orders"))
-    return sizes.groupBy("orders").agg(F.count(F.lit(1)).alias("trips"))
+    sizes = trips(dispatch, policy).groupBy("dp_id", "trip_id").agg(F.count("*").alias("orders"))
+    return sizes.groupBy("orders").agg(F.count("*").alias("trips"))
 
 
 def drop_sequence(
@@ -114,7 +115,8 @@ def batch_events(dispatch: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame
         policy=policy,
     )
     text = lambda c: F.col(c).cast("string")
-    mates = F.when(F.col("is_batched") & F.col("_mate").isNotNull(), F.array(text("_mate"))).otherwise(F.array().cast("array<string>"))
+    nobody = F.array().cast("array<string>")
+    mates = F.when(F.col("is_batched") & F.col("_mate").isNotNull(), F.array(text("_mate"))).otherwise(nobody)
     payload = F.struct(
         text("event_s").alias("event_time"),
         F.lit(1).alias("schema_version"),
@@ -165,11 +167,11 @@ def batch_candidates(orders: DataFrame, status: DataFrame, policy: SkewPolicy =
         return F.struct(at.alias("event_s"), F.lit(sign).alias("d_load"))
 
     finish = F.least("delivered_s", "cancelled_s")
-    loads = carried.select(
-        "dp_id", F.inline(F.array(change(F.col("assigned_s"), 1), change(finish, -1))), "_order", "_rest", F.col("_order").alias("_id")
-    ).where("event_s IS NOT NULL")
-    marks = status.select("dp_id", "event_s", "status", F.col("event_id").alias("_id"))
-    line = loads.withColumn("_kind", F.col("d_load")).unionByName(marks.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
+    changes = F.inline(F.array(change(F.col("assigned_s"), 1), change(finish, -1)))
+    loads = carried.select("dp_id", changes, "_order", "_rest", F.col("_order").alias("_id")).where("event_s IS NOT NULL")
+    loads = loads.withColumn("_kind", F.col("d_load"))
+    marks = status.select("dp_id", "event_s", "status", F.col("event_id").alias("_id"), F.lit(0).alias("_kind"))
+    line = loads.unionByName(marks, allowMissingColumns=True)
     line = sweep(
         line,
         ["dp_id"],
@@ -187,8 +189,15 @@ def batch_candidates(orders: DataFrame, status: DataFrame, policy: SkewPolicy =
     spells = line.where("load = 1 AND now = 'WAITING_AT_RESTAURANT' AND (until_s IS NULL OR until_s > event_s)")
     spell = F.struct(F.coalesce("until_s", F.lit(NEVER)).alias("until_s"), "other", "dp_id")
 
-    starts = spells.select(F.col("at_rest").alias("_rest"), "event_s", F.lit(0).alias("_kind"), F.col("_id").alias("_order"), spell.alias("spell"))
-    ready = times.where("ready_s IS NOT NULL").select("_rest", F.col("ready_s").alias("event_s"), "_order", "order_id", "restaurant_id")
+    starts = spells.select(
+        F.col("at_rest").alias("_rest"),
+        "event_s",
+        F.lit(0).alias("_kind"),
+        F.col("_id").alias("_order"),
+        spell.alias("spell"),
+    )
+    ready = times.where("ready_s IS NOT NULL")
+    ready = ready.select("_rest", F.col("ready_s").alias("event_s"), "_order", "order_id", "restaurant_id")
     asks = starts.unionByName(ready.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
     key, order = ["_rest"], ["event_s", "_kind", "_order", "spell"]
     asks = materialize(asks, "batch-asks")  # read by the probe and by the sweeps
@@ -203,7 +212,11 @@ def batch_candidates(orders: DataFrame, status: DataFrame, policy: SkewPolicy =
     pick = F.when(F.col("best.other") != F.col("_order"), F.col("best")).otherwise(F.col("second"))
     found = asks.where("_kind = 1").withColumn("pick", pick).where(F.col("pick.until_s") > F.col("event_s"))
     found = found.select(
-        "order_id", "restaurant_id", F.col("event_s").alias("ready_s"), F.col("pick.other").alias("_other"), F.col("pick.dp_id").alias("dp_id")
+        "order_id",
+        "restaurant_id",
+        F.col("event_s").alias("ready_s"),
+        F.col("pick.other").alias("_other"),
+        F.col("pick.dp_id").alias("dp_id"),
     )
     if isinstance(orders.schema["order_id"].dataType, T.LongType):
         return found.withColumnRenamed("_other", "with_order_id")

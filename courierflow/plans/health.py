@@ -20,7 +20,7 @@ def health_report(tables: dict[str, DataFrame], now: Column | None = None) -> Da
 
     def one(key: str, df: DataFrame) -> DataFrame:
         return df.agg(
-            F.count(F.lit(1)).alias("rows"),
+            F.count("*").alias("rows"),
             F.max("event_time").alias("newest_event"),
             F.max("ingestion_timestamp").alias("_ingested"),
         ).select(
@@ -40,14 +40,14 @@ def is_empty_everywhere(report: DataFrame) -> bool:
 
 
 def malformed_by_reason(quarantine: DataFrame) -> DataFrame:
-    counts = quarantine.groupBy("source_topic_key", "error_reason").agg(F.count(F.lit(1)).alias("rows"))
+    counts = quarantine.groupBy("source_topic_key", "error_reason").agg(F.count("*").alias("rows"))
     return counts.orderBy(F.desc("rows"), "source_topic_key", "error_reason")
 
 
 def malformed_rate(parsed: DataFrame) -> DataFrame:
     """Share of quarantined records per topic, from parsed records."""
     bad = F.col("error_reason").isNotNull()
-    out = parsed.groupBy("source_topic_key").agg(F.count(F.lit(1)).alias("records"), F.count_if(bad).alias("malformed"))
+    out = parsed.groupBy("source_topic_key").agg(F.count("*").alias("records"), F.count_if(bad).alias("malformed"))
     return out.withColumn("malformed_rate", F.round(F.try_divide(F.col("malformed"), F.col("records")), 6))
 
 
@@ -57,7 +57,7 @@ def gauges(parsed: DataFrame, orders: DataFrame, status: DataFrame, as_of_s: int
     def gauge(name: str, df: DataFrame, value: Column) -> DataFrame:
         return df.agg(value.alias("value")).select(F.lit(name).alias("gauge"), "value")
 
-    n = F.count(F.lit(1))
+    n = F.count("*")
     return reduce(
         DataFrame.unionByName,
         [

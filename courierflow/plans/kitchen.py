@@ -22,7 +22,7 @@ def backlog_windowed(status: DataFrame, seconds: int) -> DataFrame:
     load = F.try_divide(F.col("current_backlog"), F.col("capacity_orders"))
     busy = F.when(scoring.is_over_capacity(F.col("current_backlog"), F.col("capacity_orders")), 1.0).otherwise(0.0)
     return status.groupBy("restaurant_id", clock.bucket_start(F.col("event_s"), seconds).alias("window_s")).agg(
-        F.count(F.lit(1)).alias("reports"),
+        F.count("*").alias("reports"),
         F.round(F.avg(load), 6).alias("avg_load"),
         F.round(F.max(load), 6).alias("max_load"),
         F.round(F.avg(busy), 6).alias("busy_share"),

@@ -46,7 +46,8 @@ def order_restaurants(events: DataFrame) -> DataFrame:
 def current_orders(events: DataFrame, as_of_s: int | None = None) -> DataFrame:
     """Latest state per order, optionally as of a moment."""
     seen = events if as_of_s is None else events.where(F.col("event_s") <= as_of_s)
-    ranked = seen.select("order_id", "zone_id", "restaurant_id", "state", "event_s", state_ordinal(F.col("state")).alias("_ord"))
+    rank = state_ordinal(F.col("state"))
+    ranked = seen.select("order_id", "zone_id", "restaurant_id", "state", "event_s", rank.alias("_ord"))
     return latest(ranked, ["order_id"], ["event_s", "_ord"]).drop("_ord")
 
 
@@ -58,21 +59,31 @@ def illegal_order_moves(events: DataFrame, policy: SkewPolicy = DEFAULT) -> Data
     """Moves that are not in the transition table; CANCELLED is legal from any state."""
     rows = events.select("order_id", "event_s", "state", state_ordinal(F.col("state")).alias("_ord"))
     moves = windowed(
-        rows, ["order_id"], ["event_s", "_ord"], lambda w: {"from_state": F.lag("state").over(w)}, before=1, policy=policy
+        rows,
+        ["order_id"],
+        ["event_s", "_ord"],
+        lambda w: {"from_state": F.lag("state").over(w)},
+        before=1,
+        policy=policy,
     ).select("order_id", "event_s", "from_state", F.col("state").alias("to_state"))
     suspects = moves.where(F.col("from_state").isNotNull() & (F.col("to_state") != "CANCELLED"))
-    return suspects.join(F.broadcast(legal_moves_frame(events.sparkSession, "order")), ["from_state", "to_state"], "left_anti")
+    legal = legal_moves_frame(events.sparkSession, "order")
+    return suspects.join(F.broadcast(legal), ["from_state", "to_state"], "left_anti")
 
 
 def order_funnel(events: DataFrame) -> DataFrame:
     """Orders of each zone that reached each state."""
     reached = [F.count(f"{s.lower()}_s").alias(s.lower()) for s in ORDER_STATES]
-    return order_times(events).groupBy("zone_id").agg(F.count(F.lit(1)).alias("orders"), *reached)
+    return order_times(events).groupBy("zone_id").agg(F.count("*").alias("orders"), *reached)
 
 
 # consecutive stages of a delivered order
 STAGES = (
-    ("PLACED", "ACCEPTED"), ("ACCEPTED", "READY"), ("READY", "ASSIGNED"), ("ASSIGNED", "PICKED_UP"), ("PICKED_UP", "DELIVERED"),
+    ("PLACED", "ACCEPTED"),
+    ("ACCEPTED", "READY"),
+    ("READY", "ASSIGNED"),
+    ("ASSIGNED", "PICKED_UP"),
+    ("PICKED_UP", "DELIVERED"),
 )
 
 
@@ -163,7 +174,7 @@ def cancellations(events: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
 
 def cancellation_rollup(events: DataFrame) -> DataFrame:
     """Cancelled orders by zone and canceller with subtotals; rows are counted before the rollup."""
-    counts = events.where(F.col("state") == "CANCELLED").groupBy("zone_id", "cancelled_by").agg(F.count(F.lit(1)).alias("_n"))
+    counts = events.where(F.col("state") == "CANCELLED").groupBy("zone_id", "cancelled_by").agg(F.count("*").alias("_n"))
     return counts.rollup("zone_id", "cancelled_by").agg(
         F.sum("_n").alias("cancelled"), F.grouping_id().cast("long").alias("level")
     )
@@ -184,7 +195,8 @@ def peak_window_demand(events: DataFrame, windows: DataFrame, base_orders_per_mi
     window touches.
     """
     placed = events.where(F.col("state") == "PLACED")
-    per_second = placed.groupBy("zone_id", clock.second_of_day(F.col("event_s")).alias("sod")).agg(F.count(F.lit(1)).alias("n"))
+    sod = clock.second_of_day(F.col("event_s"))
+    per_second = placed.groupBy("zone_id", sod.alias("sod")).agg(F.count("*").alias("n"))
     days = placed.groupBy("zone_id").agg(
         (F.floor(F.max("event_s") / 86400) - F.floor(F.min("event_s") / 86400) + 1).alias("days")
     )
@@ -201,8 +213,9 @@ def peak_window_demand(events: DataFrame, windows: DataFrame, base_orders_per_mi
     # minutes per day of each label; off-peak lasts whatever the windows leave
     open_minutes = (F.col("end_h") - F.col("start_h")) * 60
     labels = windows.groupBy("label").agg(F.max("multiplier").alias("multiplier"), F.sum(open_minutes).alias("minutes"))
+    left_over = F.lit(1440.0) - F.sum(open_minutes)
     rest = windows.agg(
-        F.lit(clock.OFF_PEAK).alias("label"), F.lit(1.0).alias("multiplier"), (F.lit(1440.0) - F.sum(open_minutes)).alias("minutes")
+        F.lit(clock.OFF_PEAK).alias("label"), F.lit(1.0).alias("multiplier"), left_over.alias("minutes")
     )
     minutes = F.col("minutes") * F.col("days")
     return (
@@ -221,7 +234,7 @@ def peak_window_demand(events: DataFrame, windows: DataFrame, base_orders_per_mi
 
 def top_zones(events: DataFrame, k: int = 3) -> DataFrame:
     """The ``k`` zones with the largest share of placed orders."""
-    counts = events.where(F.col("state") == "PLACED").groupBy("zone_id").agg(F.count(F.lit(1)).alias("orders"))
+    counts = events.where(F.col("state") == "PLACED").groupBy("zone_id").agg(F.count("*").alias("orders"))
     share = F.round(F.col("orders") / F.sum("orders").over(Window.partitionBy()), 6)  # one row per zone
     return counts.withColumn("share", share).orderBy(F.desc("orders"), "zone_id").limit(k)
 
@@ -273,7 +286,7 @@ def enriched(
 
 def sales_by_segment(orders: DataFrame) -> DataFrame:
     return orders.groupBy("zone_name", F.coalesce("segment", F.lit("unknown")).alias("segment")).agg(
-        F.count(F.lit(1)).alias("orders"),
+        F.count("*").alias("orders"),
         F.round(F.sum("order_value_inr"), 2).alias("order_value"),
         F.round(F.avg("restaurant_rating"), 6).alias("avg_rating"),
     )

@@ -53,7 +53,7 @@ def retry_chains(events: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
         {"root_payment_id": ("last", root), "_nth": ("sum", F.lit(1))}, policy,
     )
     chains = linked.groupBy("root_payment_id").agg(
-        F.count(F.lit(1)).alias("chain_length"), F.max("_end").alias("_best"), F.min("_nth").alias("_first")
+        F.count("*").alias("chain_length"), F.max("_end").alias("_best"), F.min("_nth").alias("_first")
     )
     both = lookup_join(linked, chains, ["root_payment_id"], "left", ["payment_id"], policy)
     result = F.when(F.col("_best") == 2, "SUCCESS").when(F.col("_best") == 1, "FAILED").otherwise("OPEN")
@@ -75,7 +75,7 @@ def permanent_failures(events: DataFrame, policy: SkewPolicy = DEFAULT) -> DataF
         ended.join(roots, "payment_id")
         .groupBy("gateway")
         .agg(
-            F.count(F.lit(1)).alias("chains"),
+            F.count("*").alias("chains"),
             F.count_if(F.col("final_status") == "FAILED").alias("failed_for_good"),
             F.round(F.avg(F.col("chain_length") - 1), 6).alias("retries_per_order"),
         )
@@ -95,7 +95,7 @@ def outages(events: DataFrame, by: Sequence[str] = (), policy: SkewPolicy = DEFA
         rows, keys, ["event_s", "payment_id"], {"_clear": ("sum", F.when(F.col("is_gateway_outage"), 0).otherwise(1))}, policy
     )
     runs = clear.where("is_gateway_outage").groupBy(*keys, "_clear").agg(
-        F.min("event_s").alias("start_s"), F.max("event_s").alias("end_s"), F.count(F.lit(1)).alias("payments")
+        F.min("event_s").alias("start_s"), F.max("event_s").alias("end_s"), F.count("*").alias("payments")
     )
     return runs.select(*by, "start_s", "end_s", "payments")
 
@@ -110,6 +110,6 @@ def orphans(events: DataFrame, orders: DataFrame, policy: SkewPolicy = DEFAULT)
     homeless = lookup_join(payments, placed, ["order_id"], "left_anti", ["payment_id"], policy)
 
     def total(df, what):
-        return df.agg(F.count(F.lit(1)).alias("payments")).select(F.lit(what).alias("problem"), "payments")
+        return df.agg(F.count("*").alias("payments")).select(F.lit(what).alias("problem"), "payments")
 
     return total(broken, "retry_of_unknown_payment").unionByName(total(homeless, "unknown_order"))

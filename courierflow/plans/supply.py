@@ -68,20 +68,26 @@ def idle_at_bucket_ends(status: DataFrame, seconds: int, policy: SkewPolicy = DE
     return idle.select("zone_id", F.inline(marks)).where(F.col("window_s").isNotNull())
 
 
-def supply_demand_ratio(status: DataFrame, orders: DataFrame, seconds: int = 3600, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def supply_demand_ratio(
+    status: DataFrame, orders: DataFrame, seconds: int = 3600, policy: SkewPolicy = DEFAULT
+) -> DataFrame:
     """Idle partners at the window's end per order placed in it, by zone.
 
     An event exactly at the window's end counts, as ``as of`` includes its moment.
     """
     idle = idle_at_bucket_ends(status, seconds, policy).withColumn("_o", F.lit(0))
     placed = orders.where(F.col("state") == "PLACED").select(
-        "zone_id", clock.bucket_start(F.col("event_s"), seconds).alias("window_s"), F.lit(0).alias("_d"), F.lit(1).alias("_o")
+        "zone_id",
+        clock.bucket_start(F.col("event_s"), seconds).alias("window_s"),
+        F.lit(0).alias("_d"),
+        F.lit(1).alias("_o"),
     )
     summed = idle.unionByName(placed).groupBy("zone_id", "window_s").agg(
         F.sum("_d").alias("idle_partners"), F.sum("_o").alias("orders_placed")
     )
-    grid = dense_buckets(summed, ["zone_id"], "window_s", seconds).join(summed, ["zone_id", "window_s"], "left").fillna(0)
-    level = running_level(grid, ["zone_id"], "window_s", ["idle_partners"])
+    grid = dense_buckets(summed, ["zone_id"], "window_s", seconds)
+    filled = grid.join(summed, ["zone_id", "window_s"], "left").fillna(0)
+    level = running_level(filled, ["zone_id"], "window_s", ["idle_partners"])
     return level.withColumn("ratio", F.round(F.try_divide(F.col("idle_partners"), F.col("orders_placed")), 6))
 
 
@@ -129,7 +135,7 @@ def supply_deficit(
     known = partners.select("dp_id", "zone_id").join(now, "dp_id", "left")
     online = F.coalesce(F.col("status") != "OFFLINE", F.lit(False))
     zone = known.groupBy("zone_id").agg(
-        F.count(F.lit(1)).alias("partners"),
+        F.count("*").alias("partners"),
         F.count_if(online).alias("online"),
         F.count_if(F.col("status") == "IDLE").alias("idle"),
     )

@@ -35,7 +35,7 @@ def leg_profile(pings: DataFrame, slow_kmph: float = 14.0, policy: SkewPolicy =
         steps(pings, ["dp_id", "order_id", "trip_leg"], policy)
         .groupBy("dp_id", "order_id", "trip_leg")
         .agg(
-            F.count(F.lit(1)).alias("pings"),
+            F.count("*").alias("pings"),
             F.coalesce(F.sum("step_km"), F.lit(0.0)).alias("km"),
             (F.max("event_s") - F.min("event_s")).alias("took_s"),
         )
@@ -115,7 +115,9 @@ def detector_quality(scored: DataFrame, detector: str) -> DataFrame:
     )
 
 
-def anomalies(pings: DataFrame, max_kmph: float, trip_pings: DataFrame, eps_km: float, k: int, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def anomalies(
+    pings: DataFrame, max_kmph: float, trip_pings: DataFrame, eps_km: float, k: int, policy: SkewPolicy = DEFAULT
+) -> DataFrame:
     jumps = teleports(pings, max_kmph, policy).where("flagged")
     stops = standstills(trip_pings, eps_km, k, policy).where("flagged")
     pick = lambda df, kind: df.select("event_id", "dp_id", "event_s", F.lit(kind).alias("anomaly"))
@@ -128,7 +130,7 @@ def wait_time(status: DataFrame, orders: DataFrame, policy: SkewPolicy = DEFAULT
     wait = F.col("until_s") - F.col("event_s")
     # one row per order on both sides of the join
     per_order = waits.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(wait).alias("_sum"), F.max(wait).alias("_max")
+        F.count("*").alias("_n"), F.sum(wait).alias("_sum"), F.max(wait).alias("_max")
     )
     return _wait_summary(per_order.join(order_restaurants(orders), "order_id"))
 
@@ -145,7 +147,9 @@ def wait_time_gps(pings: DataFrame, orders: DataFrame, policy: SkewPolicy = DEFA
 
 def _wait_summary(waits: DataFrame) -> DataFrame:
     return waits.groupBy("restaurant_id").agg(
-        F.sum("_n").alias("trips"), F.round(F.sum("_sum") / F.sum("_n"), 6).alias("avg_wait_s"), F.max("_max").alias("max_wait_s")
+        F.sum("_n").alias("trips"),
+        F.round(F.sum("_sum") / F.sum("_n"), 6).alias("avg_wait_s"),
+        F.max("_max").alias("max_wait_s"),
     )
 
 
@@ -166,14 +170,15 @@ def detour(pings: DataFrame, dispatch: DataFrame, policy: SkewPolicy = DEFAULT)
     )
     both = driven.join(plan, "order_id")  # one row per order on either side
     ratio = F.try_divide(F.col("actual_km"), F.nullif(F.col("planned_km"), F.lit(0.0)))
+    planned = lambda c: F.sum(F.when(F.col("ratio").isNotNull(), F.col(c)))
     return (
         both.withColumn("ratio", ratio)
         .groupBy("is_batched")
         .agg(
-            F.count(F.lit(1)).alias("orders"),
+            F.count("*").alias("orders"),
             F.count("ratio").alias("with_plan"),
             F.round(F.avg("ratio"), 6).alias("avg_detour_ratio"),
-            F.round(F.sum(F.when(F.col("ratio").isNotNull(), F.col("actual_km"))) / F.sum(F.when(F.col("ratio").isNotNull(), F.col("planned_km"))), 6).alias("total_detour_ratio"),
+            F.round(planned("actual_km") / planned("planned_km"), 6).alias("total_detour_ratio"),
         )
     )
 
@@ -189,9 +194,11 @@ def orphans(pings: DataFrame, orders: DataFrame, policy: SkewPolicy = DEFAULT) -
     rows = pings.select("order_id", "event_s", "event_id", "trip_leg")
     joined = lookup_join(rows, spans, ["order_id"], "left", ["event_id"], policy)
     in_flight = (F.col("event_s") >= F.col("_from")) & (F.col("_to").isNull() | (F.col("event_s") <= F.col("_to")))
-    reason = F.when(F.col("_known").isNull(), "unknown_order").when(~F.coalesce(in_flight, F.lit(False)), "not_in_flight")
-    return joined.withColumn("reason", reason).where("reason IS NOT NULL").groupBy("order_id", "reason", "trip_leg").agg(
-        F.count(F.lit(1)).alias("pings"), F.min("event_s").alias("first_s")
+    astray = ~F.coalesce(in_flight, F.lit(False))
+    reason = F.when(F.col("_known").isNull(), "unknown_order").when(astray, "not_in_flight")
+    found = joined.withColumn("reason", reason).where("reason IS NOT NULL")
+    return found.groupBy("order_id", "reason", "trip_leg").agg(
+        F.count("*").alias("pings"), F.min("event_s").alias("first_s")
     )
 
 
@@ -215,11 +222,14 @@ def leg_ends(pings: DataFrame) -> DataFrame:
     at = F.struct(*_ORDER, "lat", "lon")
     ends = pings.groupBy("order_id", "trip_leg").agg(F.min(at).alias("a"), F.max(at).alias("b"))
     return ends.select(
-        "order_id", "trip_leg", F.col("a.lat").alias("lat1"), F.col("a.lon").alias("lon1"), F.col("b.lat").alias("lat2"), F.col("b.lon").alias("lon2")
+        "order_id",
+        "trip_leg",
+        *[F.col(f"{end}.{c}").alias(f"{c}{n}") for n, end in ((1, "a"), (2, "b")) for c in ("lat", "lon")],
     )
 
 
 def drop_points(pings: DataFrame) -> DataFrame:
     """Last outbound position of each order."""
-    last = pings.where(F.col("trip_leg") == "TO_CUSTOMER").groupBy("order_id").agg(F.max(F.struct(*_ORDER, "lat", "lon")).alias("p"))
+    outbound = pings.where(F.col("trip_leg") == "TO_CUSTOMER")
+    last = outbound.groupBy("order_id").agg(F.max(F.struct(*_ORDER, "lat", "lon")).alias("p"))
     return last.select("order_id", F.col("p.lat").alias("drop_lat"), F.col("p.lon").alias("drop_lon"))

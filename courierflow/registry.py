@@ -48,7 +48,12 @@ def parsed(v: Views) -> DataFrame:
 @query
 def bronze_good(v):
     return ingest.good(parsed(v), ENVELOPE_SCHEMA).select(
-        *ENVELOPE_SCHEMA.names, "raw_value", "kafka_topic", "kafka_partition", "kafka_offset", F.unix_seconds("kafka_timestamp").alias("kafka_s"),
+        *ENVELOPE_SCHEMA.names,
+        "raw_value",
+        "kafka_topic",
+        "kafka_partition",
+        "kafka_offset",
+        F.unix_seconds("kafka_timestamp").alias("kafka_s"),
         F.col("ingest_date").cast("string").alias("ingest_date"),
     )
 
@@ -56,27 +61,35 @@ def bronze_good(v):
 @query
 def bronze_malformed(v):
     return ingest.malformed(parsed(v)).select(
-        "source_topic_key", "kafka_topic", "kafka_partition", "kafka_offset", F.unix_seconds("kafka_timestamp").alias("kafka_s"), "raw_key", "raw_value", "error_reason"
+        "source_topic_key",
+        "kafka_topic",
+        "kafka_partition",
+        "kafka_offset",
+        F.unix_seconds("kafka_timestamp").alias("kafka_s"),
+        "raw_key",
+        "raw_value",
+        "error_reason",
     )
 
 
 @query
 def bronze_split_counts(v):
-    return parsed(v).groupBy(F.coalesce("error_reason", F.lit("good")).alias("class")).agg(F.count(F.lit(1)).alias("records"))
+    return parsed(v).groupBy(F.coalesce("error_reason", F.lit("good")).alias("class")).agg(F.count("*").alias("records"))
 
 
 @query
 def topic_routing_counts(v):
-    return parsed(v).groupBy("kafka_topic", "source_topic_key").agg(F.count(F.lit(1)).alias("records"))
+    return parsed(v).groupBy("kafka_topic", "source_topic_key").agg(F.count("*").alias("records"))
 
 
 @query
 def malformed_replay(v):
     """Replay the quarantine under a contract that no longer asks for event_id and event_time."""
     again = ingest.as_records(ingest.malformed(parsed(v)))
-    fixed = ingest.parse(again, ENVELOPE_SCHEMA, ingest.topic_key_of(F.col("topic")), F.col("timestamp"), required=("dp_id",))
+    key = ingest.topic_key_of(F.col("topic"))
+    fixed = ingest.parse(again, ENVELOPE_SCHEMA, key, F.col("timestamp"), required=("dp_id",))
     return fixed.groupBy("source_topic_key", F.coalesce("error_reason", F.lit("good")).alias("class")).agg(
-        F.count(F.lit(1)).alias("records"), F.count("_event.dp_id").alias("with_dp")
+        F.count("*").alias("records"), F.count("_event.dp_id").alias("with_dp")
     )
 
 
@@ -88,14 +101,16 @@ def silver_event_time(v):
     text = F.when(F.dayofmonth(ts) % 7 == 0, F.lit("no time")).otherwise(clock.iso_millis(ts))
     typed = ingest.with_event_ts(ingest.good(parsed(v), ENVELOPE_SCHEMA), text)
     return typed.groupBy("kafka_topic", F.coalesce("time_error", F.lit("ok")).alias("class")).agg(
-        F.count(F.lit(1)).alias("events"), F.min(F.unix_seconds("event_ts")).alias("first_s"), F.max(F.unix_seconds("event_ts")).alias("last_s")
+        F.count("*").alias("events"),
+        F.min(F.unix_seconds("event_ts")).alias("first_s"),
+        F.max(F.unix_seconds("event_ts")).alias("last_s"),
     )
 
 
 @query
 def schema_version_profile(v):
     return ingest.good(parsed(v), ENVELOPE_SCHEMA).groupBy("schema_version", "kafka_topic").agg(
-        F.count(F.lit(1)).alias("events"), F.count_if(F.col("status").isNotNull()).alias("with_status")
+        F.count("*").alias("events"), F.count_if(F.col("status").isNotNull()).alias("with_status")
     )
 
 
@@ -117,8 +132,9 @@ def geo_bearing(v):
 @query
 def geo_cell_counts(v):
     row, col = geo.grid_cell(F.col("lat"), F.col("lon"), 0.01)
-    return v.gps.groupBy(row.alias("cell_row"), col.alias("cell_col"), geo.legacy_cell_id(F.col("lat"), F.col("lon"), 4).alias("legacy_cell")).agg(
-        F.count(F.lit(1)).alias("pings")
+    legacy = geo.legacy_cell_id(F.col("lat"), F.col("lon"), 4)
+    return v.gps.groupBy(row.alias("cell_row"), col.alias("cell_col"), legacy.alias("legacy_cell")).agg(
+        F.count("*").alias("pings")
     )
 
 
@@ -139,7 +155,8 @@ def dispatch_topk(v):
 
 @query
 def planned_distance(v):
-    return dispatch.planned_distance(v.dispatch, v.order_lifecycle, v.partners, v.restaurants, trips.drop_points(v.trip_gps))
+    drops = trips.drop_points(v.trip_gps)
+    return dispatch.planned_distance(v.dispatch, v.order_lifecycle, v.partners, v.restaurants, drops)
 
 
 @query
@@ -383,7 +400,7 @@ QUERIES["zone_scorecard"] = QUERIES.pop("zone_scorecard_report")
 
 @query
 def order_enrichment(v):
-    customers = v.table("customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("segment"))
+    customers = v.table("customer").selectExpr("c_custkey AS customer_id", "c_mktsegment AS segment")
     return orders.sales_by_segment(orders.enriched(v.order_lifecycle, v.zones, v.restaurants, customers))
 
 
@@ -408,9 +425,9 @@ def duplicate_rate(v):
 @query
 def duplicate_rate_estimate(v):
     """Sketch-based rate per event type, next to the exact one; a bound on their distance."""
-    exact = quality.duplicate_rate(v.arrivals, "event_type").select("event_type", "events", F.col("duplicate_rate").alias("_exact"))
-    estimate = quality.approx_duplicate_rate(v.arrivals, "event_type", rsd=0.01).select("event_type", F.col("duplicate_rate").alias("_estimate"))
-    close = F.abs(F.col("_exact") - F.col("_estimate")) < 0.05
+    exact = quality.duplicate_rate(v.arrivals, "event_type").withColumnRenamed("duplicate_rate", "_exact")
+    estimate = quality.approx_duplicate_rate(v.arrivals, "event_type", rsd=0.01).drop("events")
+    close = F.abs(F.col("_exact") - F.col("duplicate_rate")) < 0.05
     return exact.join(estimate, "event_type").select("event_type", "events", close.alias("within_5_points"))
 
 
@@ -423,8 +440,8 @@ def lateness_profile(v):
 def out_of_order_rate(v):
     rows = quality.out_of_order(v.arrivals)
     return rows.groupBy("part").agg(
-        F.count(F.lit(1)).alias("events"), F.count_if("is_out_of_order").alias("out_of_order"),
-        r6(F.count_if("is_out_of_order") / F.count(F.lit(1))).alias("out_of_order_rate"),
+        F.count("*").alias("events"), F.count_if("is_out_of_order").alias("out_of_order"),
+        r6(F.count_if("is_out_of_order") / F.count("*")).alias("out_of_order_rate"),
     )
 
 

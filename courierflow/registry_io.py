@@ -36,8 +36,9 @@ def topic_path(root: str, key: str) -> str:
 
 def land(records: DataFrame, root: str, batch_id: int = 0, run: str = "load") -> None:
     """Land one batch of all topics below ``root``."""
+    good_path, malformed_path = f"{root}/events", f"{root}/{MALFORMED_TABLE}"
     write_batch(
-        records, batch_id, run, ENVELOPE_SCHEMA, route(), f"{root}/events", f"{root}/{MALFORMED_TABLE}", good_partitions=BY_TOPIC
+        records, batch_id, run, ENVELOPE_SCHEMA, route(), good_path, malformed_path, good_partitions=BY_TOPIC
     )
 
 
@@ -51,7 +52,7 @@ def landed(spark, root: str) -> DataFrame:
 
 
 def landed_counts(spark, root: str) -> DataFrame:
-    return landed(spark, root).groupBy("source_topic_key", "class").agg(F.count(F.lit(1)).alias("records"))
+    return landed(spark, root).groupBy("source_topic_key", "class").agg(F.count("*").alias("records"))
 
 
 # -- tables --------------------------------------------------------------------
@@ -94,7 +95,7 @@ def schema_evolution_union(v):
     rows.where("schema_version = 1").drop("status").write.mode("append").parquet(root)
     rows.where("schema_version = 2").write.mode("append").parquet(root)
     merged = v.spark.read.option("mergeSchema", "true").parquet(root)
-    return merged.groupBy("schema_version").agg(F.count(F.lit(1)).alias("events"), F.count("status").alias("with_status"))
+    return merged.groupBy("schema_version").agg(F.count("*").alias("events"), F.count("status").alias("with_status"))
 
 
 @query
@@ -104,7 +105,8 @@ def partition_pruned_read(v):
     append_batch(ingest.good(parsed(v), ENVELOPE_SCHEMA), root, "load", 0)
     table = v.spark.read.parquet(root)
     week = F.col("ingest_date").between(F.lit(date(2024, 1, 8)), F.lit(date(2024, 1, 14)))
-    return table.where(week).groupBy(F.col("ingest_date").cast("string").alias("ingest_date")).agg(F.count(F.lit(1)).alias("events"))
+    day = F.col("ingest_date").cast("string").alias("ingest_date")
+    return table.where(week).groupBy(day).agg(F.count("*").alias("events"))
 
 
 @query
@@ -114,7 +116,8 @@ def clustered_layout_lookup(v):
     write_clustered(v.gps, root, ["dp_id", "event_s", "event_id"])
     last = latest(v.spark.read.parquet(root), ["dp_id"], ["event_s", "event_id"])
     lat, lon = map(F.lit, CENTRE)
-    return last.select("dp_id", "event_id", "event_s", r6(haversine_km(lat, lon, F.col("lat"), F.col("lon"))).alias("km"))
+    km = r6(haversine_km(lat, lon, F.col("lat"), F.col("lon")))
+    return last.select("dp_id", "event_id", "event_s", km.alias("km"))
 
 
 @query
@@ -133,7 +136,7 @@ def stream_scan_counts(v):
     out, checkpoint = scratch(v.spark, "scan-out"), scratch(v.spark, "scan-checkpoint")
     stream = stream_files(v.spark, f"{v.sf_dir}/events*.parquet", table.schema).select("event_id", "event_type")
     drain(stream, out, checkpoint)
-    return v.spark.read.schema(stream.schema).parquet(out).groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+    return v.spark.read.schema(stream.schema).parquet(out).groupBy("event_type").agg(F.count("*").alias("events"))
 
 
 def feed_of(v: Views, name: str, slices: int = 3) -> str:
@@ -146,7 +149,9 @@ def feed_of(v: Views, name: str, slices: int = 3) -> str:
 
 def ingest_feed(v: Views, feed: str, root: str, checkpoint: str, files_per_batch: int | None = None, **extra):
     records = stream_files(v.spark, feed, KAFKA_RECORD, files_per_batch)
-    return start_ingest(records, root, checkpoint, ENVELOPE_SCHEMA, route(), "events", good_partitions=BY_TOPIC, **extra)
+    return start_ingest(
+        records, root, checkpoint, ENVELOPE_SCHEMA, route(), "events", good_partitions=BY_TOPIC, **extra
+    )
 
 
 @query
@@ -211,19 +216,25 @@ def stream_isolated_failure(v):
     root = scratch(v.spark, "supervised")
     table = v.table("events")
     stream = stream_files(v.spark, f"{v.sf_dir}/events*.parquet", table.schema).select("event_id")
-    poison = stream.select(F.when(F.col("event_id") >= 0, F.raise_error(F.lit("poison"))).cast("long").alias("event_id"))
+    error = F.when(F.col("event_id") >= 0, F.raise_error(F.lit("poison")))
+    poison = stream.select(error.cast("long").alias("event_id"))
 
     def starter(name: str, rows: DataFrame):
-        return lambda: (
-            rows.writeStream.format("parquet").option("checkpointLocation", f"{root}/{name}-checkpoint").trigger(availableNow=True).start(f"{root}/{name}")
-        )
+        def start():
+            writer = rows.writeStream.format("parquet").option("checkpointLocation", f"{root}/{name}-checkpoint")
+            return writer.trigger(availableNow=True).start(f"{root}/{name}")
+
+        return start
 
-    supervisor = Supervisor({"healthy": starter("healthy", stream), "broken": starter("broken", poison)}, 0.2, max_restarts=1)
+    starters = {"healthy": starter("healthy", stream), "broken": starter("broken", poison)}
+    supervisor = Supervisor(starters, 0.2, max_restarts=1)
     supervisor.start()
     outcomes = supervisor.run(timeout=600)
     written = read_table(v.spark, f"{root}/healthy", stream.schema)
-    counted = written.agg(F.count(F.lit(1)).alias("rows")).withColumn("stream", F.lit("healthy"))
-    states = v.spark.createDataFrame([(n, o.state, o.restarts) for n, o in outcomes.items()], "stream string, outcome string, restarts long")
+    counted = written.agg(F.count("*").alias("rows")).withColumn("stream", F.lit("healthy"))
+    states = v.spark.createDataFrame(
+        [(n, o.state, o.restarts) for n, o in outcomes.items()], "stream string, outcome string, restarts long"
+    )
     return states.join(counted, "stream", "left").fillna(0, ["rows"])
 
 
@@ -258,7 +269,7 @@ def stream_late_drop(v):
     plan = lambda s: windows.counts(s, "event_type", "1 hour", "30 minutes")
     out, progress = replay(v.arrivals, plan, "late", "off", slices=4, marker={"event_type": "end"})
     counted = out.groupBy("event_type").agg(F.sum("events").alias("counted"))
-    sent = v.arrivals.groupBy("event_type").agg(F.count(F.lit(1)).alias("_sent"))
+    sent = v.arrivals.groupBy("event_type").agg(F.count("*").alias("_sent"))
     reported = sum(op["numRowsDroppedByWatermark"] for p in progress for op in p["stateOperators"]) > 0
     dropped = F.col("_sent") - F.col("counted")
     return sent.join(counted, "event_type").select(
@@ -270,7 +281,9 @@ def stream_late_drop(v):
 def stream_dedup(v):
     plan = lambda s: windows.dedup(s, "3 hours")
     rows, _ = replay(v.arrivals, plan, "dedup", "off")
-    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("distinct_events"))
+    return rows.groupBy("event_type").agg(
+        F.count("*").alias("events"), F.countDistinct("event_id").alias("distinct_events")
+    )
 
 
 @query
@@ -283,7 +296,8 @@ def stream_accept_latency(v):
 @query
 def stream_pickup_wait(v):
     plan = lambda s: windows.pickup_wait(s, 10 * 86400, "12 days")
-    rows = v.dp_status.select("dp_id", "order_id", "status", "event_s").where("status IN ('WAITING_AT_RESTAURANT', 'PICKED_UP')")
+    rows = v.dp_status.select("dp_id", "order_id", "status", "event_s")
+    rows = rows.where("status IN ('WAITING_AT_RESTAURANT', 'PICKED_UP')")
     return replay(rows, plan, "pickup", "event_s")[0]
 
 
@@ -301,7 +315,7 @@ def stream_zone_enrich(v):
     plan = lambda s: windows.enrich(s, zones, "zone_id")
     rows = v.order_lifecycle.where("state = 'PLACED'").select("order_id", "zone_id", "event_s")
     out, _ = replay(rows, plan, "enrich", "event_s")
-    return out.groupBy("zone_id", "zone_name").agg(F.count(F.lit(1)).alias("orders"))
+    return out.groupBy("zone_id", "zone_name").agg(F.count("*").alias("orders"))
 
 
 @query

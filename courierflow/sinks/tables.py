@@ -6,12 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 RUN, BATCH = "_run", "_batch_id"
 
 
 def append_batch(
-    df: DataFrame, path: str, run: str, batch_id: int, partition_by: Sequence[str] = ("ingest_date",), files: int | None = None
+    df: DataFrame,
+    path: str,
+    run: str,
+    batch_id: int,
+    partition_by: Sequence[str] = ("ingest_date",),
+    files: int | None = None,
 ) -> None:
     """Append one micro-batch so that writing it again changes nothing.
 
@@ -39,12 +45,14 @@ def write_clustered(df: DataFrame, path: str, keys: Sequence[str], files: int |
     ranged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
-def compact(df: DataFrame, path: str, rows_per_file: int = 5_000_000, partition_by: Sequence[str] = ("ingest_date",)) -> None:
-    """Write a day's many small batch files as few large ones, to a new location."""
-    tidy = df.drop(RUN, BATCH)
-    # the file limit splits big days; a hash of the whole row keeps one day on several tasks
-    spread = tidy.repartition(*partition_by, F.pmod(F.xxhash64(*tidy.columns), F.lit(8)))
-    spread.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy(*partition_by).parquet(path)
+def compact(df: DataFrame, path: str, partition_by: Sequence[str] = ("ingest_date",)) -> None:
+    """Write many small batch files as few large ones, to a new location.
+
+    ``rebalance`` lets adaptive execution merge the pieces of small days and split big ones,
+    to the advisory partition size.
+    """
+    tidy = df.drop(RUN, BATCH).hint("rebalance", *partition_by)
+    tidy.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def as_messages(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -64,3 +72,14 @@ def emit(messages: DataFrame, mode: str, target: str | None = None, options: dic
         messages.show(truncate=False)
     else:
         raise ValueError(f"unknown output mode {mode!r}: use kafka, file or console")
+
+
+def emit_stream(
+    messages: DataFrame, mode: str, checkpoint: str, target: str | None = None, options: dict[str, str] | None = None
+) -> DataStreamWriter:
+    """Streaming twin of ``emit``; set a trigger on the result and start it."""
+    if mode not in ("kafka", "file", "console"):
+        raise ValueError(f"unknown output mode {mode!r}: use kafka, file or console")
+    rows = messages.select("value") if mode == "file" else messages
+    writer = rows.writeStream.options(**(options or {})).option("checkpointLocation", checkpoint)
+    return writer.format("text").option("path", target) if mode == "file" else writer.format(mode)

@@ -88,8 +88,9 @@ def start_ingest(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        good_path, malformed_path = f"{root}/{table}", f"{root}/{MALFORMED_TABLE}"
         write_batch(
-            batch, batch_id, run, schema, topic_key, f"{root}/{table}", f"{root}/{MALFORMED_TABLE}", counts, good_partitions
+            batch, batch_id, run, schema, topic_key, good_path, malformed_path, counts, good_partitions
         )
         if before_commit:
             before_commit(batch_id)

@@ -24,14 +24,14 @@ def _window_columns(df: DataFrame) -> DataFrame:
 def counts(events: DataFrame, key: str, width: str, delay: str) -> DataFrame:
     """Events per key and tumbling window. Rows whose window closed before they arrived are
     dropped, and the query's progress reports them."""
-    out = with_watermark(events, delay).groupBy(F.window("event_ts", width), key).agg(F.count(F.lit(1)).alias("events"))
+    out = with_watermark(events, delay).groupBy(F.window("event_ts", width), key).agg(F.count("*").alias("events"))
     return _window_columns(out)
 
 
 def tumbling_orders(orders: DataFrame, width: str, delay: str) -> DataFrame:
     """Placed orders and their value per zone and window."""
     placed = with_watermark(orders.where(F.col("state") == "PLACED"), delay)
-    out = placed.groupBy(F.window("event_ts", width), "zone_id").agg(F.count(F.lit(1)).alias("orders"))
+    out = placed.groupBy(F.window("event_ts", width), "zone_id").agg(F.count("*").alias("orders"))
     return _window_columns(out)
 
 
@@ -39,7 +39,7 @@ def sliding_failures(payments: DataFrame, width: str, slide: str, delay: str) ->
     """Terminal and failed payment results per gateway and sliding window."""
     results = with_watermark(payments.where(F.col("status").isin("SUCCESS", "FAILED")), delay)
     out = results.groupBy(F.window("event_ts", width, slide), "gateway").agg(
-        F.count(F.lit(1)).alias("results"), F.count_if(F.col("status") == "FAILED").alias("failed")
+        F.count("*").alias("results"), F.count_if(F.col("status") == "FAILED").alias("failed")
     )
     return _window_columns(out)
 
@@ -47,7 +47,7 @@ def sliding_failures(payments: DataFrame, width: str, slide: str, delay: str) ->
 def sessions(events: DataFrame, key: str, gap: str, delay: str) -> DataFrame:
     """Bursts of events per key with silences shorter than ``gap``."""
     out = with_watermark(events, delay).groupBy(F.session_window("event_ts", gap).alias("window"), key)
-    return _window_columns(out.agg(F.count(F.lit(1)).alias("events")))
+    return _window_columns(out.agg(F.count("*").alias("events")))
 
 
 def dedup(events: DataFrame, delay: str, key: str = "event_id") -> DataFrame:
@@ -102,7 +102,7 @@ def backlog_windows(status: DataFrame, width: str, delay: str) -> DataFrame:
     load = F.try_divide(F.col("current_backlog"), F.col("capacity_orders"))
     full = F.when(is_over_capacity(F.col("current_backlog"), F.col("capacity_orders")), 1.0).otherwise(0.0)
     out = with_watermark(status, delay).groupBy(F.window("event_ts", width), "restaurant_id").agg(
-        F.count(F.lit(1)).alias("reports"),
+        F.count("*").alias("reports"),
         F.round(F.avg(load), 6).alias("avg_load"),
         F.round(F.max(load), 6).alias("max_load"),
         F.round(F.avg(full), 6).alias("busy_share"),

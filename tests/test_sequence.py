@@ -64,7 +64,7 @@ def test_running_totals(rows, policy):
     w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     want = rows.withColumns(
         {
-            "n": F.count(F.lit(1)).over(w),
+            "n": F.count("*").over(w),
             "sx": F.sum("x").over(w),
             "mx": F.max("x").over(w),
             "mn": F.min("x").over(w),

@@ -156,3 +156,30 @@ def test_monitor_follows_progress(spark, views):
         assert gauge.rows == 1000 and gauge.batches >= 1 and gauge.error is None and 0 <= gauge.freshness_s() < 60
     finally:
         spark.streams.removeListener(monitor)
+
+
+def test_topic_query_with_a_processing_time_trigger(spark, views):
+    from dataclasses import replace
+
+    from courierflow.schemas import TOPICS
+    from courierflow.streaming.ingest import start_topic
+
+    root = scratch(spark, "t-trigger")
+    stream = stream_files(spark, feed_of(views, "t-trigger", 1), KAFKA_RECORD)
+    query = start_topic(stream, root, f"{root}/_checkpoints", replace(TOPICS["payment"], trigger_seconds=1))
+    query.processAllAvailable()
+    query.stop()
+    assert query.name == "ingest_payment" and spark.read.parquet(f"{root}/payment_events").count() == 900
+
+
+def test_messages_as_a_stream(spark, views):
+    from courierflow.sinks.tables import as_messages, emit_stream
+
+    feed, out = scratch(spark, "t-emit-feed"), scratch(spark, "t-emit")
+    views.dp_status.write.parquet(feed)
+    messages = as_messages(stream_files(spark, feed, views.dp_status.schema), "dp_id")
+    writer = emit_stream(messages, "file", scratch(spark, "t-emit-checkpoint"), out)
+    finish(writer.trigger(availableNow=True).start())
+    assert spark.read.json(out).count() == 1000
+    with pytest.raises(ValueError, match="unknown output mode"):
+        emit_stream(messages, "pigeon", "x")
