@@ -51,11 +51,20 @@ class HotKeys:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy, order: str | None = None) -> HotKeys:
-    """Probe for hot keys: row count ``_n`` and, with ``order``, its range per key."""
+    """Probe for hot keys: row count ``_n`` and, with ``order``, its range per key.
+
+    Should there be more of them than may be broadcast, the largest are kept: any other key
+    then has at most ``total_rows / broadcast_rows`` rows, which a task can take.
+    """
     ends = [F.min(order).alias(LOW), F.max(order).alias("_high")] if order else []
     counted = df.groupBy(*keys).agg(F.count("*").alias("_n"), *ends).where(F.col("_n") > policy.max_rows)
     table = counted.withColumnsRenamed({k: f"_hot_{k}" for k in keys})
-    return HotKeys(None if table.isEmpty() else materialize(table, "hot-keys"))
+    if table.isEmpty():
+        return HotKeys(None)
+    table = materialize(table, "hot-keys")
+    if not is_small(table, policy.broadcast_rows):
+        table = table.orderBy(F.desc("_n"), *[f"_hot_{k}" for k in keys]).limit(policy.broadcast_rows)
+    return HotKeys(table)
 
 
 def sliced(df: DataFrame, keys: Sequence[str], order: str, hot: HotKeys, policy: SkewPolicy = DEFAULT) -> DataFrame:

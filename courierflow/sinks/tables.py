@@ -45,6 +45,20 @@ def write_clustered(df: DataFrame, path: str, keys: Sequence[str], files: int |
     ranged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], sort_by: Sequence[str], buckets: int) -> None:
+    """Write a catalog table bucketed by ``keys``: joins and aggregates on the keys of tables
+    with the same bucketing need no shuffle. Not for tables with hot keys, as a bucket is
+    read by one task; those are better clustered by key and time."""
+    (
+        df.repartition(buckets, *keys)
+        .write.mode("overwrite")
+        .bucketBy(buckets, *keys)
+        .sortBy(*sort_by)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+
+
 def compact(df: DataFrame, path: str, partition_by: Sequence[str] = ("ingest_date",)) -> None:
     """Write many small batch files as few large ones, to a new location.
 

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from courierflow.operators.sequence import latest
-from courierflow.operators.skew import DEFAULT, SkewPolicy
+from courierflow.operators.skew import DEFAULT, SkewPolicy, lookup_join
 from courierflow.plans.supply import status_spans
 from courierflow.sinks.tables import RUN, append_batch
 from courierflow.sources.files import read_table
@@ -54,8 +54,8 @@ def start_span_tracker(
     ``SLOTS`` folders under ``root/open``. A batch reads the version of the batch before
     it, so a replay finds the same state and overwrites the same output. Spans come from
     the sliced window of the batch plan, which also copes with a partner that sends most
-    of a batch. Events of a partner must not arrive a batch late: drop such events
-    upstream, by watermark.
+    of a batch. An event older than its partner's open one would change spans that are
+    already written; it goes to ``root/late`` instead.
     """
     spark = events.sparkSession
     columns = ["dp_id", "zone_id", "event_s", "event_id", "status", "order_id"]
@@ -69,16 +69,21 @@ def start_span_tracker(
         opened = spark.createDataFrame([], schema)
         if batch_id > 0:
             opened = read_table(spark, f"{root}/open/{RUN}={run}/slot={(batch_id - 1) % SLOTS}", schema)
-        rows = batch.select(*columns).unionByName(opened).persist(StorageLevel.MEMORY_AND_DISK)
+        newest = opened.select("dp_id", F.struct("event_s", "event_id").alias("_open"))
+        arrived = lookup_join(batch.select(*columns), newest, ["dp_id"], "left", ["event_id"], policy)
+        late = F.coalesce(F.struct("event_s", "event_id") < F.col("_open"), F.lit(False))
+        arrived = arrived.withColumn("_late", late).drop("_open").persist(StorageLevel.MEMORY_AND_DISK)
+        rows = arrived.where(~F.col("_late")).drop("_late").unionByName(opened)
         try:
+            append_batch(arrived.where("_late").drop("_late"), f"{root}/late", run, batch_id, ())
             closed = status_spans(rows, policy).where("until_s IS NOT NULL")
             checked = closed.join(F.broadcast(legal), ["status", "next_status"], "left")
             checked = checked.withColumn("is_legal", F.coalesce("_legal", F.lit(False))).drop("_legal")
             append_batch(checked, f"{root}/spans", run, batch_id, ())
-            newest = latest(rows, ["dp_id"], ["event_s", "event_id"])
-            newest.write.mode("overwrite").parquet(f"{root}/open/{RUN}={run}/slot={batch_id % SLOTS}")
+            last = latest(rows, ["dp_id"], ["event_s", "event_id"])
+            last.write.mode("overwrite").parquet(f"{root}/open/{RUN}={run}/slot={batch_id % SLOTS}")
         finally:
-            rows.unpersist()
+            arrived.unpersist()
 
     return (
         events.writeStream.foreachBatch(process)

@@ -144,3 +144,13 @@ def test_sweep_mixes_totals_and_neighbours(rows, policy):
         }
     )
     same(got, want)
+
+
+def test_hot_table_is_bounded(rows):
+    """With room for one hot key only, the largest is kept and the results stay right."""
+    policy = SkewPolicy(max_rows=5, broadcast_rows=1)
+    hot = hot_keys(rows, ["k"], policy, "t")
+    assert [r["_hot_k"] for r in hot.table.collect()] == [1]
+    got = running(rows, ["k"], ["t", "id"], {"n": ("sum", F.lit(1))}, policy)
+    w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    same(got, rows.withColumn("n", F.count(F.lit(1)).over(w)))

@@ -166,3 +166,15 @@ def test_cli_ddl_and_health(spark, views, capsys):
     topic = TOPICS["payment"]
     write_batch(views.kafka, 0, "r", topic.schema, topic.key, f"{root}/{topic.table}", f"{root}/{MALFORMED_TABLE}")
     assert cli.main(["health", "--root", root]) == 0
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, views):
+    from courierflow.sinks.tables import write_bucketed
+
+    for name, df in (("bucketed_orders", views.order_lifecycle), ("bucketed_payments", views.payment)):
+        write_bucketed(df, name, scratch(spark, name), ["order_id"], ["order_id", "event_s"], 4)
+    a = spark.table("bucketed_orders").where("state = 'PLACED'").select("order_id", "zone_id")
+    joined = a.join(spark.table("bucketed_payments").hint("merge").select("order_id", "status"), "order_id")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert joined.count() == views.payment.count()

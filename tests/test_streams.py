@@ -183,3 +183,19 @@ def test_messages_as_a_stream(spark, views):
     assert spark.read.json(out).count() == 1000
     with pytest.raises(ValueError, match="unknown output mode"):
         emit_stream(messages, "pigeon", "x")
+
+
+def test_span_tracker_sets_late_events_aside(spark):
+    columns = "dp_id long, zone_id string, event_s long, event_id long, status string, order_id long"
+    feed, root = scratch(spark, "t-late-feed"), scratch(spark, "t-late-spans")
+    arrivals = [
+        [(1, "Z", 100, 1, "IDLE", None), (1, "Z", 200, 2, "OFFLINE", None), (2, "Z", 50, 3, "IDLE", None)],
+        [(1, "Z", 150, 4, "IDLE", None), (1, "Z", 300, 5, "IDLE", None), (2, "Z", 60, 6, "OFFLINE", None)],
+    ]
+    for rows in arrivals:
+        df = spark.createDataFrame(rows, columns)
+        df.write.mode("append").parquet(feed)
+        finish(stateful.start_span_tracker(stream_files(spark, feed, df.schema), root, f"{root}/_checkpoint"))
+    spans = {(r.event_id, r.until_s) for r in spark.read.parquet(f"{root}/spans").collect()}
+    assert spans == {(1, 200), (2, 300), (3, 60)}
+    assert [r.event_id for r in spark.read.parquet(f"{root}/late").collect()] == [4]
