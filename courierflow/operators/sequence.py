@@ -16,24 +16,26 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from courierflow.operators.skew import DEFAULT, LOW, SEG, HotKeys, SkewPolicy, hot_keys, sliced
+from courierflow.operators.skew import DEFAULT, HOT, HotKeys, SkewPolicy, hot_keys, sliced
 
 HALO = "_halo"
 Stage = Callable[[WindowSpec], dict[str, Column]]
 
 
-def _edge_rows(rows: DataFrame, keys: Sequence[str], order: Sequence[str], depth: int, before: bool) -> DataFrame:
+def _edge_rows(
+    rows: DataFrame, keys: Sequence[str], slices: Sequence[str], order: Sequence[str], depth: int, before: bool
+) -> DataFrame:
     """For each slice of a hot key, the ``depth`` rows just before (or after) it."""
     ranked = [F.col(c).desc() if before else F.col(c).asc() for c in order]
-    rank = F.row_number().over(Window.partitionBy(*keys, SEG).orderBy(*ranked))
-    edges = rows.where(F.col(LOW).isNotNull()).withColumn("_rank", rank).where(F.col("_rank") <= depth)
-    payload = [c for c in rows.columns if c not in {*keys, *order, SEG}]
+    rank = F.row_number().over(Window.partitionBy(*keys, *slices).orderBy(*ranked))
+    edges = rows.where(HOT).withColumn("_rank", rank).where(F.col("_rank") <= depth)
+    payload = [c for c in rows.columns if c not in {*keys, *order, *slices}]
     packed = F.sort_array(F.collect_list(F.struct(*order, *payload)))  # at most `depth` rows
-    per_slice = edges.groupBy(*keys, SEG).agg(packed.alias("_rows"))
-    near = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(*((-depth, -1) if before else (1, depth)))
+    per_slice = edges.groupBy(*keys, *slices).agg(packed.alias("_rows"))
+    near = Window.partitionBy(*keys).orderBy(*slices).rowsBetween(*((-depth, -1) if before else (1, depth)))
     pool = per_slice.withColumn("_near", F.flatten(F.collect_list("_rows").over(near)))
     start = F.greatest(F.size("_near") - depth, F.lit(0)) + 1 if before else F.lit(1)
-    return pool.select(*keys, SEG, F.inline(F.slice("_near", start, F.lit(depth))))
+    return pool.select(*keys, *slices, F.inline(F.slice("_near", start, F.lit(depth))))
 
 
 # kind -> (aggregate of a slice, window function over slices and over rows)
@@ -47,17 +49,16 @@ _KINDS = {
 }
 
 
-def _total_rows(rows: DataFrame, keys: Sequence[str], order: Sequence[str], kinds: dict[str, str]) -> DataFrame:
+def _total_rows(
+    rows: DataFrame, keys: Sequence[str], slices: Sequence[str], order: Sequence[str], kinds: dict[str, str]
+) -> DataFrame:
     """For each slice of a hot key, one row with the totals of all earlier slices."""
     at = F.struct(*[F.col(c) for c in order]).alias("at")
-    per_slice = (
-        rows.where(F.col(LOW).isNotNull())
-        .groupBy(*keys, SEG)
-        .agg(*[_KINDS[kind][0](F.col(c), at).alias(c) for c, kind in kinds.items()])
-    )
-    earlier = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
-    totals = [_KINDS[kind][1](F.col(c)).over(earlier).alias(c) for c, kind in kinds.items()]
-    return per_slice.select(*keys, SEG, *totals)
+    totals = [_KINDS[kind][0](F.col(c), at).alias(c) for c, kind in kinds.items()]
+    per_slice = rows.where(HOT).groupBy(*keys, *slices).agg(*totals)
+    earlier = Window.partitionBy(*keys).orderBy(*slices).rowsBetween(Window.unboundedPreceding, -1)
+    sums = [_KINDS[kind][1](F.col(c)).over(earlier).alias(c) for c, kind in kinds.items()]
+    return per_slice.select(*keys, *slices, *sums)
 
 
 def sweep(
@@ -77,28 +78,30 @@ def sweep(
     or ``last`` (last value that is not NULL), from the key's first row up to the current
     one; a kind with the suffix ``_before`` leaves the current row out. ``stages`` map a
     window to further columns, which may reach ``before``/``after`` neighbouring rows of
-    the input; a later stage may use the columns of an earlier one. ``order[0]`` must be
-    numeric, and ``order`` unique within a key for a deterministic result. Pass ``hot``
+    the input; a later stage may use the columns of an earlier one. Hot keys are cut
+    along the leading numeric columns of ``order``, so the first should be one; ``order``
+    must be unique within a key for a deterministic result. Pass ``hot``
     to share the probe between passes over the same rows.
     """
     totals = totals or {}
     kinds = {n: kind.removesuffix("_before") for n, (kind, _) in totals.items()}
-    hot = hot or hot_keys(df, keys, policy, order[0])
+    hot = hot or hot_keys(df, keys, policy, order)
+    is_cut = bool(hot.cuts)
     rows = df.withColumns({f"_in_{n}": expr for n, (_, expr) in totals.items()}) if totals else df
     window = Window.partitionBy(*keys).orderBy(*order)
-    if hot.table is not None:
-        cut = sliced(df, keys, order[0], hot, policy)
-        rows = sliced(rows, keys, order[0], hot, policy)
+    if is_cut:
+        slices = hot.slices
+        plain, rows = sliced(df, keys, hot), sliced(rows, keys, hot)
         parts = [rows.withColumn(HALO, F.lit(0))]
         if totals:
-            earlier = _total_rows(rows, keys, order, {f"_in_{n}": k for n, k in kinds.items()})
+            earlier = _total_rows(rows, keys, slices, order, {f"_in_{n}": k for n, k in kinds.items()})
             parts.append(earlier.withColumn(HALO, F.lit(-2)))
         if before:
-            parts.append(_edge_rows(cut, keys, order, before, True).withColumn(HALO, F.lit(-1)))
+            parts.append(_edge_rows(plain, keys, slices, order, before, True).withColumn(HALO, F.lit(-1)))
         if after:
-            parts.append(_edge_rows(cut, keys, order, after, False).withColumn(HALO, F.lit(1)))
+            parts.append(_edge_rows(plain, keys, slices, order, after, False).withColumn(HALO, F.lit(1)))
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        window = Window.partitionBy(*keys, SEG).orderBy(HALO, *order)
+        window = Window.partitionBy(*keys, *slices).orderBy(HALO, *order)
 
     def total(name: str, kind: str) -> Column:
         last = -1 if kind.endswith("_before") else 0
@@ -108,11 +111,11 @@ def sweep(
     if totals:
         rows = rows.withColumns({n: total(n, kind) for n, (kind, _) in totals.items()})
         rows = rows.drop(*[f"_in_{n}" for n in totals])
-    if hot.table is not None and totals and stages:
+    if is_cut and totals and stages:
         rows = rows.where(F.col(HALO) > -2)  # neighbours are real rows only
     for stage in stages:
         rows = rows.withColumns(stage(window))
-    return rows if hot.table is None else rows.where(F.col(HALO) == 0).drop(HALO, SEG, LOW)
+    return rows.where(F.col(HALO) == 0).drop(HALO, HOT, *slices) if is_cut else rows
 
 
 def windowed(

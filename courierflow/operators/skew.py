@@ -17,6 +17,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from courierflow.session import materialize
 
@@ -24,8 +25,8 @@ from courierflow.session import materialize
 @dataclass(frozen=True)
 class SkewPolicy:
     """``max_rows``: rows of one key a task may hold. ``oversplit``: spare factor for
-    keys whose rows bunch together in time. ``broadcast_rows``: rows of a dimension that
-    may be copied to every executor."""
+    keys whose rows bunch together. ``broadcast_rows``: rows of a dimension that may be
+    copied to every executor."""
 
     max_rows: int = 2_000_000
     oversplit: int = 4
@@ -34,51 +35,113 @@ class SkewPolicy:
 
 DEFAULT = SkewPolicy()
 
-SEG, LOW = "_seg", "_low"
+HOT = "_hot"
+MAX_LEVELS = 24  # a slice still too large after so many cuts stays whole, which is only slow
+
+
+def _small_table(found: DataFrame, policy: SkewPolicy) -> DataFrame | None:
+    """Write down what a probe found. Should there be more groups than may be broadcast,
+    the largest are kept: any other then has at most ``total_rows / broadcast_rows`` rows,
+    which a task can take."""
+    if found.isEmpty():
+        return None
+    table = materialize(found, "hot-keys")
+    if is_small(table, policy.broadcast_rows):
+        return table
+    return table.orderBy(F.desc("_n"), *[c for c in table.columns if c != "_n"]).limit(policy.broadcast_rows)
+
+
+def _join_small(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join to a broadcast table on ``keys``; NULL is a key."""
+    table = table.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(table[f"_k_{k}"]) for k in keys])
+    return df.join(F.broadcast(table), same, "left").drop(*[f"_k_{k}" for k in keys])
+
+
+@dataclass(frozen=True)
+class Cut:
+    """One cut of oversized groups along a numeric column: group columns, ``_from``, ``_width``."""
+
+    column: str
+    slice_column: str
+    table: DataFrame
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Result of a probe: a small table with key columns ``_hot_<key>``, or None."""
+    """Result of a probe: the hot keys with their row count ``_n``, or no table; and, for
+    ordered operators, how to cut their rows."""
 
     table: DataFrame | None
+    cuts: tuple[Cut, ...] = ()
 
-    def join(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """``df`` with the columns of its hot key, NULL for other keys. NULL is a key."""
-        pairs = [df[k].eqNullSafe(self.table[f"_hot_{k}"]) for k in keys]
-        same = reduce(lambda a, b: a & b, pairs)
-        return df.join(F.broadcast(self.table), same, "left").drop(*[f"_hot_{k}" for k in keys])
+    @property
+    def slices(self) -> list[str]:
+        """The columns that name a slice within its key, in order."""
+        return list(dict.fromkeys(c.slice_column for c in self.cuts))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy, order: str | None = None) -> HotKeys:
-    """Probe for hot keys: row count ``_n`` and, with ``order``, its range per key.
+def _numeric(df: DataFrame, order: Sequence[str]) -> list[str]:
+    """The leading numeric columns of an ordering."""
+    names = []
+    for c in order:
+        if not isinstance(df.schema[c].dataType, T.IntegralType | T.FractionalType):
+            break
+        names.append(c)
+    return names
 
-    Should there be more of them than may be broadcast, the largest are kept: any other key
-    then has at most ``total_rows / broadcast_rows`` rows, which a task can take.
-    """
-    ends = [F.min(order).alias(LOW), F.max(order).alias("_high")] if order else []
-    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"), *ends).where(F.col("_n") > policy.max_rows)
-    table = counted.withColumnsRenamed({k: f"_hot_{k}" for k in keys})
-    if table.isEmpty():
-        return HotKeys(None)
-    table = materialize(table, "hot-keys")
-    if not is_small(table, policy.broadcast_rows):
-        table = table.orderBy(F.desc("_n"), *[f"_hot_{k}" for k in keys]).limit(policy.broadcast_rows)
-    return HotKeys(table)
-
-
-def sliced(df: DataFrame, keys: Sequence[str], order: str, hot: HotKeys, policy: SkewPolicy = DEFAULT) -> DataFrame:
-    """Add ``_seg``: the slice of its key's ``order`` range that a row falls into.
-
-    A hot key is cut into equal ranges of the numeric ``order`` column, about
-    ``max_rows / oversplit`` rows each, so one task can sort a slice; other keys are one
-    slice (0). ``_low`` is set on hot rows only.
+
+def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy, order: Sequence[str] = ()) -> HotKeys:
+    """Probe for hot keys and, with ``order``, cut them until their slices are small enough.
+
+    A cut divides a group's range of an order column into equal parts. Parts that are
+    still too large, because rows bunch together, are cut again within their own range;
+    parts with a single value of the column are cut along the next order column.
     """
-    span = (F.col("_high") - F.col(LOW) + F.lit(1)).cast("double")
-    width = F.greatest(F.lit(1.0), span * F.lit(float(policy.max_rows)) / (F.col("_n") * F.lit(policy.oversplit)))
-    slice_no = F.floor((F.col(order) - F.col(LOW)) / width).cast("long")
-    marked = hot.join(df, keys)
-    return marked.withColumn(SEG, F.coalesce(slice_no, F.lit(0).cast("long"))).drop("_n", "_high")
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > policy.max_rows)
+    table = _small_table(counted, policy)
+    if table is None or not order:
+        return HotKeys(table)
+    columns = _numeric(df, order)
+    hot = HotKeys(table)
+    rows = _join_small(df.select(*dict.fromkeys([*keys, *columns])), table, keys).where("_n IS NOT NULL").drop("_n")
+    position = 0
+    while position < len(columns) and len(hot.cuts) < MAX_LEVELS:
+        column, slice_column = columns[position], f"_slice{position}"
+        group = [*keys, *hot.slices]
+        ends = [F.min(column).alias("_from"), F.max(column).alias("_to")]
+        large = _cut_rows(rows, keys, hot).groupBy(*group).agg(F.count("*").alias("_n"), *ends)
+        large = _small_table(large.where(F.col("_n") > policy.max_rows), policy)
+        if large is None:
+            break
+        large = large.where("_to > _from")
+        if large.isEmpty():  # one value each: go on with the next column
+            position += 1
+            continue
+        whole = isinstance(df.schema[column].dataType, T.IntegralType)
+        span = (F.col("_to") - F.col("_from")).cast("double") + F.lit(1.0 if whole else 0.0)
+        width = span * F.lit(float(policy.max_rows)) / (F.col("_n") * F.lit(policy.oversplit))
+        width = F.greatest(F.lit(1.0), width) if whole else width
+        cut = Cut(column, slice_column, large.select(*group, F.col("_from").cast("double").alias("_from"), width.alias("_width")))
+        hot = HotKeys(table, (*hot.cuts, cut))
+    return hot
+
+
+def _cut_rows(rows: DataFrame, keys: Sequence[str], hot: HotKeys) -> DataFrame:
+    """Name each row's slice by where the slice starts; 0 where a cut does not apply."""
+    for n, cut in enumerate(hot.cuts):
+        known = list(dict.fromkeys(c.slice_column for c in hot.cuts[:n]))
+        joined = _join_small(rows, cut.table, [*keys, *known])
+        start = F.col("_from") + F.floor((F.col(cut.column) - F.col("_from")) / F.col("_width")) * F.col("_width")
+        before = F.col(cut.slice_column) if cut.slice_column in known else F.lit(0.0)
+        rows = joined.withColumn(cut.slice_column, F.coalesce(start, before)).drop("_from", "_width")
+    return rows
+
+
+def sliced(df: DataFrame, keys: Sequence[str], hot: HotKeys) -> DataFrame:
+    """Add the slice columns and ``_hot``, which is true for rows of hot keys."""
+    flagged = _join_small(df, hot.table, keys).withColumn(HOT, F.col("_n").isNotNull()).drop("_n")
+    return _cut_rows(flagged, keys, hot)
 
 
 def is_small(df: DataFrame, max_rows: int) -> bool:
@@ -122,7 +185,7 @@ def lookup_join(
     salts = F.ceil(F.col("_n") / F.lit(policy.max_rows)).cast("int")
     varying = [F.col(c) for c in (spread_by or [c for c in facts.columns if c not in keys])]
     salt = F.coalesce(F.pmod(F.xxhash64(*varying), salts).cast("int"), F.lit(0))
-    left = hot.join(facts, keys).withColumn("_salt", salt).drop("_n")
+    left = _join_small(facts, hot.table, keys).withColumn("_salt", salt).drop("_n")
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1))
-    right = hot.join(lookup, keys).withColumn("_salt", copies).drop("_n")
+    right = _join_small(lookup, hot.table, keys).withColumn("_salt", copies).drop("_n")
     return left.join(right, [*keys, "_salt"], how).drop("_salt")

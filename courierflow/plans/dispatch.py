@@ -201,7 +201,7 @@ def batch_candidates(orders: DataFrame, status: DataFrame, policy: SkewPolicy =
     asks = starts.unionByName(ready.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
     key, order = ["_rest"], ["event_s", "_kind", "_order", "spell"]
     asks = materialize(asks, "batch-asks")  # read by the probe and by the sweeps
-    hot = hot_keys(asks, key, policy, "event_s")
+    hot = hot_keys(asks, key, policy, order)
     best = {"best": ("max", F.col("spell")), "was_best": ("max_before", F.col("spell"))}
     asks = sweep(asks, key, order, best, policy=policy, hot=hot)
     loser = F.when(

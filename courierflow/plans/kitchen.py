@@ -60,7 +60,7 @@ def backlog_running(events: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFram
         ),
     ).where(F.col("event_s").isNotNull())
     key, order = ["restaurant_id"], ["event_s", "order_id", "delta"]
-    hot = hot_keys(changes, key, policy, "event_s")
+    hot = hot_keys(changes, key, policy, order)
     level = running(changes, key, order, {"level": ("sum", F.col("delta"))}, policy, hot)
     low = running(level, key, order, {"lowest": ("min", F.col("level"))}, policy, hot)
     return low.select(*key, *order, (F.col("level") - F.least(F.lit(0), F.col("lowest"))).alias("backlog"))

@@ -99,14 +99,29 @@ def test_lookup_join(spark, rows, policy, how):
     same(lookup_join(rows, lookup, ["k"], how, ["id"], policy), rows.join(lookup, "k", how))
 
 
-def test_slices_are_bounded(rows):
-    policy = SkewPolicy(max_rows=20, oversplit=4)
-    even = rows.where("t >= 5200 OR k <> 1")
-    hot = hot_keys(even, ["k"], policy, "t")
-    assert 1 <= hot.table.count() <= 600 / 20
-    sizes = sliced(even, ["k"], "t", hot, policy).groupBy("k", "_seg").count()
+def test_slices_are_bounded(spark):
+    """Rows that bunch together in time, or share one time, still end up in small slices."""
+    policy = SkewPolicy(max_rows=20, oversplit=2)
+    bunched = [(1, 1000 + i // 40, i) for i in range(400)]  # ten seconds of a long span
+    spread = [(1, 10_000 * i, 1000 + i) for i in range(100)]
+    frozen = [(2, 7, i) for i in range(300)]  # one single time
+    cold = [(3, i, i) for i in range(20)]
+    rows = spark.createDataFrame(bunched + spread + frozen + cold, "k long, t long, id long")
+    hot = hot_keys(rows, ["k"], policy, ["t", "id"])
+    assert sorted(r.k for r in hot.table.collect()) == [1, 2]
+    cut = sliced(rows, ["k"], hot)
+    sizes = cut.groupBy("k", *hot.slices).count()
     assert sizes.agg(F.max("count")).first()[0] <= 20
-    assert hot_keys(even, ["k"], SkewPolicy(max_rows=10**6)).table is None
+    assert cut.where("NOT _hot").count() == 20
+    # slices follow the order of the rows
+    w = Window.partitionBy("k").orderBy("t", "id")
+    turns = cut.withColumn("p", F.lag(F.struct(*hot.slices)).over(w)).where(F.col("p") > F.struct(*hot.slices))
+    assert turns.count() == 0
+    same(
+        running(rows, ["k"], ["t", "id"], {"n": ("sum", F.lit(1))}, policy),
+        rows.withColumn("n", F.row_number().over(w).cast("long")),
+    )
+    assert hot_keys(rows, ["k"], SkewPolicy(max_rows=10**6)).table is None
 
 
 def test_latest(rows):
@@ -149,8 +164,8 @@ def test_sweep_mixes_totals_and_neighbours(rows, policy):
 def test_hot_table_is_bounded(rows):
     """With room for one hot key only, the largest is kept and the results stay right."""
     policy = SkewPolicy(max_rows=5, broadcast_rows=1)
-    hot = hot_keys(rows, ["k"], policy, "t")
-    assert [r["_hot_k"] for r in hot.table.collect()] == [1]
+    hot = hot_keys(rows, ["k"], policy, ["t", "id"])
+    assert [r.k for r in hot.table.collect()] == [1]
     got = running(rows, ["k"], ["t", "id"], {"n": ("sum", F.lit(1))}, policy)
     w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     same(got, rows.withColumn("n", F.count(F.lit(1)).over(w)))
