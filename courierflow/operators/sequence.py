@@ -81,7 +81,8 @@ def sweep(
     the input; a later stage may use the columns of an earlier one. Hot keys are cut
     along the leading numeric columns of ``order``, so the first should be one; ``order``
     must be unique within a key for a deterministic result. Pass ``hot``
-    to share the probe between passes over the same rows.
+    to share the probe between passes over the same rows. The probe runs a job, so this is
+    for batch frames, among them the micro-batches of ``foreachBatch``.
     """
     totals = totals or {}
     kinds = {n: kind.removesuffix("_before") for n, (kind, _) in totals.items()}

@@ -12,7 +12,7 @@ from courierflow.functions import clock, geo
 from courierflow.operators import ingest, quality
 from courierflow.plans import dispatch, health, kitchen, orders, payments, supply, trips
 from courierflow.plans.scorecard import zone_scorecard
-from courierflow.schemas import _struct
+from courierflow.schemas import struct_of
 from courierflow.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,7 +22,7 @@ QUERIES: dict[str, Query] = {}
 AS_OF_S = DAY0 + 14 * 86400 + 45000
 CENTRE = (17.385, 78.4867)
 # All topics of the test envelope carry this payload.
-ENVELOPE_SCHEMA = _struct("event_time:s schema_version:l event_id:s dp_id:s status:s")
+ENVELOPE_SCHEMA = struct_of("event_time:s schema_version:l event_id:s dp_id:s status:s")
 
 
 def query(fn: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:

@@ -158,8 +158,8 @@ def ingest_feed(v: Views, feed: str, root: str, checkpoint: str, files_per_batch
 def stream_multi_batch_ingest(v):
     """Rate-limited ingestion: the feed arrives in several batches, nothing is lost."""
     feed, root = feed_of(v, "limited"), scratch(v.spark, "limited")
-    files = len(v.spark.read.parquet(feed).inputFiles())
-    finish(ingest_feed(v, feed, root, f"{root}/_checkpoint", files_per_batch=-(-files // 2)))
+    per_slice = v.spark.sparkContext.defaultParallelism  # the feed has this many files a slice
+    finish(ingest_feed(v, feed, root, f"{root}/_checkpoint", files_per_batch=per_slice))
     batches = v.spark.read.parquet(f"{root}/events").agg(F.countDistinct(BATCH)).first()[0]
     return landed_counts(v.spark, root).withColumn("several_batches", F.lit(batches > 1))
 

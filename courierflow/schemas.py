@@ -28,12 +28,12 @@ PAYLOADS = {
 _CODES = {"s": STRING, "l": LONG, "d": DOUBLE, "b": BOOLEAN, "as": T.ArrayType(STRING)}
 
 
-def _struct(spec: str) -> T.StructType:
+def struct_of(spec: str) -> T.StructType:
     fields = (entry.split(":") for entry in spec.split())
     return T.StructType([T.StructField(name, _CODES[code], True) for name, code in fields])
 
 
-SCHEMAS = {key: _struct(f"{ENVELOPE} {spec}") for key, spec in PAYLOADS.items()}
+SCHEMAS = {key: struct_of(f"{ENVELOPE} {spec}") for key, spec in PAYLOADS.items()}
 
 # Columns every typed table carries after its payload.
 METADATA = T.StructType(

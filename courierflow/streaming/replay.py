@@ -18,10 +18,11 @@ FAR_FUTURE_S = 4102444800  # 2100-01-01: closes every window of a replay
 @contextmanager
 def state_partitions(spark: SparkSession, number: int | None = None):
     """Fix the state partition count for the queries started inside; it cannot change
-    after a query's first start. A local master gets one per core."""
+    after a query's first start. A local master gets one per two cores: each is a store
+    that every batch has to commit."""
     before = spark.conf.get("spark.sql.shuffle.partitions")
     if number or is_local(spark):
-        spark.conf.set("spark.sql.shuffle.partitions", str(number or spark.sparkContext.defaultParallelism))
+        spark.conf.set("spark.sql.shuffle.partitions", str(number or max(2, spark.sparkContext.defaultParallelism // 2)))
     try:
         yield
     finally:

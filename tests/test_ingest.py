@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from courierflow.operators import ingest
-from courierflow.schemas import ENVELOPE, KAFKA_RECORD, MALFORMED, METADATA, SCHEMAS, TOPICS, _struct, topic_for
+from courierflow.schemas import ENVELOPE, KAFKA_RECORD, MALFORMED, METADATA, SCHEMAS, TOPICS, struct_of, topic_for
 
 ORDER = SCHEMAS["order_lifecycle"]
 VALID = {
@@ -150,7 +150,7 @@ def test_bad_event_time_class(spark):
 def test_registry():
     assert set(SCHEMAS) == set(TOPICS) and len(SCHEMAS) == 6
     for schema in SCHEMAS.values():
-        assert schema.names[:3] == _struct(ENVELOPE).names
+        assert schema.names[:3] == struct_of(ENVELOPE).names
     assert len({tuple(s.names) for s in SCHEMAS.values()}) == 6
     assert ingest.with_corrupt_column(ORDER).names == [*ORDER.names, "_corrupt_record"]
     with pytest.raises(KeyError, match="unknown topic key"):
