@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 SPACE = r"[\x20\x09-\x0D]+"
-WORDS = f"list_filter(string_split_regex(coalesce(text, ''), '{SPACE}'), x -> x <> '')"
+WORDS = f"list_filter(string_split_regex(coalesce(text, ''), '{SPACE}'), lambda x: x <> '')"
 
 # The host verdict is stated with the same prior: moments of the hosts' rates, worth 1 to 1000 documents.
 _RULES = {
@@ -18,8 +18,8 @@ keyed AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2])
 repeats AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM keyed WHERE times > 1) GROUP BY r),
 m AS (SELECT d.r, doc_id, source, len(w) AS n_words, length(regexp_replace(text, '{SPACE}', '', 'g')) AS word_chars,
   length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
-  len(list_filter(string_split(text, chr(10)), x -> regexp_replace(x, '{SPACE}', '', 'g') <> ''))
-    - len(list_distinct(list_filter(string_split(text, chr(10)), x -> regexp_replace(x, '{SPACE}', '', 'g') <> ''))) AS n_dup_lines,
+  len(list_filter(string_split(text, chr(10)), lambda x: regexp_replace(x, '{SPACE}', '', 'g') <> ''))
+    - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_replace(x, '{SPACE}', '', 'g') <> ''))) AS n_dup_lines,
   coalesce(n, 0) AS n_repeat_words FROM d LEFT JOIN repeats USING (r)),
 f AS (SELECT *, {", ".join(f"({c})::INT AS {n}" for n, c in _RULES.items())} FROM m),
 rates AS (SELECT source, {", ".join(f"avg({n}) AS {n}" for n in _RULES)} FROM f GROUP BY source),
