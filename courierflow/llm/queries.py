@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierflow.llm import bpe, host_rules, quality, wavelet
+from courierflow.llm import bpe, host_rules, license_join, pii, quality, tiling, wavelet
 from courierflow.session import prepare, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_pii(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = pii.find(documents, pii.fit(documents)).select("doc_id", "spans")
+    written = lambda some: F.array_join(F.transform(some, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    return spans.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS], F.sha2(written(base), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"))
+
+
+@query
+def op5_decontamination(spark, sf_dir):
+    return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_licenses(spark, sf_dir):
+    return license_join.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_quality(spark, sf_dir):
     return quality.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
