@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierflow.llm import bpe, host_rules, license_join, pii, quality, tiling, wavelet
+from courierflow.llm import blocks, bpe, host_rules, license_join, pii, quality, tiling, wavelet
 from courierflow.session import prepare, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +81,8 @@ def op8_wavelet(spark, sf_dir):
     wavelet.write_shards(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
     rows = wavelet.documents_of(wavelet.read_shards(spark, folder))
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op10_blocks(spark, sf_dir):
+    return blocks.dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
