@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierflow.llm import blocks, bpe, host_rules, license_join, pii, quality, tiling, wavelet
+from courierflow.llm import blocks, bpe, host_rules, license_join, minhash, pii, quality, tiling, wavelet
 from courierflow.session import prepare, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,8 @@ def op8_wavelet(spark, sf_dir):
 @query
 def op10_blocks(spark, sf_dir):
     return blocks.dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@query
+def op3_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
