@@ -46,6 +46,7 @@ def unpack(raw: bytes, kind) -> np.ndarray:
 
 def planes(values: np.ndarray) -> bytes:
     """Numbers in any order as byte planes, deflated."""
+    values = np.ascontiguousarray(values)
     return zlib.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes(), 1)
 
 

@@ -193,7 +193,7 @@ def verify(sets: DataFrame, placed: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, slice_size: int = SLICE) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of each document row.
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` and ``print``, a hash of the text, of each row.
 
     Rows of one ``doc_id`` are one document. Null and empty texts, and texts without words, have no
     shingles and are linked with nothing. A document without an id joins its component but never
@@ -227,10 +227,22 @@ def near_duplicates(documents: DataFrame, slice_size: int = SLICE) -> DataFrame:
         links = materialize(links.union(verify(sets, strangers(large, components(links), slice_size))), "links")
     labels = components(links)
 
-    marked = table.join(classes.select("ha", "hb", "c"), ["ha", "hb"], "left").join(labels.withColumnRenamed("id", "c"), "c", "left")
-    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("comp", "c"))
-    marked = marked.select("doc_id", F.col("n").alias("n_shingles"), F.when(component < NO_ID, component).alias("component_id"))
-    return marked.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+    marked = table.join(classes.select("ha", "hb", "c", "rep", F.col("print").alias("of")), ["ha", "hb"], "left").join(labels.withColumnRenamed("id", "c"), "c", "left")
+    alone, label = F.col("n") == 0, F.coalesce("comp", "c")
+    component = F.when(alone, F.col("doc_id")).when(label < NO_ID, label)
+    nameless = F.col("doc_id").isNull() & (alone | ((label >= NO_ID) & (label == F.col("c")) & (F.col("print") == F.col("of"))))
+    marked = marked.select("doc_id", "print", F.col("n").alias("n_shingles"), component.alias("component_id"), nameless.alias("nameless"))
+    return marked.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), "nameless")).drop("nameless")
+
+
+def survivors(documents: DataFrame) -> DataFrame:
+    """One document of each group of near-duplicates, with all its columns; repeated rows once."""
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-NO_ID))
+    found = near_duplicates(documents).where("kept")
+    kept = found.groupBy(key.alias("_key"), F.col("print").alias("_print")).agg(F.max("n_shingles").alias("_n"))
+    rows = documents.withColumns({"_key": key, "_print": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    rows = rows.join(kept, ["_key", "_print"]).withColumn("_row", F.when(F.col("_n") == 0, F.monotonically_increasing_id()))
+    return rows.dropDuplicates(["_key", "_print", "_row"]).select(*documents.columns)
 
 
 def strangers(large: DataFrame, labels: DataFrame, slice_size: int) -> DataFrame:

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierflow.llm import blocks, bpe, host_rules, license_join, minhash, pii, quality, tiling, wavelet
+from courierflow.llm import blocks, bpe, host_rules, license_join, minhash, pii, quality, suffix, tiling, wavelet
 from courierflow.session import prepare, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,4 +90,9 @@ def op10_blocks(spark, sf_dir):
 
 @query
 def op3_minhash(spark, sf_dir):
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("print")
+
+
+@query
+def op2_suffix(spark, sf_dir):
+    return suffix.dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

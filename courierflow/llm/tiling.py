@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from courierflow.llm.text import LOWER, NOT_ALNUM, run_hashes, text_slices, whole_texts, windows, word_hashes, word_spans
+from courierflow.llm.text import LOWER, NOT_ALNUM, run_hashes, text_slices, whole_texts, windows, with_columns, word_hashes, word_spans
 
 MIN_TILE, FIRST_LENGTH, COVERAGE = 5, 20, 0.5
 #: Bytes of benchmark text that one pass over the documents holds; more take more passes.
@@ -88,37 +89,41 @@ class Items:
         self.seeds, self.item = pairs[0], pairs[1].astype(np.int64)
 
 
+def meetings(texts: pa.Array, items: Items, least: int, coverage: float) -> Iterator[tuple[int, int, int, int]]:
+    """``(row, item, tiles, covered words)`` of each text and item that meet the coverage."""
+    for a, _, data, offsets in text_slices(texts):
+        data = LOWER[data]
+        starts, ends, first = word_spans(data, offsets, NOT_ALNUM)
+        hashes = word_hashes(data, starts, ends)
+        at = windows(first, least)
+        seeds = run_hashes(hashes, at, at + least)
+        low = np.searchsorted(items.seeds, seeds, "left")
+        hit = np.flatnonzero(np.r_[items.seeds, np.uint64(0)][low] == seeds)
+        low, high = low[hit], np.searchsorted(items.seeds, seeds[hit], "right")
+        times = np.maximum(high - low, 0)
+        place = np.repeat(at[hit], times)
+        item = items.item[np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())]
+        row = np.searchsorted(first, place, "right") - 1
+        order = np.lexsort((place, item, row))
+        row, item, place = row[order], item[order], place[order]
+        cuts = np.flatnonzero(np.r_[True, (np.diff(row) != 0) | (np.diff(item) != 0)]) if len(row) else []
+        for x, y in zip(cuts, [*cuts[1:], len(row)]):
+            words = items.words[item[x]]
+            # only words under seeds can lie under tiles; a gap keeps the runs apart
+            near = np.unique(place[x:y, None] + np.arange(least))
+            found = tiles(np.insert(hashes[near], np.flatnonzero(np.diff(near) > 1) + 1, np.uint64(0)), words, least)
+            covered = sum(t[0] for t in found)
+            if covered >= coverage * len(words):
+                yield a + int(row[x]), int(item[x]), len(found), covered
+
+
 def search(documents: DataFrame, items: Items, least: int, coverage: float) -> DataFrame:
     """One pass over the documents for the items of one block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, out = batch.column(0).to_pylist(), []
-            for a, _, data, offsets in text_slices(batch.column(1)):
-                data = LOWER[data]
-                starts, ends, first = word_spans(data, offsets, NOT_ALNUM)
-                hashes = word_hashes(data, starts, ends)
-                at = windows(first, least)
-                seeds = run_hashes(hashes, at, at + least)
-                low, high = np.searchsorted(items.seeds, seeds, "left"), np.searchsorted(items.seeds, seeds, "right")
-                hit = np.flatnonzero(high > low)
-                times = (high - low)[hit]
-                place = np.repeat(at[hit], times)
-                item = items.item[np.repeat(low[hit] - np.cumsum(times) + times, times) + np.arange(times.sum())]
-                row = np.searchsorted(first, place, "right") - 1
-                order = np.lexsort((place, item, row))
-                row, item, place = row[order], item[order], place[order]
-                cuts = np.flatnonzero(np.r_[True, (np.diff(row) != 0) | (np.diff(item) != 0)]) if len(row) else []
-                for x, y in zip(cuts, [*cuts[1:], len(row)]):
-                    words = items.words[item[x]]
-                    # only words under seeds can lie under tiles; a gap keeps the runs apart
-                    near = np.unique(place[x:y, None] + np.arange(least))
-                    gaps = np.flatnonzero(np.diff(near) > 1) + 1
-                    text = np.insert(hashes[near], gaps, np.uint64(0))
-                    found = tiles(text, words, least)
-                    covered = sum(t[0] for t in found)
-                    if covered >= coverage * len(words):
-                        out.append((keys[a + row[x]], items.ids[item[x]], len(found), covered, len(words), covered / len(words)))
+            keys = batch.column(0).to_pylist()
+            out = [(keys[r], items.ids[k], n, covered, len(items.words[k]), covered / len(items.words[k])) for r, k, n, covered in meetings(batch.column(1), items, least, coverage)]
             columns = list(zip(*out)) or [[]] * 6
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "item_id", "n_tiles", "covered", "item_words", "coverage"])
@@ -151,3 +156,17 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, least: int = MIN_TI
     if not found:
         return docs.sparkSession.createDataFrame([], FOUND)
     return reduce(DataFrame.unionByName, found)
+
+
+def clean(documents: DataFrame, benchmark: DataFrame, least: int = MIN_TILE, coverage: float = COVERAGE) -> DataFrame:
+    """``documents`` without the rows that ``contaminated`` reports, in their own order of columns."""
+    flag, columns = "_leaks", documents.columns
+    for rows in blocks(benchmark):
+        items = Items(rows, least)
+
+        def leaks(texts: pa.Array, items: Items = items) -> list[pa.Array]:
+            met = {r for r, *_ in meetings(texts, items, least, coverage)}
+            return [pa.array([r in met for r in range(len(texts))], pa.bool_())]
+
+        documents = with_columns(documents, StructType([StructField(flag, BooleanType())]), leaks).where(~F.col(flag)).select(*columns)
+    return documents
