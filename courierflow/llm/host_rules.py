@@ -18,11 +18,11 @@ BLANKS, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
 STRICT_RATE = 0.5
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 RULES = {
-    "short": F.col("n_words") < 50,
-    "repeats": 100 * F.col("n_repeat_words") > 50 * F.col("n_words"),
-    "symbols": 10 * F.col("n_symbols") > F.col("n_words"),
-    "lines": F.col("n_dup_lines") >= 10,
-    "lengths": (F.col("word_chars") > 15 * F.col("n_words")) | (F.col("word_chars") < 2 * F.col("n_words")),
+    "short": "n_words < 50",
+    "repeats": "100 * n_repeat_words > 50 * n_words",
+    "symbols": "10 * n_symbols > n_words",
+    "lines": "n_dup_lines >= 10",
+    "lengths": "word_chars > 15 * n_words or word_chars < 2 * n_words",
 }
 BASE = ("short", "repeats")
 
@@ -70,7 +70,7 @@ def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
     The prior of a rule is the beta distribution with the mean and the variance of its rates over
     hosts, worth 1 to 1000 documents. A null host is a host of its own.
     """
-    fails = measured.groupBy(host).agg(F.count("*").alias("docs"), *[F.sum(rule.cast("long")).alias(name) for name, rule in RULES.items()])
+    fails = measured.groupBy(host).agg(F.count("*").alias("docs"), *[F.sum(F.expr(rule).cast("long")).alias(name) for name, rule in RULES.items()])
     hosts = materialize(fails, "hosts")
     rate = lambda name: F.col(name) / F.col("docs")
     prior = hosts.agg(*[f(rate(name)).alias(f"{k}_{name}") for name in RULES for k, f in (("mean", F.avg), ("var", F.var_pop))]).first()
@@ -92,8 +92,6 @@ def judge(documents: DataFrame, *keep: str, host: str = "source") -> DataFrame:
     measured = materialize(measures(table, *keep, "_host"), "measures")
     hosts = host_rates(measured, "_host").select(F.col("_host").alias("_of"), "strict")
     joined = measured.join(hosts, measured["_host"].eqNullSafe(hosts["_of"]), "left")
-    base, failed = [F.lit(False), F.lit(False)], F.lit(False)
-    for name, rule in RULES.items():
-        failed = failed | rule
-    base = RULES[BASE[0]] | RULES[BASE[1]]
+    any_of = lambda names: F.expr(" or ".join(f"({RULES[n]})" for n in names))
+    base, failed = any_of(BASE), any_of(RULES)
     return joined.select(*keep, *MEASURES, base.alias("base_failed"), "strict", (~base & ~(F.coalesce("strict", F.lit(False)) & failed)).alias("kept"))
