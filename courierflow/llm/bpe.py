@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import islice
 
@@ -22,12 +22,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from courierflow.llm.text import text_slices, with_columns
+from courierflow.llm.text import with_columns
 
 #: Pieces, and chunks between blanks, that a task remembers; twice as many for a while.
-KEPT_PIECES = 300_000
-#: Bytes of text whose unknown pieces are merged at once.
-SLICE_BYTES = 1 << 22
+KEPT_PIECES = 200_000
 # White space and the split pattern of byte-level vocabularies.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPLIT = (
@@ -42,7 +40,7 @@ NONE = np.int64(1 << 62)
 #: Pieces of at least so many bits of length get a tree of their own.
 LONG_WIDTH = 8
 #: Symbols whose trees are built at once.
-FOREST_LEAVES = 1 << 18
+FOREST_LEAVES = 1 << 17
 
 
 def trim(known: dict[str, bytes], new: Iterable[str], most: int = KEPT_PIECES) -> None:
@@ -257,10 +255,6 @@ def load(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def encode_slices(bpe: ByteBpe, texts: pa.Array) -> list[bytes]:
-    return [ids for a, b, _, _ in text_slices(texts, SLICE_BYTES) for ids in bpe.encode(texts.slice(a, b - a).to_pylist())]
-
-
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with a binary column of token ids, little-endian unsigned 32-bit integers.
 
@@ -269,7 +263,18 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
     ids; a column named like ``ids`` is replaced, all others stay as they are.
     """
     new = StructType([StructField(ids, BinaryType())])
-    return with_columns(df, new, lambda texts: [pa.array(encode_slices(load(path), texts), pa.binary())], text)
+    return with_columns(df, new, lambda texts: [pa.array(load(path).encode(texts.to_pylist()), pa.binary())], text)
+
+
+def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``encode`` and the text that its ids decode to, in one pass."""
+    new = StructType([StructField(ids, BinaryType()), StructField(decoded, StringType())])
+
+    def run(texts: pa.Array) -> list[pa.Array]:
+        coded = load(path).encode(texts.to_pylist())
+        return [pa.array(coded, pa.binary()), pa.array(map(load(path).decode, coded), pa.string())]
+
+    return with_columns(df, new, run, text)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -278,7 +283,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     schema = StructType([*kept.schema.fields, StructField(text, StringType())])
     at = kept.columns.index(ids)
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pa.array([load(path).decode(x or b"") for x in batch.column(at).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=schema.names)

@@ -64,7 +64,7 @@ def op4_quality(spark, sf_dir):
 @query
 def op6_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
+    coded = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))

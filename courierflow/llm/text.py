@@ -129,6 +129,8 @@ def with_columns(df: DataFrame, new: StructType, fn: Callable[[pa.Array], list[p
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(at).fill_null("")
-            yield pa.RecordBatch.from_arrays([*batch.columns, *fn(texts)], names=schema.names)
+            for first, end, _, _ in text_slices(texts):  # what is made at once stays small
+                part = batch.slice(first, end - first)
+                yield pa.RecordBatch.from_arrays([*part.columns, *fn(texts.slice(first, end - first))], names=schema.names)
 
     return kept.mapInArrow(run, schema)
