@@ -46,7 +46,7 @@ TRIPS = """trips AS (SELECT *, coalesce(last_value(CASE WHEN NOT is_batched THEN
   FROM fx_dispatch WHERE decision = 'ASSIGNED')"""
 DROPS = """drops AS (SELECT order_id, arg_max(lat, event_s) AS drop_lat, arg_max(lon, event_s) AS drop_lon FROM fx_trip_gps
   WHERE trip_leg = 'TO_CUSTOMER' GROUP BY order_id)"""
-PAYMENTS = """payments AS (SELECT payment_id, any_value(order_id) AS order_id, any_value(gateway) AS gateway,
+PAYMENTS = """payments AS (SELECT payment_id, any_value(order_id) AS order_id, any_value(gateway) AS gateway, any_value(attempt_number) AS attempt,
   any_value(retry_of_payment_id) AS retry_of, min(event_s) FILTER (WHERE status = 'INITIATED') AS initiated_s,
   max(CASE status WHEN 'SUCCESS' THEN 2 WHEN 'FAILED' THEN 1 END) AS result FROM fx_payment GROUP BY payment_id)"""
 
@@ -105,8 +105,7 @@ SQL = {
     "geo_bearing": """SELECT event_id, round(fmod(degrees(atan2(sin(radians(lon - 78.4867)) * cos(radians(lat)),
    cos(radians(17.385)) * sin(radians(lat)) - sin(radians(17.385)) * cos(radians(lat)) * cos(radians(lon - 78.4867)))) + 360.0, 360.0), 5) AS degrees FROM fx_gps""",
     "geo_cell_counts": """SELECT CAST(floor(lat / 0.01::DOUBLE) AS BIGINT) AS cell_row, CAST(floor(lon / 0.01::DOUBLE) AS BIGINT) AS cell_col,
-   substr('gh' || lower(to_hex(CAST(trunc((lat + 90.0::DOUBLE) * 100.0::DOUBLE) AS BIGINT))) || lower(to_hex(CAST(trunc((lon + 180.0::DOUBLE) * 100.0::DOUBLE) AS BIGINT))), 1, 10) AS legacy_cell,
-   count(*) AS pings FROM fx_gps GROUP BY 1, 2, 3""",
+   count(*) AS pings FROM fx_gps GROUP BY 1, 2""",
     "route_densify": f"""WITH legs AS (SELECT order_id, trip_leg, arg_min(lat, event_s) AS lat1, arg_min(lon, event_s) AS lon1, arg_max(lat, event_s) AS lat2,
    arg_max(lon, event_s) AS lon2 FROM fx_trip_gps GROUP BY 1, 2),
  sized AS (SELECT *, greatest(3, CAST(floor(greatest(0.05, {km('lat1', 'lon1', 'lat2', 'lon2')}) / 20.0 * 3600 / 45) AS INT)) AS n FROM legs)
@@ -125,13 +124,14 @@ SQL = {
    FROM fx_order_lifecycle o JOIN fx_restaurants r USING (restaurant_id) JOIN fx_partners p ON p.zone_id = o.zone_id WHERE o.state = 'READY')
  SELECT order_id, dp_id, distance_km, row_number() OVER w AS rank, round(greatest(0, 10.0 - distance_km) + rating, 2) AS score FROM near
  WINDOW w AS (PARTITION BY order_id ORDER BY distance_km, dp_id) QUALIFY rank <= 8""",
-    "planned_distance": f"""WITH {DROPS}, owner AS (SELECT DISTINCT order_id, restaurant_id FROM fx_order_lifecycle)
- SELECT d.order_id, d.is_batched, nullif(round(CASE WHEN d.is_batched THEN {km('p.lat', 'p.lon', 'drop_lat', 'drop_lon')}
+    "planned_distance": f"""WITH {DROPS}, owner AS (SELECT DISTINCT order_id, restaurant_id FROM fx_order_lifecycle),
+ k AS (SELECT d.order_id, d.is_batched, nullif(round(CASE WHEN p.lat IS NULL OR drop_lat IS NULL OR (r.lat IS NULL AND NOT d.is_batched) THEN NULL WHEN d.is_batched THEN {km('p.lat', 'p.lon', 'drop_lat', 'drop_lon')}
    ELSE {km('p.lat', 'p.lon', 'r.lat', 'r.lon')} + {km('r.lat', 'r.lon', 'drop_lat', 'drop_lon')} END, 3), 0) AS planned_km
- FROM fx_dispatch d JOIN owner USING (order_id) JOIN drops USING (order_id) JOIN fx_restaurants r USING (restaurant_id) JOIN fx_partners p ON p.dp_id = d.assigned_dp_id
- WHERE d.decision = 'ASSIGNED'""",
+ FROM fx_dispatch d LEFT JOIN owner USING (order_id) LEFT JOIN drops USING (order_id) LEFT JOIN fx_restaurants r USING (restaurant_id) LEFT JOIN fx_partners p ON p.dp_id = d.assigned_dp_id
+ WHERE d.decision = 'ASSIGNED')
+ SELECT *, CASE WHEN planned_km IS NULL THEN 'missing' ELSE 'known' END AS positions FROM k""",
     "eta_estimate": f"""WITH m AS (SELECT o.order_id, o.event_s, r.avg_prep_minutes * (1.0::DOUBLE + 0.08::DOUBLE * greatest(0, r.current_backlog - 1)) AS prep,
-   {km('r.lat', 'r.lon', 'z.lat', 'z.lon')} AS km FROM fx_order_lifecycle o JOIN fx_restaurants r USING (restaurant_id) JOIN fx_zones z ON z.zone_id = o.zone_id WHERE o.state = 'PLACED')
+   CASE WHEN r.lat IS NOT NULL AND z.lat IS NOT NULL THEN {km('r.lat', 'r.lon', 'z.lat', 'z.lon')} END AS km FROM fx_order_lifecycle o LEFT JOIN fx_restaurants r USING (restaurant_id) LEFT JOIN fx_zones z ON z.zone_id = o.zone_id WHERE o.state = 'PLACED')
  SELECT order_id, round(prep, 6) AS prep_minutes, round(prep + km / 0.35::DOUBLE + 5.0, 6) AS eta_minutes,
   CAST(event_s + floor(round(prep + km / 0.35::DOUBLE + 5.0, 6) * 60) AS BIGINT) AS eta_s FROM m""",
     "restaurant_weight_rank": """WITH w AS (SELECT restaurant_id, zone_id, round(greatest(0.05::DOUBLE, rating - 0.5 * current_backlog), 6) AS weight FROM fx_restaurants WHERE is_online)
@@ -206,8 +206,8 @@ SQL = {
     "m10_retry_storms": """WITH w AS (SELECT gateway, event_s - event_s % 1800 AS window_s, count(*) FILTER (WHERE status <> 'INITIATED') AS results, count(*) FILTER (WHERE status = 'FAILED') AS failed,
   count(*) FILTER (WHERE status = 'INITIATED' AND attempt_number > 1) AS retries FROM fx_payment GROUP BY 1, 2)
  SELECT *, round(failed / results, 6) AS failure_rate FROM w WHERE results > 0 AND failed / results > 0.3 AND retries > 2""",
-    "m10_permanent_failures": f"""WITH RECURSIVE {PAYMENTS}, chain AS (SELECT payment_id, payment_id AS root, result FROM payments WHERE retry_of IS NULL
-   UNION ALL SELECT p.payment_id, c.root, p.result FROM payments p JOIN chain c ON p.retry_of = c.payment_id),
+    "m10_permanent_failures": f"""WITH RECURSIVE {PAYMENTS}, chain AS (SELECT payment_id, payment_id AS root, result, attempt FROM payments p WHERE p.retry_of IS NULL OR NOT EXISTS (SELECT 1 FROM payments q WHERE q.payment_id = p.retry_of AND q.attempt < p.attempt)
+   UNION ALL SELECT p.payment_id, c.root, p.result, p.attempt FROM payments p JOIN chain c ON p.retry_of = c.payment_id AND c.attempt < p.attempt),
  ended AS (SELECT root, count(*) AS n, max(result) AS best FROM chain GROUP BY 1)
  SELECT gateway, count(*) AS chains, count(*) FILTER (WHERE best = 1) AS failed_for_good, round(avg(n - 1), 6) AS retries_per_order
  FROM ended JOIN payments ON payment_id = root GROUP BY 1""",
@@ -249,11 +249,11 @@ SQL = {
    WHERE (SELECT count(*) FROM carried x WHERE x.dp_id = h.dp_id AND x.a <= h.ready_s AND x.b > h.ready_s) = 1)
  SELECT order_id, restaurant_id, ready_s, with_order_id, dp_id FROM alone QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY until_s DESC, with_order_id DESC, dp_id DESC) = 1""",
     "drop_sequence": f"""WITH {TRIPS}, {DROPS}, owner AS (SELECT DISTINCT order_id, restaurant_id FROM fx_order_lifecycle),
- d AS (SELECT assigned_dp_id AS dp_id, trip_id, order_id, round({km('r.lat', 'r.lon', 'drop_lat', 'drop_lon')}, 6) AS drop_km FROM trips JOIN owner USING (order_id) JOIN drops USING (order_id)
-   JOIN fx_restaurants r USING (restaurant_id))
- SELECT *, row_number() OVER (PARTITION BY dp_id, trip_id ORDER BY drop_km, order_id) AS position FROM d""",
-    "retry_chains": f"""WITH RECURSIVE {PAYMENTS}, chain AS (SELECT payment_id, order_id, payment_id AS root, 1 AS depth, result FROM payments WHERE retry_of IS NULL
-   UNION ALL SELECT p.payment_id, p.order_id, c.root, c.depth + 1, p.result FROM payments p JOIN chain c ON p.retry_of = c.payment_id)
+ d AS (SELECT assigned_dp_id AS dp_id, trip_id, order_id, CASE WHEN r.lat IS NOT NULL AND drop_lat IS NOT NULL THEN round({km('r.lat', 'r.lon', 'drop_lat', 'drop_lon')}, 6) END AS drop_km FROM trips LEFT JOIN owner USING (order_id) LEFT JOIN drops USING (order_id)
+   LEFT JOIN fx_restaurants r USING (restaurant_id))
+ SELECT *, row_number() OVER (PARTITION BY dp_id, trip_id ORDER BY drop_km NULLS LAST, order_id) AS position FROM d""",
+    "retry_chains": f"""WITH RECURSIVE {PAYMENTS}, chain AS (SELECT payment_id, order_id, payment_id AS root, 1 AS depth, result, attempt FROM payments p WHERE p.retry_of IS NULL OR NOT EXISTS (SELECT 1 FROM payments q WHERE q.payment_id = p.retry_of AND q.attempt < p.attempt)
+   UNION ALL SELECT p.payment_id, p.order_id, c.root, c.depth + 1, p.result, p.attempt FROM payments p JOIN chain c ON p.retry_of = c.payment_id AND c.attempt < p.attempt)
  SELECT payment_id, order_id, root AS root_payment_id, CAST(depth AS BIGINT) AS depth, count(*) OVER (PARTITION BY root) AS chain_length,
   CASE max(result) OVER (PARTITION BY root) WHEN 2 THEN 'SUCCESS' WHEN 1 THEN 'FAILED' ELSE 'OPEN' END AS final_status FROM chain""",
     "gateway_outages": """WITH i AS (SELECT event_s, payment_id, is_gateway_outage, row_number() OVER (ORDER BY event_s, payment_id)
@@ -321,7 +321,7 @@ SQL |= {
     "stream_resume_no_loss": LANDED.format(""),
     "ingest_observed_metrics": f"WITH {RECORDS} SELECT count(*) - count(error_reason) AS good, count(error_reason) AS malformed FROM records",
     "stream_isolated_failure": """SELECT 'healthy' AS stream, 'finished' AS outcome, CAST(0 AS BIGINT) AS restarts, count(*) AS rows FROM events
- UNION ALL SELECT 'broken', 'failed', 1, 0""",
+ UNION ALL SELECT 'broken', 'failed', 1, 0 UNION ALL SELECT 'unstartable', 'failed', 1, 0""",
     # -- event-time streams
     "stream_tumbling_orders": """SELECT zone_id, event_s - event_s % 3600 AS window_s, event_s - event_s % 3600 + 3600 AS window_end_s, count(*) AS orders FROM fx_order_lifecycle
  WHERE state = 'PLACED' GROUP BY 1, 2, 3""",

@@ -65,7 +65,7 @@ SELECT event_id, user_id % 100 AS restaurant_id, {_ZONE.format('(user_id % 100)'
 FROM events""",
     "fx_payment": f"""
 SELECT k * 10 + n AS payment_id, k AS order_id, cust AS customer_id, CAST(n AS BIGINT) AS attempt_number,
- CASE WHEN n > 1 THEN k * 10 + n - 1 END AS retry_of_payment_id, price AS amount_inr,
+ CASE WHEN n > 1 THEN k * 10 + n - 1 WHEN k % 71 = 3 THEN -k END AS retry_of_payment_id, price AS amount_inr,
  CASE k % 4 WHEN 0 THEN 'Razorpay' WHEN 1 THEN 'PayU' WHEN 2 THEN 'CCAvenue' ELSE 'UPI-Direct' END AS gateway,
  st.s AS status, base + n * 10 + st.d AS event_s, outage AS is_gateway_outage
 FROM (SELECT *, CASE WHEN outage AND k % 3 = 0 THEN 4 WHEN k % 11 = 0 THEN 2 ELSE 1 END AS attempts
@@ -149,14 +149,9 @@ class Views:
         self._built: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """One of the given tables. A file of few row groups gives few input splits; its
-        rows are then spread over the cores by their id, which large tables never need."""
+        """One of the given tables, as its files split."""
         if name not in self._tables:
-            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            cores = self.spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() * 2 <= cores:
-                df = df.repartition(cores, df.columns[0])
-            self._tables[name] = df
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._tables[name]
 
     def __getattr__(self, short: str) -> DataFrame:

@@ -31,18 +31,6 @@ def grid_cell(lat: Column, lon: Column, size: float) -> tuple[Column, Column]:
     return F.floor(lat / F.lit(size)), F.floor(lon / F.lit(size))
 
 
-def legacy_cell_id(lat: Column, lon: Column, precision: int = 6) -> Column:
-    """The short text cell of older data: two hex numbers cut to ten characters.
-
-    The cut drops most of the longitude, so far-apart points share a cell; use
-    ``grid_cell`` for anything new.
-    """
-    scale = F.lit(float(10 ** (precision - 2)))
-    row = F.lower(F.hex(((lat + 90.0) * scale).cast("long")))
-    col = F.lower(F.hex(((lon + 180.0) * scale).cast("long")))
-    return F.substring(F.concat(F.lit("gh"), row, col), 1, 10)
-
-
 def along_route(start: Column, end: Column, fraction: Column) -> Column:
     """One coordinate of the point at ``fraction`` (clamped to 0..1) of a straight route."""
     clamped = F.when(fraction < 0.0, 0.0).when(fraction > 1.0, 1.0).otherwise(fraction)

@@ -30,12 +30,6 @@ def restaurant_weight(rating: Column, backlog: Column) -> Column:
     return F.greatest(F.lit(0.05), rating - F.lit(0.5) * backlog)
 
 
-def weighted_sample_key(weight: Column, seed: int, *identity: Column) -> Column:
-    """Seeded key for weighted sampling without replacement: keep the smallest keys."""
-    u = (F.pmod(F.xxhash64(F.lit(seed), *identity), F.lit(2**53)) + F.lit(1)) / F.lit(float(2**53 + 1))
-    return -F.log(u) / weight
-
-
 def is_over_capacity(backlog: Column, capacity: Column) -> Column:
     return backlog >= capacity
 

@@ -62,18 +62,20 @@ def orders_per_trip(dispatch: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFr
 def drop_sequence(
     dispatch: DataFrame, orders: DataFrame, restaurants: DataFrame, drops: DataFrame, policy: SkewPolicy = DEFAULT
 ) -> DataFrame:
-    """Position of each order in its trip: nearest to its restaurant first, sorted once."""
+    """Position of each order in its trip: nearest to its restaurant first, sorted once; orders
+    whose distance is unknown come last."""
     owner = order_restaurants(orders)
     rows = trips(dispatch, policy).select("dp_id", "trip_id", "order_id")
     key = ["dp_id", "trip_id"]
     hot = hot_keys(rows, key, policy)  # probe before the joins, which add no rows
-    rows = rows.join(owner, "order_id").join(drops, "order_id")
+    rows = rows.join(owner, "order_id", "left").join(drops, "order_id", "left")
     spots = restaurants.select("restaurant_id", "lat", "lon")
-    placed = dimension_join(rows, spots, ["restaurant_id"], "inner", ["order_id"], policy)
+    placed = dimension_join(rows, spots, ["restaurant_id"], "left", ["order_id"], policy)
     km = F.round(geo.haversine_km(F.col("lat"), F.col("lon"), F.col("drop_lat"), F.col("drop_lon")), 6)
     placed = placed.select("dp_id", "trip_id", "order_id", km.alias("drop_km"))
     ranked = {"position": ("sum", F.lit(1))}
-    return running(placed, key, ["drop_km", "order_id"], ranked, policy, hot if hot.table is None else None)
+    placed = placed.withColumn("_km", F.coalesce("drop_km", F.lit(float("inf"))))
+    return running(placed, key, ["_km", "order_id"], ranked, policy, hot if hot.table is None else None).drop("_km")
 
 
 def planned_distance(
@@ -84,24 +86,26 @@ def planned_distance(
     drops: DataFrame,
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
-    """Planned kilometres per assigned order from positions (see ``planned_distance_km``)."""
+    """Planned kilometres per assigned order from positions (see ``planned_distance_km``); NULL
+    with the class ``missing`` where a position is not known."""
     owner = order_restaurants(orders)
     rows = (
         dispatch.where(F.col("decision") == "ASSIGNED")
         .select("order_id", F.col("assigned_dp_id").alias("dp_id"), "is_batched")
-        .join(owner, "order_id")
-        .join(drops, "order_id")
+        .join(owner, "order_id", "left")
+        .join(drops, "order_id", "left")
     )
     kitchens = restaurants.select("restaurant_id", F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"))
     riders = partners.select("dp_id", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
-    rows = dimension_join(rows, kitchens, ["restaurant_id"], "inner", ["order_id"], policy)
-    rows = dimension_join(rows, riders, ["dp_id"], "inner", ["order_id"], policy)
+    rows = dimension_join(rows, kitchens, ["restaurant_id"], "left", ["order_id"], policy)
+    rows = dimension_join(rows, riders, ["dp_id"], "left", ["order_id"], policy)
 
     def km(a, b):
         return geo.haversine_km(F.col(f"{a}_lat"), F.col(f"{a}_lon"), F.col(f"{b}_lat"), F.col(f"{b}_lon"))
 
     planned = scoring.planned_distance_km(km("p", "r"), km("r", "drop"), km("p", "drop"), F.col("is_batched"))
-    return rows.select("order_id", "is_batched", planned.alias("planned_km"))
+    known = F.when(planned.isNull(), "missing").otherwise("known")
+    return rows.select("order_id", "is_batched", planned.alias("planned_km"), known.alias("positions"))
 
 
 def batch_events(dispatch: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:

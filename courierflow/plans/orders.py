@@ -256,8 +256,8 @@ def eta_estimate(
         scoring.queue_prep_minutes(F.col("avg_prep_minutes"), F.col("current_backlog")).alias("prep_minutes"),
     )
     centres = zones.select("zone_id", F.col("lat").alias("z_lat"), F.col("lon").alias("z_lon"))
-    rows = dimension_join(placed, kitchens, ["restaurant_id"], "inner", ["order_id"], policy)
-    rows = dimension_join(rows, centres, ["zone_id"], "inner", ["order_id"], policy)
+    rows = dimension_join(placed, kitchens, ["restaurant_id"], "left", ["order_id"], policy)
+    rows = dimension_join(rows, centres, ["zone_id"], "left", ["order_id"], policy)
     km = geo.haversine_km(F.col("r_lat"), F.col("r_lon"), F.col("z_lat"), F.col("z_lon"))
     minutes = scoring.eta_minutes(F.col("prep_minutes"), km, km_per_minute, buffer_minutes)
     out = rows.withColumn("eta_minutes", F.round(minutes, 6))

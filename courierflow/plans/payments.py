@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from courierflow.functions.clock import bucket_start
 from courierflow.operators.sequence import running
 from courierflow.operators.skew import DEFAULT, SkewPolicy, lookup_join
+from courierflow.session import materialize
 
 
 def _results(events: DataFrame, seconds: int) -> DataFrame:
@@ -40,37 +41,51 @@ def payment_rows(events: DataFrame) -> DataFrame:
     )
 
 
-def retry_chains(events: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def retry_chains(events: DataFrame) -> DataFrame:
     """Each payment with the root, depth and final result of its retry chain.
 
-    A chain starts at a payment that retries nothing; within an order the running last
-    such payment is the root, so no recursion is needed.
+    A payment's parent is the one it retries, if that one is known and of an earlier attempt;
+    without a parent it is the root of a chain. Pointers to ancestors double their reach until
+    all point at roots, so a chain of ``n`` payments takes ``log2(n)`` rounds and no order's
+    payments ever meet in one task.
     """
     payments = payment_rows(events)
-    root = F.when(F.col("retry_of_payment_id").isNull(), F.col("payment_id"))
-    linked = running(
-        payments, ["order_id"], ["initiated_s", "payment_id"],
-        {"root_payment_id": ("last", root), "_nth": ("sum", F.lit(1))}, policy,
+    known = payments.select(F.col("payment_id").alias("_parent"), F.col("attempt_number").alias("_before"))
+    earlier = (payments["retry_of_payment_id"] == known["_parent"]) & (known["_before"] < payments["attempt_number"])
+    linked = payments.join(known, earlier, "left").select(
+        "payment_id", "order_id", "_end",
+        F.coalesce("_parent", "payment_id").alias("root_payment_id"),
+        F.when(F.col("_parent").isNotNull(), 1).otherwise(0).alias("_up"),
     )
-    chains = linked.groupBy("root_payment_id").agg(
-        F.count("*").alias("chain_length"), F.max("_end").alias("_best"), F.min("_nth").alias("_first")
-    )
-    both = lookup_join(linked, chains, ["root_payment_id"], "left", ["payment_id"], policy)
+    linked = materialize(linked, "chains")
+    while True:
+        far = linked.select(F.col("payment_id").alias("_at"), F.col("root_payment_id").alias("_root"), F.col("_up").alias("_more"))
+        further = linked.join(far, F.col("root_payment_id") == F.col("_at")).where("_more > 0 AND _up > 0")
+        if further.isEmpty():
+            break
+        linked = materialize(
+            linked.join(far, F.col("root_payment_id") == F.col("_at")).select(
+                "payment_id", "order_id", "_end", F.col("_root").alias("root_payment_id"),
+                F.when(F.col("_up") > 0, F.col("_up") + F.col("_more")).otherwise(0).alias("_up"),
+            ),
+            "chains",
+        )
+    chains = linked.groupBy("root_payment_id").agg(F.count("*").alias("chain_length"), F.max("_end").alias("_best"))
     result = F.when(F.col("_best") == 2, "SUCCESS").when(F.col("_best") == 1, "FAILED").otherwise("OPEN")
-    return both.select(
+    return linked.join(chains, "root_payment_id").select(
         "payment_id",
         "order_id",
         "root_payment_id",
-        (F.col("_nth") - F.col("_first") + 1).alias("depth"),
+        (F.col("_up") + 1).cast("long").alias("depth"),
         "chain_length",
         result.alias("final_status"),
     )
 
 
-def permanent_failures(events: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def permanent_failures(events: DataFrame) -> DataFrame:
     """Chains that ended without a success, per gateway."""
     roots = payment_rows(events).select("payment_id", "gateway")
-    ended = retry_chains(events, policy).where("payment_id = root_payment_id")
+    ended = retry_chains(events).where("payment_id = root_payment_id")
     return (
         ended.join(roots, "payment_id")
         .groupBy("gateway")

@@ -11,19 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courierflow.operators.quality import dedup
+from courierflow.schemas import PAYLOADS
 
-# metric columns by topic, beside event_s and event_id
-COLUMNS = {
-    "order_lifecycle": "order_id customer_id restaurant_id zone_id state item_count order_value_inr dp_id cancelled_by "
-    "cancellation_reason rejection_reason",
-    "dp_status": "dp_id zone_id status order_id lat lon",
-    "gps_pings": "dp_id order_id lat lon speed_kmph heading_degrees accuracy_meters trip_leg debug_anomaly_type",
-    "restaurant_status": "restaurant_id zone_id status current_backlog capacity_orders reason",
-    "payment": "payment_id order_id customer_id attempt_number retry_of_payment_id amount_inr gateway payment_method status "
-    "failure_code is_gateway_outage",
-    "dispatch_decision": "dispatch_id order_id zone_id assigned_dp_id decision is_batched batch_id planned_route_distance_km "
-    "assignment_score candidates_considered",
-}
+# ISO time texts of the payloads, which the views carry as epoch seconds
+TIME_TEXTS = ("promised_eta_ts", "predicted_ready_ts")
+# payload columns by topic, beside event_s and event_id
+COLUMNS = {topic: tuple(n for n in fields if n not in TIME_TEXTS) for topic, fields in PAYLOADS.items()}
 
 
 def epoch_s(text: Column) -> Column:
@@ -37,7 +30,7 @@ def silver(topic_key: str, table: DataFrame) -> DataFrame:
     if topic_key == "order_lifecycle":
         extra["promised_s"] = epoch_s(F.col("promised_eta_ts"))
         extra["predicted_ready_s"] = epoch_s(F.col("predicted_ready_ts"))
-    return unique.select(*COLUMNS[topic_key].split(), *[c.alias(n) for n, c in extra.items()]).where("event_s IS NOT NULL")
+    return unique.select(*COLUMNS[topic_key], *[c.alias(n) for n, c in extra.items()]).where("event_s IS NOT NULL")
 
 
 def bad_times(table: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from courierflow.functions import clock, geo
 from courierflow.operators import ingest, quality
 from courierflow.plans import dispatch, health, kitchen, orders, payments, supply, trips
 from courierflow.plans.scorecard import zone_scorecard
-from courierflow.schemas import struct_of
+from courierflow.schemas import ENVELOPE, STRING, struct_of
 from courierflow.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,7 +22,7 @@ QUERIES: dict[str, Query] = {}
 AS_OF_S = DAY0 + 14 * 86400 + 45000
 CENTRE = (17.385, 78.4867)
 # All topics of the test envelope carry this payload.
-ENVELOPE_SCHEMA = struct_of("event_time:s schema_version:l event_id:s dp_id:s status:s")
+ENVELOPE_SCHEMA = struct_of(ENVELOPE | {"dp_id": STRING, "status": STRING})
 
 
 def query(fn: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
@@ -132,10 +132,7 @@ def geo_bearing(v):
 @query
 def geo_cell_counts(v):
     row, col = geo.grid_cell(F.col("lat"), F.col("lon"), 0.01)
-    legacy = geo.legacy_cell_id(F.col("lat"), F.col("lon"), 4)
-    return v.gps.groupBy(row.alias("cell_row"), col.alias("cell_col"), legacy.alias("legacy_cell")).agg(
-        F.count("*").alias("pings")
-    )
+    return v.gps.groupBy(row.alias("cell_row"), col.alias("cell_col")).agg(F.count("*").alias("pings"))
 
 
 @query

@@ -7,33 +7,91 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 STRING, LONG, DOUBLE, BOOLEAN = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType()
+STRINGS = T.ArrayType(STRING)
 
 # The wire contract (field names, types and order).
-ENVELOPE = "event_time:s schema_version:l event_id:s"
+ENVELOPE = {"event_time": STRING, "schema_version": LONG, "event_id": STRING}
 PAYLOADS = {
-    "order_lifecycle": "order_id:s customer_id:s restaurant_id:s zone_id:s state:s previous_state:s item_count:l "
-    "order_value_inr:d promised_eta_ts:s predicted_ready_ts:s dp_id:s cancelled_by:s cancellation_reason:s "
-    "rejection_reason:s",
-    "dp_status": "dp_id:s zone_id:s status:s previous_status:s order_id:s lat:d lon:d",
-    "gps_pings": "dp_id:s order_id:s lat:d lon:d speed_kmph:d heading_degrees:d accuracy_meters:d trip_leg:s "
-    "debug_anomaly_type:s",
-    "restaurant_status": "restaurant_id:s zone_id:s status:s current_backlog:l capacity_orders:l "
-    "avg_prep_minutes_observed:d reason:s",
-    "payment": "payment_id:s order_id:s customer_id:s attempt_number:l retry_of_payment_id:s amount_inr:d gateway:s "
-    "payment_method:s status:s failure_code:s is_gateway_outage:b",
-    "dispatch_decision": "dispatch_id:s order_id:s zone_id:s assigned_dp_id:s candidates_considered:l "
-    "assignment_score:d is_batched:b batch_id:s batched_with_order_ids:as planned_pickup_eta_seconds:d "
-    "planned_route_distance_km:d decision:s",
+    "order_lifecycle": {
+        "order_id": STRING,
+        "customer_id": STRING,
+        "restaurant_id": STRING,
+        "zone_id": STRING,
+        "state": STRING,
+        "previous_state": STRING,
+        "item_count": LONG,
+        "order_value_inr": DOUBLE,
+        "promised_eta_ts": STRING,
+        "predicted_ready_ts": STRING,
+        "dp_id": STRING,
+        "cancelled_by": STRING,
+        "cancellation_reason": STRING,
+        "rejection_reason": STRING,
+    },
+    "dp_status": {
+        "dp_id": STRING,
+        "zone_id": STRING,
+        "status": STRING,
+        "previous_status": STRING,
+        "order_id": STRING,
+        "lat": DOUBLE,
+        "lon": DOUBLE,
+    },
+    "gps_pings": {
+        "dp_id": STRING,
+        "order_id": STRING,
+        "lat": DOUBLE,
+        "lon": DOUBLE,
+        "speed_kmph": DOUBLE,
+        "heading_degrees": DOUBLE,
+        "accuracy_meters": DOUBLE,
+        "trip_leg": STRING,
+        "debug_anomaly_type": STRING,
+    },
+    "restaurant_status": {
+        "restaurant_id": STRING,
+        "zone_id": STRING,
+        "status": STRING,
+        "current_backlog": LONG,
+        "capacity_orders": LONG,
+        "avg_prep_minutes_observed": DOUBLE,
+        "reason": STRING,
+    },
+    "payment": {
+        "payment_id": STRING,
+        "order_id": STRING,
+        "customer_id": STRING,
+        "attempt_number": LONG,
+        "retry_of_payment_id": STRING,
+        "amount_inr": DOUBLE,
+        "gateway": STRING,
+        "payment_method": STRING,
+        "status": STRING,
+        "failure_code": STRING,
+        "is_gateway_outage": BOOLEAN,
+    },
+    "dispatch_decision": {
+        "dispatch_id": STRING,
+        "order_id": STRING,
+        "zone_id": STRING,
+        "assigned_dp_id": STRING,
+        "candidates_considered": LONG,
+        "assignment_score": DOUBLE,
+        "is_batched": BOOLEAN,
+        "batch_id": STRING,
+        "batched_with_order_ids": STRINGS,
+        "planned_pickup_eta_seconds": DOUBLE,
+        "planned_route_distance_km": DOUBLE,
+        "decision": STRING,
+    },
 }
-_CODES = {"s": STRING, "l": LONG, "d": DOUBLE, "b": BOOLEAN, "as": T.ArrayType(STRING)}
 
 
-def struct_of(spec: str) -> T.StructType:
-    fields = (entry.split(":") for entry in spec.split())
-    return T.StructType([T.StructField(name, _CODES[code], True) for name, code in fields])
+def struct_of(fields: dict[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
 
 
-SCHEMAS = {key: struct_of(f"{ENVELOPE} {spec}") for key, spec in PAYLOADS.items()}
+SCHEMAS = {key: struct_of(ENVELOPE | fields) for key, fields in PAYLOADS.items()}
 
 # Columns every typed table carries after its payload.
 METADATA = T.StructType(

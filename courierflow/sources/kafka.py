@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
 from courierflow.schemas import Topic
 
+# Fixed value: the login module of Kafka clients.
+LOGIN_MODULE = "org.apache.kafka.common.security.plain.PlainLoginModule"
+
 
 @dataclass(frozen=True)
 class KafkaConnection:
@@ -17,33 +21,27 @@ class KafkaConnection:
     username: str = ""
     password: str = ""
 
-    @property
-    def is_sasl(self) -> bool:
-        return "SASL" in self.security_protocol.upper()
-
+    def missing_credentials(self) -> list[str]:
+        """Fields that a SASL protocol needs and that are empty."""
+        if not self.security_protocol.upper().startswith("SASL"):
+            return []
+        return [f.name for f in fields(self) if f.name in ("sasl_mechanism", "username", "password") and not getattr(self, f.name)]
 
-def _quoted(text: str) -> str:
-    return '"' + text.replace('"', '\\"') + '"'
+    def login(self) -> dict[str, str]:
+        """Options of a plain-text login; none without a mechanism."""
+        if not self.sasl_mechanism:
+            return {}
+        # json.dumps quotes and escapes as the login module reads it
+        who = " ".join(f"{k}={json.dumps(v, ensure_ascii=False)}" for k, v in (("username", self.username), ("password", self.password)))
+        return {"kafka.sasl.mechanism": self.sasl_mechanism, "kafka.sasl.jaas.config": f"{LOGIN_MODULE} required {who};"}
 
 
 def connection_options(conn: KafkaConnection) -> dict[str, str]:
-    """Bootstrap and security options; names every missing SASL credential at once."""
-    options = {
-        "kafka.bootstrap.servers": conn.bootstrap_servers,
-        "kafka.security.protocol": conn.security_protocol,
-    }
-    if not conn.is_sasl:
-        return options
-    needed = {"sasl_mechanism": conn.sasl_mechanism, "username": conn.username, "password": conn.password}
-    missing = [name for name, value in needed.items() if not value]
-    if missing:
-        raise ValueError(f"security protocol {conn.security_protocol} needs: {', '.join(missing)}")
-    login = "org.apache.kafka.common.security.plain.PlainLoginModule required"
-    options["kafka.sasl.mechanism"] = conn.sasl_mechanism
-    options["kafka.sasl.jaas.config"] = (
-        f"{login} username={_quoted(conn.username)} password={_quoted(conn.password)};"
-    )
-    return options
+    """Bootstrap and security options of a connection whose credentials are complete."""
+    if lacking := conn.missing_credentials():
+        raise ValueError(f"{conn.security_protocol} connection to {conn.bootstrap_servers} lacks {' and '.join(lacking)}")
+    secured = conn.login() if conn.security_protocol.upper().startswith("SASL") else {}
+    return {"kafka.bootstrap.servers": conn.bootstrap_servers, "kafka.security.protocol": conn.security_protocol} | secured
 
 
 def read_options(conn: KafkaConnection, *topics: Topic, min_partitions: int | None = None) -> dict[str, str]:

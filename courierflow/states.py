@@ -20,30 +20,32 @@ RESTAURANT_STATES = ("ONLINE", "OFFLINE", "BUSY", "NORMAL")
 # Legal moves, by machine.
 LEGAL_MOVES = {
     "order": {
-        "PLACED": "ACCEPTED REJECTED CANCELLED",
-        "ACCEPTED": "PREPARING CANCELLED",
-        "PREPARING": "READY CANCELLED",
-        "READY": "ASSIGNED CANCELLED",
-        "ASSIGNED": "PICKED_UP CANCELLED",
-        "PICKED_UP": "DELIVERED",
+        "PLACED": ("ACCEPTED", "REJECTED", "CANCELLED"),
+        "ACCEPTED": ("PREPARING", "CANCELLED"),
+        "PREPARING": ("READY", "CANCELLED"),
+        "READY": ("ASSIGNED", "CANCELLED"),
+        "ASSIGNED": ("PICKED_UP", "CANCELLED"),
+        "PICKED_UP": ("DELIVERED",),
     },
     "dp": {
-        "OFFLINE": "IDLE",
-        "IDLE": "OFFLINE ASSIGNED",
-        "ASSIGNED": "EN_ROUTE_TO_RESTAURANT",
-        "EN_ROUTE_TO_RESTAURANT": "WAITING_AT_RESTAURANT",
-        "WAITING_AT_RESTAURANT": "PICKED_UP",
-        "PICKED_UP": "EN_ROUTE_TO_CUSTOMER",
-        "EN_ROUTE_TO_CUSTOMER": "DELIVERED",
-        "DELIVERED": "IDLE ASSIGNED OFFLINE",
+        "OFFLINE": ("IDLE",),
+        "IDLE": ("OFFLINE", "ASSIGNED"),
+        "ASSIGNED": ("EN_ROUTE_TO_RESTAURANT",),
+        "EN_ROUTE_TO_RESTAURANT": ("WAITING_AT_RESTAURANT",),
+        "WAITING_AT_RESTAURANT": ("PICKED_UP",),
+        "PICKED_UP": ("EN_ROUTE_TO_CUSTOMER",),
+        "EN_ROUTE_TO_CUSTOMER": ("DELIVERED",),
+        "DELIVERED": ("IDLE", "ASSIGNED", "OFFLINE"),
     },
     # the stream never emits the partner's ASSIGNED, so trips start from IDLE
-    "dp_observed": {"IDLE": "EN_ROUTE_TO_RESTAURANT"},
+    "dp_observed": {
+        "IDLE": ("EN_ROUTE_TO_RESTAURANT",),
+    },
 }
 
 
 def legal_pairs(*machines: str) -> list[tuple[str, str]]:
-    return [(src, dst) for m in machines for src, targets in LEGAL_MOVES[m].items() for dst in targets.split()]
+    return [(src, dst) for m in machines for src, targets in LEGAL_MOVES[m].items() for dst in targets]
 
 
 def legal_moves_frame(spark: SparkSession, *machines: str) -> DataFrame:

@@ -38,7 +38,6 @@ PLANS = {
         v.dispatch, v.order_lifecycle, v.partners, v.restaurants, trips.drop_points(v.trip_gps), p),
     "batch_events": lambda v, p: dispatch.batch_events(v.dispatch, p),
     "batch_candidates": lambda v, p: dispatch.batch_candidates(crowded(v), waiting(v), p),
-    "retry_chains": lambda v, p: payments.retry_chains(v.payment, p),
     "outages": lambda v, p: payments.outages(v.payment, policy=p),
     "outages_by": lambda v, p: payments.outages(v.payment, ["gateway"], p),
     "payment_orphans": lambda v, p: payments.orphans(v.payment.where("payment_id % 10 <> 1 OR order_id % 5 > 0"), v.order_lifecycle, p),
@@ -129,9 +128,7 @@ def test_as_of_views_agree(views):
     assert {z: n for z, n in got.items() if n} == {z: n for z, n in want.items() if n} and got
 
 
-def test_weighted_pick_and_enrichment(views):
-    picks = kitchen.weighted_pick(views.restaurants, 2, seed=5)
-    assert picks.groupBy("zone_id").count().where("count <> 2").count() == 0 and picks.where("NOT is_online").count() == 0
+def test_enrichment(views):
     customers = views.table("customer").selectExpr("c_custkey AS customer_id", "c_mktsegment AS segment")
     go = lambda p: rows_of(orders.enriched(views.order_lifecycle, views.zones, views.restaurants, customers, p))
     assert go(SkewPolicy()) == go(TINY)
