@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +25,7 @@ def local_session(cores: int | str = 8, app: str = "courierflow", memory: str =
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cores))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="courierflow-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -43,27 +43,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="courierflow-")
-
-
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors see, from ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: there the driver and
-    the executors are one process. On a cluster an unset folder is an error.
+    Where that is not set, the session's warehouse folder, which they share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if root:
-        return root.rstrip("/")
-    if not is_local(spark):
-        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors can reach")
-    return _local_root()
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:

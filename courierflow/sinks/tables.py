@@ -75,15 +75,24 @@ def as_messages(df: DataFrame, key: str, columns: Sequence[str] | None = None) -
     return df.select(F.col(key).cast("string").alias("key"), body.alias("value"))
 
 
+def console_rows(mode: str, options: dict[str, str] | None) -> None:
+    if mode == "console" and "numRows" not in (options or {}):
+        raise ValueError("the console needs the option numRows: it shows no more rows than that")
+
+
 def emit(messages: DataFrame, mode: str, target: str | None = None, options: dict[str, str] | None = None) -> None:
-    """Write messages to ``kafka``, ``file`` (JSON lines of the values) or ``console``."""
+    """Write messages to ``kafka``, ``file`` (JSON lines of the values) or ``console``.
+
+    The console shows as many rows as the option ``numRows`` says, so it has to be given.
+    """
+    console_rows(mode, options)
     writer = messages.write.options(**(options or {}))
     if mode == "kafka":
         writer.format("kafka").save()
     elif mode == "file":
         messages.select("value").write.mode("append").text(target)
     elif mode == "console":
-        messages.show(truncate=False)
+        writer.format("console").option("truncate", "false").mode("append").save()
     else:
         raise ValueError(f"unknown output mode {mode!r}: use kafka, file or console")
 
@@ -94,6 +103,7 @@ def emit_stream(
     """Streaming twin of ``emit``; set a trigger on the result and start it."""
     if mode not in ("kafka", "file", "console"):
         raise ValueError(f"unknown output mode {mode!r}: use kafka, file or console")
+    console_rows(mode, options)
     rows = messages.select("value") if mode == "file" else messages
     writer = rows.writeStream.options(**(options or {})).option("checkpointLocation", checkpoint)
     return writer.format("text").option("path", target) if mode == "file" else writer.format(mode)

@@ -21,12 +21,21 @@ log = logging.getLogger("courierflow.ingest")
 
 @dataclass
 class BatchCounts:
-    """Good and malformed records per finished batch, newest last."""
+    """Good and malformed records of all finished batches; a batch that is run again counts once.
+
+    ``batches`` holds one row for each batch since the start, newest last.
+    """
 
     batches: list[tuple[int, int, int]] = field(default_factory=list)
 
     def record(self, batch_id: int, good: int, bad: int) -> None:
-        self.batches = [*self.batches[-999:], (batch_id, good, bad)]
+        if self.batches and self.batches[-1][0] == batch_id:
+            self.batches.pop()
+        self.batches.append((batch_id, good, bad))
+
+    @property
+    def totals(self) -> tuple[int, int]:
+        return sum(b[1] for b in self.batches), sum(b[2] for b in self.batches)
 
 
 def write_batch(

@@ -3,35 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from courierflow.session import is_local, scratch
+from courierflow.session import scratch
 from courierflow.sources.files import stream_files
+from courierflow.streaming.monitor import QueryGauge, QueryMonitor, watched
 
 FAR_FUTURE_S = 4102444800  # 2100-01-01: closes every window of a replay
 
 
-@contextmanager
-def state_partitions(spark: SparkSession, number: int | None = None):
-    """Fix the state partition count for the queries started inside; it cannot change
-    after a query's first start. A local master gets one per two cores: each is a store
-    that every batch has to commit."""
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    if number or is_local(spark):
-        spark.conf.set("spark.sql.shuffle.partitions", str(number or max(2, spark.sparkContext.defaultParallelism // 2)))
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-
-
 def slices_of(df: DataFrame, order: str, slices: int) -> Iterator[DataFrame]:
     """Successive ranges of the numeric ``order`` column; together they are all of ``df``."""
     lo, hi = df.agg(F.min(order), F.max(order)).first()
+    if lo is None:  # an empty table is one empty slice
+        yield df
+        return
     width = (hi - lo) // slices + 1
     for i in range(slices):
         yield df.where((F.col(order) >= lo + i * width) & (F.col(order) < lo + (i + 1) * width))
@@ -48,17 +37,17 @@ def end_marker(df: DataFrame, time: str, **values) -> DataFrame:
     return df.sparkSession.range(1).select(*columns)
 
 
-def finish(query: StreamingQuery, timeout: int = 1800) -> StreamingQuery:
-    """Wait for a draining query; raise its error, or a timeout instead of hanging."""
-    if not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError(f"stream did not finish within {timeout}s")
+def finish(query: StreamingQuery) -> StreamingQuery:
+    """Wait for a draining query; raise its error."""
+    query.awaitTermination()
     return query
 
 
-def drain(stream: DataFrame, out: str, checkpoint: str) -> list[dict]:
-    """Process what is there into parquet files, then stop; returns the batch progress."""
-    with state_partitions(stream.sparkSession):
+def drain(stream: DataFrame, out: str, checkpoint: str) -> QueryGauge:
+    """Process what is there into parquet files, then stop; returns what all batches reported."""
+    spark, monitor = stream.sparkSession, QueryMonitor()
+    spark.streams.addListener(monitor)
+    try:
         query = (
             stream.writeStream.format("parquet")
             .outputMode("append")
@@ -66,7 +55,9 @@ def drain(stream: DataFrame, out: str, checkpoint: str) -> list[dict]:
             .trigger(availableNow=True)
             .start(out)
         )
-    return [dict(p) for p in finish(query).recentProgress]
+        return watched(finish(query), monitor)
+    finally:
+        spark.streams.removeListener(monitor)
 
 
 def replay(
@@ -77,8 +68,8 @@ def replay(
     time: str = "event_s",
     slices: int = 2,
     marker: dict | None = None,
-) -> tuple[DataFrame, list[dict]]:
-    """Feed ``table`` through a streaming ``plan`` in slices; returns all output and progress.
+) -> tuple[DataFrame, int]:
+    """Feed ``table`` through a streaming ``plan`` in slices; returns all output and the late rows.
 
     Each slice is written, then drained by a fresh start of the query on the same
     checkpoint, so a batch never mixes slices and every slice tests a resume. ``marker``
@@ -89,9 +80,9 @@ def replay(
     arrivals = list(slices_of(table, order, slices))
     if marker is not None:
         arrivals.append(end_marker(table, time, **marker))
-    progress = []
+    late = 0
     for arrival in arrivals:
         arrival.write.mode("append").parquet(feed)
         stream = plan(stream_files(spark, feed, table.schema))
-        progress += drain(stream, out, checkpoint)
-    return spark.read.schema(stream.schema).parquet(out), progress
+        late += drain(stream, out, checkpoint).late_rows
+    return spark.read.schema(stream.schema).parquet(out), late

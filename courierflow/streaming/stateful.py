@@ -2,92 +2,78 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from courierflow.operators.sequence import latest
-from courierflow.operators.skew import DEFAULT, SkewPolicy, lookup_join
-from courierflow.plans.supply import status_spans
-from courierflow.sinks.tables import RUN, append_batch
-from courierflow.sources.files import read_table
-from courierflow.states import legal_moves_frame, state_ordinal
+from courierflow.sinks.tables import append_batch
+from courierflow.states import ORDER_STATES, legal_moves_frame, state_ordinal
 
-SLOTS = 3  # state versions kept; a replay only needs the one before its batch
+HELD = "event_s array<bigint>, event_id array<bigint>, status array<string>"
+RANKS = 16  # more than there are order states
 
 
 def latest_states(events: DataFrame) -> DataFrame:
     """Current state per order as a streaming aggregate (update mode).
 
-    The greatest (event time, life-cycle rank) wins, whatever the arrival order, and
-    rows are combined on the map side before they reach the state of their key.
+    The greatest (event time, life-cycle rank) wins, whatever the arrival order. Both fit one
+    long, so this is a hash aggregate that combines rows before they reach the state of their key.
     """
-    newest = F.max(F.struct("event_s", state_ordinal(F.col("state")).alias("rank"), "state"))
-    out = events.groupBy("order_id").agg(newest.alias("newest"))
-    return out.select("order_id", "newest.state", "newest.event_s", F.col("newest.rank").cast("long").alias("rank"))
+    newest = F.max(F.col("event_s") * RANKS + state_ordinal(F.col("state"))).alias("newest")
+    out = events.groupBy("order_id").agg(newest)
+    rank = F.pmod("newest", F.lit(RANKS))
+    state = F.element_at(F.array(*[F.lit(s) for s in ORDER_STATES]), rank.cast("int"))
+    return out.select("order_id", state.alias("state"), F.floor(F.col("newest") / RANKS).alias("event_s"), rank.cast("long").alias("rank"))
+
 
+def start_changes(changes: DataFrame, path: str, checkpoint: str, run: str = "changes") -> StreamingQuery:
+    """Write an update-mode aggregate as a change log; the newest row of a key is its value.
 
-def start_changes(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write an update-mode aggregate as a change log; the newest row of a key is its value."""
+    ``run`` names this checkpoint's batches in the table."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         append_batch(batch, path, run, batch_id, ())
 
     writer = changes.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
-def start_span_tracker(
-    events: DataFrame,
-    root: str,
-    checkpoint: str,
-    machines: tuple[str, ...] = ("dp", "dp_observed"),
-    policy: SkewPolicy = DEFAULT,
-) -> StreamingQuery:
-    """Write closed status spans per partner to ``root/spans``, each with the legality of
-    the move that closed it.
-
-    The state is the last event of each partner, one table version per batch in a ring of
-    ``SLOTS`` folders under ``root/open``. A batch reads the version of the batch before
-    it, so a replay finds the same state and overwrites the same output. Spans come from
-    the sliced window of the batch plan, which also copes with a partner that sends most
-    of a batch. An event older than its partner's open one would change spans that are
-    already written; it goes to ``root/late`` instead.
+def _close(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Close the spans of one partner whose events the watermark has passed.
+
+    The state holds the open event and those the watermark has not reached; a timer wakes the
+    partner up when it does."""
+    held = list(zip(*state.get)) if state.exists else []
+    for frame in frames:
+        held += zip(frame["event_s"].tolist(), frame["event_id"].tolist(), frame["status"].tolist())
+    held.sort()
+    mark = state.getCurrentWatermarkMs()
+    settled = sum(event[0] * 1000 < mark for event in held)
+    closed = [(key[0], a[1], a[2], a[0], b[0], b[2]) for a, b in zip(held[:settled], held[1:settled])]
+    held = held[max(0, settled - 1) :]
+    state.update(tuple(map(list, zip(*held))))
+    if waiting := [event[0] for event in held if event[0] * 1000 >= mark]:
+        state.setTimeoutTimestamp(max(waiting[0] * 1000, mark) + 1)
+    yield pd.DataFrame(closed, columns=["dp_id", "event_id", "status", "event_s", "until_s", "next_status"])
+
+
+def closed_spans(events: DataFrame, delay: str, machines: tuple[str, ...] = ("dp", "dp_observed")) -> DataFrame:
+    """Closed status spans per partner, each with the legality of the move that closed it.
+
+    Events may arrive in any order up to ``delay`` behind the newest; the watermark drops later
+    ones. A span comes out once the watermark has passed both its ends.
     """
-    spark = events.sparkSession
-    columns = ["dp_id", "zone_id", "event_s", "event_id", "status", "order_id"]
-    schema = T.StructType([events.schema[c] for c in columns])
-    legal = legal_moves_frame(spark, *machines).select(
+    timed = events.select("dp_id", "event_id", "status", "event_s", F.timestamp_seconds("event_s").alias("at")).withWatermark("at", delay)
+    spans = T.StructType([events.schema[c] for c in ("dp_id", "event_id", "status", "event_s")])
+    spans = spans.add("until_s", "long").add("next_status", "string")
+    out = timed.groupBy("dp_id").applyInPandasWithState(_close, spans, HELD, "append", GroupStateTimeout.EventTimeTimeout)
+    legal = legal_moves_frame(events.sparkSession, *machines).select(
         F.col("from_state").alias("status"), F.col("to_state").alias("next_status"), F.lit(True).alias("_legal")
     )
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        opened = spark.createDataFrame([], schema)
-        if batch_id > 0:
-            opened = read_table(spark, f"{root}/open/{RUN}={run}/slot={(batch_id - 1) % SLOTS}", schema)
-        newest = opened.select("dp_id", F.struct("event_s", "event_id").alias("_open"))
-        arrived = lookup_join(batch.select(*columns), newest, ["dp_id"], "left", ["event_id"], policy)
-        late = F.coalesce(F.struct("event_s", "event_id") < F.col("_open"), F.lit(False))
-        arrived = arrived.withColumn("_late", late).drop("_open").persist(StorageLevel.MEMORY_AND_DISK)
-        rows = arrived.where(~F.col("_late")).drop("_late").unionByName(opened)
-        try:
-            append_batch(arrived.where("_late").drop("_late"), f"{root}/late", run, batch_id, ())
-            closed = status_spans(rows, policy).where("until_s IS NOT NULL")
-            checked = closed.join(F.broadcast(legal), ["status", "next_status"], "left")
-            checked = checked.withColumn("is_legal", F.coalesce("_legal", F.lit(False))).drop("_legal")
-            append_batch(checked, f"{root}/spans", run, batch_id, ())
-            last = latest(rows, ["dp_id"], ["event_s", "event_id"])
-            last.write.mode("overwrite").parquet(f"{root}/open/{RUN}={run}/slot={batch_id % SLOTS}")
-        finally:
-            arrived.unpersist()
-
-    return (
-        events.writeStream.foreachBatch(process)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    checked = out.join(F.broadcast(legal), ["status", "next_status"], "left")
+    return checked.withColumn("is_legal", F.coalesce("_legal", F.lit(False))).drop("_legal")

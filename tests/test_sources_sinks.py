@@ -92,7 +92,7 @@ def test_batch_date_survives_a_replay(spark, views):
     newest = views.kafka.agg(F.to_date(F.max("timestamp"))).first()[0]
     assert {r[0] for r in good.select("ingest_date").distinct().collect()} == {newest}
     assert {r[0] for r in bad.select("ingest_date").distinct().collect()} == {newest}
-    assert (good.count(), bad.count()) == (900, 100) and counts.batches == [(4, 900, 100)] * 2
+    assert (good.count(), bad.count()) == (900, 100) and counts.batches == [(4, 900, 100)] and counts.totals == (900, 100)
     assert good.select("ingestion_timestamp").distinct().count() == 1
 
 
@@ -153,7 +153,9 @@ def test_emit_modes(spark, views, capfd):
     emit(messages, "file", path)
     lines = spark.read.json(path)
     assert lines.count() == 1000 and "order_id" in lines.columns
-    emit(messages, "console")
+    emit(messages, "console", options={"numRows": "100"})
+    with pytest.raises(ValueError, match="numRows"):
+        emit(messages, "console")
     with pytest.raises(ValueError, match="unknown output mode"):
         emit(messages, "pigeon")
 

@@ -13,7 +13,7 @@ from courierflow.session import scratch
 from courierflow.sources.files import stream_files
 from courierflow.streaming import stateful, windows
 from courierflow.streaming.ingest import BatchCounts, start_ingest
-from courierflow.streaming.replay import finish, replay, slices_of
+from courierflow.streaming.replay import drain, finish, replay, slices_of
 from courierflow.streaming.supervisor import Supervisor
 
 
@@ -54,8 +54,7 @@ def test_one_topic_of_a_real_schema(spark, views):
 
 def test_late_rows_are_dropped_and_counted(spark, views):
     plan = lambda s: windows.counts(s, "event_type", "1 hour", "30 minutes")
-    out, progress = replay(views.arrivals, plan, "t-late", "off", slices=4, marker={"event_type": "end"})
-    dropped = sum(op["numRowsDroppedByWatermark"] for p in progress for op in p["stateOperators"])
+    out, dropped = replay(views.arrivals, plan, "t-late", "off", slices=4, marker={"event_type": "end"})
     counted = out.agg(F.sum("events")).first()[0]
     assert 0 < counted <= 1010 and (counted < 1010) == (dropped > 0)
 
@@ -77,18 +76,14 @@ def test_accept_latency_with_a_hot_order(spark):
     assert got == want
 
 
-def test_span_tracker_equals_batch_and_replays(spark, views):
-    rows = views.dp_status
-    feed, root = scratch(spark, "t-spans-feed"), scratch(spark, "t-spans")
-    for part in slices_of(rows, "event_s", 5):
-        part.write.mode("append").parquet(feed)
-        stream = stream_files(spark, feed, rows.schema)
-        finish(stateful.start_span_tracker(stream, root, f"{root}/_checkpoint"))
-    got = spark.read.parquet(f"{root}/spans").select("event_id", "until_s", "next_status")
-    want = supply.status_spans(rows).where("until_s IS NOT NULL").select("event_id", "until_s", "next_status")
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
-    illegal = spark.read.parquet(f"{root}/spans").where("NOT is_legal").count()
-    assert illegal == supply.illegal_partner_moves(rows).count()
+def test_spans_equal_the_batch_plan(spark, views):
+    rows = views.dp_status.select("dp_id", "event_id", "status", "event_s")
+    marker = {"dp_id": -1, "event_id": -1, "status": "OFFLINE"}
+    got = replay(rows, lambda s: stateful.closed_spans(s, "1 hour"), "t-spans", "event_s", marker=marker)[0]
+    want = supply.status_spans(views.dp_status).where("until_s IS NOT NULL")
+    columns = ["dp_id", "event_id", "status", "event_s", "until_s", "next_status"]
+    assert sorted(got.select(*columns).collect()) == sorted(want.select(*columns).collect())
+    assert got.where("NOT is_legal").count() == supply.illegal_partner_moves(views.dp_status).count()
 
 
 def test_supervisor_isolates_and_restarts(spark, views):
@@ -113,11 +108,19 @@ def test_supervisor_isolates_and_restarts(spark, views):
 
         return ingest_feed(views, feed, f"{root}/c", f"{root}/c-checkpoint", before_commit=always)
 
-    supervisor = Supervisor({"healthy": healthy, "flaky": flaky, "broken": broken}, poll_seconds=0.2, max_restarts=1)
+    starts = []
+
+    def unstartable():
+        starts.append(1)
+        raise RuntimeError("cannot even start")
+
+    starters = {"unstartable": unstartable, "healthy": healthy, "flaky": flaky, "broken": broken}
+    supervisor = Supervisor(starters, poll_seconds=0.2, max_restarts=1)
     supervisor.start()
     outcomes = supervisor.run(timeout=300)
     assert {n: (o.state, o.restarts) for n, o in outcomes.items()} == {
-        "healthy": ("finished", 0), "flaky": ("finished", 1), "broken": ("failed", 1)}
+        "unstartable": ("failed", 1), "healthy": ("finished", 0), "flaky": ("finished", 1), "broken": ("failed", 1)}
+    assert len(starts) == 2
     for name in "ab":  # the restarted query wrote its batch twice, its rows are there once
         assert landed_counts(spark, f"{root}/{name}").agg(F.sum("records")).first()[0] == 1000
 
@@ -132,14 +135,6 @@ def test_update_mode_change_log(spark, views):
     assert {r.state for r in finals} == {"DELIVERED", "REJECTED", "CANCELLED"} and sum(r["count"] for r in finals) == 1500
 
 
-def test_timeout_is_an_error(spark, views):
-    stream = stream_files(spark, feed_of(views, "t-forever", 1), KAFKA_RECORD)
-    query = stream.writeStream.format("noop").option("checkpointLocation", scratch(spark, "t-forever")).trigger(processingTime="1 second").start()
-    with pytest.raises(TimeoutError):
-        finish(query, timeout=2)
-    assert not query.isActive
-
-
 def test_monitor_follows_progress(spark, views):
     from courierflow.streaming.monitor import QueryMonitor
 
@@ -185,17 +180,18 @@ def test_messages_as_a_stream(spark, views):
         emit_stream(messages, "pigeon", "x")
 
 
-def test_span_tracker_sets_late_events_aside(spark):
-    columns = "dp_id long, zone_id string, event_s long, event_id long, status string, order_id long"
-    feed, root = scratch(spark, "t-late-feed"), scratch(spark, "t-late-spans")
+def test_spans_take_late_events_and_drop_later_ones(spark):
+    columns = "dp_id long, event_id long, status string, event_s long"
+    feed, out = scratch(spark, "t-late-feed"), scratch(spark, "t-late-spans")
     arrivals = [
-        [(1, "Z", 100, 1, "IDLE", None), (1, "Z", 200, 2, "OFFLINE", None), (2, "Z", 50, 3, "IDLE", None)],
-        [(1, "Z", 150, 4, "IDLE", None), (1, "Z", 300, 5, "IDLE", None), (2, "Z", 60, 6, "OFFLINE", None)],
+        [(1, 1, "IDLE", 100), (1, 2, "OFFLINE", 200), (2, 3, "IDLE", 50), (3, 9, "IDLE", 1000)],
+        [(1, 4, "IDLE", 150), (1, 5, "IDLE", 300), (2, 6, "OFFLINE", 60), (3, 10, "OFFLINE", 5000)],
+        [(1, 7, "OFFLINE", 120), (3, 11, "IDLE", 90_000)],
     ]
     for rows in arrivals:
         df = spark.createDataFrame(rows, columns)
         df.write.mode("append").parquet(feed)
-        finish(stateful.start_span_tracker(stream_files(spark, feed, df.schema), root, f"{root}/_checkpoint"))
-    spans = {(r.event_id, r.until_s) for r in spark.read.parquet(f"{root}/spans").collect()}
-    assert spans == {(1, 200), (2, 300), (3, 60)}
-    assert [r.event_id for r in spark.read.parquet(f"{root}/late").collect()] == [4]
+        drain(stateful.closed_spans(stream_files(spark, feed, df.schema), "1000 seconds"), out, f"{out}-checkpoint")
+    spans = {(r.event_id, r.until_s, r.is_legal) for r in spark.read.parquet(out).collect()}
+    # 7 is behind the watermark of 4000 s
+    assert spans == {(1, 150, False), (4, 200, True), (2, 300, True), (3, 60, True), (9, 5000, True)}
