@@ -83,3 +83,16 @@ def test_silver_feeds_the_metrics(spark):
 def test_silver_columns_exist():
     for topic, names in COLUMNS.items():
         assert set(names) <= set(SCHEMAS[topic].names)
+
+
+def test_retry_chains_follow_the_pointers(spark):
+    """Two chains of one order side by side, a retry of an unknown payment, one that never began, a loop."""
+    rows = [
+        ("a1", 1, None, "FAILED"), ("b1", 1, None, "SUCCESS"), ("a2", 2, "a1", "FAILED"), ("a3", 3, "a2", "FAILED"), ("a4", 4, "a3", "FAILED"),
+        ("c2", 2, "gone", "FAILED"), ("c3", 3, "c2", "SUCCESS"), ("d1", 1, "d2", "FAILED"), ("d2", 2, "d1", "FAILED"), ("e1", 1, "e1", "OPEN")]
+    events = [(p, "o1", "PayU", n, r, s, 10 * i) for i, (p, n, r, s) in enumerate(rows)]
+    frame = spark.createDataFrame(events, "payment_id string, order_id string, gateway string, attempt_number long, retry_of_payment_id string, status string, event_s long")
+    got = {r.payment_id: (r.root_payment_id, r.depth, r.chain_length, r.final_status) for r in payments.retry_chains(frame).collect()}
+    assert got == {
+        "a1": ("a1", 1, 4, "FAILED"), "a2": ("a1", 2, 4, "FAILED"), "a3": ("a1", 3, 4, "FAILED"), "a4": ("a1", 4, 4, "FAILED"), "b1": ("b1", 1, 1, "SUCCESS"),
+        "c2": ("c2", 1, 2, "SUCCESS"), "c3": ("c2", 2, 2, "SUCCESS"), "d1": ("d1", 1, 2, "FAILED"), "d2": ("d1", 2, 2, "FAILED"), "e1": ("e1", 1, 1, "OPEN")}
