@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from courierflow.llm.license_join import BLOCK, CONTAINMENT, PHRASES, TEMPLATES
+
 SPACE = r"[\x20\x09-\x0D]+"
 WORDS = f"list_filter(string_split_regex(coalesce(text, ''), '{SPACE}'), lambda x: x <> '')"
 
@@ -33,3 +35,59 @@ FROM f JOIN hosts ON f.source IS NOT DISTINCT FROM hosts.source
 """
 
 SQL = {"op7_host_rules": OP7}
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
+
+# Pairs of documents that share a shingle, and the documents reachable over links.
+OP3 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex({LOWERED}, '{SPACE}'), lambda x: x <> '') AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+runs AS (SELECT doc_id, string_agg(word, ' ') OVER five AS run, count(*) OVER five AS n
+  FROM words WINDOW five AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
+shingles AS (SELECT DISTINCT doc_id, run FROM runs WHERE n = 5 UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.run = b.run AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared.n >= 75 * (x.n + y.n - shared.n)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least_id AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM least_id LEFT JOIN sizes USING (doc_id)
+"""
+
+_SETS = ", ".join(f"({k}, '{label}', {sorted(set(t.split()))!r})" for k, (label, t) in enumerate(TEMPLATES))
+_SOUGHT = ", ".join(f"('{p}', '{label}', {len(p.split())})" for p, label in PHRASES.items())
+_PHRASE_RUNS = " UNION ALL ".join(
+    f"SELECT doc_id, p, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) AS run FROM words"
+    for n in sorted({len(p.split()) for p in PHRASES}))
+OP9 = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS p FROM d),
+sought(phrase, label, n) AS (VALUES {_SOUGHT}),
+base AS (SELECT DISTINCT doc_id, p, label FROM ({_PHRASE_RUNS}) JOIN sought ON run = phrase),
+based AS (SELECT doc_id, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY doc_id),
+sets(k, label, t) AS (VALUES {_SETS}),
+parts AS (SELECT k, label, len(t) AS size, unnest(t) AS word FROM sets),
+placed AS (SELECT DISTINCT doc_id, unnest([p // {BLOCK // 2}, p // {BLOCK // 2} - 1]) AS block, word FROM words WHERE word IN (SELECT word FROM parts)),
+met AS (SELECT doc_id, label, count(*) / any_value(size) AS share FROM placed JOIN parts USING (word) WHERE block >= 0
+  GROUP BY doc_id, block, k, label HAVING count(*) >= ceil({CONTAINMENT} * any_value(size) - 1e-9)),
+found AS (SELECT doc_id, label, share FROM met UNION ALL SELECT doc_id, label, 1.0 FROM base),
+labelled AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM found GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN based USING (doc_id) LEFT JOIN labelled USING (doc_id)
+"""
+
+OP10 = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+runs AS (SELECT doc_id, p, word, md5(string_agg(word, ' ') OVER twenty) AS run, count(*) OVER twenty = 20 AS whole
+  FROM words WINDOW twenty AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+firsts AS (SELECT run, min((doc_id, p)) AS first FROM runs WHERE whole GROUP BY run),
+marked AS (SELECT doc_id, p, word, whole AND (doc_id, p) > first AS later FROM runs LEFT JOIN firsts USING (run)),
+covered AS (SELECT doc_id, p, word, coalesce(bool_or(later) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), false) AS gone FROM marked),
+kept AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT gone) AS text FROM covered GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+SQL |= {"op3_minhash": OP3, "op9_licenses": OP9, "op10_blocks": OP10}
