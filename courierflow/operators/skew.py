@@ -1,8 +1,8 @@
 """Hot-key handling shared by all keyed operators.
 
 A key is *hot* when it holds more rows than one task should have to order or join
-(``SkewPolicy.max_rows``). There can be at most ``total_rows / max_rows`` hot keys, so
-the table of hot keys is small by construction and may be broadcast. It comes from a
+(``SkewPolicy.max_rows``). There can be at most ``total_rows / max_rows`` hot keys; their
+table is written down, and the optimizer broadcasts it where its bytes allow. It comes from a
 probe: a map-side combined count over the key columns alone, run while the plan is built.
 Without hot keys the operators fall back to the plain window or join, so ordinary data
 pays for the probe and nothing else; with hot keys the table is written to the shared
@@ -25,37 +25,29 @@ from courierflow.session import materialize
 @dataclass(frozen=True)
 class SkewPolicy:
     """``max_rows``: rows of one key a task may hold. ``oversplit``: spare factor for
-    keys whose rows bunch together. ``broadcast_rows``: rows of a dimension that may be
-    copied to every executor."""
+    keys whose rows bunch together. ``salts``: parts a lookup join cuts every key into."""
 
     max_rows: int = 2_000_000
     oversplit: int = 4
-    broadcast_rows: int = 200_000
+    salts: int = 1
 
 
 DEFAULT = SkewPolicy()
 
 HOT = "_hot"
-MAX_LEVELS = 24  # a slice still too large after so many cuts stays whole, which is only slow
 
 
-def _small_table(found: DataFrame, policy: SkewPolicy) -> DataFrame | None:
-    """Write down what a probe found. Should there be more groups than may be broadcast,
-    the largest are kept: any other then has at most ``total_rows / broadcast_rows`` rows,
-    which a task can take."""
-    if found.isEmpty():
-        return None
-    table = materialize(found, "hot-keys")
-    if is_small(table, policy.broadcast_rows):
-        return table
-    return table.orderBy(F.desc("_n"), *[c for c in table.columns if c != "_n"]).limit(policy.broadcast_rows)
+def _found(groups: DataFrame) -> DataFrame | None:
+    """Write down what a probe found, all of it."""
+    return None if groups.isEmpty() else materialize(groups, "hot-keys")
 
 
-def _join_small(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join to a broadcast table on ``keys``; NULL is a key."""
+def _join_found(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join to what a probe found on ``keys``; NULL is a key. The table is a written one,
+    so the optimizer knows its bytes and broadcasts it below its own threshold."""
     table = table.withColumnsRenamed({k: f"_k_{k}" for k in keys})
     same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(table[f"_k_{k}"]) for k in keys])
-    return df.join(F.broadcast(table), same, "left").drop(*[f"_k_{k}" for k in keys])
+    return df.join(table, same, "left").drop(*[f"_k_{k}" for k in keys])
 
 
 @dataclass(frozen=True)
@@ -99,19 +91,21 @@ def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy, order: Sequ
     parts with a single value of the column are cut along the next order column.
     """
     counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > policy.max_rows)
-    table = _small_table(counted, policy)
+    table = _found(counted)
     if table is None or not order:
         return HotKeys(table)
     columns = _numeric(df, order)
+    if not columns:
+        raise ValueError(f"keys {list(keys)} have more than {policy.max_rows} rows, and {order[0]!r} is no number to cut them by: order by a number first")
     hot = HotKeys(table)
-    rows = _join_small(df.select(*dict.fromkeys([*keys, *columns])), table, keys).where("_n IS NOT NULL").drop("_n")
+    rows = _join_found(df.select(*dict.fromkeys([*keys, *columns])), table, keys).where("_n IS NOT NULL").drop("_n")
     position = 0
-    while position < len(columns) and len(hot.cuts) < MAX_LEVELS:
+    while position < len(columns):
         column, slice_column = columns[position], f"_slice{position}"
         group = [*keys, *hot.slices]
         ends = [F.min(column).alias("_from"), F.max(column).alias("_to")]
         large = _cut_rows(rows, keys, hot).groupBy(*group).agg(F.count("*").alias("_n"), *ends)
-        large = _small_table(large.where(F.col("_n") > policy.max_rows), policy)
+        large = _found(large.where(F.col("_n") > policy.max_rows))
         if large is None:
             break
         large = large.where("_to > _from")
@@ -131,7 +125,7 @@ def _cut_rows(rows: DataFrame, keys: Sequence[str], hot: HotKeys) -> DataFrame:
     """Name each row's slice by where the slice starts; 0 where a cut does not apply."""
     for n, cut in enumerate(hot.cuts):
         known = list(dict.fromkeys(c.slice_column for c in hot.cuts[:n]))
-        joined = _join_small(rows, cut.table, [*keys, *known])
+        joined = _join_found(rows, cut.table, [*keys, *known])
         start = F.col("_from") + F.floor((F.col(cut.column) - F.col("_from")) / F.col("_width")) * F.col("_width")
         before = F.col(cut.slice_column) if cut.slice_column in known else F.lit(0.0)
         rows = joined.withColumn(cut.slice_column, F.coalesce(start, before)).drop("_from", "_width")
@@ -140,15 +134,10 @@ def _cut_rows(rows: DataFrame, keys: Sequence[str], hot: HotKeys) -> DataFrame:
 
 def sliced(df: DataFrame, keys: Sequence[str], hot: HotKeys) -> DataFrame:
     """Add the slice columns and ``_hot``, which is true for rows of hot keys."""
-    flagged = _join_small(df, hot.table, keys).withColumn(HOT, F.col("_n").isNotNull()).drop("_n")
+    flagged = _join_found(df, hot.table, keys).withColumn(HOT, F.col("_n").isNotNull()).drop("_n")
     return _cut_rows(flagged, keys, hot)
 
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """Whether a table has at most ``max_rows`` rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def dimension_join(
     facts: DataFrame,
     dimension: DataFrame,
@@ -157,10 +146,8 @@ def dimension_join(
     spread_by: Sequence[str] = (),
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
-    """Join facts to a dimension table: broadcast it if its counted rows allow, so that the
-    facts stay where they are; otherwise join with salted keys."""
-    if is_small(dimension, policy.broadcast_rows):
-        return facts.join(F.broadcast(dimension), list(keys), how)
+    """Join facts to a dimension table. Below the optimizer's byte threshold it is broadcast,
+    at run time too, so that the facts stay where they are."""
     return lookup_join(facts, dimension, keys, how, spread_by, policy)
 
 
@@ -172,20 +159,15 @@ def lookup_join(
     spread_by: Sequence[str] = (),
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
-    """Join facts to a table with one (or a few) rows per key; hot fact keys are salted.
+    """Join facts to a table with one (or a few) rows per key.
 
-    For lookups that grow with the facts (one row per order, say). The facts of a hot key
-    are spread over ``ceil(n / max_rows)`` salts by a hash of ``spread_by`` (columns that
-    vary inside the key), and the key's lookup rows are repeated once per salt. NULL keys
-    count as a key, so they spread out as well.
+    Adaptive execution splits the facts of a hot key. Where it cannot, below an aggregate on the
+    same keys say, a policy with ``salts`` spreads all keys over so many salts by a hash of
+    ``spread_by`` (columns that vary inside the key) and repeats the lookup rows once per salt.
     """
-    hot = hot_keys(facts, keys, policy)
-    if hot.table is None:
+    if policy.salts == 1:
         return facts.join(lookup, list(keys), how)
-    salts = F.ceil(F.col("_n") / F.lit(policy.max_rows)).cast("int")
     varying = [F.col(c) for c in (spread_by or [c for c in facts.columns if c not in keys])]
-    salt = F.coalesce(F.pmod(F.xxhash64(*varying), salts).cast("int"), F.lit(0))
-    left = _join_small(facts, hot.table, keys).withColumn("_salt", salt).drop("_n")
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1))
-    right = _join_small(lookup, hot.table, keys).withColumn("_salt", copies).drop("_n")
+    left = facts.withColumn("_salt", F.pmod(F.xxhash64(*varying), F.lit(policy.salts)).cast("int"))
+    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(policy.salts - 1))))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")

@@ -45,13 +45,19 @@ def test_top_one_is_limited_before_the_shuffle(spark, views):
         assert plan_of(df).count("WindowGroupLimit") == 2  # once before, once after the exchange
 
 
-def test_dimension_is_broadcast_only_when_counted_small(views):
-    facts = views.order_lifecycle.select("order_id", "restaurant_id")
-    small = plan_of(dimension_join(facts, views.restaurants, ["restaurant_id"]))
+def test_the_optimizer_decides_on_broadcasts(spark, views):
+    facts, path = views.order_lifecycle.select("order_id", "restaurant_id"), session.scratch(spark, "dimension")
+    views.restaurants.write.parquet(path)
+    known = spark.read.parquet(path)
+    small = plan_of(dimension_join(facts, known, ["restaurant_id"]))
     assert "BroadcastHashJoin [restaurant_id" in small and "Exchange hashpartitioning(restaurant_id" not in small
-    policy = SkewPolicy(max_rows=50, broadcast_rows=10)
-    large = dimension_join(facts, views.restaurants, ["restaurant_id"], policy=policy)
-    assert "_salt" in plan_of(large) and large.count() == facts.count()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = dimension_join(facts, known, ["restaurant_id"], policy=SkewPolicy(salts=4))
+        assert "SortMergeJoin" in plan_of(large) and "_salt" in plan_of(large) and large.count() == facts.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_columns_and_filters_reach_the_scan(spark, views, tmp_path_factory):
@@ -65,24 +71,23 @@ def test_columns_and_filters_reach_the_scan(spark, views, tmp_path_factory):
     assert "PushedFilters: [IsNotNull(state), EqualTo(state,PLACED)]" in plan and "struct<zone_id:string,state:string>" in plan
 
 
-def test_a_cluster_needs_a_shared_folder():
+def test_scratch_tables_lie_in_a_shared_folder():
     class Conf(dict):
         def get(self, key, default=None):
             return dict.get(self, key, default)
 
     class Context:
-        def __init__(self, master, conf):
-            self.master, self.conf = master, conf
+        def __init__(self, conf):
+            self.conf = conf
 
         def getConf(self):
             return Conf(self.conf)
 
     class Session:
-        def __init__(self, master, **conf):
-            self.sparkContext, self.conf = Context(master, conf), Conf()
+        def __init__(self, **conf):
+            self.sparkContext, self.conf = Context(conf), Conf({"spark.sql.warehouse.dir": "hdfs://warehouse"})
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_root(Session("spark://host:7077"))
-    there = Session("spark://host:7077", **{"spark.checkpoint.dir": "hdfs://shared/tmp/"})
+    assert session.shared_root(Session()) == "hdfs://warehouse/scratch"
+    there = Session(**{"spark.checkpoint.dir": "hdfs://shared/tmp/"})
     assert session.shared_root(there) == "hdfs://shared/tmp"
     assert session.scratch(there, "x").startswith("hdfs://shared/tmp/x-")

@@ -161,11 +161,17 @@ def test_sweep_mixes_totals_and_neighbours(rows, policy):
     same(got, want)
 
 
-def test_hot_table_is_bounded(rows):
-    """With room for one hot key only, the largest is kept and the results stay right."""
-    policy = SkewPolicy(max_rows=5, broadcast_rows=1)
+def test_every_hot_key_is_found(rows):
+    """No bound on the number of hot keys leaves one unsplit."""
+    policy = SkewPolicy(max_rows=5)
     hot = hot_keys(rows, ["k"], policy, ["t", "id"])
-    assert [r.k for r in hot.table.collect()] == [1]
+    assert {r.k for r in hot.table.collect()} == {r.k for r in rows.groupBy("k").count().where("count > 5").collect()}
     got = running(rows, ["k"], ["t", "id"], {"n": ("sum", F.lit(1))}, policy)
     w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     same(got, rows.withColumn("n", F.count(F.lit(1)).over(w)))
+
+
+def test_a_text_order_of_a_hot_key_is_an_error(rows):
+    named = rows.withColumn("name", F.col("id").cast("string"))
+    with pytest.raises(ValueError, match="no number"):
+        hot_keys(named, ["k"], SkewPolicy(max_rows=5), ["name"])
