@@ -10,18 +10,23 @@ import argparse
 import logging
 import os
 import sys
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
 from courierflow.plans import health
-from courierflow.schemas import MALFORMED_TABLE, TOPICS, all_tables_sql, table_schema, topic_for
+from courierflow.schemas import MALFORMED_TABLE, TOPICS, Topic, all_tables_sql, table_schema, topic_for
 from courierflow.session import prepare
 from courierflow.sources.files import read_table
 from courierflow.sources.kafka import KafkaConnection, read_topics
 from courierflow.streaming.ingest import start_topic
+from courierflow.streaming.monitor import QueryMonitor
 from courierflow.streaming.supervisor import Supervisor
 
 
+log = logging.getLogger("courierflow.cli")
+
+
 def connection() -> KafkaConnection:
     env = os.environ.get
     return KafkaConnection(
@@ -33,16 +38,28 @@ def connection() -> KafkaConnection:
     )
 
 
+def settings(topic: Topic, args: argparse.Namespace) -> Topic:
+    """The topic with what the command line says instead of its own settings."""
+    given = {name: getattr(args, name) for name in ("trigger_seconds", "max_offsets", "starting_offsets")}
+    return replace(topic, **{name: value for name, value in given.items() if value is not None})
+
+
 def ingest(spark: SparkSession, args: argparse.Namespace) -> int:
     topics = list(TOPICS.values()) if args.topic_key == "all" else [topic_for(args.topic_key)]
-    conn = connection()
+    conn, monitor = connection(), QueryMonitor()
+    spark.streams.addListener(monitor)
 
     def starter(topic):
-        return lambda: start_topic(read_topics(spark, conn, topic), args.root, args.checkpoints, topic)
+        records = lambda: read_topics(spark, conn, topic, min_partitions=args.min_partitions)
+        return lambda: start_topic(records(), args.root, args.checkpoints, topic, files=args.files, table_format=args.table_format)
 
-    supervisor = Supervisor({t.key: starter(t) for t in topics})
+    supervisor = Supervisor({t.key: starter(settings(t, args)) for t in topics})
     supervisor.start()
-    outcomes = supervisor.run()
+    try:
+        outcomes = supervisor.run()
+    finally:
+        for name, gauge in monitor.gauges.items():
+            log.info("%s: %d batches, %d rows, %d late, error %s", name, gauge.batches, gauge.rows, gauge.late_rows, gauge.error)
     return int(any(o.state == "failed" for o in outcomes.values()))
 
 
@@ -82,6 +99,12 @@ def main(argv: list[str] | None = None) -> int:
         if name == "ingest":
             sub.add_argument("--topic-key", required=True, choices=[*TOPICS, "all"])
             sub.add_argument("--checkpoints", required=True, help="folder of the stream checkpoints")
+            sub.add_argument("--trigger-seconds", type=int, help="seconds between batches")
+            sub.add_argument("--max-offsets", type=int, help="records of a batch at most")
+            sub.add_argument("--starting-offsets", help="where a new checkpoint starts: earliest, latest or JSON")
+            sub.add_argument("--min-partitions", type=int, help="input splits of a batch at least")
+            sub.add_argument("--files", type=int, help="files of a batch at most")
+            sub.add_argument("--table-format", help="a transactional format instead of replay-safe parquet folders")
         if name == "ddl":
             sub.add_argument("--database")
             sub.add_argument("--dry-run", action="store_true")

@@ -37,6 +37,27 @@ def append_batch(
     )
 
 
+def transaction_options(run: str, batch_id: int) -> dict[str, str]:
+    """Options by which a transactional table format skips a batch that it has committed, and
+    takes on columns that a new schema version adds."""
+    return {"txnAppId": run, "txnVersion": str(batch_id), "mergeSchema": "true"}
+
+
+def append_transaction(
+    df: DataFrame,
+    path: str,
+    run: str,
+    batch_id: int,
+    table_format: str,
+    partition_by: Sequence[str] = ("ingest_date",),
+    options: dict[str, str] | None = None,
+) -> None:
+    """Append one micro-batch to a table of a transactional format, which needs no run and batch
+    folders: a replay is the format's own business."""
+    writer = df.write.format(table_format).mode("append").options(**transaction_options(run, batch_id), **(options or {}))
+    writer.partitionBy(*partition_by).save(path)
+
+
 def write_clustered(df: DataFrame, path: str, keys: Sequence[str], files: int | None = None) -> None:
     """Write files sorted and ranged by ``keys`` (entity, then time), so that min/max
     statistics let a key lookup skip most files. The range split samples rows, so a hot

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from courierflow.operators import ingest
 from courierflow.schemas import MALFORMED_TABLE, Topic
-from courierflow.sinks.tables import append_batch
+from courierflow.sinks.tables import append_batch, append_transaction
 
 log = logging.getLogger("courierflow.ingest")
 
@@ -49,6 +49,7 @@ def write_batch(
     counts: BatchCounts | None = None,
     good_partitions: tuple[str, ...] = ("ingest_date",),
     files: int | None = None,
+    table_format: str | None = None,
 ) -> None:
     """Parse a batch once, then write its good and its malformed side.
 
@@ -64,13 +65,18 @@ def write_batch(
             F.count_if(~bad), F.count_if(bad), F.to_date(F.max("kafka_timestamp")), F.max("ingestion_timestamp")
         ).first()
         dated = parsed.withColumns({"ingest_date": F.lit(newest), "ingestion_timestamp": F.lit(clock)})
+
+        def append(rows: DataFrame, path: str, partitions: tuple[str, ...]) -> None:
+            if table_format:
+                append_transaction(rows.coalesce(files) if files else rows, path, run, batch_id, table_format, partitions)
+            else:
+                append_batch(rows, path, run, batch_id, partitions, files)
+
         if n_good:
             extra = [c for c in good_partitions if c != "ingest_date"]
-            append_batch(ingest.good(dated, schema, *extra), good_path, run, batch_id, good_partitions, files)
+            append(ingest.good(dated, schema, *extra), good_path, good_partitions)
         if n_bad:
-            append_batch(
-                ingest.malformed(dated), malformed_path, run, batch_id, ("ingest_date", "source_topic_key"), files
-            )
+            append(ingest.malformed(dated), malformed_path, ("ingest_date", "source_topic_key"))
             log.warning("batch=%s quarantined %d records", batch_id, n_bad)
         if counts is not None:
             counts.record(batch_id, n_good, n_bad)
@@ -91,15 +97,18 @@ def start_ingest(
     counts: BatchCounts | None = None,
     good_partitions: tuple[str, ...] = ("ingest_date",),
     before_commit: Callable[[int], None] | None = None,
+    files: int | None = None,
+    table_format: str | None = None,
 ) -> StreamingQuery:
     """Start the ingestion query. Without ``trigger_seconds`` it drains what is there and
-    stops. ``before_commit`` runs after the writes of a batch and before its commit."""
+    stops. ``before_commit`` runs after the writes of a batch and before its commit.
+    ``files`` bounds the files of a batch; ``table_format`` names a transactional format."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
         run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         good_path, malformed_path = f"{root}/{table}", f"{root}/{MALFORMED_TABLE}"
         write_batch(
-            batch, batch_id, run, schema, topic_key, good_path, malformed_path, counts, good_partitions
+            batch, batch_id, run, schema, topic_key, good_path, malformed_path, counts, good_partitions, files, table_format
         )
         if before_commit:
             before_commit(batch_id)

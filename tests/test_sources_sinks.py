@@ -180,3 +180,21 @@ def test_bucketed_tables_join_without_a_shuffle(spark, views):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
     assert joined.count() == views.payment.count()
+
+
+def test_transactional_appends(spark, views):
+    from courierflow.sinks.tables import append_transaction, transaction_options
+
+    assert transaction_options("run-1", 7) == {"txnAppId": "run-1", "txnVersion": "7", "mergeSchema": "true"}
+    root = scratch(spark, "transaction")
+    # any format takes the call; one without transactions just appends
+    append_transaction(views.payment.withColumn("ingest_date", F.lit("2024-01-01")), root, "run-1", 0, "json")
+    assert spark.read.json(root).count() == views.payment.count()
+
+
+def test_cli_settings_replace_those_of_the_topic():
+    from argparse import Namespace
+
+    given = Namespace(trigger_seconds=60, max_offsets=None, starting_offsets="latest")
+    topic = cli.settings(TOPICS["payment"], given)
+    assert (topic.trigger_seconds, topic.max_offsets, topic.starting_offsets) == (60, TOPICS["payment"].max_offsets, "latest")
