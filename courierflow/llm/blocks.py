@@ -184,7 +184,7 @@ def extended(bits: int):
         group = np.cumsum(new) - 1
         lead = np.flatnonzero(new)[group]
         later = (ids[row] > ids[row[lead]]) | (start > start[lead])
-        out = decided(row[later], start[later], ids, prints)
+        out = decided(row[later], start[later], ids, prints, bits)
         keep = ~later  # first places, and equal ones of rows with one id
         h1, h2, row, start = h1[keep], h2[keep], row[keep], start[keep]
         for bucket, i, j in cut(h1, bits):
@@ -195,52 +195,72 @@ def extended(bits: int):
     return run
 
 
-def decided(row: np.ndarray, start: np.ndarray, ids: np.ndarray, prints: np.ndarray) -> list[tuple]:
-    """Rows with the starts of windows to remove, one for each document."""
-    order = np.lexsort((start, row))
-    row, start = row[order], start[order]
+def decided(row: np.ndarray, start: np.ndarray, ids: np.ndarray, prints: np.ndarray, bits: int) -> list[tuple]:
+    """Starts of windows to remove, packed by the part their document belongs to."""
+    part = prints[row].view(np.uint64) & np.uint64((1 << bits) - 1) if len(row) else np.zeros(0, np.uint64)
+    order = np.lexsort((start, row, part))
+    part, row, start = part[order], row[order], start[order]
     out = []
-    begins = np.flatnonzero(np.r_[True, np.diff(row) > 0]) if len(row) else []
+    begins = np.flatnonzero(np.r_[True, np.diff(part) > 0]) if len(row) else []
     for i, j in zip(begins, [*begins[1:], len(row)]):
-        r = row[i]
-        out.append((DECIDED, int(prints[r]) & 0xFFFF, int(ids[r]), pack(start[i:j].astype(np.uint32)), None, None, [int(prints[r])]))
+        used, local = np.unique(row[i:j], return_inverse=True)
+        out.append((DECIDED, int(part[i]), 0, planes(start[i:j].astype(np.uint32)), planes(local.astype(np.uint32)), ids[used], prints[used]))
     return out
 
 
-def firsts(rows: pa.Table) -> pa.Table:
-    """Of one bucket of windows: all places but the first of each, by document."""
-    out, found = [], []
-    for kind, bucket, chunk, a, b, ids, prints in zip(*(c.to_pylist() for c in rows.columns)):
-        if kind == DECIDED:
-            out.append((kind, bucket, chunk, a, None, None, prints))
-            continue
-        local, start = unplanes(b, np.uint32).reshape(2, -1)
-        n = len(start)
-        found.append((unpack(a[: len(a) - 4 * n], np.uint64), np.frombuffer(a[len(a) - 4 * n :], np.uint32), np.array(ids)[local], np.array(prints)[local], start))
-    if found:
-        h1, h2, ids, prints, start = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((start, ids, h2, h1))
-        h1, h2, ids, prints, start = (x[order] for x in (h1, h2, ids, prints, start))
-        new = np.r_[True, (np.diff(h1) > 0) | (np.diff(h2.astype(np.int64)) != 0)]
-        lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-        later = (ids > ids[lead]) | (start > start[lead])
-        pairs, row = np.unique(np.stack([ids[later], prints[later]]), axis=1, return_inverse=True)
-        out += decided(row.reshape(-1), start[later], pairs[0], pairs[1])
-    return table(out)
+def by_document(rows: pa.Table) -> pa.Table:
+    """Of one part of the documents: all starts of windows to remove, a row for each document."""
+    ids, prints, starts = [], [], []
+    for a, b, d, p in zip(*(rows.column(c).to_pylist() for c in ("a", "b", "ids", "prints"))):
+        local = unplanes(b, np.uint32)
+        ids.append(np.array(d, np.int64)[local])
+        prints.append(np.array(p, np.int64)[local])
+        starts.append(unplanes(a, np.uint32))
+    i, p, s = (np.concatenate(x) for x in (ids, prints, starts))
+    order = np.lexsort((s, p, i))
+    i, p, s = i[order], p[order], s[order]
+    begins = np.flatnonzero(np.r_[True, (np.diff(i) != 0) | (np.diff(p) != 0)])
+    packed = [pack(s[x:y]) for x, y in zip(begins, [*begins[1:], len(s)])]
+    return pa.table([pa.array(i[begins]), pa.array(p[begins]), pa.array(packed, pa.binary())], names=["id", "of", "starts"])
+
+
+def firsts(bits: int):
+    """Of one bucket of windows: all places but the first of each, by part of the documents."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        out, found = [], []
+        for row in zip(*(c.to_pylist() for c in rows.columns)):
+            kind, _, _, a, b, ids, prints = row
+            if kind == DECIDED:
+                out.append(row)
+                continue
+            local, start = unplanes(b, np.uint32).reshape(2, -1)
+            n = len(start)
+            found.append((unpack(a[: len(a) - 4 * n], np.uint64), np.frombuffer(a[len(a) - 4 * n :], np.uint32), np.array(ids)[local], np.array(prints)[local], start))
+        if found:
+            h1, h2, ids, prints, start = (np.concatenate(x) for x in zip(*found))
+            order = np.lexsort((start, ids, h2, h1))
+            h1, h2, ids, prints, start = (x[order] for x in (h1, h2, ids, prints, start))
+            new = np.r_[True, (np.diff(h1) > 0) | (np.diff(h2.astype(np.int64)) != 0)]
+            lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+            later = (ids > ids[lead]) | (start > start[lead])
+            pairs, row = np.unique(np.stack([ids[later], prints[later]]), axis=1, return_inverse=True)
+            out += decided(row.reshape(-1), start[later], pairs[0], pairs[1], bits)
+        return table(out)
+
+    return run
 
 
-def without(texts: list[bytes], starts: list[list[bytes] | None], removed_words: int) -> list[tuple[int, int, str]]:
+def without(texts: list[bytes], starts: list[bytes | None], removed_words: int) -> list[tuple[int, int, str]]:
     """Word count, removed words and the kept words, joined by one space, of each text."""
     out = []
-    for raw, lists in zip(texts, starts):
-        words = raw.split()
-        gone = np.zeros(len(words) + 1, np.int64)
-        for blob in lists or []:
-            at = unpack(blob, np.uint32).astype(np.int64)
+    for raw, packed in zip(texts, starts):
+        words = kept = raw.split()
+        if packed:
+            at, gone = unpack(packed, np.uint32).astype(np.int64), np.zeros(len(words) + 1, np.int64)
             np.add.at(gone, at, 1)
             np.add.at(gone, at + removed_words, -1)
-        covered = np.cumsum(gone)[:-1] > 0
-        kept = [w for w, c in zip(words, covered.tolist()) if not c] if lists else words
+            kept = [w for w, c in zip(words, (np.cumsum(gone)[:-1] > 0).tolist()) if not c]
         out.append((len(words), len(words) - len(kept), b" ".join(kept)))
     return out
 
@@ -261,8 +281,8 @@ def dedup(documents: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     docs = whole_texts(documents, F.col("doc_id").cast("long").alias("doc_id")).select("doc_id", F.xxhash64("text").alias("print"), "text")
     bits = bucket_bits(docs, bucket_bytes)
     by_bucket = docs.mapInArrow(anchors(bits), ROW).groupBy("bucket").applyInArrow(hits(bits), ROW)
-    by_window = by_bucket.groupBy("chunk").applyInArrow(extended(bits), ROW).groupBy("bucket").applyInArrow(firsts, ROW)
-    gone = by_window.groupBy(F.col("chunk").alias("id"), F.col("prints")[0].alias("of")).agg(F.collect_list("a").alias("starts"))
+    by_window = by_bucket.groupBy("chunk").applyInArrow(extended(bits), ROW).groupBy("bucket").applyInArrow(firsts(bits), ROW)
+    gone = by_window.groupBy("bucket").applyInArrow(by_document, "id long, of long, starts binary")
     key = F.coalesce("doc_id", F.lit(int(NULL_ID)).cast("long"))
     joined = docs.withColumn("key", key).join(gone, (F.col("key") == gone["id"]) & (F.col("print") == gone["of"]), "left").select("doc_id", "text", "starts")
 
