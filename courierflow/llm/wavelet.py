@@ -1,19 +1,18 @@
-"""Token ids as binary shards: each shard is one wavelet matrix, compressed, with its document index.
+"""Token ids as binary shards: each shard is one wavelet matrix with its document index.
 
 A wavelet matrix stores a shard's ids as bit planes, most significant first; below each plane the
 ids are parted stably by that bit. Rank on the planes gives token access and counting, select gives
 the places of a token, and undoing the partings from below gives all ids at once.
 
-Shards are rows of a Parquet table, so Spark writes, commits and reads them wherever it can.
+Shards are rows of a Parquet table, so Spark compresses, writes, commits and reads them wherever it can.
 """
 
 from __future__ import annotations
 
+import os
 import struct
-import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from courierflow.llm.text import text_slices, whole_texts
 MAGIC = b"WMX1"
 SHARD_TOKENS = 1 << 20
 #: Words that a task remembers.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 500_000
 SHARD = "part int, seq int, doc_ids array<bigint>, lengths array<bigint>, n_tokens bigint, matrix binary"
 
 
@@ -52,7 +51,7 @@ class WaveletMatrix:
         return cls(len(ids), planes)
 
     def to_bytes(self) -> bytes:
-        body = [zlib.compress(p.tobytes(), 1) for p in self.planes]
+        body = [p.tobytes() for p in self.planes]
         return MAGIC + struct.pack("<QI", self.n, len(body)) + struct.pack(f"<{len(body)}I", *map(len, body)) + b"".join(body)
 
     @classmethod
@@ -62,7 +61,7 @@ class WaveletMatrix:
         n, count = struct.unpack_from("<QI", raw, 4)
         sizes, at, planes = struct.unpack_from(f"<{count}I", raw, 16), 16 + 4 * count, []
         for size in sizes:
-            planes.append(np.frombuffer(zlib.decompress(raw[at : at + size]), "<u8"))
+            planes.append(np.frombuffer(raw, "<u8", size // 8, at))
             at += size
         return cls(n, planes)
 
@@ -128,23 +127,36 @@ class WordEncoder:
     """Ids of texts, word by word: the vocabulary's tokens never cross ASCII white space."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
+        self.marks = [t.content.encode()[:2] for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes], end: bytes) -> list[bytes]:
+        rows = [self.plain(t).split() for t in texts]
+        met = set().union(*rows)
+        self.learn(met - self.known.keys())
+        out = [b"".join([*map(self.known.__getitem__, row), end]) for row in rows]
+        if len(self.known) > KEPT_WORDS:  # frequent words are met in every run of texts
+            self.known = {w: self.known[w] for w in met if len(w) <= 64}
+        return out
+
+    def plain(self, text: bytes) -> bytes:
+        """The vocabulary lower-cases texts; only the names of added tokens mind their case."""
+        return text if any(mark in text for mark in self.marks) else text.lower()
+
+    def learn(self, words: set[bytes]) -> None:
+        """Ids of words. Marks after a letter or digit are tokens of their own, so a word's core is learned once."""
         known = self.known
-        rows = [t.split() for t in texts]
-        new = list(set().union(*rows) - known.keys())
-        for word, got in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)):
+        cores = {w: w.rstrip(b".,;:!?") for w in words}
+        marked = {w: c for w, c in cores.items() if c and len(c) < len(w) and c[-1:].isalnum()}
+        new = list({x for w in words for x in ((marked[w], w[len(marked[w]) :]) if w in marked else (w,))} - known.keys())
+        for word, got in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
             known[word] = np.array(got.ids, "<u4").tobytes()
-        out = [b"".join([*map(known.__getitem__, row), end]) for row in rows]
-        for word in [w for w in new if len(w) > 64]:
-            known.pop(word, None)
-        for word in list(islice(known, max(0, len(known) - KEPT_WORDS))):
-            del known[word]
-        return out
+        for w, c in marked.items():
+            known[w] = known[c] + known[w[len(c) :]]
 
 
 @cache
