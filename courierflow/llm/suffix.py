@@ -26,7 +26,7 @@ from courierflow.llm.text import mix, run_hashes, text_slices, whole_texts
 from courierflow.session import materialize
 
 LENGTH, GRAM = 200, 32
-CHUNK_BYTES, BUCKET_BYTES, BWT_BYTES = 2 << 20, 32 << 20, 2 << 20
+CHUNK_BYTES, BUCKET_BYTES, BWT_BYTES = 2 << 20, 32 << 20, 1 << 20
 MOST_WINDOWS = 4096
 PLACE = np.uint64((1 << 24) - 1)
 WINDOW = "value long, settled boolean, raw binary, doc_id long, print long, start long"
