@@ -175,7 +175,8 @@ def sets_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Full shingle sets of the classes, each from the text of one document."""
     need = classes.select("c", "rep", F.col("print").alias("of"))
     text = docs.withColumn("print", F.xxhash64("text"))
-    rows = text.join(need, (text["print"] == need["of"]) & text["doc_id"].eqNullSafe(need["rep"])).select("c", "text")
+    # one plan at every size: texts are dealt out by their hash
+    rows = text.join(need.hint("merge"), (text["print"] == need["of"]) & text["doc_id"].eqNullSafe(need["rep"])).select("c", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,7 +210,9 @@ def near_duplicates(documents: DataFrame, slice_size: int = SLICE) -> DataFrame:
 
     buckets = classes.select("c", F.explode(band_keys(F.col("sketch"))).alias("key"))
     heads = buckets.groupBy("key").agg(F.min("c").alias("head"), F.max("c").alias("tail")).where("head < tail")
-    stars = buckets.join(heads.select("key", "head"), "key").where("c <> head").select(F.col("c").alias("a"), F.col("head").alias("b")).distinct()
+    led = buckets.join(heads.select("key", "head"), "key").where("c <> head").groupBy("c").agg(F.collect_set("head").alias("heads"))
+    # a class and all its heads hang on the least head: one edge a class, and few among heads
+    stars = led.select(F.array_min("heads").alias("b"), F.explode(F.array_union("heads", F.array("c"))).alias("a")).where("a <> b").select("a", "b").distinct()
     # rows of one id are one document: their sets are linked at once
     candidates = materialize(components(materialize(stars, "stars")), "candidates")
     sizes = candidates.groupBy("comp").agg(F.count("*").alias("m"))
