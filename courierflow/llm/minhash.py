@@ -28,7 +28,7 @@ SLICE = 1024
 RESLICES = 2
 #: Ids from here on stand for sets of documents without an id.
 NO_ID = 1 << 62
-SETS = "c long, n int, shingles binary"
+SETS = "c long, comp long, slices int, shingles binary"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,39 +158,37 @@ def forest(ids: np.ndarray, link: np.ndarray, rows: np.ndarray) -> list[tuple[in
 
 def compare(group: pa.Table) -> pa.Table:
     """Links within one slice: all its members, or its strangers (``side`` 1) against all."""
-    ids = group.column("c").to_numpy()
-    _, once = np.unique(ids, return_index=True)
-    blobs, side = group.column("shingles").to_pylist(), group.column("side").to_numpy()[once]
-    values = [np.frombuffer(blobs[k], np.uint64) for k in once.tolist()]
-    ids, edges = ids[once], []
+    rows = dict.fromkeys(zip(group.column("c").to_pylist(), group.column("shingles").to_pylist(), group.column("side").to_pylist()))
+    ids, blobs, side = (list(x) for x in zip(*rows))  # repeated rows once; one id may have several sets
+    values, edges = [np.frombuffer(b, np.uint64) for b in blobs], []
     if len(ids) > 1:
         sizes = np.array([len(v) for v in values])
-        rows = np.flatnonzero(side == 1) if (side == 1).any() else np.arange(len(ids))
-        edges = forest(ids, linked(values, sizes, rows), rows)
+        mine = np.flatnonzero(np.array(side) == 1) if 1 in side else np.arange(len(ids))
+        edges = [e for e in forest(np.array(ids), linked(values, sizes, mine), mine) if e[0] != e[1]]
     a, b = zip(*edges) if edges else ((), ())
     return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def sets_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Full shingle sets of the classes, each from the text of one document."""
-    need = classes.select("c", "rep", F.col("print").alias("of"))
+    """Full shingle sets of the classes (``c``, ``comp``, ``slices``), each from the text of one document."""
+    need = classes.select("c", "comp", "slices", "rep", F.col("print").alias("of"))
     text = docs.withColumn("print", F.xxhash64("text"))
     # one plan at every size: texts are dealt out by their hash
-    rows = text.join(need.hint("merge"), (text["print"] == need["of"]) & text["doc_id"].eqNullSafe(need["rep"])).select("c", "text")
+    rows = text.join(need.hint("merge"), (text["print"] == need["of"]) & text["doc_id"].eqNullSafe(need["rep"])).select("c", "comp", "slices", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for x, y, data, offsets in text_slices(batch.column(1)):
+            for x, y, data, offsets in text_slices(batch.column(3)):
                 values, first = shingle_sets(data, offsets)
                 sets = [values[a:b].tobytes() for a, b in zip(first, first[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(x, y - x), pa.array(np.diff(first), pa.int32()), pa.array(sets, pa.binary())], names=["c", "n", "shingles"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(x, y - x) for k in range(3)), pa.array(sets, pa.binary())], names=["c", "comp", "slices", "shingles"])
 
     return rows.mapInArrow(run, SETS)
 
 
-def verify(sets: DataFrame, placed: DataFrame) -> DataFrame:
-    """Links among the members of each ``(comp, slice)`` of ``placed`` (``c``, ``side``)."""
-    return sets.join(placed, "c").groupBy("comp", "slice").applyInArrow(compare, "a long, b long")
+def verify(placed: DataFrame) -> DataFrame:
+    """Links among the sets of each ``(comp, slice)``: all with all, or those of ``side`` 1 with all."""
+    return placed.select("c", "comp", "slice", "side", "shingles").groupBy("comp", "slice").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(documents: DataFrame, slice_size: int = SLICE) -> DataFrame:
@@ -210,24 +208,26 @@ def near_duplicates(documents: DataFrame, slice_size: int = SLICE) -> DataFrame:
 
     buckets = classes.select("c", F.explode(band_keys(F.col("sketch"))).alias("key"))
     heads = buckets.groupBy("key").agg(F.min("c").alias("head"), F.max("c").alias("tail")).where("head < tail")
-    led = buckets.join(heads.select("key", "head"), "key").where("c <> head").groupBy("c").agg(F.collect_set("head").alias("heads"))
+    led = buckets.join(heads.select("key", "head").hint("merge"), "key").where("c <> head").groupBy("c").agg(F.collect_set("head").alias("heads"))
     # a class and all its heads hang on the least head: one edge a class, and few among heads
     stars = led.select(F.array_min("heads").alias("b"), F.explode(F.array_union("heads", F.array("c"))).alias("a")).where("a <> b").select("a", "b").distinct()
     # rows of one id are one document: their sets are linked at once
     candidates = materialize(components(materialize(stars, "stars")), "candidates")
     sizes = candidates.groupBy("comp").agg(F.count("*").alias("m"))
     members = materialize(candidates.join(sizes, "comp").select(F.col("id").alias("c"), "comp", F.ceil(F.col("m") / slice_size).cast("int").alias("slices")), "members")
-    sets = materialize(sets_of(docs, classes.join(members.select("c"), "c", "left_semi")), "sets")
+    sets = materialize(sets_of(docs, classes.join(members, "c")), "sets")
 
     def sliced(rows: DataFrame, seed: int) -> DataFrame:
-        return rows.select("c", "comp", F.pmod(F.xxhash64("c", F.lit(seed)), F.col("slices")).cast("int").alias("slice"), F.lit(0).alias("side"))
+        at = F.pmod(F.xxhash64("c", F.lit(seed)), F.col("slices")).cast("int")
+        return rows.withColumns({"slice": at, "side": F.lit(0)})
 
-    links = materialize(verify(sets, sliced(members, 0)), "links")
-    large = members.where("slices > 1")
+    links = materialize(verify(sliced(sets, 0)), "links")
+    large = sets.where("slices > 1")
     if large.limit(1).count():
         for seed in range(1, RESLICES + 1):
-            links = materialize(links.union(verify(sets, sliced(large, seed))), "links")
-        links = materialize(links.union(verify(sets, strangers(large, components(links), slice_size))), "links")
+            links = materialize(links.union(verify(sliced(large, seed))), "links")
+        cells = strangers(members.where("slices > 1"), components(links), slice_size)
+        links = materialize(links.union(verify(large.select("c", "shingles").join(cells, "c"))), "links")
     labels = components(links)
 
     marked = table.join(classes.select("ha", "hb", "c", "rep", F.col("print").alias("of")), ["ha", "hb"], "left").join(labels.withColumnRenamed("id", "c"), "c", "left")

@@ -49,6 +49,14 @@ def test_large_groups_lose_no_link(spark, size):
     assert {r.doc_id: r.component_id for r in got} == {d: c for (d, _), (_, c) in zip(rows, corpus.near_duplicates(rows))}
 
 
+def test_one_id_with_two_texts_joins_both_groups(spark):
+    a, b = corpus.prose(61, 60), corpus.prose(62, 60)
+    rows = [(5, a), (5, b), (3, a + " more"), (9, b + " less"), (2, corpus.prose(63, 60))]
+    got = minhash.near_duplicates(corpus.documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted((d, c) for (d, _), (_, c) in zip(rows, corpus.near_duplicates(rows)))
+    assert {r.component_id for r in got} == {2, 3}
+
+
 def test_nameless_groups(spark):
     rows = [(None, corpus.prose(1, 30)), (None, corpus.prose(1, 30)), (None, corpus.prose(2, 30)), (None, ""), (None, "")]
     got = minhash.near_duplicates(corpus.documents(spark, rows)).collect()
