@@ -79,8 +79,7 @@ def op7_host_rules(spark, sf_dir):
 def op8_wavelet(spark, sf_dir):
     folder = scratch(spark, "wavelet")
     wavelet.write_shards(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
-    rows = wavelet.documents_of(wavelet.read_shards(spark, folder))
-    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return wavelet.documents_of(wavelet.read_shards(spark, folder), ids_crc32=F.crc32("ids"))
 
 
 @query

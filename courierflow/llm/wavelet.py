@@ -17,7 +17,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -26,7 +26,7 @@ from courierflow.llm.text import text_slices, whole_texts
 MAGIC = b"WMX1"
 SHARD_TOKENS = 1 << 20
 #: Words that a task remembers.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 1_000_000
 SHARD = "part int, seq int, doc_ids array<bigint>, lengths array<bigint>, n_tokens bigint, matrix binary"
 
 
@@ -206,8 +206,11 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(SHARD).parquet(folder)
 
 
-def documents_of(shards: DataFrame) -> DataFrame:
-    """``doc_id``, ``start`` (ids before it over all shards), ``n_tokens`` and ``ids`` of each document."""
+def documents_of(shards: DataFrame, **derived: Column) -> DataFrame:
+    """``doc_id``, ``start`` (ids before it over all shards), ``n_tokens`` and ``ids`` of each document.
+
+    With columns derived from ``ids``, these come instead of it, so that ids are not shuffled.
+    """
     schema = "part int, seq int, doc_id bigint, at bigint, n_tokens bigint, ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,8 +225,10 @@ def documents_of(shards: DataFrame) -> DataFrame:
                      pa.array(starts), pa.array(lengths), pa.array(ids, pa.binary())],
                     names=["part", "seq", "doc_id", "at", "n_tokens", "ids"])
 
-    return shards.mapInArrow(run, schema).join(shard_starts(shards), ["part", "seq"]).select(
-        "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids")
+    values = [c.alias(name) for name, c in (derived or {"ids": F.col("ids")}).items()]
+    rows = shards.mapInArrow(run, schema).select("part", "seq", "doc_id", "at", "n_tokens", *values)
+    return rows.join(shard_starts(shards), ["part", "seq"]).select(
+        "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", *(derived or ["ids"]))
 
 
 def shard_starts(shards: DataFrame) -> DataFrame:
