@@ -67,6 +67,7 @@ def anchors(bits: int):
             ids, prints = batch.column(0).fill_null(NULL_ID).to_numpy(), batch.column(1).to_numpy()
             for x, y, data, offsets in text_slices(batch.column(2), CHUNK_BYTES):
                 first, last, place, anchor = anchor_runs(data, offsets)
+                anchor = mix(anchor)  # the least of many hashes has leading zeros: mixed anew, it spreads over the buckets
                 window = mix(run_hashes(data, first, last + LENGTH) ^ mix((place - first).astype(np.uint64)))
                 chunk = part << 32 | seq
                 seq += 1

@@ -109,6 +109,13 @@ def test_repeated_bytes_in_any_place(spark, most):
     assert ordered((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == ordered(want)
 
 
+def test_windows_spread_over_the_buckets(spark):
+    rows = corpus.documents(spark, [(i, corpus.prose(i, 400)) for i in range(60)]).selectExpr("doc_id", "xxhash64(text)", "text")
+    found = rows.mapInArrow(suffix.anchors(4), blocks.ROW).where(f"kind = {blocks.HASHES}").selectExpr("bucket", "size(ids) n")
+    sizes = dict(found.groupBy("bucket").sum("n").collect())
+    assert len(sizes) == 16 and max(sizes.values()) < 2 * sum(sizes.values()) / 16
+
+
 def test_long_prefixes():
     r = np.random.default_rng(3)
     for top, n, least in [(2, 60, 4), (3, 300, 6), (2, 500, 9), (4, 200, 3)]:
