@@ -196,8 +196,8 @@ def extended(bits: int):
 
 
 def decided(row: np.ndarray, start: np.ndarray, ids: np.ndarray, prints: np.ndarray, bits: int) -> list[tuple]:
-    """Starts of windows to remove, packed by the part their document belongs to."""
-    part = prints[row].view(np.uint64) & np.uint64((1 << bits) - 1) if len(row) else np.zeros(0, np.uint64)
+    """Starts of windows to remove, packed by the part their document belongs to; copies of a text spread over all parts."""
+    part = mix(ids.view(np.uint64) ^ mix(prints.view(np.uint64)))[row] & np.uint64((1 << bits) - 1)
     order = np.lexsort((start, row, part))
     part, row, start = part[order], row[order], start[order]
     out = []

@@ -91,6 +91,15 @@ def test_repeated_words_in_any_place(spark):
     assert ordered((r.doc_id, r.n_words, r.n_removed, r.kept) for r in blocks.dedup(corpus.documents(spark, rows), bucket_bytes=2000).collect()) == ordered(want)
 
 
+def test_copies_spread_over_the_parts():
+    ids, prints = np.r_[np.arange(800), 5], np.full(801, 77)
+    rows = blocks.decided(np.repeat(np.arange(801), 3), np.tile([0, 1, 2], 801), ids, prints, 3)
+    found = [np.array(r[5])[blocks.unplanes(r[4], np.uint32)] for r in rows]
+    assert len(rows) == 8 and max(map(len, found)) < 2 * 3 * 801 / 8
+    assert sum(5 in f for f in found) == 1  # rows of one id and text stay together
+    assert blocks.decided(np.zeros(0, int), np.zeros(0, int), ids, prints, 3) == []
+
+
 @pytest.mark.parametrize("most", [2, 4096])
 def test_repeated_bytes(spark, docs, none, most):
     want = [(d, *x) for (d, _), x in zip(corpus.texts(), corpus.without_strings(corpus.texts()))]
