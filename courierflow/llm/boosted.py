@@ -12,19 +12,19 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class BoostedTrees:
-    """Full binary trees: node ``k`` has the children ``2k + 1`` and ``2k + 2``."""
+    """Full binary trees: node ``k`` has the children ``2k + 1`` and ``2k + 2``. Row ``k`` counts ``n[k]`` times."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray):
+    def __init__(self, x: np.ndarray, y: np.ndarray, n: np.ndarray):
         edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
         bins = np.stack([np.searchsorted(e, c, "left") for e, c in zip(edges, x.T)], axis=1)
         self.trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        rate = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+        rate = np.clip((n * y).sum() / n.sum(), 1e-3, 1 - 1e-3)
         self.start = float(np.log(rate / (1 - rate)))
         margin = np.full(len(y), self.start)
         inner = 2**DEPTH - 1
         for _ in range(ROUNDS):
             p = sigmoid(margin)
-            g, h = y - p, p * (1 - p)
+            g, h = n * (y - p), n * p * (1 - p)
             feature, cut, node = np.zeros(inner, int), np.full(inner, np.inf), np.zeros(len(y), int)
             for k in range(inner):
                 at = np.flatnonzero(node == k)
@@ -57,26 +57,36 @@ class Calibrated:
     """Trees, the line that turns margins into probabilities, and the threshold to act on.
 
     Trees learn from two thirds of the rows. On the rest, the threshold is the least probability
-    from which on at least ``precision`` of the rows are positive, never under ``floor``.
+    from which on at least ``precision`` of the rows are positive, never under ``floor``. A row may
+    stand for ``n`` equal ones, with ``y`` the positive share of them; they stay on one side.
     """
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, precision: float = 0.98, floor: float = 0.8):
+    def __init__(self, x: np.ndarray, y: np.ndarray, n: np.ndarray | None = None, precision: float = 0.98, floor: float = 0.8):
         self.trees, self.line, self.threshold = None, (1.0, 0.0), 2.0
+        n = np.ones(len(y)) if n is None else n
         held = np.arange(len(y)) % 3 == 0
-        if min(y[~held].sum(initial=0), y[held].sum(initial=0), (~held).sum() - y[~held].sum(initial=0)) < 5:
+        if min((n * y)[~held].sum(), (n * y)[held].sum(), (n * (1 - y))[~held].sum()) < 5:
             return
-        self.trees = BoostedTrees(x[~held], y[~held])
-        m, t = self.trees.margin(x[held]), y[held]
-        a, b = 1.0, 0.0
-        for _ in range(50):  # Newton steps with a light pull to (1, 0)
-            p = sigmoid(a * m + b)
-            w = p * (1 - p)
-            grad = np.array([((t - p) * m).sum() - (a - 1), (t - p).sum() - b])
+        self.trees = BoostedTrees(x[~held], y[~held], n[~held])
+        m, t, n = self.trees.margin(x[held]), y[held], n[held]
+
+        def loss(line: np.ndarray) -> float:
+            z = line[0] * m + line[1]
+            return float((n * (np.logaddexp(0, z) - t * z)).sum() + ((line[0] - 1) ** 2 + line[1] ** 2) / 2)
+
+        line = np.array([1.0, 0.0])
+        for _ in range(50):  # Newton steps with a light pull to (1, 0), halved until they gain
+            p = sigmoid(line[0] * m + line[1])
+            w = n * p * (1 - p)
+            grad = np.array([(n * (t - p) * m).sum() - (line[0] - 1), (n * (t - p)).sum() - line[1]])
             hess = np.array([[(w * m * m).sum() + 1, (w * m).sum()], [(w * m).sum(), w.sum() + 1]])
-            a, b = np.array([a, b]) + np.linalg.solve(hess, grad)
-        self.line = (float(a), float(b))
+            step = np.linalg.solve(hess, grad)
+            while loss(line + step) > loss(line) and np.abs(step).max() > 1e-9:
+                step = step / 2
+            line = line + step
+        self.line = (float(line[0]), float(line[1]))
         order = np.argsort(-self.probability(x[held]))
-        good = np.cumsum(t[order]) / np.arange(1, len(t) + 1) >= precision
+        good = np.cumsum((n * t)[order]) / np.cumsum(n[order]) >= precision
         if good.any():
             self.threshold = max(floor, float(self.probability(x[held])[order][np.flatnonzero(good)[-1]]))
 

@@ -21,7 +21,7 @@ from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, Stru
 from courierflow.llm.boosted import Calibrated
 from courierflow.llm.text import whole_texts, with_columns
 
-#: Candidates that the trees learn from at most, the smallest by a hash of their surroundings.
+#: Different candidates that the trees learn from at most, the smallest by a hash of their features.
 TRAIN_CANDIDATES = 20_000
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret", "number")
@@ -36,7 +36,8 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{12,}+")
 NUMBER = re.compile(r"(?<![A-Za-z0-9])\(?[0-9](?:[ ().-]{0,2}[0-9]){6,}+(?![A-Za-z0-9])")
 VALUE = re.compile(r"[A-Za-z_]{2,32}+\s{0,3}+[=:]\s{0,3}+[\"']?([^\s\"'|,;]{8,}+)")
-SECRET_NAME = re.compile(r"(?i)(token|secret|passw|api.?key|access.?key|auth)[a-z_]*\s*[=:]\s*[\"']?$")
+SECRET_NAME = re.compile(r"(?i)(token|secret|passw|api.?key|access.?key|auth(?!ors?[^a-z_]))[a-z_]*\s*[=:]\s*[\"']?$")
+NAMED = re.compile(r"(?i)(?:token|secret|passw|api.?key|access.?key|auth)[a-z_]{0,32}+\s{0,3}+[=:]")
 NAMES = ("token", "key", "secret", "pass", "auth", "phone", "tel", "call", "card", "account", "iban", "id")
 
 Span = tuple[str, int, int]
@@ -81,12 +82,12 @@ def base_spans(text: str) -> list[Span]:
 
 
 def candidates(text: str) -> list[Span]:
-    """Proposed spans, which may overlap; texts without a digit have none."""
-    if not DIGIT.search(text):
+    """Proposed spans, which may overlap; without a digit, only what is assigned to a secret's name."""
+    if not DIGIT.search(text) and not NAMED.search(text):
         return []
     found = {("secret", m.start(), m.end()) for m in TOKEN.finditer(text) if DIGIT.search(m[0])}
     found |= {("number", m.start(), m.end()) for m in NUMBER.finditer(text)}
-    found |= {("secret", m.start(1), m.end(1)) for m in VALUE.finditer(text) if DIGIT.search(m[1])}
+    found |= {("secret", m.start(1), m.end(1)) for m in VALUE.finditer(text) if DIGIT.search(m[1]) or SECRET_NAME.search(text[max(0, m.start(1) - 40) : m.start(1)])}
     return sorted(found, key=lambda s: (s[1], s[2], s[0]))
 
 
@@ -115,7 +116,7 @@ def taught(text: str) -> Iterator[tuple[list[float], int]]:
 
 
 def fit(documents: DataFrame, rows: int = TRAIN_CANDIDATES) -> Calibrated:
-    """Trees of at most ``rows`` candidates of whole texts, equal candidates once."""
+    """Trees of at most ``rows`` different feature vectors of candidates, each with its count and its share of positive ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,10 +124,11 @@ def fit(documents: DataFrame, rows: int = TRAIN_CANDIDATES) -> Calibrated:
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.list_(pa.float64())), pa.array([p[1] for p in pairs], pa.int32())], names=["x", "y"])
 
     pairs = whole_texts(documents).mapInArrow(run, "x array<double>, y int")
-    sample = pairs.orderBy(F.xxhash64("x", "y"), "y").limit(rows).toPandas()
+    counted = pairs.groupBy("x").agg(F.avg("y").alias("y"), F.count("*").cast("double").alias("n"))
+    sample = counted.orderBy(F.xxhash64("x"), "x").limit(rows).toPandas()
     if not len(sample):
         return Calibrated(np.zeros((0, 1)), np.zeros(0))
-    return Calibrated(np.stack(sample["x"].to_list()), sample["y"].to_numpy(float))
+    return Calibrated(np.stack(sample["x"].to_list()), sample["y"].to_numpy(float), sample["n"].to_numpy(float))
 
 
 def all_spans(text: str, model: Calibrated) -> list[tuple[str, int, int, bool]]:

@@ -109,6 +109,26 @@ def test_personal_data(spark, docs, none):
     assert pii.find(none, pii.fit(none)).count() == 0
 
 
+def test_many_equal_candidates_leave_room_for_others(spark, monkeypatch):
+    r = random.Random(3)
+    rows = [f"so token = \"{r.randbytes(16).hex()}\" and call +49 30 {r.randint(10**6, 10**7 - 1)} or {r.randint(10**8, 10**9)}" for _ in range(400)]
+    rows += [f"{after} {'7' * n} end" for after in ("no", "id", "call", "in -") for n in (7, 8, 9, 10) for _ in range(300)]
+    samples = []
+    monkeypatch.setattr(pii, "Calibrated", lambda *sample: samples.append(sample) or boosted.Calibrated(*sample))
+    model = pii.fit(corpus.documents(spark, list(enumerate(rows))), rows=250)
+    assert len(samples[0][0]) == len(np.unique(samples[0][0], axis=0)) == 250
+    assert model.threshold <= 1
+    text = 'the token = "00ff11aa22bb33cc44dd55ee66ff7788" end'
+    assert [text[a:b] for _, a, b, _ in pii.all_spans(text, model)] == ["00ff11aa22bb33cc44dd55ee66ff7788"]
+    assert pii.all_spans("no 7777777 end", model) == []
+
+
+def test_secrets_without_a_digit_are_proposed():
+    for text in ('password = "correct-horse-battery-staple" x', 'page 3, password = "correct-horse-battery-staple" x'):
+        assert [text[a:b] for _, a, b in pii.candidates(text)] == ["correct-horse-battery-staple"]
+    assert pii.candidates("Author: somebody-with-a-long-name, title: anything-goes-here") == []
+
+
 def test_boosted_trees_learn():
     r = np.random.default_rng(0)
     x = r.normal(size=(3000, 4))
