@@ -135,7 +135,7 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes], end: bytes) -> list[bytes]:
-        rows = [self.plain(t).split() for t in texts]
+        rows = [self.words(t) for t in texts]
         met = set().union(*rows)
         self.learn(met - self.known.keys())
         out = [b"".join([*map(self.known.__getitem__, row), end]) for row in rows]
@@ -143,9 +143,15 @@ class WordEncoder:
             self.known = {w: self.known[w] for w in met if len(w) <= 64}
         return out
 
-    def plain(self, text: bytes) -> bytes:
-        """The vocabulary lower-cases texts; only the names of added tokens mind their case."""
-        return text if any(mark in text for mark in self.marks) else text.lower()
+    def words(self, text: bytes) -> list[bytes]:
+        """The vocabulary composes characters, then lower-cases them, so only words of ASCII are lower-cased here.
+
+        Only the names of added tokens mind their case.
+        """
+        if any(mark in text for mark in self.marks):
+            return text.split()
+        lower = text.lower().split()
+        return lower if text.isascii() else [low if low.isascii() else word for low, word in zip(lower, text.split())]
 
     def learn(self, words: set[bytes]) -> None:
         """Ids of words. Marks after a letter or digit are tokens of their own, so a word's core is learned once."""

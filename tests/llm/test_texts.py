@@ -68,6 +68,13 @@ def test_wavelet_matrix():
             assert m.count(token, n // 3, n // 2) == (ids[n // 3 : n // 2] == token).sum()
 
 
+def test_decomposed_words_equal_the_library():
+    own, library = wavelet.WordEncoder(WORD), Tokenizer.from_file(WORD)
+    texts = [f"{x}amza so{x} Plain {x.lower()}" for x in ("H\u0331", "T\u0308", "J\u030c", "W\u030a", "Y\u030a", "E\u0301", "\u00c9")] + [t or "" for _, t in corpus.texts()]
+    for text, ids in zip(texts, own.encode([t.encode() for t in texts], b"")):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text[:50])
+
+
 def test_wavelet_shards(spark, docs, none):
     folder, library = scratch(spark, "shards"), Tokenizer.from_file(WORD)
     wavelet.write_shards(docs, folder, WORD, shard_tokens=500)
