@@ -1,12 +1,11 @@
 """Hot-key handling shared by all keyed operators.
 
-A key is *hot* when it holds more rows than one task should have to order or join
-(``SkewPolicy.max_rows``). There can be at most ``total_rows / max_rows`` hot keys; their
-table is written down, and the optimizer broadcasts it where its bytes allow. It comes from a
-probe: a map-side combined count over the key columns alone, run while the plan is built.
-Without hot keys the operators fall back to the plain window or join, so ordinary data
-pays for the probe and nothing else; with hot keys the table is written to the shared
-folder and the plan is built around it.
+A key is *hot* when it holds more rows than one task should order or join
+(``SkewPolicy.max_rows``). The rows of such a key are cut into slices of about that many rows along
+their order columns. Where to cut comes from a sample picked by a hash of key and order, ranked per
+key, inside the same plan: no job runs while a query is planned, and the plan is the same with hot
+keys and without. A cut is a whole tuple of the order columns, so rows that bunch together, share a
+time or are ordered by text are cut like any others, as long as the tuple tells them apart.
 """
 
 from __future__ import annotations
@@ -15,127 +14,66 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from courierflow.session import materialize
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """``max_rows``: rows of one key a task may hold. ``oversplit``: spare factor for
-    keys whose rows bunch together. ``salts``: parts a lookup join cuts every key into."""
+    """``max_rows``: rows of one key a task should hold. ``samples``: sampled rows a slice is
+    measured by (256 put a slice's size within a fifth of ``max_rows``). ``salts``: parts a lookup
+    join cuts every key into."""
 
     max_rows: int = 2_000_000
-    oversplit: int = 4
+    samples: int = 256
     salts: int = 1
 
 
 DEFAULT = SkewPolicy()
 
-HOT = "_hot"
-
-
-def _found(groups: DataFrame) -> DataFrame | None:
-    """Write down what a probe found, all of it."""
-    return None if groups.isEmpty() else materialize(groups, "hot-keys")
-
-
-def _join_found(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join to what a probe found on ``keys``; NULL is a key. The table is a written one,
-    so the optimizer knows its bytes and broadcasts it below its own threshold."""
-    table = table.withColumnsRenamed({k: f"_k_{k}" for k in keys})
-    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(table[f"_k_{k}"]) for k in keys])
-    return df.join(table, same, "left").drop(*[f"_k_{k}" for k in keys])
-
+SLICE = "_slice"
 
-@dataclass(frozen=True)
-class Cut:
-    """One cut of oversized groups along a numeric column: group columns, ``_from``, ``_width``."""
 
-    column: str
-    slice_column: str
-    table: DataFrame
+def slice_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], policy: SkewPolicy = DEFAULT) -> DataFrame:
+    """The hot keys of ``df`` with ``_cuts``, the sorted order tuples their slices start at.
 
-
-@dataclass(frozen=True)
-class HotKeys:
-    """Result of a probe: the hot keys with their row count ``_n``, or no table; and, for
-    ordered operators, how to cut their rows."""
-
-    table: DataFrame | None
-    cuts: tuple[Cut, ...] = ()
-
-    @property
-    def slices(self) -> list[str]:
-        """The columns that name a slice within its key, in order."""
-        return list(dict.fromkeys(c.slice_column for c in self.cuts))
-
-
-def _numeric(df: DataFrame, order: Sequence[str]) -> list[str]:
-    """The leading numeric columns of an ordering."""
-    names = []
-    for c in order:
-        if not isinstance(df.schema[c].dataType, T.IntegralType | T.FractionalType):
-            break
-        names.append(c)
-    return names
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy, order: Sequence[str] = ()) -> HotKeys:
-    """Probe for hot keys and, with ``order``, cut them until their slices are small enough.
-
-    A cut divides a group's range of an order column into equal parts. Parts that are
-    still too large, because rows bunch together, are cut again within their own range;
-    parts with a single value of the column are cut along the next order column.
+    One row in ``max_rows / samples`` is looked at, only its keys and order columns, and only every
+    ``samples``-th of a key becomes a cut: there is one cut for each ``max_rows`` rows of a hot
+    key, and none elsewhere. The sample goes by values, so that computing it again, after a lost
+    executor or in another branch of a plan, gives the same cuts.
     """
-    counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > policy.max_rows)
-    table = _found(counted)
-    if table is None or not order:
-        return HotKeys(table)
-    columns = _numeric(df, order)
-    if not columns:
-        raise ValueError(f"keys {list(keys)} have more than {policy.max_rows} rows, and {order[0]!r} is no number to cut them by: order by a number first")
-    hot = HotKeys(table)
-    rows = _join_found(df.select(*dict.fromkeys([*keys, *columns])), table, keys).where("_n IS NOT NULL").drop("_n")
-    position = 0
-    while position < len(columns):
-        column, slice_column = columns[position], f"_slice{position}"
-        group = [*keys, *hot.slices]
-        ends = [F.min(column).alias("_from"), F.max(column).alias("_to")]
-        large = _cut_rows(rows, keys, hot).groupBy(*group).agg(F.count("*").alias("_n"), *ends)
-        large = _found(large.where(F.col("_n") > policy.max_rows))
-        if large is None:
-            break
-        large = large.where("_to > _from")
-        if large.isEmpty():  # one value each: go on with the next column
-            position += 1
-            continue
-        whole = isinstance(df.schema[column].dataType, T.IntegralType)
-        span = (F.col("_to") - F.col("_from")).cast("double") + F.lit(1.0 if whole else 0.0)
-        width = span * F.lit(float(policy.max_rows)) / (F.col("_n") * F.lit(policy.oversplit))
-        width = F.greatest(F.lit(1.0), width) if whole else width
-        cut = Cut(column, slice_column, large.select(*group, F.col("_from").cast("double").alias("_from"), width.alias("_width")))
-        hot = HotKeys(table, (*hot.cuts, cut))
-    return hot
-
-
-def _cut_rows(rows: DataFrame, keys: Sequence[str], hot: HotKeys) -> DataFrame:
-    """Name each row's slice by where the slice starts; 0 where a cut does not apply."""
-    for n, cut in enumerate(hot.cuts):
-        known = list(dict.fromkeys(c.slice_column for c in hot.cuts[:n]))
-        joined = _join_found(rows, cut.table, [*keys, *known])
-        start = F.col("_from") + F.floor((F.col(cut.column) - F.col("_from")) / F.col("_width")) * F.col("_width")
-        before = F.col(cut.slice_column) if cut.slice_column in known else F.lit(0.0)
-        rows = joined.withColumn(cut.slice_column, F.coalesce(start, before)).drop("_from", "_width")
-    return rows
-
-
-def sliced(df: DataFrame, keys: Sequence[str], hot: HotKeys) -> DataFrame:
-    """Add the slice columns and ``_hot``, which is true for rows of hot keys."""
-    flagged = _join_found(df, hot.table, keys).withColumn(HOT, F.col("_n").isNotNull()).drop("_n")
-    return _cut_rows(flagged, keys, hot)
+    every = max(1, policy.max_rows // policy.samples)
+    step = policy.max_rows // every
+    named = list(dict.fromkeys([*keys, *order]))
+    thin = df.select(*named)
+    if every > 1:
+        thin = thin.where(F.pmod(F.xxhash64(*named), F.lit(every)) == 0)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    starts = thin.withColumn("_place", place).where((F.col("_place") > 1) & (F.col("_place") % step == 1 % step))
+    hot = starts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts"))
+    # the powers of two that a search among the cuts goes through
+    powers = F.transform(F.sequence(F.floor(F.log2(F.size("_cuts"))).cast("int"), F.lit(0), F.lit(-1)), lambda e: F.pow(F.lit(2), e).cast("int"))
+    return hot.withColumn("_powers", powers)
+
+
+def _slice_of(order: Sequence[str]) -> Column:
+    """How many cuts a row stands at or behind, by binary search."""
+    at = F.struct(*order)
+    closer = lambda n, p: F.when(F.get("_cuts", n + p - 1) <= at, n + p).otherwise(n)
+    return F.aggregate("_powers", F.lit(0), closer)
+
+
+def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame, only: bool = False) -> DataFrame:
+    """``df`` with the row's slice of its key, NULL where the key isn't hot; or hot keys' rows ``only``.
+
+    The cuts are broadcast: one for each ``max_rows`` rows of hot keys, 500,000 of some thirty
+    bytes for 10^12 rows under the default policy.
+    """
+    table = F.broadcast(hot.withColumnsRenamed({k: f"_k_{k}" for k in keys}))
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(table[f"_k_{k}"]) for k in keys])
+    joined = df.join(table, same, "inner" if only else "left")
+    number = _slice_of(order) if only else F.when(F.col("_cuts").isNotNull(), _slice_of(order))
+    return joined.withColumn(SLICE, number).drop("_cuts", "_powers", *[f"_k_{k}" for k in keys])
 
 
 def dimension_join(

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from courierflow.functions import geo, scoring
 from courierflow.operators.knn import nearest_k
 from courierflow.operators.sequence import running, sweep, windowed
-from courierflow.operators.skew import DEFAULT, SkewPolicy, dimension_join, hot_keys, lookup_join
+from courierflow.operators.skew import DEFAULT, SkewPolicy, dimension_join, lookup_join, slice_cuts
 from courierflow.plans.orders import order_restaurants, order_times
 from courierflow.schemas import SCHEMAS
 from courierflow.session import materialize
@@ -67,7 +67,6 @@ def drop_sequence(
     owner = order_restaurants(orders)
     rows = trips(dispatch, policy).select("dp_id", "trip_id", "order_id")
     key = ["dp_id", "trip_id"]
-    hot = hot_keys(rows, key, policy)  # probe before the joins, which add no rows
     rows = rows.join(owner, "order_id", "left").join(drops, "order_id", "left")
     spots = restaurants.select("restaurant_id", "lat", "lon")
     placed = dimension_join(rows, spots, ["restaurant_id"], "left", ["order_id"], policy)
@@ -75,7 +74,7 @@ def drop_sequence(
     placed = placed.select("dp_id", "trip_id", "order_id", km.alias("drop_km"))
     ranked = {"position": ("sum", F.lit(1))}
     placed = placed.withColumn("_km", F.coalesce("drop_km", F.lit(float("inf"))))
-    return running(placed, key, ["_km", "order_id"], ranked, policy, hot if hot.table is None else None).drop("_km")
+    return running(placed, key, ["_km", "order_id"], ranked, policy).drop("_km")
 
 
 def planned_distance(
@@ -204,15 +203,15 @@ def batch_candidates(orders: DataFrame, status: DataFrame, policy: SkewPolicy =
     ready = ready.select("_rest", F.col("ready_s").alias("event_s"), "_order", "order_id", "restaurant_id")
     asks = starts.unionByName(ready.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
     key, order = ["_rest"], ["event_s", "_kind", "_order", "spell"]
-    asks = materialize(asks, "batch-asks")  # read by the probe and by the sweeps
-    hot = hot_keys(asks, key, policy, order)
+    asks = materialize(asks, "batch-asks")  # three passes read it
+    cuts = slice_cuts(asks, key, order, policy)
     best = {"best": ("max", F.col("spell")), "was_best": ("max_before", F.col("spell"))}
-    asks = sweep(asks, key, order, best, policy=policy, hot=hot)
+    asks = sweep(asks, key, order, best, policy=policy, cuts=cuts)
     loser = F.when(
         F.col("spell").isNotNull() & (F.col("spell.other") != F.col("was_best.other")),
         F.when(F.col("spell") < F.col("was_best"), F.col("spell")).otherwise(F.col("was_best")),
     )
-    asks = running(asks, key, order, {"second": ("max", loser)}, policy, hot)
+    asks = running(asks, key, order, {"second": ("max", loser)}, policy, cuts)
     pick = F.when(F.col("best.other") != F.col("_order"), F.col("best")).otherwise(F.col("second"))
     found = asks.where("_kind = 1").withColumn("pick", pick).where(F.col("pick.until_s") > F.col("event_s"))
     found = found.select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from courierflow.functions import clock, scoring
 from courierflow.operators.sequence import latest, running, windowed
-from courierflow.operators.skew import DEFAULT, SkewPolicy, hot_keys
+from courierflow.operators.skew import DEFAULT, SkewPolicy, slice_cuts
 from courierflow.plans.orders import order_times
 
 
@@ -60,9 +60,9 @@ def backlog_running(events: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFram
         ),
     ).where(F.col("event_s").isNotNull())
     key, order = ["restaurant_id"], ["event_s", "order_id", "delta"]
-    hot = hot_keys(changes, key, policy, order)
-    level = running(changes, key, order, {"level": ("sum", F.col("delta"))}, policy, hot)
-    low = running(level, key, order, {"lowest": ("min", F.col("level"))}, policy, hot)
+    cuts = slice_cuts(changes, key, order, policy)
+    level = running(changes, key, order, {"level": ("sum", F.col("delta"))}, policy, cuts)
+    low = running(level, key, order, {"lowest": ("min", F.col("level"))}, policy, cuts)
     return low.select(*key, *order, (F.col("level") - F.least(F.lit(0), F.col("lowest"))).alias("backlog"))
 
 

@@ -7,9 +7,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from courierflow.operators.sequence import asof_join, latest, running, sweep, windowed
-from courierflow.operators.skew import SkewPolicy, hot_keys, lookup_join, sliced
+from courierflow.operators.skew import SLICE, SkewPolicy, lookup_join, slice_cuts, sliced
 
-POLICIES = [SkewPolicy(max_rows=5, oversplit=2), SkewPolicy(max_rows=40), SkewPolicy(max_rows=10**9)]
+POLICIES = [SkewPolicy(max_rows=5), SkewPolicy(max_rows=40), SkewPolicy(max_rows=40, samples=10), SkewPolicy(max_rows=10**9)]
 
 
 @pytest.fixture(scope="module")
@@ -101,27 +101,27 @@ def test_lookup_join(spark, rows, policy, how):
 
 def test_slices_are_bounded(spark):
     """Rows that bunch together in time, or share one time, still end up in small slices."""
-    policy = SkewPolicy(max_rows=20, oversplit=2)
+    policy = SkewPolicy(max_rows=20)
     bunched = [(1, 1000 + i // 40, i) for i in range(400)]  # ten seconds of a long span
     spread = [(1, 10_000 * i, 1000 + i) for i in range(100)]
     frozen = [(2, 7, i) for i in range(300)]  # one single time
     cold = [(3, i, i) for i in range(20)]
     rows = spark.createDataFrame(bunched + spread + frozen + cold, "k long, t long, id long")
-    hot = hot_keys(rows, ["k"], policy, ["t", "id"])
-    assert sorted(r.k for r in hot.table.collect()) == [1, 2]
-    cut = sliced(rows, ["k"], hot)
-    sizes = cut.groupBy("k", *hot.slices).count()
+    hot = slice_cuts(rows, ["k"], ["t", "id"], policy)
+    assert sorted(r.k for r in hot.collect()) == [1, 2]
+    cut = sliced(rows, ["k"], ["t", "id"], hot)
+    sizes = cut.groupBy("k", SLICE).count()
     assert sizes.agg(F.max("count")).first()[0] <= 20
-    assert cut.where("NOT _hot").count() == 20
+    assert cut.where(F.col(SLICE).isNull()).count() == 20
     # slices follow the order of the rows
     w = Window.partitionBy("k").orderBy("t", "id")
-    turns = cut.withColumn("p", F.lag(F.struct(*hot.slices)).over(w)).where(F.col("p") > F.struct(*hot.slices))
+    turns = cut.withColumn("p", F.lag(SLICE).over(w)).where(F.col("p") > F.col(SLICE))
     assert turns.count() == 0
     same(
         running(rows, ["k"], ["t", "id"], {"n": ("sum", F.lit(1))}, policy),
         rows.withColumn("n", F.row_number().over(w).cast("long")),
     )
-    assert hot_keys(rows, ["k"], SkewPolicy(max_rows=10**6)).table is None
+    assert slice_cuts(rows, ["k"], ["t", "id"], SkewPolicy(max_rows=10**6)).isEmpty()
 
 
 def test_latest(rows):
@@ -164,14 +164,36 @@ def test_sweep_mixes_totals_and_neighbours(rows, policy):
 def test_every_hot_key_is_found(rows):
     """No bound on the number of hot keys leaves one unsplit."""
     policy = SkewPolicy(max_rows=5)
-    hot = hot_keys(rows, ["k"], policy, ["t", "id"])
-    assert {r.k for r in hot.table.collect()} == {r.k for r in rows.groupBy("k").count().where("count > 5").collect()}
+    hot = slice_cuts(rows, ["k"], ["t", "id"], policy)
+    assert {r.k for r in hot.collect()} == {r.k for r in rows.groupBy("k").count().where("count > 5").collect()}
     got = running(rows, ["k"], ["t", "id"], {"n": ("sum", F.lit(1))}, policy)
     w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     same(got, rows.withColumn("n", F.count(F.lit(1)).over(w)))
 
 
-def test_a_text_order_of_a_hot_key_is_an_error(rows):
-    named = rows.withColumn("name", F.col("id").cast("string"))
-    with pytest.raises(ValueError, match="no number"):
-        hot_keys(named, ["k"], SkewPolicy(max_rows=5), ["name"])
+@pytest.mark.parametrize("policy", POLICIES)
+def test_a_text_order_is_cut_too(rows, policy):
+    named = rows.withColumn("name", F.concat(F.lit("n"), F.col("id").cast("string")))
+    w = Window.partitionBy("k").orderBy("name")
+    same(running(named, ["k"], ["name"], {"n": ("sum", F.lit(1))}, policy), named.withColumn("n", F.row_number().over(w).cast("long")))
+
+
+def test_a_sample_cuts_large_keys_evenly(spark):
+    """A key with a third of all rows, half of them at one second: slices by the sample stay near their size."""
+    rows = spark.range(30_000).selectExpr("id", "if(id % 3 = 0, -1, id % 500) AS k", "if(id % 2 = 0, 7, id) AS t")
+    policy = SkewPolicy(max_rows=1000, samples=100)
+    hot = slice_cuts(rows, ["k"], ["t", "id"], policy)
+    sizes = sliced(rows, ["k"], ["t", "id"], hot).where("k = -1").groupBy(SLICE).count().collect()
+    assert [r.k for r in hot.collect()] == [-1] and len(sizes) >= 8 and max(r["count"] for r in sizes) <= 1500
+
+
+def test_no_job_runs_while_planning(spark, rows):
+    """The plan is built without a job, hot keys or not."""
+    tracker, group = spark.sparkContext.statusTracker(), "planning"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        for policy in POLICIES:
+            sweep(rows, ["k"], ["t", "id"], {"n": ("sum", F.lit(1))}, [lambda w: {"p": F.lag("x").over(w)}], 1, 1, policy)
+        assert not tracker.getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

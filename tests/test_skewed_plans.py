@@ -8,7 +8,7 @@ from courierflow.operators.skew import SkewPolicy
 from courierflow.plans import dispatch, kitchen, orders, payments, supply, trips
 from courierflow.registry import AS_OF_S, MAX_KMPH, STILL_KM, STILL_STEPS
 
-TINY = SkewPolicy(max_rows=6, oversplit=3, salts=3)
+TINY = SkewPolicy(max_rows=6, salts=3)
 
 PLANS = {
     "utilization": lambda v, p: supply.utilization(v.dp_status, p),
