@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from courierflow.functions import clock, geo, scoring
 from courierflow.operators.knn import nearest_k
+from courierflow.operators.skew import SkewPolicy
 from courierflow.operators.stats import mean_of_histogram, percentiles, stddev_of_histogram
 from courierflow.states import LEGAL_MOVES, ORDER_STATES, PARTNER_STATES, legal_pairs
 
@@ -120,3 +121,17 @@ def test_percentiles_are_exact(spark):
     rows = {r.g: r for r in out.collect()}
     assert (rows["a"].p50, rows["a"].n, rows["a"]["mean"]) == (3.5, 8, 3.875) and rows["a"].p95 == pytest.approx(7.95)
     assert rows["a"].sd == pytest.approx(2.748376, abs=1e-5) and rows["b"].p95 == 7 and rows["b"].sd is None
+
+
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(max_rows=7)])
+@pytest.mark.parametrize("by", [["g"], []])
+def test_percentiles_by_selection(spark, by, policy):
+    """As the engine's own percentile, for groups that are cut and for a global one; NULL is a group."""
+    rows = spark.range(3000).selectExpr("if(id % 7 = 0, NULL, least(id % 5, 2)) AS g", "if(id % 11 = 0, NULL, (id * 7919) % 431) AS x")
+    points = {"p0": 0.0, "p33": 0.33, "p50": 0.5, "p99": 0.99, "p100": 1.0}
+    exact = [F.round(F.percentile("x", p), 6).alias(n) for n, p in points.items()]
+    want = rows.where("x IS NOT NULL").groupBy(*by).agg(F.count("*").alias("n"), *exact)
+    got = percentiles(rows, by, F.col("x"), points, F.sum("_n").alias("n"), policy=policy)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert "percentile(" not in got._jdf.queryExecution().toString()
+    assert percentiles(rows.where("false"), by, F.col("x"), points, policy=policy).count() == 0
