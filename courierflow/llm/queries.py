@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierflow.llm import blocks, bpe, host_rules, license_join, minhash, pii, quality, suffix, tiling, wavelet
+from courierflow.llm import blocks, bpe, class_ngrams, host_rules, license_join, minhash, pii, prefix_trie, quality, suffix, tiling, wavelet, whitening
 from courierflow.session import prepare, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,3 +95,18 @@ def op3_minhash(spark, sf_dir):
 @query
 def op2_suffix(spark, sf_dir):
     return suffix.dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_class_ngrams(spark, sf_dir):
+    return class_ngrams.score_documents(table(spark, sf_dir, "documents")).drop("perplexity")
