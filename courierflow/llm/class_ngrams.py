@@ -394,7 +394,7 @@ def score(documents: DataFrame, model: ClassModel) -> DataFrame:
 def score_documents(documents: DataFrame) -> DataFrame:
     """``score`` of all rows by a model of those that aren't held out (a null id isn't).
 
-    Without training texts every token has probability 1; an empty table gives no rows. Other
-    columns of the table are not looked at.
+    Without training texts the base score is 0 and every token scores alike; an empty table gives no
+    rows. Other columns of the table are not looked at.
     """
     return score(documents, fit(documents.where(~held_out())))
