@@ -212,7 +212,7 @@ def best_class(before: np.ndarray, behind: np.ndarray, itself: float, now: int,
     before, behind = before.copy(), behind.copy()
     before[now] -= itself
     behind[now] -= itself
-    out, into = rest.sum(axis=1), rest.sum(axis=0)
+    out, into = rest.sum(axis=1) + before, rest.sum(axis=0) + behind  # of the other units
     p, s = np.flatnonzero(before), np.flatnonzero(behind)
     gain = (_phi(rest[p] + before[p, None]) - _phi(rest[p])).sum(axis=0)
     gain += (_phi(rest[:, s] + behind[s]) - _phi(rest[:, s])).sum(axis=1)
