@@ -114,6 +114,22 @@ def test_nearest_equals_brute_force(spark, k, finest):
     assert {(r.oid, r.pid, r["rank"]) for r in got.collect()} == want
 
 
+def test_nearest_from_far_away_and_around_the_globe(spark):
+    """Origins on the other side of the globe, beside a pole and across the 180th meridian; one crowded spot of many positions."""
+    rng = random.Random(9)
+    places = [("Z", i, 17.4 + rng.random() * 1e-4, 78.4 + rng.random() * 1e-4) for i in range(400)]
+    places += [("Z", 1000 + i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(60)] + [("Z", 2000, None, 1.0), ("Z", 2001, 5.0, None)]
+    origins = [(0, "Z", -17.4, -101.6), (1, "Z", 89.99, 10.0), (2, "Z", -89.9, -170.0), (3, "Z", 0.0, 179.9), (4, "Z", 0.0, -179.9), (5, "Z", 17.40005, 78.40005), (6, "Z", None, 1.0)]
+    got = nearest_k(
+        spark.createDataFrame(origins, "oid long, zone_id string, lat double, lon double"),
+        spark.createDataFrame(places, "zone_id string, pid long, lat double, lon double"), 7, "oid", "pid")
+    want = set()
+    for oid, _, lat, lon in origins[:-1]:
+        near = sorted((round(haversine(lat, lon, p[2], p[3]), 6), p[1]) for p in places[:-2])[:7]
+        want |= {(oid, pid, n + 1) for n, (_, pid) in enumerate(near)}
+    assert {(r.oid, r.pid, r["rank"]) for r in got.collect()} == want
+
+
 def test_percentiles_are_exact(spark):
     values = [3, 1, 4, 1, 5, 9, 2, 6, None]
     df = spark.createDataFrame([("a", v) for v in values] + [("b", 7)], "g string, v long")
