@@ -6,6 +6,8 @@ independent of how the Spark plans reach it.
 
 from __future__ import annotations
 
+import re
+
 from checks.views import with_views
 
 AS_OF = "1705321800"  # 2024-01-15 12:30 UTC
@@ -353,5 +355,25 @@ SQL["duplicate_rate_estimate"] = "SELECT event_type, count(*) AS events, true AS
 SQL["m05_eta_variance_restaurant"] = SQL["m05_eta_variance"].replace("zone_id, count(*) AS delivered", "restaurant_id, count(*) AS delivered")
 
 
+def hot(name: str, view: str, column: str, value: str, number: str) -> str:
+    """A statement over ``view`` with ``value`` in a third of the rows of ``column``."""
+    sql = re.sub(rf"\b{view}\b", "hot_rows", SQL[name])
+    rows = f"hot_rows AS (SELECT * REPLACE (CASE WHEN {number} % 3 = 0 THEN {value} ELSE {column} END AS {column}) FROM {view})"
+    return f"WITH {rows}, {sql[5:]}" if sql.startswith("WITH ") else f"WITH {rows} {sql}"
+
+
+SQL["hot_partner_utilization"] = hot("m01_utilization", "fx_dp_status", "dp_id", "-1", "event_id")
+SQL["hot_partner_gaps"] = hot("gps_gaps", "fx_gps", "dp_id", "-1", "event_id").replace("259200", "10800")
+SQL["hot_partition_lateness"] = hot("lateness_profile", "fx_arrivals", "part", "6", "off")
+SQL["hot_restaurant_backlog"] = hot("backlog_running", "fx_order_lifecycle", "restaurant_id", "7", "order_id")
+SQL["hot_zone_latency"] = hot("m05_eta_variance", "fx_order_lifecycle", "zone_id", "'Z01'", "order_id")
+SQL["crowded_topk"] = f"""WITH p AS (SELECT zone_id, dp_id, CASE WHEN dp_id % 3 = 0 THEN 17.4::DOUBLE + dp_id * 1e-7::DOUBLE ELSE lat END AS lat,
+   CASE WHEN dp_id % 3 = 0 THEN 78.5::DOUBLE - dp_id * 1e-7::DOUBLE ELSE lon END AS lon FROM fx_partners),
+ r AS (SELECT restaurant_id, CASE WHEN restaurant_id % 5 = 0 THEN -lat ELSE lat END AS lat, CASE WHEN restaurant_id % 5 = 0 THEN lon - 180 ELSE lon END AS lon FROM fx_restaurants),
+ near AS (SELECT o.order_id, p.dp_id, round({km('r.lat', 'r.lon', 'p.lat', 'p.lon')}, 6) AS distance_km
+   FROM fx_order_lifecycle o JOIN r USING (restaurant_id) JOIN p ON p.zone_id = o.zone_id WHERE o.state = 'READY')
+ SELECT order_id, dp_id, distance_km, row_number() OVER w AS rank FROM near WINDOW w AS (PARTITION BY order_id ORDER BY distance_km, dp_id) QUALIFY rank <= 8"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(sql) for name, sql in SQL.items()}

@@ -125,7 +125,7 @@ def acceptance(events: DataFrame, sla_s: int = 90) -> DataFrame:
     return rated.join(latency, "zone_id", "left")
 
 
-def eta_variance(events: DataFrame, by: Sequence[str] = ("zone_id",)) -> DataFrame:
+def eta_variance(events: DataFrame, by: Sequence[str] = ("zone_id",), policy: SkewPolicy = DEFAULT) -> DataFrame:
     """Delivered minus promised, in seconds; negative is early."""
     orders = order_times(events).where(F.col("delivered_s").isNotNull())
     return percentiles(
@@ -137,6 +137,7 @@ def eta_variance(events: DataFrame, by: Sequence[str] = ("zone_id",)) -> DataFra
         mean_of_histogram(4).alias("mean_error_s"),
         stddev_of_histogram(4).alias("stddev_error_s"),
         F.round(F.sum(F.when(F.col("_v") <= 0, F.col("_n")).otherwise(0)) / F.sum("_n"), 6).alias("on_time_share"),
+        policy=policy,
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from courierflow.fixtures import DAY0, Views
 from courierflow.functions import clock, geo
 from courierflow.operators import ingest, quality
+from courierflow.operators.skew import SkewPolicy
 from courierflow.plans import dispatch, health, kitchen, orders, payments, supply, trips
 from courierflow.plans.scorecard import zone_scorecard
 from courierflow.schemas import ENVELOPE, STRING, struct_of
@@ -455,3 +456,53 @@ def malformed_rate(v):
 @query
 def ops_gauges(v):
     return health.gauges(parsed(v), v.order_lifecycle, v.dp_status, AS_OF_S)
+
+
+# -- hot keys: one key holds a third of all rows, under a policy that cuts it into slices ------
+
+CUT = SkewPolicy(max_rows=500, samples=50)
+
+
+def third(column: str, number: str, value) -> F.Column:
+    """``column``, but ``value`` on a third of the rows."""
+    return F.when(F.col(number) % 3 == 0, F.lit(value)).otherwise(F.col(column))
+
+
+@query
+def hot_partner_utilization(v):
+    return supply.utilization(v.dp_status.withColumn("dp_id", third("dp_id", "event_id", -1)), CUT)
+
+
+@query
+def hot_partner_gaps(v):
+    return trips.gaps(v.gps.withColumn("dp_id", third("dp_id", "event_id", -1)), 3600, 3.0, CUT)
+
+
+@query
+def hot_partition_lateness(v):
+    return quality.lateness_profile(v.arrivals.withColumn("part", third("part", "off", 6)), "event_type", (0, 600, 3600, 7200), CUT)
+
+
+@query
+def hot_restaurant_backlog(v):
+    return kitchen.backlog_running(v.order_lifecycle.withColumn("restaurant_id", third("restaurant_id", "order_id", 7)), CUT)
+
+
+@query
+def hot_zone_latency(v):
+    """Percentiles by selection, with the values of a zone cut into slices."""
+    return orders.eta_variance(v.order_lifecycle.withColumn("zone_id", third("zone_id", "order_id", "Z01")), policy=SkewPolicy(max_rows=100, samples=50))
+
+
+@query
+def crowded_topk(v):
+    """Nearest partners where a third of them stand within some metres of each other, and every
+    fifth restaurant lies on the other side of the globe."""
+    close = F.col("dp_id") % 3 == 0
+    partners = v.partners.withColumns({
+        "lat": F.when(close, F.lit(17.4) + F.col("dp_id") * 1e-7).otherwise(F.col("lat")),
+        "lon": F.when(close, F.lit(78.5) - F.col("dp_id") * 1e-7).otherwise(F.col("lon"))})
+    far = F.col("restaurant_id") % 5 == 0
+    spots = v.restaurants.withColumns({
+        "lat": F.when(far, -F.col("lat")).otherwise(F.col("lat")), "lon": F.when(far, F.col("lon") - 180).otherwise(F.col("lon"))})
+    return dispatch.top_partners(v.order_lifecycle, spots, partners, k=8).drop("score")
