@@ -353,6 +353,18 @@ SQL["order_enrichment"] = """SELECT z.name AS zone_name, coalesce(c_mktsegment,
  WHERE state = 'PLACED' GROUP BY 1, 2"""
 SQL["duplicate_rate_estimate"] = "SELECT event_type, count(*) AS events, true AS within_5_points FROM fx_arrivals GROUP BY 1"
 SQL["m05_eta_variance_restaurant"] = SQL["m05_eta_variance"].replace("zone_id, count(*) AS delivered", "restaurant_id, count(*) AS delivered")
+SQL["stream_orders_ending"] = f"""SELECT order_id, state, event_s FROM fx_order_lifecycle WHERE NOT (order_id % 40 = 11 AND state = 'DELIVERED' AND event_s < {1704067200 + 20 * 86400})
+ QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY event_s DESC, {ORD} DESC) = 1"""
+SQL["z_order_lookup"] = f"""SELECT 'partner' AS looked_up, event_id, dp_id, event_s, 16::BIGINT AS files, true AS skips_most FROM fx_gps
+ WHERE dp_id = 7 AND event_s BETWEEN {1704067200 + 15 * 86400} AND {1704067200 + 31 * 86400}
+ UNION ALL SELECT 'hour', event_id, dp_id, event_s, 16, true FROM fx_gps WHERE event_s BETWEEN {1704067200 + 10 * 86400} AND {1704067200 + 10 * 86400 + 3600}"""
+SQL["bucketed_order_join"] = """SELECT order_id, o.zone_id, decision, is_batched, round(order_value_inr, 2) AS order_value
+ FROM fx_order_lifecycle o JOIN fx_dispatch USING (order_id) WHERE state = 'PLACED'"""
+SQL["payload_shapes"] = """WITH j AS (SELECT topic, TRY_CAST(value AS JSON) AS j FROM fx_envelope),
+ f AS (SELECT topic, CAST(j ->> '$.schema_version' AS BIGINT) AS schema_version, j, unnest(json_keys(j)) AS field FROM j WHERE j IS NOT NULL)
+ SELECT topic, schema_version, field, CASE json_type(j, '$.' || field) WHEN 'VARCHAR' THEN 'STRING' ELSE 'BIGINT' END AS type, count(*) AS records FROM f GROUP BY ALL"""
+SQL["duplicate_rate_sketched"] = """SELECT event_type, count(*) AS events, round(1 - count(DISTINCT event_id) / count(*), 3) AS duplicate_rate FROM fx_arrivals GROUP BY 1"""
+SQL["payment_orphans_found"] = (SQL["payment_orphans"].replace("FROM fx_payment", "FROM (SELECT * REPLACE (CASE WHEN order_id % 7 = 3 THEN -order_id ELSE order_id END AS order_id) FROM fx_payment WHERE payment_id % 10 <> 1 OR order_id % 5 > 0) q"))
 
 
 def hot(name: str, view: str, column: str, value: str, number: str) -> str:

@@ -102,3 +102,19 @@ def with_event_ts(events: DataFrame, text: Column | None = None, to_ts=F.try_to_
     return events.withColumn("event_ts", to_ts(value)).withColumn(
         "time_error", F.when(F.col("event_ts").isNull(), BAD_TIME)
     )
+
+
+def payload_shapes(records: DataFrame, topic: str = "topic", version: str = "$.schema_version") -> DataFrame:
+    """Fields and types of each topic and schema version, from the payloads themselves.
+
+    Every payload that is JSON is read as VARIANT, whether its version was ever declared or not. Types
+    are merged over all records that hold the field, on the map side; a payload that isn't an
+    object has no fields and gives no rows.
+    """
+    spark = records.sparkSession
+    text = F.col("value").cast("string")
+    read = records.select(F.col(topic).alias("topic"), F.try_parse_json(text).alias("payload")).where("payload IS NOT NULL")
+    read = read.withColumn("schema_version", F.try_variant_get("payload", version, "bigint"))
+    fields = read.lateralJoin(spark.tvf.variant_explode(F.col("payload").outer()))
+    return fields.where("key IS NOT NULL").groupBy("topic", "schema_version", F.col("key").alias("field")).agg(
+        F.schema_of_variant_agg("value").alias("type"), F.count("*").alias("records"))

@@ -31,6 +31,19 @@ def approx_duplicate_rate(events: DataFrame, by: str, key: str = "event_id", rsd
     return out.select(by, "events", F.greatest(F.lit(0.0), 1 - F.col("_d") / F.col("events")).alias("duplicate_rate"))
 
 
+def duplicate_sketches(events: DataFrame, by: Sequence[str], key: str = "event_id", lg_k: int = 16) -> DataFrame:
+    """Rows and a mergeable sketch of the distinct keys of each group: what is kept of a day, say, so
+    that later days never read it again. ``lg_k`` 16 errs by 0.4 % and takes 32 KB at most."""
+    return events.groupBy(*by).agg(F.count("*").alias("events"), F.hll_sketch_agg(key, lg_k).alias("sketch"))
+
+
+def merged_duplicate_rate(sketches: DataFrame, by: Sequence[str], digits: int = 3) -> DataFrame:
+    """Duplicate rate over any union of groups, from their sketches alone."""
+    merged = sketches.groupBy(*by).agg(F.sum("events").alias("events"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("_d"))
+    rate = F.greatest(F.lit(0.0), 1 - F.col("_d") / F.col("events"))
+    return merged.select(*by, "events", F.round(rate, digits).alias("duplicate_rate"))
+
+
 def lateness(
     events: DataFrame, partition: str = "part", offset: str = "off", time: str = "event_s", policy: SkewPolicy = DEFAULT
 ) -> DataFrame:

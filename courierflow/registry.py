@@ -94,6 +94,12 @@ def malformed_replay(v):
     )
 
 
+@query
+def payload_shapes(v):
+    """What fields of what types each schema version really holds, malformed records left out."""
+    return ingest.payload_shapes(v.kafka)
+
+
 @query
 def silver_event_time(v):
     """Typed event time per topic. The envelope holds epoch text, so it is formatted as ISO
@@ -388,6 +394,14 @@ def payment_orphans(v):
     return payments.orphans(v.payment, v.order_lifecycle)
 
 
+@query
+def payment_orphans_found(v):
+    """Orphans in a table that lost the first attempts of some orders and holds orders nobody placed."""
+    rows = v.payment.where("payment_id % 10 <> 1 OR order_id % 5 > 0")
+    strange = F.when(F.col("order_id") % 7 == 3, -F.col("order_id")).otherwise(F.col("order_id"))
+    return payments.orphans(rows.withColumn("order_id", strange), v.order_lifecycle)
+
+
 @query
 def zone_scorecard_report(v):
     return zone_scorecard(v.order_lifecycle, v.dispatch, v.payment, v.zones)
@@ -429,6 +443,13 @@ def duplicate_rate_estimate(v):
     return exact.join(estimate, "event_type").select("event_type", "events", close.alias("within_5_points"))
 
 
+@query
+def duplicate_rate_sketched(v):
+    """Duplicate rate per event type over all days, merged from the sketches of each day."""
+    days = v.arrivals.withColumn("day", F.floor(F.col("event_s") / 86400))
+    return quality.merged_duplicate_rate(quality.duplicate_sketches(days, ["event_type", "day"]), ["event_type"])
+
+
 @query
 def lateness_profile(v):
     return quality.lateness_profile(v.arrivals, "event_type", (0, 600, 3600, 7200))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -15,7 +16,8 @@ from courierflow.plans import health
 from courierflow.registry import CENTRE, ENVELOPE_SCHEMA, parsed, query, r6
 from courierflow.schemas import KAFKA_RECORD, MALFORMED, MALFORMED_TABLE, METADATA, TOPICS, T
 from courierflow.session import scratch
-from courierflow.sinks.tables import BATCH, append_batch, as_messages, write_clustered
+from courierflow.sinks.layout import bucketed_join, look_up, write_z_ordered
+from courierflow.sinks.tables import BATCH, append_batch, as_messages, write_bucketed, write_clustered
 from courierflow.sources.files import read_table, stream_files
 from courierflow.streaming import stateful, windows
 from courierflow.streaming.ingest import start_ingest, write_batch
@@ -120,6 +122,31 @@ def clustered_layout_lookup(v):
     return last.select("dp_id", "event_id", "event_s", km.alias("km"))
 
 
+@query
+def z_order_lookup(v):
+    """Pings of one partner in the second half of January, and of all partners in one hour, from files in
+    Z-order of partner and time; whether either look-up opened less than half of the files."""
+    root = scratch(v.spark, "z-order")
+    write_z_ordered(v.gps, root, ["dp_id", "event_s"], files=16, bloom=["event_id", "dp_id"])
+    half, hour = DAY0 + 15 * 86400, DAY0 + 10 * 86400
+    one, one_read, there = look_up(v.spark, root, {"dp_id": (7, 7), "event_s": (half, DAY0 + 31 * 86400)})
+    some, some_read, _ = look_up(v.spark, root, {"event_s": (hour, hour + 3600)})
+    told = lambda df, name, read: df.select(
+        F.lit(name).alias("looked_up"), "event_id", "dp_id", "event_s", F.lit(there).cast("long").alias("files"), F.lit(2 * read < there).alias("skips_most"))
+    return told(one, "partner", one_read).unionByName(told(some, "hour", some_read))
+
+
+@query
+def bucketed_order_join(v):
+    """Order value of each dispatched order, from two tables bucketed by order: no shuffle joins them."""
+    names = [f"bucketed_{kind}_{uuid.uuid4().hex[:12]}" for kind in ("orders", "dispatch")]
+    placed = v.order_lifecycle.where("state = 'PLACED'").select("order_id", "zone_id", "order_value_inr")
+    for name, rows in zip(names, (placed, v.dispatch.select("order_id", "decision", "is_batched"))):
+        write_bucketed(rows, name, scratch(v.spark, name), ["order_id"], ["order_id"], buckets=8)
+    joined = bucketed_join(v.spark, *names, ["order_id"])
+    return joined.select("order_id", "zone_id", "decision", "is_batched", F.round("order_value_inr", 2).alias("order_value"))
+
+
 @query
 def event_json_emit(v):
     """Partner status events as keyed JSON messages."""
@@ -331,6 +358,30 @@ def stream_orders_current(v):
     return latest(changes, ["order_id"], ["event_s", "rank"]).select("order_id", "state", "event_s")
 
 
+# Finished orders whose last event comes in only when all others have: far behind the watermark.
+STRAGGLER = f"order_id % 40 = 11 AND state = 'DELIVERED' AND event_s < {DAY0 + 20 * 86400}"
+
+
+def ending_run(v, name: str) -> str:
+    """Feed order events up to half an hour out of order, and the stragglers last, to ``ending_states``;
+    returns the folder of its changes and its checkpoint."""
+    rows = v.order_lifecycle.select("order_id", "state", "event_s", (F.col("event_s") + F.col("order_id") % 7 * 300).alias("arrived_s"))
+    feed, root = scratch(v.spark, f"{name}-feed"), scratch(v.spark, name)
+    for part in [*slices_of(rows.where(f"NOT ({STRAGGLER})"), "arrived_s", 2), rows.where(STRAGGLER)]:
+        part.write.mode("append").parquet(feed)
+        with stateful.rocksdb_state(v.spark):
+            changes = stateful.ending_states(stream_files(v.spark, feed, rows.schema), "1 hour")
+            finish(stateful.start_changes(changes, f"{root}/changes", f"{root}/_checkpoint"))
+    return root
+
+
+@query
+def stream_orders_ending(v):
+    """Latest state per order where finished orders leave the state and stragglers are dropped."""
+    changes = v.spark.read.parquet(f"{ending_run(v, 'ending')}/changes")
+    return latest(changes, ["order_id"], ["event_s", "rank"]).select("order_id", "state", "event_s")
+
+
 @query
 def stream_dp_intervals(v):
     """Closed status spans per partner from events up to an hour out of order, with illegal moves marked."""

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from courierflow.sinks.tables import append_batch
-from courierflow.states import ORDER_STATES, legal_moves_frame, state_ordinal
+from courierflow.states import ORDER_STATES, ORDER_TERMINAL, legal_moves_frame, state_ordinal
 
 HELD = "event_s array<bigint>, event_id array<bigint>, status array<string>"
 RANKS = 16  # more than there are order states
@@ -31,6 +33,80 @@ def latest_states(events: DataFrame) -> DataFrame:
     return out.select("order_id", state.alias("state"), F.floor(F.col("newest") / RANKS).alias("event_s"), rank.cast("long").alias("rank"))
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB, which state with timers asks for."""
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before) if before else spark.conf.unset(_PROVIDER)
+
+
+class _Newest(StatefulProcessor):
+    """The newest state of an order, as one number, until the order is over.
+
+    A timer stands at the time of a final state, or ``idle_s`` behind the newest event of an order
+    that goes on. Once the watermark passes it no event of before can come in any more, and the
+    state goes.
+    """
+
+    def __init__(self, final: set[int], idle_s: int):
+        self.final, self.idle_s = final, idle_s
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.newest = handle.getValueState("newest", "code long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        known = self.newest.get()[0] if self.newest.exists() else -1
+        code = max(int(frame["code"].max()) for frame in rows)
+        if code <= known:
+            return
+        self.newest.update((code,))
+        for timer in list(self.handle.listTimers()) if known >= 0 else ():
+            self.handle.deleteTimer(timer)
+        event_s, rank = divmod(code, RANKS)
+        self.handle.registerTimer(1000 * (event_s if rank in self.final else event_s + self.idle_s))
+        yield pd.DataFrame({"order_id": [key[0]], "code": [code]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.newest.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def ending_states(events: DataFrame, delay: str, idle_s: int = 7 * 86400) -> DataFrame:
+    """Current state per order in update mode, with state that ends: see ``_Newest``.
+
+    As ``latest_states`` otherwise, but events more than ``delay`` behind the newest are dropped, so
+    that a finished order can leave the state for good. Each task first keeps one row an order of
+    what it has read, so that an order with very many events doesn't meet in one task row by row.
+    Start it within ``rocksdb_state``.
+    """
+    code = F.col("event_s") * RANKS + state_ordinal(F.col("state"))
+    coded = events.select("order_id", code.cast("long").alias("code")).where(F.col("code").isNotNull())
+
+    def newest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = pa.Table.from_batches([batch]).group_by("order_id").aggregate([("code", "max")])
+            yield from kept.rename_columns(["order_id", "code"]).to_batches()
+
+    kept = coded.mapInArrow(newest, coded.schema)
+    timed = kept.withColumn("at", F.timestamp_seconds(F.floor(F.col("code") / RANKS))).withWatermark("at", delay)
+    final = {1 + ORDER_STATES.index(s) for s in ORDER_TERMINAL}  # as ``state_ordinal`` counts
+    out = timed.groupBy("order_id").transformWithStateInPandas(_Newest(final, idle_s), coded.schema, "Update", "EventTime")
+    rank = F.pmod("code", F.lit(RANKS))
+    state = F.element_at(F.array(*[F.lit(s) for s in ORDER_STATES]), rank.cast("int"))
+    return out.select("order_id", state.alias("state"), F.floor(F.col("code") / RANKS).alias("event_s"), rank.cast("long").alias("rank"))
+
+
 def start_changes(changes: DataFrame, path: str, checkpoint: str, run: str = "changes") -> StreamingQuery:
     """Write an update-mode aggregate as a change log; the newest row of a key is its value.
 

@@ -1,5 +1,7 @@
 """Connection options, tables, layout and replay-safe appends."""
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from courierflow.registry import ENVELOPE_SCHEMA
 from courierflow.registry_io import land, landed_counts
 from courierflow.schemas import MALFORMED, MALFORMED_TABLE, TOPICS, all_tables_sql, create_table_sql, table_schema
 from courierflow.session import scratch
-from courierflow.sinks.tables import append_batch, as_messages, compact, emit, write_clustered
+from courierflow.sinks.layout import bucketed_join, look_up, write_z_ordered
+from courierflow.sinks.tables import append_batch, as_messages, compact, emit, write_bucketed, write_clustered
 from courierflow.sources.files import read_table
 from courierflow.sources.kafka import KafkaConnection, connection_options, read_options, write_options
 from courierflow.streaming.ingest import BatchCounts, write_batch
@@ -198,3 +201,31 @@ def test_cli_settings_replace_those_of_the_topic():
     given = Namespace(trigger_seconds=60, max_offsets=None, starting_offsets="latest")
     topic = cli.settings(TOPICS["payment"], given)
     assert (topic.trigger_seconds, topic.max_offsets, topic.starting_offsets) == (60, TOPICS["payment"].max_offsets, "latest")
+
+
+def test_z_order_skips_files_on_either_column(spark, views):
+    """Ranges of partner, of time or of both open few files; the rows are those of a plain filter."""
+    path = scratch(spark, "t-z-order")
+    write_z_ordered(views.gps, path, ["dp_id", "event_s"], files=16, bloom=["event_id"])
+    low, high = views.gps.agg(F.min("event_s"), F.max("event_s")).first()
+    middle = (low + high) // 2
+    some, few = (views.gps.select("dp_id").distinct().orderBy("dp_id").limit(n).agg(F.max("dp_id")).first()[0] for n in (1, 3))
+    opened = []
+    for ranges in ({"dp_id": (some, some)}, {"event_s": (middle, middle + 3600)}, {"dp_id": (some, few), "event_s": (middle, high)}, {"dp_id": (-9, -9)}):
+        rows, read, there = look_up(spark, path, ranges)
+        want = views.gps
+        for c, (a, b) in ranges.items():
+            want = want.where(F.col(c).between(a, b))
+        assert sorted(rows.collect()) == sorted(want.collect()) and there == 16
+        opened.append(read)
+    assert max(opened[:3]) <= 8 and opened[3] == 0, opened
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, views):
+    names = [f"t_bucketed_{n}_{uuid.uuid4().hex[:8]}" for n in "ab"]
+    for name, rows in zip(names, (views.dispatch.select("order_id", "decision"), views.payment.select("order_id", "payment_id"))):
+        write_bucketed(rows, name, scratch(spark, name), ["order_id"], ["order_id"], buckets=4)
+    joined = bucketed_join(spark, *names, ["order_id"])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert joined.count() == views.dispatch.join(views.payment, "order_id").count()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from courierflow.operators.quality import dedup
 from courierflow.plans import supply
-from courierflow.registry_io import feed_of, ingest_feed, landed_counts
+from courierflow.registry_io import STRAGGLER, ending_run, feed_of, ingest_feed, landed_counts
 from courierflow.schemas import KAFKA_RECORD
 from courierflow.session import scratch
 from courierflow.sources.files import stream_files
@@ -195,3 +195,14 @@ def test_spans_take_late_events_and_drop_later_ones(spark):
     spans = {(r.event_id, r.until_s, r.is_legal) for r in spark.read.parquet(out).collect()}
     # 7 is behind the watermark of 4000 s
     assert spans == {(1, 150, False), (4, 200, True), (2, 300, True), (3, 60, True), (9, 5000, True)}
+
+
+def test_finished_orders_leave_the_state(spark, views):
+    """What is left in the state are orders that the watermark hasn't passed, or that never ended."""
+    root = ending_run(views, "t-ending")
+    held = spark.read.format("statestore").option("stateVarName", "newest").load(f"{root}/_checkpoint")
+    events = views.order_lifecycle.where(f"NOT ({STRAGGLER})")
+    newest = events.agg(F.max("event_s")).first()[0]
+    ends = events.groupBy("order_id").agg(F.max("event_s").alias("end_s"), F.max(F.col("state").isin("REJECTED", "DELIVERED", "CANCELLED")).alias("over"))
+    alive = ends.where(F.when(F.col("over"), F.col("end_s")).otherwise(F.col("end_s") + 7 * 86400) > newest - 3600).count()
+    assert held.count() == alive < 0.3 * ends.count()
