@@ -31,7 +31,8 @@ def z_order(df: DataFrame, columns: Sequence[str], bits: int = Z_BITS) -> Column
     for n, c in enumerate(columns):
         cuts = sorted(set(found[c] or []))  # at most 2 ** bits
         array = F.array(*map(F.lit, cuts)).cast(f"array<{df.schema[c].dataType.simpleString()}>")
-        code = _code(F.col(c), array, bits)
+        # few different values spread over all bits, or they would only tell rows apart within a file
+        code = _code(F.col(c), array, bits) * F.lit((1 << bits) // (len(cuts) + 1))
         for b in range(bits):
             bit = F.shiftright(code, b).bitwiseAND(F.lit(1)).cast("long")
             place = place.bitwiseOR(F.shiftleft(bit, b * len(columns) + n))
