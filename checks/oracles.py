@@ -365,6 +365,8 @@ SQL["payload_shapes"] = """WITH j AS (SELECT topic, TRY_CAST(value AS JSON) AS j
  SELECT topic, schema_version, field, CASE json_type(j, '$.' || field) WHEN 'VARCHAR' THEN 'STRING' ELSE 'BIGINT' END AS type, count(*) AS records FROM f GROUP BY ALL"""
 SQL["duplicate_rate_sketched"] = """SELECT event_type, count(*) AS events, round(1 - count(DISTINCT event_id) / count(*), 3) AS duplicate_rate FROM fx_arrivals GROUP BY 1"""
 SQL["payment_orphans_found"] = (SQL["payment_orphans"].replace("FROM fx_payment", "FROM (SELECT * REPLACE (CASE WHEN order_id % 7 = 3 THEN -order_id ELSE order_id END AS order_id) FROM fx_payment WHERE payment_id % 10 <> 1 OR order_id % 5 > 0) q"))
+SQL["merged_replay_idempotent"] = LANDED.format("")
+SQL["quarantine_landed"] = SQL["malformed_by_topic_reason"]
 
 
 def hot(name: str, view: str, column: str, value: str, number: str) -> str:

@@ -1,4 +1,4 @@
-"""Command line: ``python -m courierflow.cli ingest|health|ddl``.
+"""Command line: ``python -m courierflow.cli ingest|health|ddl|compact``.
 
 Connection settings come from the environment: KAFKA_BOOTSTRAP_SERVERS,
 KAFKA_SECURITY_PROTOCOL, KAFKA_SASL_MECHANISM, KAFKA_API_KEY, KAFKA_API_SECRET.
@@ -11,13 +11,14 @@ import logging
 import os
 import sys
 from dataclasses import replace
+from datetime import date
 
 from pyspark.sql import SparkSession
 
 from courierflow.plans import health
 from courierflow.schemas import MALFORMED_TABLE, TOPICS, Topic, all_tables_sql, table_schema, topic_for
 from courierflow.session import prepare
-from courierflow.sources.files import read_table
+from courierflow.sinks.upkeep import compact_closed, read_landed
 from courierflow.sources.kafka import KafkaConnection, read_topics
 from courierflow.streaming.ingest import start_topic
 from courierflow.streaming.monitor import QueryMonitor
@@ -64,10 +65,10 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> int:
-    tables = {t.key: read_table(spark, f"{args.root}/{t.table}", table_schema(t.key)) for t in TOPICS.values()}
+    tables = {t.key: read_landed(spark, f"{args.root}/{t.table}", table_schema(t.key)) for t in TOPICS.values()}
     rows = health.health_report(tables).cache()
     rows.show(truncate=False)
-    quarantine = read_table(spark, f"{args.root}/{MALFORMED_TABLE}", table_schema(MALFORMED_TABLE))
+    quarantine = read_landed(spark, f"{args.root}/{MALFORMED_TABLE}", table_schema(MALFORMED_TABLE))
     health.malformed_by_reason(quarantine).show(truncate=False)
     if health.is_empty_everywhere(rows):
         print("no rows in any table. Are events produced? Do the streams run? Do topic names match?", file=sys.stderr)
@@ -85,6 +86,14 @@ def ddl(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
+def compact(spark: SparkSession, args: argparse.Namespace) -> int:
+    places = [(t.table, ("ingest_date",)) for t in TOPICS.values()] + [(MALFORMED_TABLE, ("ingest_date", "source_topic_key"))]
+    for table, partition_by in places:
+        merged = compact_closed(spark, f"{args.root}/{table}", args.before, partition_by, remove=not args.keep)
+        log.info("%s: %d folders merged", table, merged)
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     commands = parser.add_subparsers(dest="command", required=True)
@@ -92,6 +101,7 @@ def main(argv: list[str] | None = None) -> int:
         ("ingest", ingest, "stream topics into the tables below --root"),
         ("health", report, "row counts, freshness and quarantine per table"),
         ("ddl", ddl, "create the external tables"),
+        ("compact", compact, "merge the batch folders of closed dates"),
     ):
         sub = commands.add_parser(name, help=text)
         sub.set_defaults(run=run)
@@ -105,6 +115,9 @@ def main(argv: list[str] | None = None) -> int:
             sub.add_argument("--min-partitions", type=int, help="input splits of a batch at least")
             sub.add_argument("--files", type=int, help="files of a batch at most")
             sub.add_argument("--table-format", help="a transactional format instead of replay-safe parquet folders")
+        if name == "compact":
+            sub.add_argument("--before", type=date.fromisoformat, default=date.today(), help="dates before this one are closed (default: today)")
+            sub.add_argument("--keep", action="store_true", help="leave replaced folders for readers that listed them")
         if name == "ddl":
             sub.add_argument("--database")
             sub.add_argument("--dry-run", action="store_true")

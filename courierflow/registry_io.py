@@ -18,6 +18,7 @@ from courierflow.schemas import KAFKA_RECORD, MALFORMED, MALFORMED_TABLE, METADA
 from courierflow.session import scratch
 from courierflow.sinks.layout import bucketed_join, look_up, write_z_ordered
 from courierflow.sinks.tables import BATCH, append_batch, as_messages, write_bucketed, write_clustered
+from courierflow.sinks.upkeep import compact_closed, read_landed
 from courierflow.sources.files import read_table, stream_files
 from courierflow.streaming import stateful, windows
 from courierflow.streaming.ingest import start_ingest, write_batch
@@ -89,6 +90,43 @@ def sink_replay_idempotent(v):
     return landed_counts(v.spark, root)
 
 
+def merged_root(v, name: str) -> str:
+    """Landed tables with merges of all dates in between: after the first two batches, of which one is
+    then replayed, and after the third, where a crash leaves the replaced folders behind."""
+    root = scratch(v.spark, name)
+    parts = list(slices_of(v.kafka, "offset", 3))
+    later = date(2100, 1, 1)
+
+    def merge(remove: bool) -> None:
+        for path, by in ((f"{root}/events", BY_TOPIC), (f"{root}/{MALFORMED_TABLE}", ("ingest_date", "source_topic_key"))):
+            compact_closed(v.spark, path, later, by, remove=remove)
+
+    land(parts[0], root, 0)
+    land(parts[1], root, 1)
+    merge(True)
+    land(parts[0], root, 0)
+    land(parts[2], root, 2)
+    merge(False)
+    return root
+
+
+@query
+def merged_replay_idempotent(v):
+    """Every record once, with folders merged between batches and a batch replayed after the merge."""
+    root = merged_root(v, "merged")
+    good = read_landed(v.spark, f"{root}/events", T.StructType([*GOOD_SCHEMA.fields, MALFORMED["source_topic_key"]]))
+    bad = read_landed(v.spark, f"{root}/{MALFORMED_TABLE}", MALFORMED)
+    rows = good.select("source_topic_key", F.lit("good").alias("class")).unionByName(bad.select("source_topic_key", F.col("error_reason").alias("class")))
+    return rows.groupBy("source_topic_key", "class").agg(F.count("*").alias("records"))
+
+
+@query
+def quarantine_landed(v):
+    """Reasons per topic, from the quarantine table as it landed and was merged."""
+    root = merged_root(v, "quarantine")
+    return health.malformed_by_reason(read_landed(v.spark, f"{root}/{MALFORMED_TABLE}", MALFORMED))
+
+
 @query
 def schema_evolution_union(v):
     """Version 1 files lack the status column; a merged read fills it with NULL."""

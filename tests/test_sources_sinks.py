@@ -1,9 +1,11 @@
 """Connection options, tables, layout and replay-safe appends."""
 
 import uuid
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from courierflow import cli
 from courierflow.plans import health
@@ -13,6 +15,7 @@ from courierflow.schemas import MALFORMED, MALFORMED_TABLE, TOPICS, all_tables_s
 from courierflow.session import scratch
 from courierflow.sinks.layout import bucketed_join, look_up, write_z_ordered
 from courierflow.sinks.tables import append_batch, as_messages, compact, emit, write_bucketed, write_clustered
+from courierflow.sinks.upkeep import compact_closed, read_landed
 from courierflow.sources.files import read_table
 from courierflow.sources.kafka import KafkaConnection, connection_options, read_options, write_options
 from courierflow.streaming.ingest import BatchCounts, write_batch
@@ -229,3 +232,40 @@ def test_bucketed_tables_join_without_a_shuffle(spark, views):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "SortMergeJoin" in plan
     assert joined.count() == views.dispatch.join(views.payment, "order_id").count()
+
+
+def test_merging_closed_dates(spark):
+    """Rows stay the same through merges, crashes before and after the mark, and replays; open dates stay as they are."""
+    path = scratch(spark, "t-merge")
+    frame = lambda rows, more="": spark.createDataFrame(rows, f"ingest_date date, x long{more}")
+    first, last = date(2024, 1, 1), date(2024, 1, 9)
+    schema = T.StructType.fromDDL("ingest_date date, x long, y string")
+    read = lambda: sorted(((str(r.ingest_date), r.x, r.y) for r in read_landed(spark, path, schema).collect()), key=str)
+    folders = lambda: {(str(r.ingest_date), r["_run"]) for r in spark.read.parquet(path).select("ingest_date", "_run").distinct().collect()}
+    assert compact_closed(spark, path, last) == 0 and read() == []
+    append_batch(frame([(first, 1), (last, 2)]), path, "a", 0)
+    append_batch(frame([(first, 3)]), path, "a", 1)
+    append_batch(frame([(first, 4, "new")], ", y string"), path, "b", 0)
+    want = [("2024-01-01", 1, None), ("2024-01-01", 3, None), ("2024-01-01", 4, "new"), ("2024-01-09", 2, None)]
+    # a crash after the merged rows were written, before they were marked
+    spark.read.option("mergeSchema", "true").parquet(path).where(F.col("ingest_date") == first).withColumns(
+        {"_run": F.lit("merged"), "_batch_id": F.lit(5)}).write.mode("append").partitionBy("ingest_date", "_run", "_batch_id").parquet(path)
+    assert read() == want
+    assert compact_closed(spark, path, last, generation=7) == 3 and read() == want
+    assert folders() >= {("2024-01-01", "merged"), ("2024-01-09", "a")} and ("2024-01-01", "a") not in folders()
+    append_batch(frame([(first, 3)]), path, "a", 1)  # replayed behind the merge
+    assert read() == want
+    assert compact_closed(spark, path, last) == 0 and read() == want and ("2024-01-01", "a") not in folders()
+    append_batch(frame([(first, 8)]), path, "c", 0)  # late rows of a closed date
+    assert compact_closed(spark, path, last, generation=9, remove=False) == 2
+    assert sorted(map(str, read())) == sorted(map(str, [*want, ("2024-01-01", 8, None)]))
+
+
+def test_compact_command(spark):
+    root = scratch(spark, "t-compact")
+    table = f"{root}/{TOPICS['dp_status'].table}"
+    for n in range(2):
+        append_batch(spark.createDataFrame([(date(2024, 1, 1), n)], "ingest_date date, x long"), table, "run", n)
+    assert cli.main(["compact", "--root", root, "--before", "2024-02-01"]) == 0
+    assert [r["_run"] for r in spark.read.parquet(table).select("_run").distinct().collect()] == ["merged"]
+    assert read_landed(spark, table, T.StructType.fromDDL("ingest_date date, x long")).count() == 2
