@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courierflow.llm.text import LOWER, mix, run_hashes, text_slices, whole_texts, windows, word_hashes, word_spans
+from courierflow.llm.text import LOWER, free_name, mix, run_hashes, text_slices, whole_texts, windows, word_hashes, word_spans
 from courierflow.session import materialize
 
 SHINGLE, PERCENT = 5, 75
@@ -242,10 +242,11 @@ def survivors(documents: DataFrame) -> DataFrame:
     """One document of each group of near-duplicates, with all its columns; repeated rows once."""
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-NO_ID))
     found = near_duplicates(documents).where("kept")
-    kept = found.groupBy(key.alias("_key"), F.col("print").alias("_print")).agg(F.max("n_shingles").alias("_n"))
-    rows = documents.withColumns({"_key": key, "_print": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    rows = rows.join(kept, ["_key", "_print"]).withColumn("_row", F.when(F.col("_n") == 0, F.monotonically_increasing_id()))
-    return rows.dropDuplicates(["_key", "_print", "_row"]).select(*documents.columns)
+    of_row, print_, size, row = (free_name(documents, c) for c in ("_key", "_print", "_n", "_row"))
+    kept = found.groupBy(key.alias(of_row), F.col("print").alias(print_)).agg(F.max("n_shingles").alias(size))
+    rows = documents.withColumns({of_row: key, print_: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    rows = rows.join(kept, [of_row, print_]).withColumn(row, F.when(F.col(size) == 0, F.monotonically_increasing_id()))
+    return rows.dropDuplicates([of_row, print_, row]).select(*documents.columns)
 
 
 def strangers(large: DataFrame, labels: DataFrame, slice_size: int) -> DataFrame:

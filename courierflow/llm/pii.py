@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
 from courierflow.llm.boosted import Calibrated
-from courierflow.llm.text import whole_texts, with_columns
+from courierflow.llm.text import free_name, whole_texts, with_columns
 
 #: Different candidates that the trees learn from at most, the smallest by a hash of their features.
 TRAIN_CANDIDATES = 20_000
@@ -192,7 +192,7 @@ def redacted(text: str, spans: list[tuple[str, int, int, bool]]) -> str:
 
 def redact(documents: DataFrame, model: Calibrated) -> DataFrame:
     """``documents`` with all spans of ``text`` replaced; a null text becomes an empty one."""
-    order = documents.columns
+    order, raw = documents.columns, free_name(documents, "_raw")
     new = StructType([StructField("text", StringType())])
-    source = documents.withColumn("_raw", F.col("text"))
-    return with_columns(source, new, lambda texts: [pa.array([redacted(t, all_spans(t, model)) for t in texts.to_pylist()], pa.string())], "_raw").select(*order)
+    source = documents.withColumn(raw, F.col("text"))
+    return with_columns(source, new, lambda texts: [pa.array([redacted(t, all_spans(t, model)) for t in texts.to_pylist()], pa.string())], raw).select(*order)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from courierflow.llm.text import text_slices, whole_texts, with_columns, word_hashes, word_spans
+from courierflow.llm.text import free_name, text_slices, whole_texts, with_columns, word_hashes, word_spans
 from courierflow.session import materialize
 
 CUT_SCORE = 0.3
@@ -151,5 +151,6 @@ def accepted(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
         made = [model.score(features(data, offsets)) for _, _, data, offsets in text_slices(texts)]
         return [pa.array(np.concatenate(made) if made else [], pa.float64())]
 
-    scored_rows = with_columns(documents, StructType([StructField("_score", DoubleType())]), score)
-    return scored_rows.where(F.col("_score") >= CUT_SCORE).select(*documents.columns)
+    name = free_name(documents, "_score")
+    scored_rows = with_columns(documents, StructType([StructField(name, DoubleType())]), score)
+    return scored_rows.where(F.col(name) >= CUT_SCORE).select(*documents.columns)

@@ -116,6 +116,14 @@ def windows(first: np.ndarray, size: int) -> np.ndarray:
     return np.flatnonzero(ok)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer where ``df`` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_columns(df: DataFrame, new: StructType, fn: Callable[[pa.Array], list[pa.Array]], text: str = "text") -> DataFrame:
     """``df`` with the columns ``fn`` makes from each batch's texts (nulls as empty texts).
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from courierflow.llm.text import LOWER, NOT_ALNUM, run_hashes, text_slices, whole_texts, windows, with_columns, word_hashes, word_spans
+from courierflow.llm.text import LOWER, NOT_ALNUM, free_name, run_hashes, text_slices, whole_texts, windows, with_columns, word_hashes, word_spans
 
 MIN_TILE, FIRST_LENGTH, COVERAGE = 5, 20, 0.5
 #: Bytes of benchmark text that one pass over the documents holds; more take more passes.
@@ -160,7 +160,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, least: int = MIN_TI
 
 def clean(documents: DataFrame, benchmark: DataFrame, least: int = MIN_TILE, coverage: float = COVERAGE) -> DataFrame:
     """``documents`` without the rows that ``contaminated`` reports, in their own order of columns."""
-    flag, columns = "_leaks", documents.columns
+    flag, columns = free_name(documents, "_leaks"), documents.columns
     for rows in blocks(benchmark):
         items = Items(rows, least)
 

@@ -10,7 +10,8 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus
-from courierflow.llm import boosted, bpe, host_rules, license_join, pii, quality, tiling, wavelet
+from corpus import prose, texts
+from courierflow.llm import boosted, bpe, host_rules, license_join, minhash, pii, quality, tiling, wavelet
 from courierflow.llm.queries import with_package
 from courierflow.session import scratch
 
@@ -254,3 +255,18 @@ def test_decontamination(spark, docs, none):
     assert tiling.contaminated(none, bench).count() == 0 and tiling.contaminated(docs, bench.limit(0)).count() == 0
     blocks = list(tiling.blocks(bench, most=10))
     assert [len(b) for b in blocks] == [1, 1, 1, 1] or sum(map(len, blocks)) == 4
+
+
+def test_stages_keep_columns_with_the_names_they_use(spark):
+    """Each stage passes on extra columns untouched, those called like its own working columns too."""
+    names = ["_raw", "_leaks", "_score", "_key", "_print", "_n", "_row"]
+    rows = [(i, t, *[f"{i} {n}" for n in names]) for i, t in texts() if i is not None]
+    docs = with_package(spark).createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    labels = spark.createDataFrame([(i, k % 2) for k, (i, *_) in enumerate(rows)], "doc_id long, quality int")
+    items = spark.createDataFrame([(1, prose(77, 40))], "item_id long, text string")
+    stages = [quality.accepted(docs, labels), minhash.survivors(docs), tiling.clean(docs, items), pii.redact(docs, pii.fit(docs))]
+    for kept in stages:
+        assert kept.columns == docs.columns
+        found = kept.collect()
+        assert found and all(r[n] == f"{r.doc_id} {n}" for r in found for n in names)
+    assert not any("@" in (r.text or "") for r in found)
