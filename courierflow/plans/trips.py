@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courierflow.functions import geo
-from courierflow.operators.sequence import asof_join, windowed
+from courierflow.operators.sequence import asof_join, latest, windowed
 from courierflow.operators.skew import DEFAULT, SkewPolicy, lookup_join
 from courierflow.plans.orders import order_restaurants, order_times
 from courierflow.plans.supply import status_spans
@@ -229,7 +229,6 @@ def leg_ends(pings: DataFrame) -> DataFrame:
 
 
 def drop_points(pings: DataFrame) -> DataFrame:
-    """Last outbound position of each order."""
-    outbound = pings.where(F.col("trip_leg") == "TO_CUSTOMER")
-    last = outbound.groupBy("order_id").agg(F.max(F.struct(*_ORDER, "lat", "lon")).alias("p"))
-    return last.select("order_id", F.col("p.lat").alias("drop_lat"), F.col("p.lon").alias("drop_lon"))
+    """Last outbound position of each order; a task sends one row an order at most."""
+    outbound = pings.where(F.col("trip_leg") == "TO_CUSTOMER").select("order_id", *_ORDER, "lat", "lon")
+    return latest(outbound, ["order_id"], _ORDER).select("order_id", F.col("lat").alias("drop_lat"), F.col("lon").alias("drop_lon"))
