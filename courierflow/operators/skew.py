@@ -56,6 +56,12 @@ def slice_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], policy:
     return hot.withColumn("_powers", powers)
 
 
+def one_key(column: str) -> Column:
+    """The same key for all rows, as a value the planner doesn't fold: a join on a constant would
+    lose its equality and become a nested loop."""
+    return F.pmod(F.xxhash64(column), F.lit(1)).cast("int")
+
+
 def _slice_of(order: Sequence[str]) -> Column:
     """How many cuts a row stands at or behind, by binary search."""
     at = F.struct(*order)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courierflow.operators.sequence import running
-from courierflow.operators.skew import DEFAULT, SkewPolicy
+from courierflow.operators.skew import DEFAULT, SkewPolicy, one_key
 
 
 def percentiles(
@@ -30,7 +30,7 @@ def percentiles(
     """
     histogram = df.where(value.isNotNull()).groupBy(*by, value.alias("_v")).agg(F.count("*").alias("_n"))
     if not by:
-        histogram = histogram.withColumn("_all", F.lit(0))
+        histogram = histogram.withColumn("_all", one_key("_v"))
     keys = list(by) or ["_all"]
     ranked = running(histogram, keys, ["_v"], {"_upto": ("sum", F.col("_n"))}, policy)
     whole = histogram.groupBy(*keys).agg(F.sum("_n").alias("_total"), *extra)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from courierflow.functions.clock import bucket_start
 from courierflow.operators.sequence import running
-from courierflow.operators.skew import DEFAULT, SkewPolicy, lookup_join
+from courierflow.operators.skew import DEFAULT, SkewPolicy, lookup_join, one_key
 from courierflow.session import materialize
 
 
@@ -105,7 +105,7 @@ def outages(events: DataFrame, by: Sequence[str] = (), policy: SkewPolicy = DEFA
     """
     rows = events.where(F.col("status") == "INITIATED").select(*by, "event_s", "payment_id", "is_gateway_outage")
     keys = list(by) or ["_all"]
-    rows = rows if by else rows.withColumn("_all", F.lit(0))
+    rows = rows if by else rows.withColumn("_all", one_key("payment_id"))
     clear = running(
         rows, keys, ["event_s", "payment_id"], {"_clear": ("sum", F.when(F.col("is_gateway_outage"), 0).otherwise(1))}, policy
     )
