@@ -25,7 +25,7 @@ from courierflow.session import materialize
 DICTIONARY_SHARE = 1e-6
 #: ... and from which it is a unit of its own.
 UNIT_SHARE = 1e-5
-FORMS, CLASSES, ROUNDS = 1024, 64, 4
+FORMS, CLASSES, ROUNDS = 1024, 64, 5
 #: Added to every word's count.
 DELTA = 0.1
 #: Weight of the class model against plain frequencies; tokens that the prior of a transition is worth.
@@ -265,9 +265,9 @@ def _moves(table: DataFrame, classes: np.ndarray, k: int, between: np.ndarray) -
 def exchange(table: DataFrame, sizes: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """A class for each unit by exchange, and the counts of class pairs.
 
-    Units start in turn by size. In each round half of the units, then the other half, are compared
+    Units start in turn by size. In each step a part of the units, half of them at first, is compared
     with all classes, side by side in Spark tasks; they move together. A step that lowers the
-    likelihood, as moves made together may, is taken back and ends the exchange.
+    likelihood, as moves made together may, is taken back, and parts are half as large from then on.
     """
     k = min(classes, len(sizes))
     order = np.lexsort((np.arange(len(sizes)), -sizes))
@@ -275,16 +275,20 @@ def exchange(table: DataFrame, sizes: np.ndarray, classes: int = CLASSES, rounds
     now[order] = np.arange(len(sizes)) % k
     between = _class_pairs(table, now, k)
     score = likelihood(between)
+    parts = 2
     for step in range(2 * rounds):
-        moves = _moves(table.where(F.pmod(F.xxhash64("u"), F.lit(2)) == step % 2), now, k, between)
+        moves = _moves(table.where(F.pmod(F.xxhash64("u"), F.lit(parts)) == step % parts), now, k, between)
+        if not moves:
+            continue
         after = now.copy()
-        if moves:
-            units, to = zip(*moves)
-            after[list(units)] = to
-        pairs = _class_pairs(table, after, k) if moves else between
-        if likelihood(pairs) < score:
-            break
-        now, between, score = after, pairs, likelihood(pairs)
+        units, to = zip(*moves)
+        after[list(units)] = to
+        pairs = _class_pairs(table, after, k)
+        reached = likelihood(pairs)
+        if reached < score:
+            parts *= 2
+        else:
+            now, between, score = after, pairs, reached
     return now, between
 
 
