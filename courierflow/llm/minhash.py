@@ -3,10 +3,11 @@
 A sketch throws all shingles of a document into ``COORDINATES`` bins, round after round with fresh
 hashes, until each bin holds a value; the round is part of the value, so earlier rounds win. The
 last rounds fill one named bin each, so every coordinate fills. Sketches that agree on all rows of
-a band make a candidate link. Candidate components are cut into slices of bounded size, and each
-slice compares the full sets of its members in memory. Components of several slices are sliced anew
-until their members meet, and what is still apart is compared block by block, so no link is lost
-and no pairs are written out, only a spanning forest of the links.
+a band make a candidate link. Candidate components are cut into slices of bounded size, in members
+and in shingles, and each slice compares the full sets of its members, range by range of hashes.
+Components of several slices are sliced anew until their members meet, and what is still apart is
+compared block by block, so no link is lost and no pairs are written out, only a spanning forest of
+the links.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from courierflow.session import materialize
 
 SHINGLE, PERCENT = 5, 75
 COORDINATES, BAND_ROWS = 128, 4
-#: Members of a slice, whose sets one task holds.
-SLICE = 1024
+#: Members of a slice, and shingles of all of them (8 bytes each): what one task holds.
+SLICE, SLICE_SHINGLES = 1024, 1 << 21
+#: Shingles compared at once, and cells of the dense block that counts them.
+PIECE, CELLS = 1 << 20, 1 << 22
 RESLICES = 2
 #: Ids from here on stand for sets of documents without an id.
 NO_ID = 1 << 62
@@ -113,26 +116,39 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def linked(values: list[np.ndarray], sizes: np.ndarray, left: np.ndarray | None = None) -> np.ndarray:
-    """Whether each pair of sets is a link, from exact intersections; rows ``left`` against all."""
-    flat, owner = np.concatenate(values), np.repeat(np.arange(len(values)), sizes)
-    word, number, times = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = times > 1
-    column = np.cumsum(shared) - 1
-    keep = shared[number]
-    owner, column = owner[keep], column[number[keep]]
+def in_common(values: list[np.ndarray], left: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets ``left`` with all sets."""
     n = len(values)
-    left = np.arange(n) if left is None else left
+    owner, flat = np.repeat(np.arange(n, dtype=np.int32), [len(v) for v in values]), np.concatenate(values)
+    by = np.argsort(flat, kind="stable")
+    owner, flat = owner[by], flat[by]
+    column = np.cumsum(np.r_[False, flat[1:] != flat[:-1]][: len(flat)])
+    shared = np.bincount(column) > 1
+    keep = shared[column]
+    owner, column = owner[keep], (np.cumsum(shared) - 1)[column[keep]]
     common = np.zeros((len(left), n), np.float32)
-    by = np.argsort(column, kind="stable")
-    owner, column = owner[by], column[by]
-    step = max(256, (1 << 24) // max(n, 1))
+    step = max(256, CELLS // n)
     for low in range(0, int(column[-1]) + 1 if len(column) else 0, step):
         i, j = np.searchsorted(column, [low, low + step])
         block = np.zeros((n, step), np.float32)
         block[owner[i:j], column[i:j] - low] = 1
-        common += block[left] @ block.T
-    common = np.rint(common).astype(np.int64)
+        common += (block if len(left) == n else block[left]) @ block.T
+    return common
+
+
+def linked(values: list[np.ndarray], sizes: np.ndarray, left: np.ndarray | None = None, piece: int = PIECE) -> np.ndarray:
+    """Whether each pair of sets is a link, from exact intersections; rows ``left`` against all.
+
+    Sets are ascending, so equal ranges of hashes are cut from all of them and counted one after
+    the other: beside the sets themselves, memory holds about ``piece`` shingles, however long a set.
+    """
+    left = np.arange(len(values)) if left is None else left
+    pieces = -(-int(sizes.sum()) // piece)
+    bounds = np.array([k * 2**64 // pieces for k in range(1, pieces)], np.uint64)
+    cuts = [np.r_[0, np.searchsorted(v, bounds), len(v)] for v in values]
+    common = np.zeros((len(left), len(values)), np.int64)
+    for k in range(pieces):
+        common += np.rint(in_common([v[c[k] : c[k + 1]] for v, c in zip(values, cuts)], left)).astype(np.int64)
     return 100 * common >= PERCENT * (sizes[left][:, None] + sizes[None, :] - common)
 
 
@@ -158,9 +174,14 @@ def forest(ids: np.ndarray, link: np.ndarray, rows: np.ndarray) -> list[tuple[in
 
 def compare(group: pa.Table) -> pa.Table:
     """Links within one slice: all its members, or its strangers (``side`` 1) against all."""
-    rows = dict.fromkeys(zip(group.column("c").to_pylist(), group.column("shingles").to_pylist(), group.column("side").to_pylist()))
-    ids, blobs, side = (list(x) for x in zip(*rows))  # repeated rows once; one id may have several sets
-    values, edges = [np.frombuffer(b, np.uint64) for b in blobs], []
+    sets: dict[tuple[int, int], list[np.ndarray]] = {}
+    for c, side, shingles in zip(*(group.column(name) for name in ("c", "side", "shingles"))):
+        value = np.frombuffer(shingles.as_buffer(), np.uint64)  # no copy
+        known = sets.setdefault((c.as_py(), side.as_py()), [])
+        if not any(np.array_equal(value, v) for v in known):  # repeated rows once; one id may have several sets
+            known.append(value)
+    ids, side, values = (list(x) for x in zip(*((c, at, v) for (c, at), many in sets.items() for v in many)))
+    edges = []
     if len(ids) > 1:
         sizes = np.array([len(v) for v in values])
         mine = np.flatnonzero(np.array(side) == 1) if 1 in side else np.arange(len(ids))
@@ -191,7 +212,7 @@ def verify(placed: DataFrame) -> DataFrame:
     return placed.select("c", "comp", "slice", "side", "shingles").groupBy("comp", "slice").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(documents: DataFrame, slice_size: int = SLICE) -> DataFrame:
+def near_duplicates(documents: DataFrame, slice_size: int = SLICE, slice_shingles: int = SLICE_SHINGLES) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` and ``print``, a hash of the text, of each row.
 
     Rows of one ``doc_id`` are one document. Null and empty texts, and texts without words, have no
@@ -202,9 +223,9 @@ def near_duplicates(documents: DataFrame, slice_size: int = SLICE) -> DataFrame:
     docs = whole_texts(documents, F.col("doc_id").cast("long").alias("doc_id"))
     table = materialize(sketched(docs), "sketches")
     named = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "print"))
-    classes = table.where("n > 0").groupBy("ha", "hb").agg(named.alias("r"), F.first("sketch").alias("sketch"))
+    classes = table.where("n > 0").groupBy("ha", "hb").agg(named.alias("r"), F.first("sketch").alias("sketch"), F.first("n").alias("n"))
     number = F.coalesce("r.doc_id", F.col("ha").bitwiseAND(F.lit(NO_ID - 1)) + F.lit(NO_ID))
-    classes = materialize(classes.select("ha", "hb", number.alias("c"), F.col("r.doc_id").alias("rep"), F.col("r.print").alias("print"), "sketch"), "classes")
+    classes = materialize(classes.select("ha", "hb", number.alias("c"), F.col("r.doc_id").alias("rep"), F.col("r.print").alias("print"), "sketch", "n"), "classes")
 
     buckets = classes.select("c", F.explode(band_keys(F.col("sketch"))).alias("key"))
     heads = buckets.groupBy("key").agg(F.min("c").alias("head"), F.max("c").alias("tail")).where("head < tail")
@@ -213,9 +234,11 @@ def near_duplicates(documents: DataFrame, slice_size: int = SLICE) -> DataFrame:
     stars = led.select(F.array_min("heads").alias("b"), F.explode(F.array_union("heads", F.array("c"))).alias("a")).where("a <> b").select("a", "b").distinct()
     # rows of one id are one document: their sets are linked at once
     candidates = materialize(components(materialize(stars, "stars")), "candidates")
-    sizes = candidates.groupBy("comp").agg(F.count("*").alias("m"))
-    members = materialize(candidates.join(sizes, "comp").select(F.col("id").alias("c"), "comp", F.ceil(F.col("m") / slice_size).cast("int").alias("slices")), "members")
-    sets = materialize(sets_of(docs, classes.join(members, "c")), "sets")
+    weighed = candidates.join(classes.groupBy("c").agg(F.sum("n").alias("weight")), candidates["id"] == F.col("c"))
+    parts = F.greatest(F.ceil(F.count("*") / slice_size), F.ceil(F.sum("weight") / slice_shingles)).cast("int")
+    sizes = weighed.groupBy("comp").agg(parts.alias("slices"))
+    members = materialize(weighed.join(sizes, "comp").select("c", "comp", "slices", "weight"), "members")
+    sets = materialize(sets_of(docs, classes.join(members.drop("weight"), "c")), "sets")
 
     def sliced(rows: DataFrame, seed: int) -> DataFrame:
         at = F.pmod(F.xxhash64("c", F.lit(seed)), F.col("slices")).cast("int")
@@ -226,7 +249,7 @@ def near_duplicates(documents: DataFrame, slice_size: int = SLICE) -> DataFrame:
     if large.limit(1).count():
         for seed in range(1, RESLICES + 1):
             links = materialize(links.union(verify(sliced(large, seed))), "links")
-        cells = strangers(members.where("slices > 1"), components(links), slice_size)
+        cells = strangers(members.where("slices > 1"), components(links), slice_size, slice_shingles)
         links = materialize(links.union(verify(large.select("c", "shingles").join(cells, "c"))), "links")
     labels = components(links)
 
@@ -249,14 +272,15 @@ def survivors(documents: DataFrame) -> DataFrame:
     return rows.dropDuplicates([of_row, print_, row]).select(*documents.columns)
 
 
-def strangers(large: DataFrame, labels: DataFrame, slice_size: int) -> DataFrame:
+def strangers(large: DataFrame, labels: DataFrame, slice_size: int, slice_shingles: int) -> DataFrame:
     """Slices in which every member outside its candidate component's largest part meets all members."""
-    part = large.join(labels.withColumnRenamed("comp", "part"), large["c"] == labels["id"], "left").select("c", "comp", "slices", F.coalesce("part", "c").alias("part"))
+    part = large.join(labels.withColumnRenamed("comp", "part"), large["c"] == labels["id"], "left").select("c", "comp", "slices", "weight", F.coalesce("part", "c").alias("part"))
     part = materialize(part, "parts")
     largest = part.groupBy("comp", "part").agg(F.count("*").alias("n")).groupBy("comp").agg(F.max(F.struct("n", "part")).alias("top")).select("comp", F.col("top.part").alias("top"), "top.n")
     part = part.join(largest, "comp")
     apart = part.where("part <> top")
-    rest = apart.groupBy("comp").agg(F.ceil(F.count("*") / slice_size).cast("int").alias("blocks"))
+    blocks = F.greatest(F.ceil(F.count("*") / slice_size), F.ceil(F.sum("weight") / slice_shingles)).cast("int")
+    rest = apart.groupBy("comp").agg(blocks.alias("blocks"))
     # block i of the strangers meets slice j of all members in the cell i * slices + j
     rows = apart.join(rest, "comp").withColumn("block", F.pmod(F.xxhash64("c", F.lit(91)), F.col("blocks")).cast("int"))
     cell = lambda block, at: (block * F.col("slices") + at).cast("int").alias("slice")

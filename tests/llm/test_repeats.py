@@ -35,8 +35,8 @@ def test_near_duplicates(spark, docs, none):
     assert ordered(r.doc_id for r in left.collect()) == ordered([0, 3, 4, 5, None, 7, 8, 9, 10, 11, 12, 14, 15, 16, 17, 18, 19, 20, 21])
 
 
-@pytest.mark.parametrize("size", [4, 1000])
-def test_large_groups_lose_no_link(spark, size):
+@pytest.mark.parametrize(("size", "shingles"), [(4, 1 << 20), (1000, 1 << 20), (1000, 300)])
+def test_large_groups_lose_no_link(spark, size, shingles):
     r = random.Random(5)
     base = corpus.prose(50, 100).split()
     rows = []
@@ -45,7 +45,7 @@ def test_large_groups_lose_no_link(spark, size):
         for _ in range(r.randint(0, 3)):
             w[r.randrange(100)] = f"x{r.randrange(1000)}"
         rows.append((i, " ".join(w)))
-    got = minhash.near_duplicates(corpus.documents(spark, rows), slice_size=size).collect()
+    got = minhash.near_duplicates(corpus.documents(spark, rows), slice_size=size, slice_shingles=shingles).collect()
     assert {r.doc_id: r.component_id for r in got} == {d: c for (d, _), (_, c) in zip(rows, corpus.near_duplicates(rows))}
 
 
@@ -64,6 +64,18 @@ def test_nameless_groups(spark):
     assert minhash.survivors(corpus.documents(spark, rows)).count() == 4
 
 
+def test_pieces_count_what_whole_sets_count():
+    r = np.random.default_rng(4)
+    base = r.integers(0, 1 << 63, 4000).astype(np.uint64) * np.uint64(2)
+    values = [np.unique(np.r_[r.choice(base, 3900, replace=False), r.integers(0, 1 << 63, k).astype(np.uint64)]) for k in (0, 9, 300, 900, 2000)] + [base[:1]]
+    sizes = np.array([len(v) for v in values])
+    want = np.array([[100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b)) for b in values] for a in values])
+    others = ~np.eye(len(values), dtype=bool)
+    for piece in (100, 5000, 1 << 20):
+        assert (minhash.linked(values, sizes, piece=piece) == want)[others].all()
+        assert (minhash.linked(values, sizes, np.array([1, 4]), piece) == want[[1, 4]])[others[[1, 4]]].all()
+
+
 def test_sketches_estimate_and_fill():
     r = np.random.default_rng(2)
     a, b = np.unique(r.integers(0, 1 << 62, 900).astype(np.uint64)), np.unique(r.integers(0, 1 << 62, 300).astype(np.uint64))
