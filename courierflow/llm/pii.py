@@ -34,7 +34,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{12,}+")
-NUMBER = re.compile(r"(?<![A-Za-z0-9])\(?[0-9](?:[ ().-]{0,2}[0-9]){6,}+(?![A-Za-z0-9])")
+NUMBER = re.compile(r"(?<![A-Za-z0-9])\(?[0-9](?:[ ().-]{0,2}[0-9])*+")
 VALUE = re.compile(r"[A-Za-z_]{2,32}+\s{0,3}+[=:]\s{0,3}+[\"']?([^\s\"'|,;]{8,}+)")
 SECRET_NAME = re.compile(r"(?i)(token|secret|passw|api.?key|access.?key|auth(?!ors?[^a-z_]))[a-z_]*\s*[=:]\s*[\"']?$")
 NAMED = re.compile(r"(?i)(?:token|secret|passw|api.?key|access.?key|auth)[a-z_]{0,32}+\s{0,3}+[=:]")
@@ -81,12 +81,19 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def numbers(text: str) -> Iterator[Span]:
+    """Groups of at least seven digits that no letter follows: a run is judged whole, never tried again from within."""
+    for m in NUMBER.finditer(text):
+        if m.end() - m.start() >= 7 and not (text[m.end() : m.end() + 1].isascii() and text[m.end() : m.end() + 1].isalpha()) and sum(c in "0123456789" for c in m[0]) >= 7:
+            yield "number", m.start(), m.end()
+
+
 def candidates(text: str) -> list[Span]:
     """Proposed spans, which may overlap; without a digit, only what is assigned to a secret's name."""
     if not DIGIT.search(text) and not NAMED.search(text):
         return []
     found = {("secret", m.start(), m.end()) for m in TOKEN.finditer(text) if DIGIT.search(m[0])}
-    found |= {("number", m.start(), m.end()) for m in NUMBER.finditer(text)}
+    found |= set(numbers(text))
     found |= {("secret", m.start(1), m.end(1)) for m in VALUE.finditer(text) if DIGIT.search(m[1]) or SECRET_NAME.search(text[max(0, m.start(1) - 40) : m.start(1)])}
     return sorted(found, key=lambda s: (s[1], s[2], s[0]))
 
