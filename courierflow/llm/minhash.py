@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courierflow.llm.text import LOWER, free_name, mix, run_hashes, text_slices, whole_texts, windows, word_hashes, word_spans
+from courierflow.llm.text import LOWER, SMALL_SLICE, free_name, mix, run_hashes, text_slices, whole_texts, windows, word_hashes, word_spans
 from courierflow.session import materialize
 
 SHINGLE, PERCENT = 5, 75
@@ -82,7 +82,7 @@ def sketched(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for x, y, data, offsets in text_slices(batch.column(2)):
+            for x, y, data, offsets in text_slices(batch.column(2), SMALL_SLICE):
                 values, first = shingle_sets(data, offsets)
                 made = sketches(values, first)
                 whole = [run_hashes(values, first[:-1], first[1:], k).view(np.int64) for k in (0, 1)]
@@ -199,7 +199,7 @@ def sets_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for x, y, data, offsets in text_slices(batch.column(3)):
+            for x, y, data, offsets in text_slices(batch.column(3), SMALL_SLICE):
                 values, first = shingle_sets(data, offsets)
                 sets = [values[a:b].tobytes() for a, b in zip(first, first[1:])]
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(x, y - x) for k in range(3)), pa.array(sets, pa.binary())], names=["c", "comp", "slices", "shingles"])

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from courierflow.llm.text import free_name, text_slices, whole_texts, with_columns, word_hashes, word_spans
+from courierflow.llm.text import SMALL_SLICE, free_name, text_slices, whole_texts, with_columns, word_hashes, word_spans
 from courierflow.session import materialize
 
 CUT_SCORE = 0.3
@@ -37,7 +37,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     words = np.diff(first)
     row = np.repeat(np.arange(rows), words)
     length, n = np.diff(offsets).astype(float), np.maximum(words, 1).astype(float)
-    total = lambda mask: np.r_[0, np.cumsum(mask)][offsets[1:]] - np.r_[0, np.cumsum(mask)][offsets[:-1]]
+    total = lambda mask: np.diff(np.r_[0, np.cumsum(mask)][offsets])
     shares = [np.minimum(total(c[data]) / np.maximum(length, 1), 1) for c in CLASSES]
     h = word_hashes(data, starts, ends)
     size = (ends - starts).astype(float)
@@ -63,7 +63,7 @@ def featured(documents: DataFrame, *keep: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [features(data, offsets) for _, _, data, offsets in text_slices(batch.column(len(names) - 1))]
+            made = [features(data, offsets) for _, _, data, offsets in text_slices(batch.column(len(names) - 1), SMALL_SLICE)]
             rows = np.concatenate(made) if made else np.zeros((0, 1))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=names)
@@ -148,7 +148,7 @@ def accepted(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     model = fit(train.join(featured(documents, "doc_id"), "doc_id"), rows)
 
     def score(texts: pa.Array) -> list[pa.Array]:
-        made = [model.score(features(data, offsets)) for _, _, data, offsets in text_slices(texts)]
+        made = [model.score(features(data, offsets)) for _, _, data, offsets in text_slices(texts, SMALL_SLICE)]
         return [pa.array(np.concatenate(made) if made else [], pa.float64())]
 
     name = free_name(documents, "_score")

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SLICE_BYTES = 1 << 21
+#: For steps that hold many arrays of a number a byte; their tables of powers just fit 2**19 entries.
+SMALL_SLICE = (1 << 19) - 2
 # Odd multipliers of the polynomial hashes and of the mixing step.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
