@@ -5,8 +5,10 @@ are ordered by how often they stand in the corpus, rarest first; a block that me
 holds one of its first words (prefix filter), has enough words (length filter), and enough of the
 template must follow the first word found (positional filter). Only such pairs are counted out.
 
-Blocks are ``BLOCK`` words long and start every half block, so each stretch of half a block lies
-whole in one. Templates are a bounded parameter and travel with the tasks.
+Blocks are ``BLOCK`` words long, or the power of two times that holds a template of so many words
+twice, and start every half block: each stretch of a template's length lies whole in one. Templates
+are found by an inverted index of their prefixes and travel with the tasks: they are a parameter of
+the size of a list of licenses, not of the corpus.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from courierflow.llm.text import LOWER, NOT_ALNUM, text_slices, whole_texts, word_hashes, word_spans
 
-CONTAINMENT, BLOCK, MOST_TEMPLATES = 0.8, 48, 10_000
+CONTAINMENT, BLOCK = 0.8, 48
 # Phrases that stand for a license, and openings of license texts.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 TEMPLATES = [
@@ -44,11 +46,20 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(data, starts, ends), first
 
 
+def block_of(n: int) -> int:
+    """Length of the blocks that templates of ``n`` words are sought in: twice as long at least."""
+    size = BLOCK
+    while size < 2 * n:
+        size *= 2
+    return size
+
+
 @dataclass
 class Template:
     label: str
     ordered: np.ndarray  # word numbers, rarest first
     need: int
+    block: int
 
     @property
     def prefix(self) -> np.ndarray:
@@ -59,21 +70,22 @@ class Templates:
     """The vocabulary of the templates, ordered by corpus counts once these are known."""
 
     def __init__(self, templates: list[tuple[str, str]], containment: float):
-        if len(templates) > MOST_TEMPLATES:
-            raise ValueError(f"more than {MOST_TEMPLATES} templates: join them in blocks")
         hashes, first = words([t for _, t in templates])
         self.vocabulary = np.unique(hashes)
-        self.sets = [(label, np.unique(np.searchsorted(self.vocabulary, hashes[a:b]))) for (label, _), a, b in zip(templates, first, first[1:])]
+        self.sets = [(label, np.unique(np.searchsorted(self.vocabulary, hashes[a:b])), block_of(b - a)) for (label, _), a, b in zip(templates, first, first[1:])]
         self.containment = containment
         self.order(np.zeros(len(self.vocabulary)))
 
     def order(self, counts: np.ndarray) -> None:
         self.rank = np.empty(len(counts), np.int64)
         self.rank[np.lexsort((np.arange(len(counts)), counts))] = np.arange(len(counts))
-        self.templates = [Template(label, s[np.argsort(self.rank[s])], math.ceil(self.containment * len(s) - 1e-9)) for label, s in self.sets if len(s)]
+        self.templates = [Template(label, s[np.argsort(self.rank[s])], math.ceil(self.containment * len(s) - 1e-9), block) for label, s, block in self.sets if len(s)]
         self.in_prefix = np.zeros(len(counts), bool)
-        for t in self.templates:
+        self.index: dict[int, dict[int, list[tuple[int, int]]]] = {}  # block length, prefix word: templates and the word's position
+        for k, t in enumerate(self.templates):
             self.in_prefix[t.prefix] = True
+            for at, word in enumerate(t.prefix.tolist()):
+                self.index.setdefault(t.block, {}).setdefault(word, []).append((k, at))
 
     def number(self, hashes: np.ndarray) -> np.ndarray:
         """Number of each word in the vocabulary, -1 for other words."""
@@ -85,19 +97,25 @@ class Templates:
     def meet(self, numbers: np.ndarray) -> dict[str, float]:
         """Labels of the templates that some block of one text meets, with the largest containment."""
         found: dict[str, float] = {}
-        half = BLOCK // 2
         hits = np.flatnonzero((numbers >= 0) & self.in_prefix[numbers])
-        for block in np.unique(np.r_[hits // half, hits // half - 1]):
-            if block < 0:
-                continue
-            here = numbers[block * half : block * half + BLOCK]
-            held = np.unique(here[here >= 0])
-            for t in self.templates:
-                if len(here) < t.need:
+        for size, index in self.index.items():
+            half = size // 2
+            for block in np.unique(np.r_[hits // half, hits // half - 1]):
+                if block < 0:
                     continue
-                at = np.flatnonzero(np.isin(t.ordered, held))
-                if len(at) and at[0] <= len(t.ordered) - t.need and len(at) >= t.need:
-                    found[t.label] = max(found.get(t.label, 0.0), len(at) / len(t.ordered))
+                here = numbers[block * half : block * half + size]
+                held = np.unique(here[here >= 0])
+                first: dict[int, int] = {}  # templates whose prefix is hit, and where
+                for word in held[self.in_prefix[held]].tolist():
+                    for k, at in index.get(word, ()):
+                        first[k] = min(at, first.get(k, at))
+                for k, at in first.items():
+                    t = self.templates[k]
+                    if len(held) < t.need or len(t.ordered) - at < t.need:
+                        continue
+                    n = int(np.isin(t.ordered[at:], held).sum())
+                    if n >= t.need:
+                        found[t.label] = max(found.get(t.label, 0.0), n / len(t.ordered))
         return found
 
 

@@ -183,6 +183,18 @@ def test_license_join_is_exact():
         assert known.meet(known.number(hashes)) == want
 
 
+@pytest.mark.parametrize("n", [24, 41, 80, 1500])
+def test_whole_license_texts_are_found_wherever_they_stand(n):
+    template = corpus.prose(70, n)
+    known = license_join.Templates([("whole", template), ("short", corpus.prose(71, 12))], 0.8)
+    for before in (0, 1, 23, 47, 90, 2000):
+        hashes, _ = license_join.words([f"{' '.join(f'w{i}' for i in range(before))} {template} and more words of this text"])
+        assert known.meet(known.number(hashes))["whole"] == 1.0
+    hashes, _ = license_join.words([" ".join(template.split()[: n // 3]) if n > 24 else "nothing of it"])
+    share = len(set(template.split()[: n // 3])) / len(set(template.split())) if n > 24 else 0
+    assert share >= 0.8 or "whole" not in known.meet(known.number(hashes))
+
+
 def test_quality(spark, docs, none):
     rows = [(i, corpus.prose(i, 80) if i % 2 else " | ".join(corpus.prose(i, 40).split()) + " !!") for i in range(300)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(300)] + [(None, 1), (5, None), (7, 9), (99_999, 1)], "doc_id long, quality int")
