@@ -43,7 +43,7 @@ def op1_pii(spark, sf_dir):
     count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
     return spans.select(
         "doc_id", *[count(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS], F.sha2(written(base), 256).alias("base_sha256"),
-        written(F.col("spans")).alias("spans"))
+        written(F.col("spans")).alias("spans"), F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added"), (F.size("spans") > 0).alias("has_pii"))
 
 
 @query
