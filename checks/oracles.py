@@ -388,6 +388,10 @@ SQL["crowded_topk"] = f"""WITH p AS (SELECT zone_id, dp_id, CASE WHEN dp_id % 3
    FROM fx_order_lifecycle o JOIN r USING (restaurant_id) JOIN p ON p.zone_id = o.zone_id WHERE o.state = 'READY')
  SELECT order_id, dp_id, distance_km, row_number() OVER w AS rank FROM near WINDOW w AS (PARTITION BY order_id ORDER BY distance_km, dp_id) QUALIFY rank <= 8"""
 
+_TEXT_ID = "'{}' || lpad(CAST({} AS VARCHAR), 12, '0') AS {}".format
+SQL["batch_candidates_text_ids"] = f"""SELECT {_TEXT_ID('o', 'order_id', 'order_id')}, {_TEXT_ID('r', 'restaurant_id', 'restaurant_id')}, ready_s,
+ {_TEXT_ID('o', 'with_order_id', 'with_order_id')}, dp_id FROM ({SQL['batch_candidates']}) q"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(sql) for name, sql in SQL.items()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,9 +145,17 @@ def batch_members(events_json: DataFrame) -> DataFrame:
     ).withColumn("companion_id", F.col("companion_id").cast("long"))
 
 
-def _number(df: DataFrame, name: str) -> Column:
-    """An id as a number: itself, or the hash of a text id."""
-    return F.col(name) if isinstance(df.schema[name].dataType, T.LongType) else F.xxhash64(name)
+def numbered(df: DataFrame, name: str, number: str, policy: SkewPolicy = DEFAULT) -> DataFrame:
+    """``df`` with its id as a number: itself, or the place of a text id among all sorted ones.
+
+    Distinct ids are sorted by ranges; each range numbers its own from its offset, so that no two ids
+    share a number and numbers sort like the texts. The dictionary is a written table. No id is -1.
+    """
+    if isinstance(df.schema[name].dataType, T.LongType):
+        return df.withColumn(number, F.col(name))
+    ids = df.select(name).where(F.col(name).isNotNull()).distinct().orderBy(name)
+    ids = materialize(ids.withColumn(number, F.monotonically_increasing_id()), "ids")
+    return lookup_join(df, ids, [name], "left", policy=policy).withColumn(number, F.coalesce(number, F.lit(-1)))
 
 
 def batch_candidates(orders: DataFrame, status: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
@@ -163,7 +171,7 @@ def batch_candidates(orders: DataFrame, status: DataFrame, policy: SkewPolicy =
     asking order itself. The spell that lasts longest is the answer.
     """
     times = order_times(orders)
-    times = times.withColumns({"_order": _number(times, "order_id"), "_rest": _number(times, "restaurant_id")})
+    times = numbered(numbered(times, "order_id", "_order", policy), "restaurant_id", "_rest", policy)
     carried = times.where("assigned_s IS NOT NULL AND dp_id IS NOT NULL")
 
     def change(at, sign):

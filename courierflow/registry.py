@@ -344,6 +344,15 @@ def batch_candidates(v):
     return dispatch.batch_candidates(v.order_lifecycle, v.dp_status)
 
 
+@query
+def batch_candidates_text_ids(v):
+    """The same on ids as texts, as the events carry them."""
+    named = v.order_lifecycle
+    for name in ("order_id", "restaurant_id"):
+        named = named.withColumn(name, F.concat(F.lit(name[0]), F.lpad(F.col(name).cast("string"), 12, "0")))
+    return dispatch.batch_candidates(named, v.dp_status)
+
+
 @query
 def drop_sequence(v):
     return dispatch.drop_sequence(v.dispatch, v.order_lifecycle, v.restaurants, trips.drop_points(v.trip_gps))

@@ -11,7 +11,7 @@ from checks.compare import compare, oracle_connection
 from conftest import SF
 from courierflow import registry
 from courierflow.operators import ingest
-from courierflow.plans import kitchen, orders, payments, supply, trips
+from courierflow.plans import dispatch, kitchen, orders, payments, supply, trips
 from courierflow.plans.silver import COLUMNS, bad_times, silver
 from courierflow.schemas import KAFKA_RECORD, PAYLOADS, SCHEMAS, TOPICS
 
@@ -27,7 +27,7 @@ def duck():
 def test_query_matches_sql(spark, duck, name):
     _, rows, ok, why = compare(spark, duck, name, QUERIES[name], ORACLES.get(name), SF)
     assert ok, why
-    assert rows > 0 or name in ("batch_candidates", "gps_gaps")
+    assert rows > 0 or name in ("batch_candidates", "batch_candidates_text_ids", "gps_gaps")
 
 
 def test_entry(spark):
@@ -98,3 +98,12 @@ def test_retry_chains_follow_the_pointers(spark):
     assert got == {
         "a1": ("a1", 1, 4, "FAILED"), "a2": ("a1", 2, 4, "FAILED"), "a3": ("a1", 3, 4, "FAILED"), "a4": ("a1", 4, 4, "FAILED"), "b1": ("b1", 1, 1, "SUCCESS"),
         "c2": ("c2", 1, 2, "SUCCESS"), "c3": ("c2", 2, 2, "SUCCESS"), "d1": ("d1", 1, 2, "FAILED"), "d2": ("d1", 2, 2, "FAILED"), "e1": ("e1", 1, 1, "OPEN")}
+
+
+def test_text_ids_are_numbered_in_their_order(spark):
+    ids = [f"o{i * 7919 % 1000:04d}" for i in range(300)] + ["o0000", None, "", "é"]
+    rows = spark.createDataFrame([(i,) for i in ids], "id string").repartition(5)
+    got = {(r.id, r.n) for r in dispatch.numbered(rows, "id", "n").collect()}
+    numbers = dict(got)
+    assert len(got) == len(numbers) == len(set(numbers.values())) == len(set(ids)) and numbers.pop(None) == -1
+    assert sorted(numbers, key=numbers.get) == sorted(numbers) and min(numbers.values()) >= 0
