@@ -8,7 +8,7 @@ from conftest import SF
 from courierflow.llm import oracles, queries
 
 COLUMNS = {
-    "op1_pii": {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"},
+    "op1_pii": {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added", "has_pii"},
     "op2_suffix": {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"},
     "op4_quality": {"doc_id", "held_out", "score", "predicted"},
     "op6_bpe": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
