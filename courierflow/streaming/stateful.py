@@ -7,7 +7,7 @@ from contextlib import contextmanager
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -33,62 +33,92 @@ def latest_states(events: DataFrame) -> DataFrame:
     return out.select("order_id", state.alias("state"), F.floor(F.col("newest") / RANKS).alias("event_s"), rank.cast("long").alias("rank"))
 
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # a look-up before each write, for a count of keys that nobody reads
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
 
 
 @contextmanager
 def rocksdb_state(spark: SparkSession):
     """Streams started inside keep their state in RocksDB, which state with timers asks for."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    before = {name: spark.conf.get(name, None) for name in _ROCKSDB}
+    for name, value in _ROCKSDB.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(_PROVIDER, before) if before else spark.conf.unset(_PROVIDER)
+        for name, value in before.items():
+            spark.conf.set(name, value) if value else spark.conf.unset(name)
+
+
+def bucket_of(key: Column, buckets: int) -> Column:
+    """One of ``buckets`` groups of keys; NULL keys are a group of their own, -1."""
+    return F.when(key.isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
 
 
 class _Newest(StatefulProcessor):
-    """The newest state of an order, as one number, until the order is over.
+    """The newest state of the orders of one bucket, each as one number, until the order is over.
 
-    A timer stands at the time of a final state, or ``idle_s`` behind the newest event of an order
-    that goes on. Once the watermark passes it no event of before can come in any more, and the
-    state goes.
+    An order ends at the time of a final state, or ``idle_s`` behind its newest event if it goes on.
+    Once the watermark has passed that, no event of before can come in any more, and the order's
+    entry goes. A timer wakes the bucket up at the first end.
     """
 
-    def __init__(self, final: set[int], idle_s: int):
-        self.final, self.idle_s = final, idle_s
+    def __init__(self, final: set[int], idle_s: int, held: T.StructType):
+        self.final, self.idle_s, self.held = final, idle_s, held
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.newest = handle.getValueState("newest", "code long")
+        self.newest = handle.getListState("newest", self.held)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        known = self.newest.get()[0] if self.newest.exists() else -1
-        code = max(int(frame["code"].max()) for frame in rows)
-        if code <= known:
-            return
-        self.newest.update((code,))
-        for timer in list(self.handle.listTimers()) if known >= 0 else ():
-            self.handle.deleteTimer(timer)
-        event_s, rank = divmod(code, RANKS)
-        self.handle.registerTimer(1000 * (event_s if rank in self.final else event_s + self.idle_s))
-        yield pd.DataFrame({"order_id": [key[0]], "code": [code]})
+        known, changed = dict(self.newest.get()), {}
+        before = len(known)
+        for frame in rows:
+            orders = [None] * len(frame) if key[0] < 0 else frame["order_id"].tolist()
+            for order, code in zip(orders, frame["code"].tolist()):
+                if code > known.get(order, -1):
+                    known[order] = changed[order] = code
+        self._keep(known, before, bool(changed), timerValues)
+        if changed:
+            yield pd.DataFrame(list(changed.items()), columns=["order_id", "code"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.newest.clear()
+        known = dict(self.newest.get())
+        self._keep(known, len(known), False, timerValues)
         return iter(())
 
+    def _keep(self, known: dict, before: int, changed: bool, timerValues) -> None:
+        """Write the orders that go on, and the timer of the first that ends."""
+        mark_s = timerValues.getCurrentWatermarkInMs() / 1000
+        ends = {o: c // RANKS + (0 if c % RANKS in self.final else self.idle_s) for o, c in known.items()}
+        alive = [(order, code) for order, code in known.items() if ends[order] > mark_s]
+        if not changed and len(alive) == before:
+            return
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if alive:
+            self.newest.put(alive)
+            self.handle.registerTimer(1000 * min(ends[order] for order, _ in alive))
+        else:
+            self.newest.clear()
+
     def close(self) -> None:
         pass
 
 
-def ending_states(events: DataFrame, delay: str, idle_s: int = 7 * 86400) -> DataFrame:
+def ending_states(events: DataFrame, delay: str, idle_s: int = 7 * 86400, buckets: int = 8192) -> DataFrame:
     """Current state per order in update mode, with state that ends: see ``_Newest``.
 
     As ``latest_states`` otherwise, but events more than ``delay`` behind the newest are dropped, so
     that a finished order can leave the state for good. Each task first keeps one row an order of
     what it has read, so that an order with very many events doesn't meet in one task row by row.
-    Start it within ``rocksdb_state``.
+    The state is called once for each of ``buckets`` groups of orders in a batch, not for each order,
+    and rewrites the entries of the group: let a bucket hold some hundreds of orders that go on.
+    Their number is fixed with the first start, like the state's partitions. Start it within
+    ``rocksdb_state``.
     """
     code = F.col("event_s") * RANKS + state_ordinal(F.col("state"))
     coded = events.select("order_id", code.cast("long").alias("code")).where(F.col("code").isNotNull())
@@ -101,7 +131,8 @@ def ending_states(events: DataFrame, delay: str, idle_s: int = 7 * 86400) -> Dat
     kept = coded.mapInArrow(newest, coded.schema)
     timed = kept.withColumn("at", F.timestamp_seconds(F.floor(F.col("code") / RANKS))).withWatermark("at", delay)
     final = {1 + ORDER_STATES.index(s) for s in ORDER_TERMINAL}  # as ``state_ordinal`` counts
-    out = timed.groupBy("order_id").transformWithStateInPandas(_Newest(final, idle_s), coded.schema, "Update", "EventTime")
+    groups = timed.withColumn("bucket", bucket_of(F.col("order_id"), buckets)).groupBy("bucket")
+    out = groups.transformWithStateInPandas(_Newest(final, idle_s, coded.schema), coded.schema, "Update", "EventTime")
     rank = F.pmod("code", F.lit(RANKS))
     state = F.element_at(F.array(*[F.lit(s) for s in ORDER_STATES]), rank.cast("int"))
     return out.select("order_id", state.alias("state"), F.floor(F.col("code") / RANKS).alias("event_s"), rank.cast("long").alias("rank"))

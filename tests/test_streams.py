@@ -206,3 +206,26 @@ def test_finished_orders_leave_the_state(spark, views):
     ends = events.groupBy("order_id").agg(F.max("event_s").alias("end_s"), F.max(F.col("state").isin("REJECTED", "DELIVERED", "CANCELLED")).alias("over"))
     alive = ends.where(F.when(F.col("over"), F.col("end_s")).otherwise(F.col("end_s") + 7 * 86400) > newest - 3600).count()
     assert held.count() == alive < 0.3 * ends.count()
+
+
+def test_order_state_is_called_by_bucket(spark):
+    """Few buckets hold all orders, one without an id among them; ends and drops are as by order."""
+    columns = "order_id long, state string, event_s long"
+    feed, root = scratch(spark, "t-bucket-feed"), scratch(spark, "t-bucket")
+    arrivals = [
+        [(i, "PLACED", 1000 + i) for i in range(300)] + [(None, "PLACED", 1000)],
+        [(i, "DELIVERED", 9000) for i in range(0, 300, 2)] + [(None, "ACCEPTED", 9000), (1, "ACCEPTED", 900)],
+        [(500, "PLACED", 20_000)],
+        [(3, "DELIVERED", 9500), (5, "READY", 19_000)],  # the first is behind the watermark of 16,400
+    ]
+    for rows in arrivals:
+        df = spark.createDataFrame(rows, columns)
+        df.write.mode("append").parquet(feed)
+        with stateful.rocksdb_state(spark):
+            changes = stateful.ending_states(stream_files(spark, feed, df.schema), "1 hour", buckets=4)
+            finish(stateful.start_changes(changes, f"{root}/changes", f"{root}/_checkpoint"))
+    log = spark.read.parquet(f"{root}/changes").collect()
+    want = [(r[0], r[1], r[2]) for rows in arrivals for r in rows if r not in {(1, "ACCEPTED", 900), (3, "DELIVERED", 9500)}]
+    assert sorted(((r.order_id or -1, r.state, r.event_s) for r in log)) == sorted((o or -1, s, t) for o, s, t in want)
+    held = spark.read.format("statestore").option("stateVarName", "newest").load(f"{root}/_checkpoint")
+    assert held.count() == 150 + 1 + 1 and held.select("key").distinct().count() <= 5
