@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -16,7 +17,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from courierflow.sinks.tables import append_batch
 from courierflow.states import ORDER_STATES, ORDER_TERMINAL, legal_moves_frame, state_ordinal
 
-HELD = "event_s array<bigint>, event_id array<bigint>, status array<string>"
+EVENT = ("dp_id", "event_s", "event_id", "status")
+SPAN = ("dp_id", "event_id", "status", "event_s", "until_s", "next_status")
+HELD = "held binary"  # events as an Arrow stream
 RANKS = 16  # more than there are order states
 
 
@@ -58,6 +61,13 @@ def bucket_of(key: Column, buckets: int) -> Column:
     return F.when(key.isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
 
 
+def bucketed(rows: DataFrame, key: str, buckets: int) -> GroupedData:
+    """Rows grouped by the bucket of their key. NULL keys read 0: one among them would turn the ids
+    that travel with it into floating point."""
+    known = F.coalesce(key, F.lit(0).cast(rows.schema[key].dataType))
+    return rows.withColumns({"bucket": bucket_of(F.col(key), buckets), key: known}).groupBy("bucket")
+
+
 class _Newest(StatefulProcessor):
     """The newest state of the orders of one bucket, each as one number, until the order is over.
 
@@ -131,8 +141,7 @@ def ending_states(events: DataFrame, delay: str, idle_s: int = 7 * 86400, bucket
     kept = coded.mapInArrow(newest, coded.schema)
     timed = kept.withColumn("at", F.timestamp_seconds(F.floor(F.col("code") / RANKS))).withWatermark("at", delay)
     final = {1 + ORDER_STATES.index(s) for s in ORDER_TERMINAL}  # as ``state_ordinal`` counts
-    groups = timed.withColumn("bucket", bucket_of(F.col("order_id"), buckets)).groupBy("bucket")
-    out = groups.transformWithStateInPandas(_Newest(final, idle_s, coded.schema), coded.schema, "Update", "EventTime")
+    out = bucketed(timed, "order_id", buckets).transformWithStateInPandas(_Newest(final, idle_s, coded.schema), coded.schema, "Update", "EventTime")
     rank = F.pmod("code", F.lit(RANKS))
     state = F.element_at(F.array(*[F.lit(s) for s in ORDER_STATES]), rank.cast("int"))
     return out.select("order_id", state.alias("state"), F.floor(F.col("code") / RANKS).alias("event_s"), rank.cast("long").alias("rank"))
@@ -151,34 +160,43 @@ def start_changes(changes: DataFrame, path: str, checkpoint: str, run: str = "ch
 
 
 def _close(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Close the spans of one partner whose events the watermark has passed.
-
-    The state holds the open event and those the watermark has not reached; a timer wakes the
-    partner up when it does."""
-    held = list(zip(*state.get)) if state.exists else []
-    for frame in frames:
-        held += zip(frame["event_s"].tolist(), frame["event_id"].tolist(), frame["status"].tolist())
-    held.sort()
+    """Close the spans of one bucket's partners whose events the watermark has passed.
+
+    The state holds each partner's open event and those the watermark has not reached; a timer wakes
+    the bucket up when it does."""
+    parts = [pa.ipc.open_stream(state.get[0]).read_pandas()] if state.exists else []
+    parts += [frame[[*EVENT]] for frame in frames if len(frame)]
+    held = pd.concat(parts, ignore_index=True)
+    held = held.sort_values([*EVENT], ignore_index=True)
     mark = state.getCurrentWatermarkMs()
-    settled = sum(event[0] * 1000 < mark for event in held)
-    closed = [(key[0], a[1], a[2], a[0], b[0], b[2]) for a, b in zip(held[:settled], held[1:settled])]
-    held = held[max(0, settled - 1) :]
-    state.update(tuple(map(list, zip(*held))))
-    if waiting := [event[0] for event in held if event[0] * 1000 >= mark]:
-        state.setTimeoutTimestamp(max(waiting[0] * 1000, mark) + 1)
-    yield pd.DataFrame(closed, columns=["dp_id", "event_id", "status", "event_s", "until_s", "next_status"])
-
-
-def closed_spans(events: DataFrame, delay: str, machines: tuple[str, ...] = ("dp", "dp_observed")) -> DataFrame:
+    settled = held["event_s"] * 1000 < mark
+    partner = held["dp_id"].to_numpy()
+    closed = settled & settled.shift(-1, fill_value=False) & np.append(partner[1:] == partner[:-1], False)
+    spans = held[closed].assign(until_s=held["event_s"].shift(-1, fill_value=0)[closed], next_status=held["status"].shift(-1)[closed])
+    kept = pa.Table.from_pandas(held[~closed], preserve_index=False)
+    packed = pa.BufferOutputStream()
+    with pa.ipc.new_stream(packed, kept.schema) as out:
+        out.write_table(kept)
+    state.update((packed.getvalue().to_pybytes(),))
+    waiting = held["event_s"][~settled]
+    if len(waiting):
+        state.setTimeoutTimestamp(max(int(waiting.min()) * 1000, mark) + 1)
+    yield spans[[*SPAN]].assign(has_dp=key[0] >= 0)
+
+
+def closed_spans(events: DataFrame, delay: str, machines: tuple[str, ...] = ("dp", "dp_observed"), buckets: int = 1024) -> DataFrame:
     """Closed status spans per partner, each with the legality of the move that closed it.
 
     Events may arrive in any order up to ``delay`` behind the newest; the watermark drops later
-    ones. A span comes out once the watermark has passed both its ends.
+    ones. A span comes out once the watermark has passed both its ends. The state is called once
+    for each of ``buckets`` groups of partners in a batch, and rewrites what the group holds; their
+    number is fixed with the first start, like the state's partitions.
     """
-    timed = events.select("dp_id", "event_id", "status", "event_s", F.timestamp_seconds("event_s").alias("at")).withWatermark("at", delay)
-    spans = T.StructType([events.schema[c] for c in ("dp_id", "event_id", "status", "event_s")])
-    spans = spans.add("until_s", "long").add("next_status", "string")
-    out = timed.groupBy("dp_id").applyInPandasWithState(_close, spans, HELD, "append", GroupStateTimeout.EventTimeTimeout)
+    timed = events.select(*EVENT, F.timestamp_seconds("event_s").alias("at")).withWatermark("at", delay)
+    types = {c: events.schema[c].dataType for c in EVENT} | {"until_s": T.LongType(), "next_status": T.StringType()}
+    spans = T.StructType([T.StructField(c, types[c]) for c in SPAN]).add("has_dp", "boolean")
+    out = bucketed(timed, "dp_id", buckets).applyInPandasWithState(_close, spans, HELD, "append", GroupStateTimeout.EventTimeTimeout)
+    out = out.withColumn("dp_id", F.when(F.col("has_dp"), F.col("dp_id"))).drop("has_dp")
     legal = legal_moves_frame(events.sparkSession, *machines).select(
         F.col("from_state").alias("status"), F.col("to_state").alias("next_status"), F.lit(True).alias("_legal")
     )

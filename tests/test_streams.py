@@ -212,11 +212,11 @@ def test_order_state_is_called_by_bucket(spark):
     """Few buckets hold all orders, one without an id among them; ends and drops are as by order."""
     columns = "order_id long, state string, event_s long"
     feed, root = scratch(spark, "t-bucket-feed"), scratch(spark, "t-bucket")
-    arrivals = [
-        [(i, "PLACED", 1000 + i) for i in range(300)] + [(None, "PLACED", 1000)],
-        [(i, "DELIVERED", 9000) for i in range(0, 300, 2)] + [(None, "ACCEPTED", 9000), (1, "ACCEPTED", 900)],
+    arrivals = [  # ids that floating point would round
+        [(2**60 + i, "PLACED", 1000 + i) for i in range(300)] + [(None, "PLACED", 1000)],
+        [(2**60 + i, "DELIVERED", 9000) for i in range(0, 300, 2)] + [(None, "ACCEPTED", 9000), (2**60 + 1, "ACCEPTED", 900)],
         [(500, "PLACED", 20_000)],
-        [(3, "DELIVERED", 9500), (5, "READY", 19_000)],  # the first is behind the watermark of 16,400
+        [(2**60 + 3, "DELIVERED", 9500), (2**60 + 5, "READY", 19_000)],  # the first is behind the watermark of 16,400
     ]
     for rows in arrivals:
         df = spark.createDataFrame(rows, columns)
@@ -225,7 +225,21 @@ def test_order_state_is_called_by_bucket(spark):
             changes = stateful.ending_states(stream_files(spark, feed, df.schema), "1 hour", buckets=4)
             finish(stateful.start_changes(changes, f"{root}/changes", f"{root}/_checkpoint"))
     log = spark.read.parquet(f"{root}/changes").collect()
-    want = [(r[0], r[1], r[2]) for rows in arrivals for r in rows if r not in {(1, "ACCEPTED", 900), (3, "DELIVERED", 9500)}]
+    want = [(r[0], r[1], r[2]) for rows in arrivals for r in rows if r not in {(2**60 + 1, "ACCEPTED", 900), (2**60 + 3, "DELIVERED", 9500)}]
     assert sorted(((r.order_id or -1, r.state, r.event_s) for r in log)) == sorted((o or -1, s, t) for o, s, t in want)
     held = spark.read.format("statestore").option("stateVarName", "newest").load(f"{root}/_checkpoint")
     assert held.count() == 150 + 1 + 1 and held.select("key").distinct().count() <= 5
+
+
+def test_spans_are_closed_by_bucket(spark):
+    """As many calls as buckets, not as partners; events without a partner are one sequence."""
+    columns = "dp_id long, event_id long, status string, event_s long"
+    rows = [(None if i % 50 == 0 else 2**60 + i % 50, i, "IDLE" if i % 3 else "OFFLINE", 5000 + 7 * i % 1000) for i in range(1000)]
+    df = spark.createDataFrame(rows, columns)
+    marker = {"dp_id": -1, "event_id": -1, "status": "OFFLINE"}
+    got, _ = replay(df, lambda s: stateful.closed_spans(s, "2000 seconds", buckets=4), "t-span-bucket", "event_id", marker=marker)
+    want = set()
+    for dp in {r[0] for r in rows}:
+        mine = sorted((t, e, s) for d, e, s, t in rows if d == dp)
+        want |= {(dp, a[1], a[2], a[0], b[0], b[2]) for a, b in zip(mine, mine[1:])}
+    assert {(r.dp_id, r.event_id, r.status, r.event_s, r.until_s, r.next_status) for r in got.collect()} == want and got.count() == len(want)
