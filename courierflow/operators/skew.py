@@ -50,10 +50,7 @@ def slice_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], policy:
         thin = thin.where(F.pmod(F.xxhash64(*named), F.lit(every)) == 0)
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     starts = thin.withColumn("_place", place).where((F.col("_place") > 1) & (F.col("_place") % step == 1 % step))
-    hot = starts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts"))
-    # the powers of two that a search among the cuts goes through
-    powers = F.transform(F.sequence(F.floor(F.log2(F.size("_cuts"))).cast("int"), F.lit(0), F.lit(-1)), lambda e: F.pow(F.lit(2), e).cast("int"))
-    return hot.withColumn("_powers", powers)
+    return starts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts"))
 
 
 def one_key(column: str) -> Column:
@@ -62,24 +59,55 @@ def one_key(column: str) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(1)).cast("int")
 
 
-def _slice_of(order: Sequence[str]) -> Column:
-    """How many cuts a row stands at or behind, by binary search."""
+def cut_levels(hot: DataFrame) -> list[DataFrame]:
+    """The cuts of hot keys as search trees of three levels, root first.
+
+    With ``f`` the cube root of a key's number of cuts, block ``_block`` of a level holds up to ``f``
+    of the cuts ``f * f``, ``f`` or one place apart; the cut at place ``t`` of a level opens block
+    ``t`` of the next one.
+    """
+    n, fan = F.size("_cuts"), F.col("_fan")
+    fanned = hot.withColumn("_fan", F.ceil(F.pow(F.size("_cuts"), F.lit(1 / 3))).cast("int"))
+
+    def level(stride: Column) -> DataFrame:
+        last = F.floor((n - 1) / stride).cast("int")
+        block = lambda j: F.transform(F.sequence(j * fan, F.least((j + 1) * fan - 1, last)), lambda t: F.get("_cuts", t * stride))
+        blocks = F.transform(F.sequence(F.lit(0), F.floor(last / fan).cast("int")), lambda j: F.struct(j.alias("_block"), block(j).alias("_some")))
+        rows = fanned.select(*[c for c in hot.columns if c != "_cuts"], "_fan", F.inline(blocks))
+        # the powers of two that a search among the cuts goes through
+        powers = F.transform(F.sequence(F.floor(F.log2(F.size("_some"))).cast("int"), F.lit(0), F.lit(-1)), lambda e: F.pow(F.lit(2), e).cast("int"))
+        return rows.withColumn("_powers", powers)
+
+    return [level(fan * fan), level(fan), level(F.lit(1))]
+
+
+def _place(order: Sequence[str]) -> Column:
+    """The last place of a level whose cut a row stands at or behind, by binary search; -1 in front of all."""
     at = F.struct(*order)
-    closer = lambda n, p: F.when(F.get("_cuts", n + p - 1) <= at, n + p).otherwise(n)
-    return F.aggregate("_powers", F.lit(0), closer)
+    closer = lambda n, p: F.when(F.get("_some", n + p - 1) <= at, n + p).otherwise(n)
+    found = F.aggregate("_powers", F.lit(0), closer)
+    return F.when(found > 0, F.col("_block") * F.col("_fan") + found - 1).otherwise(-1)
 
 
 def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame, only: bool = False) -> DataFrame:
     """``df`` with the row's slice of its key, NULL where the key isn't hot; or hot keys' rows ``only``.
 
     The cuts are broadcast: one for each ``max_rows`` rows of hot keys, 500,000 of some thirty
-    bytes for 10^12 rows under the default policy.
+    bytes for 10^12 rows under the default policy. A joined row carries the array that it searches,
+    so it goes down a tree of short arrays (``cut_levels``) and never meets all cuts of its key.
     """
-    table = F.broadcast(hot.withColumnsRenamed({k: f"_k_{k}" for k in keys}))
-    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(table[f"_k_{k}"]) for k in keys])
-    joined = df.join(table, same, "inner" if only else "left")
-    number = _slice_of(order) if only else F.when(F.col("_cuts").isNotNull(), _slice_of(order))
-    return joined.withColumn(SLICE, number).drop("_cuts", "_powers", *[f"_k_{k}" for k in keys])
+    rows = df
+    for depth, level in enumerate(cut_levels(hot)):
+        table = F.broadcast(level.withColumnsRenamed({k: f"_k_{k}" for k in keys}))
+        same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(table[f"_k_{k}"]) for k in keys])
+        found = F.when(F.col("_some").isNotNull(), _place(order))
+        if depth:  # a row in front of all cuts meets no block
+            same = same & (F.col("_at") == F.col("_block"))
+            found = F.coalesce(found, "_at")
+        joined = rows.join(table, same, "inner" if only and not depth else "left")
+        kept = [c for c in rows.columns if c != "_at"]
+        rows = joined.select(*kept, found.alias("_at"))
+    return rows.withColumn(SLICE, (F.col("_at") + 1).cast("int")).drop("_at")
 
 
 def dimension_join(

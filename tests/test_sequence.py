@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from courierflow.operators.sequence import asof_join, latest, running, sweep, windowed
-from courierflow.operators.skew import SLICE, SkewPolicy, lookup_join, slice_cuts, sliced
+from courierflow.operators.skew import SLICE, SkewPolicy, cut_levels, lookup_join, slice_cuts, sliced
 
 POLICIES = [SkewPolicy(max_rows=5), SkewPolicy(max_rows=40), SkewPolicy(max_rows=40, samples=10), SkewPolicy(max_rows=10**9)]
 
@@ -197,3 +197,14 @@ def test_no_job_runs_while_planning(spark, rows):
         assert not tracker.getJobIdsForGroup(group)
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_row_meets_few_cuts_of_its_key(spark):
+    """A key with a thousand cuts is searched in arrays of ten, and rows get the slices they had."""
+    rows = spark.range(1001).select((F.col("id") * 0).alias("k"), (F.col("id") * 3).alias("t"), "id")
+    hot = slice_cuts(rows, ["k"], ["t", "id"], SkewPolicy(max_rows=1, samples=1))
+    assert hot.select(F.size("_cuts")).first()[0] == 1000
+    for level in cut_levels(hot):
+        assert level.agg(F.max(F.size("_some"))).first()[0] <= 11
+    got = {r.id: r[SLICE] for r in sliced(rows, ["k"], ["t", "id"], hot).collect()}
+    assert got == {i: i for i in range(1001)}
