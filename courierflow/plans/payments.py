@@ -41,19 +41,13 @@ def payment_rows(events: DataFrame) -> DataFrame:
     )
 
 
-def retry_chains(events: DataFrame) -> DataFrame:
-    """Each payment with the root, depth and final result of its retry chain.
-
-    A payment's parent is the one it retries, if that one is known and of an earlier attempt;
-    without a parent it is the root of a chain. Pointers to ancestors double their reach until
-    all point at roots, so a chain of ``n`` payments takes ``log2(n)`` rounds and no order's
-    payments ever meet in one task.
-    """
+def _chained(events: DataFrame) -> DataFrame:
+    """``retry_chains`` with the gateway of each payment."""
     payments = payment_rows(events)
     known = payments.select(F.col("payment_id").alias("_parent"), F.col("attempt_number").alias("_before"))
     earlier = (payments["retry_of_payment_id"] == known["_parent"]) & (known["_before"] < payments["attempt_number"])
     linked = payments.join(known, earlier, "left").select(
-        "payment_id", "order_id", "_end",
+        "payment_id", "order_id", "gateway", "_end",
         F.coalesce("_parent", "payment_id").alias("root_payment_id"),
         F.when(F.col("_parent").isNotNull(), 1).otherwise(0).alias("_up"),
     )
@@ -65,7 +59,7 @@ def retry_chains(events: DataFrame) -> DataFrame:
             break
         linked = materialize(
             linked.join(far, F.col("root_payment_id") == F.col("_at")).select(
-                "payment_id", "order_id", "_end", F.col("_root").alias("root_payment_id"),
+                "payment_id", "order_id", "gateway", "_end", F.col("_root").alias("root_payment_id"),
                 F.when(F.col("_up") > 0, F.col("_up") + F.col("_more")).otherwise(0).alias("_up"),
             ),
             "chains",
@@ -75,6 +69,7 @@ def retry_chains(events: DataFrame) -> DataFrame:
     return linked.join(chains, "root_payment_id").select(
         "payment_id",
         "order_id",
+        "gateway",
         "root_payment_id",
         (F.col("_up") + 1).cast("long").alias("depth"),
         "chain_length",
@@ -82,12 +77,22 @@ def retry_chains(events: DataFrame) -> DataFrame:
     )
 
 
+def retry_chains(events: DataFrame) -> DataFrame:
+    """Each payment with the root, depth and final result of its retry chain.
+
+    A payment's parent is the one it retries, if that one is known and of an earlier attempt;
+    without a parent it is the root of a chain. Pointers to ancestors double their reach until
+    all point at roots, so a chain of ``n`` payments takes ``log2(n)`` rounds and no order's
+    payments ever meet in one task.
+    """
+    return _chained(events).drop("gateway")
+
+
 def permanent_failures(events: DataFrame) -> DataFrame:
     """Chains that ended without a success, per gateway."""
-    roots = payment_rows(events).select("payment_id", "gateway")
-    ended = retry_chains(events).where("payment_id = root_payment_id")
     return (
-        ended.join(roots, "payment_id")
+        _chained(events)
+        .where("payment_id = root_payment_id")
         .groupBy("gateway")
         .agg(
             F.count("*").alias("chains"),

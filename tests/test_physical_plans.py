@@ -91,3 +91,9 @@ def test_scratch_tables_lie_in_a_shared_folder():
     there = Session(**{"spark.checkpoint.dir": "hdfs://shared/tmp/"})
     assert session.shared_root(there) == "hdfs://shared/tmp"
     assert session.scratch(there, "x").startswith("hdfs://shared/tmp/x-")
+
+
+def test_permanent_failures_group_the_payments_once(views):
+    """Gateways travel with the chains, instead of a second pass over all payment events and its join."""
+    plan = plan_of(payments.permanent_failures(views.payment))
+    assert "gateway" in plan and "retry_of_payment_id" not in plan
