@@ -42,37 +42,47 @@ def payment_rows(events: DataFrame) -> DataFrame:
 
 
 def _chained(events: DataFrame) -> DataFrame:
-    """``retry_chains`` with the gateway of each payment."""
-    payments = payment_rows(events)
-    known = payments.select(F.col("payment_id").alias("_parent"), F.col("attempt_number").alias("_before"))
-    earlier = (payments["retry_of_payment_id"] == known["_parent"]) & (known["_before"] < payments["attempt_number"])
-    linked = payments.join(known, earlier, "left").select(
-        "payment_id", "order_id", "gateway", "_end",
-        F.coalesce("_parent", "payment_id").alias("root_payment_id"),
-        F.when(F.col("_parent").isNotNull(), 1).otherwise(0).alias("_up"),
+    """``retry_chains`` with the gateway of each payment.
+
+    Only retries are joined to what they retry: most payments are none, and their NULL would be one key.
+    """
+    columns = ["payment_id", "order_id", "gateway", "attempt_number", F.col("retry_of_payment_id").alias("_of"), "_end"]
+    payments = materialize(payment_rows(events).select(*columns), "payments")
+    known = payments.select(F.col("payment_id").alias("_parent"), F.col("attempt_number").alias("_before"), F.col("_end").alias("_top"))
+    earlier = (F.col("_of") == F.col("_parent")) & (F.col("_before") < F.col("attempt_number"))
+    linked = payments.where("_of IS NOT NULL").join(known, earlier, "left").select(
+        "payment_id", "order_id", "gateway", "_end", F.coalesce("_parent", "payment_id").alias("root_payment_id"),
+        F.when(F.col("_parent").isNotNull(), 1).otherwise(0).alias("_up"), "_top",
     )
     linked = materialize(linked, "chains")
     while True:
-        far = linked.select(F.col("payment_id").alias("_at"), F.col("root_payment_id").alias("_root"), F.col("_up").alias("_more"))
-        further = linked.join(far, F.col("root_payment_id") == F.col("_at")).where("_more > 0 AND _up > 0")
-        if further.isEmpty():
+        far = linked.where("_up > 0").select(
+            F.col("payment_id").alias("_at"), F.col("root_payment_id").alias("_root"), F.col("_up").alias("_more"), F.col("_top").alias("_far_top")
+        )
+        at = F.col("root_payment_id") == F.col("_at")
+        if linked.where("_up > 0").join(far, at).isEmpty():
             break
         linked = materialize(
-            linked.join(far, F.col("root_payment_id") == F.col("_at")).select(
-                "payment_id", "order_id", "gateway", "_end", F.col("_root").alias("root_payment_id"),
-                F.when(F.col("_up") > 0, F.col("_up") + F.col("_more")).otherwise(0).alias("_up"),
+            linked.join(far, at & (F.col("_up") > 0), "left").select(
+                "payment_id", "order_id", "gateway", "_end", F.coalesce("_root", "root_payment_id").alias("root_payment_id"),
+                (F.col("_up") + F.coalesce("_more", F.lit(0))).alias("_up"),
+                F.when(F.col("_at").isNotNull(), F.col("_far_top")).otherwise(F.col("_top")).alias("_top"),
             ),
             "chains",
         )
-    chains = linked.groupBy("root_payment_id").agg(F.count("*").alias("chain_length"), F.max("_end").alias("_best"))
-    result = F.when(F.col("_best") == 2, "SUCCESS").when(F.col("_best") == 1, "FAILED").otherwise("OPEN")
-    return linked.join(chains, "root_payment_id").select(
+    tails = linked.where("_up > 0").groupBy("root_payment_id").agg(
+        F.count("*").alias("_retries"), F.max(F.greatest("_end", "_top")).alias("_best"))
+    roots = payments.where("_of IS NULL").select(
+        "payment_id", "order_id", "gateway", "_end", F.col("payment_id").alias("root_payment_id"), F.lit(0).alias("_up"))
+    best = F.greatest("_best", "_end")
+    result = F.when(best == 2, "SUCCESS").when(best == 1, "FAILED").otherwise("OPEN")
+    return roots.unionByName(linked.drop("_top")).join(tails, "root_payment_id", "left").select(
         "payment_id",
         "order_id",
         "gateway",
         "root_payment_id",
         (F.col("_up") + 1).cast("long").alias("depth"),
-        "chain_length",
+        (F.coalesce("_retries", F.lit(0)) + 1).alias("chain_length"),
         result.alias("final_status"),
     )
 

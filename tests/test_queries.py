@@ -100,6 +100,17 @@ def test_retry_chains_follow_the_pointers(spark):
         "c2": ("c2", 1, 2, "SUCCESS"), "c3": ("c2", 2, 2, "SUCCESS"), "d1": ("d1", 1, 2, "FAILED"), "d2": ("d1", 2, 2, "FAILED"), "e1": ("e1", 1, 1, "OPEN")}
 
 
+def test_first_payments_of_chains_are_no_key(spark, monkeypatch):
+    """Payments that retry nothing meet the retries at the end only, by their own id: no join is dealt by their NULL."""
+    written, rows = [], [(f"p{i}", i % 40, "PayU", 1 + i // 40, f"p{i - 40}" if i >= 40 else None, "FAILED", i) for i in range(130)]
+    frame = spark.createDataFrame(rows, "payment_id string, order_id long, gateway string, attempt_number long, retry_of_payment_id string, status string, event_s long")
+    keep = payments.materialize
+    monkeypatch.setattr(payments, "materialize", lambda df, name: written.append((name, keep(df, name))) or written[-1][1])
+    got = {r.payment_id: (r.root_payment_id, r.depth, r.chain_length) for r in payments.retry_chains(frame).collect()}
+    assert got == {f"p{i}": (f"p{i % 40}", 1 + i // 40, 4 if i % 40 < 10 else 3) for i in range(130)}
+    assert [(name, df.count()) for name, df in written][:2] == [("payments", 130), ("chains", 90)]
+
+
 def test_text_ids_are_numbered_in_their_order(spark):
     ids = [f"o{i * 7919 % 1000:04d}" for i in range(300)] + ["o0000", None, "", "é"]
     rows = spark.createDataFrame([(i,) for i in ids], "id string").repartition(5)
