@@ -10,7 +10,9 @@ Shards are rows of a Parquet table, so Spark compresses, writes, commits and rea
 from __future__ import annotations
 
 import os
+import re
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -20,13 +22,22 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
 
-from courierflow.llm.text import text_slices, whole_texts
+from courierflow.llm.text import BLANK, LOWER, text_slices, whole_texts, word_spans
 
 MAGIC = b"WMX1"
 SHARD_TOKENS = 1 << 20
 #: Words that a task remembers.
 KEPT_WORDS = 1_000_000
+#: Bytes that part words.
+WHITE = bytes(np.flatnonzero(BLANK).astype(np.uint8))
+#: Words that one call learns.
+RUN_WORDS = 500
+#: Marks that end a word and are no part of an added token's name or of a clitic.
+MARKS = b".,;:!?*#$%&"
+#: Words of ASCII's lower-case letters and any letters of Latin-1, in UTF-8.
+LATIN = re.compile(rb"[a-z]*(?:\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][a-z]*)*").fullmatch
 SHARD = "part int, seq int, doc_ids array<bigint>, lengths array<bigint>, n_tokens bigint, matrix binary"
 
 
@@ -44,10 +55,10 @@ class WaveletMatrix:
         ids = ids.astype(np.uint16 if width <= 16 else np.uint32)
         planes = []
         for level in range(width - 1, -1, -1):
-            bits = (ids >> ids.dtype.type(level)) & ids.dtype.type(1) > 0
+            bits = (ids & ids.dtype.type(1 << level)).astype(bool)
             packed = np.packbits(bits, bitorder="little")
             planes.append(np.r_[packed, np.zeros(-len(packed) % 8, np.uint8)].view("<u8"))
-            ids = np.concatenate([ids[~bits], ids[bits]])
+            ids = np.concatenate([ids[np.flatnonzero(~bits)], ids[np.flatnonzero(bits)]])  # faster than masks
         return cls(len(ids), planes)
 
     def to_bytes(self) -> bytes:
@@ -114,13 +125,15 @@ class WaveletMatrix:
 
     def tokens(self) -> np.ndarray:
         """All ids in order."""
-        out = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        out = np.zeros(self.n, kind)
         for level in range(len(self.planes) - 1, -1, -1):
-            bits = np.unpackbits(self.planes[level].view(np.uint8), count=self.n, bitorder="little").astype(bool)
-            above = np.empty_like(out)
-            above[~bits], above[bits] = out[: self.zeros[level]], out[self.zeros[level] :]
-            out = above | (bits.astype(np.uint32) << np.uint32(len(self.planes) - 1 - level))
-        return out
+            bits = np.unpackbits(self.planes[level].view(np.uint8), count=self.n, bitorder="little").view(bool)
+            above, zeros = np.empty_like(out), self.zeros[level]
+            above[np.flatnonzero(~bits)] = out[:zeros]
+            above[np.flatnonzero(bits)] = out[zeros:] | kind(1 << (len(self.planes) - 1 - level))
+            out = above
+        return out.astype(np.uint32)
 
 
 class WordEncoder:
@@ -132,37 +145,86 @@ class WordEncoder:
         self.marks = [t.content.encode()[:2] for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = CharDelimiterSplit(" ")
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        named = {c: level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if c.isalpha()}
+        self.renamed = [(x, y) for c, name in named.items() for x, y in zip(c.encode().decode("latin-1"), name) if x != y]
+        ids = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(ids.values()) + 1, bool)  # tokens that end a word
+        self.last[[i for token, i in ids.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes], end: bytes) -> list[bytes]:
-        rows = [self.words(t) for t in texts]
-        met = set().union(*rows)
-        self.learn(met - self.known.keys())
-        out = [b"".join([*map(self.known.__getitem__, row), end]) for row in rows]
-        if len(self.known) > KEPT_WORDS:  # frequent words are met in every run of texts
-            self.known = {w: self.known[w] for w in met if len(w) <= 64}
-        return out
-
-    def words(self, text: bytes) -> list[bytes]:
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        offsets = np.cumsum([0, *map(len, texts)])
+        starts, ends, first = word_spans(data, offsets)
+        met = self.words(data, starts, ends).dictionary_encode()
+        words = met.dictionary.to_pylist()
+        ids = pa.array(self.recall(words), pa.large_binary()).take(met.indices)
+        at = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[first].tolist() if len(ids) else [0] * len(first)
+        flat = memoryview(ids.buffers()[2] or b"")
+        rows = [b"".join([flat[a:b], end]) for a, b in zip(at, at[1:])]
+        if len(self.known) > KEPT_WORDS // 2:  # words that aren't met again until the next time are forgotten
+            self.known, self.older = {}, {w: got for w, got in self.known.items() if len(w) <= 64}
+        return rows
+
+    def words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
         """The vocabulary composes characters, then lower-cases them, so only words of ASCII are lower-cased here.
 
         Only the names of added tokens mind their case.
         """
-        if any(mark in text for mark in self.marks):
-            return text.split()
-        lower = text.lower().split()
-        return lower if text.isascii() else [low if low.isascii() else word for low, word in zip(lower, text.split())]
-
-    def learn(self, words: set[bytes]) -> None:
-        """Ids of words. Marks after a letter or digit are tokens of their own, so a word's core is learned once."""
-        known = self.known
-        cores = {w: w.rstrip(b".,;:!?") for w in words}
-        marked = {w: c for w, c in cores.items() if c and len(c) < len(w) and c[-1:].isalnum()}
-        new = list({x for w in words for x in ((marked[w], w[len(marked[w]) :]) if w in marked else (w,))} - known.keys())
-        for word, got in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            known[word] = np.array(got.ids, "<u4").tobytes()
-        for w, c in marked.items():
-            known[w] = known[c] + known[w[len(c) :]]
+        lengths = ends - starts
+        whole = data.tobytes()
+        raw = np.frombuffer(whole.translate(None, WHITE), np.uint8)
+        low = whole.translate(LOWER.tobytes(), WHITE)
+        offsets = np.r_[0, np.cumsum(lengths)]
+        kept = np.zeros(len(starts), bool)
+        kept[np.searchsorted(offsets, np.flatnonzero(raw > 0x7F), "right") - 1] = True
+        for mark in self.marks:
+            found = np.flatnonzero((data[:-1] == mark[0]) & (data[1:] == mark[1]))
+            kept[np.searchsorted(starts, found, "right") - 1] = True
+        if kept.any():
+            low = np.where(np.repeat(kept, lengths), raw, np.frombuffer(low, np.uint8))
+        return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(low)])
+
+    def recall(self, words: list[bytes]) -> list[bytes]:
+        """Ids of all words, from what was known before or by learning them."""
+        ids = list(map(self.known.get, words))
+        new = [i for i, got in enumerate(ids) if got is None]
+        again = {w: got for w in map(words.__getitem__, new) if (got := self.older.get(w)) is not None}
+        self.known.update(again)
+        self.learn([w for w in map(words.__getitem__, new) if w not in again])
+        for i in new:
+            ids[i] = self.known[words[i]]
+        return ids
+
+    def learn(self, words: list[bytes]) -> None:
+        """Ids of words. Marks after a letter or digit are tokens of their own, so a word's core is learned once.
+
+        Letters of Latin-1 are composed and stay together: once lower-cased, only merges are left to do.
+        """
+        known, marked = self.known, {}
+        for w in words:
+            core = w.rstrip(MARKS)
+            if core and len(core) < len(w) and (core[-1:].isalnum() or LATIN(core)):
+                marked[w] = core
+        parts = {*words}.difference(marked).union(marked.values(), {w[len(c) :] for w, c in marked.items()}).difference(known)
+        latin = [*filter(LATIN, parts)]
+        others = [*parts.difference(latin)]
+        for word, got in zip(others, self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)):
+            known[word] = array("I", got.ids).tobytes()
+        for at in range(0, len(latin), RUN_WORDS):  # one call's words are told apart by their last tokens
+            run = latin[at : at + RUN_WORDS]
+            text = b" ".join(run).decode().lower().encode().decode("latin-1")
+            for x, y in self.renamed:  # names of the bytes, as in the vocabulary
+                text = text.replace(x, y)
+            ids = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.r_[0, np.flatnonzero(self.last[ids]) + 1].astype(np.int32) * np.int32(4)
+            known.update(zip(run, pa.Array.from_buffers(pa.binary(), len(run), [None, pa.py_buffer(ends), pa.py_buffer(ids)]).to_pylist(), strict=True))
+        for w, core in marked.items():
+            known[w] = known[core] + known[w[len(core) :]]
 
 
 @cache

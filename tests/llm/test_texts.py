@@ -76,6 +76,27 @@ def test_decomposed_words_equal_the_library():
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text[:50])
 
 
+def test_words_of_letters_need_merges_only(monkeypatch):
+    """The library's whole path gets marks and odd words; cores of Latin letters are learned once, by merges."""
+    own, library, asked = wavelet.WordEncoder(WORD), Tokenizer.from_file(WORD), []
+
+    class Watched:
+        def encode_batch_fast(self, words, **options):
+            asked.extend(words)
+            return library.encode_batch_fast(words, **options)
+
+    own.tokenizer = Watched()
+    monkeypatch.setattr(wavelet, "KEPT_WORDS", 4)
+    texts = ["Plain words stay, words!! End%%% \u00c9clair gr\u00f6\u00dfer, \u00c5ngstr\u00f6m", "x'S re's 12ab <|endoftext|> <|EndOfText|>A, \u0391\u03a3, e\u0301 ** *", "", " \n", "words again\x1c \u00d7 \u00ba \u00f7a <|a"]
+    for _ in range(2):
+        for text, ids in zip(texts, own.encode([t.encode() for t in texts], b"")):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    assert not {"plain", "words", "stay", "end", "stay,", "end%%%", "\u00e9clair", "gr\u00f6\u00dfer,"} & {w.lower() for w in asked}
+    assert {",", "%%%", "12ab", "<|endoftext|>"} <= {*asked}
+    assert len(own.older) + len(own.known) < 60
+    assert own.encode([], b"") == [] and own.encode([b""], b"\1\0\0\0") == [b"\1\0\0\0"]
+
+
 def test_wavelet_shards(spark, docs, none):
     folder, library = scratch(spark, "shards"), Tokenizer.from_file(WORD)
     wavelet.write_shards(docs, folder, WORD, shard_tokens=500)
