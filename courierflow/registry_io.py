@@ -22,7 +22,7 @@ from courierflow.sinks.upkeep import compact_closed, read_landed
 from courierflow.sources.files import read_table, stream_files
 from courierflow.streaming import stateful, windows
 from courierflow.streaming.ingest import start_ingest, write_batch
-from courierflow.streaming.replay import drain, finish, replay, slices_of
+from courierflow.streaming.replay import arrive, drain, finish, replay, slices_of
 from courierflow.streaming.supervisor import Supervisor
 
 GOOD_SCHEMA = T.StructType(ENVELOPE_SCHEMA.fields + METADATA.fields)
@@ -250,7 +250,7 @@ def stream_resume_no_loss(v):
         raise RuntimeError("lost after the write, before the commit")
 
     for n, part in enumerate(slices_of(v.kafka, "offset", 3)):
-        part.write.mode("append").parquet(feed)
+        arrive(part, feed)
         if n == 1:
             broken = ingest_feed(v, feed, root, checkpoint, before_commit=crash)
             try:

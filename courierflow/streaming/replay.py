@@ -13,6 +13,7 @@ from courierflow.sources.files import stream_files
 from courierflow.streaming.monitor import QueryGauge, QueryMonitor, watched
 
 FAR_FUTURE_S = 4102444800  # 2100-01-01: closes every window of a replay
+ARRIVAL_ROWS = 50_000  # rows of one arriving file
 
 
 def slices_of(df: DataFrame, order: str, slices: int) -> Iterator[DataFrame]:
@@ -26,6 +27,12 @@ def slices_of(df: DataFrame, order: str, slices: int) -> Iterator[DataFrame]:
         yield df.where((F.col(order) >= lo + i * width) & (F.col(order) < lo + (i + 1) * width))
 
 
+def arrive(part: DataFrame, feed: str) -> None:
+    """Append an arrival to a feed. A range of a table that is in order comes out of a few tasks, so
+    their files are cut: a batch is read by as many tasks as its rows need."""
+    part.write.mode("append").option("maxRecordsPerFile", ARRIVAL_ROWS).parquet(feed)
+
+
 def end_marker(df: DataFrame, time: str, **values) -> DataFrame:
     """One row far in the future, so that append mode closes all real windows."""
     columns = [
@@ -82,7 +89,7 @@ def replay(
         arrivals.append(end_marker(table, time, **marker))
     late = 0
     for arrival in arrivals:
-        arrival.write.mode("append").parquet(feed)
+        arrive(arrival, feed)
         stream = plan(stream_files(spark, feed, table.schema))
         late += drain(stream, out, checkpoint).late_rows
     return spark.read.schema(stream.schema).parquet(out), late
