@@ -10,7 +10,6 @@ Shards are rows of a Parquet table, so Spark compresses, writes, commits and rea
 from __future__ import annotations
 
 import os
-import re
 import struct
 from array import array
 from collections.abc import Iterator
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
 
-from courierflow.llm.text import BLANK, LOWER, text_slices, whole_texts, word_spans
+from courierflow.llm.text import BLANK, LOWER, NOT_ALNUM, text_slices, whole_texts, word_spans
 
 MAGIC = b"WMX1"
 SHARD_TOKENS = 1 << 20
@@ -34,10 +33,13 @@ KEPT_WORDS = 1_000_000
 WHITE = bytes(np.flatnonzero(BLANK).astype(np.uint8))
 #: Words that one call learns.
 RUN_WORDS = 500
+_bytes = np.arange(256)
 #: Marks that end a word and are no part of an added token's name or of a clitic.
-MARKS = b".,;:!?*#$%&"
-#: Words of ASCII's lower-case letters and any letters of Latin-1, in UTF-8.
-LATIN = re.compile(rb"[a-z]*(?:\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][a-z]*)*").fullmatch
+IS_MARK = np.isin(_bytes, list(b".,;:!?*#$%&"))
+IS_LOWER = (_bytes >= 0x61) & (_bytes <= 0x7A)
+IS_ALNUM = ~NOT_ALNUM & (_bytes < 0x80) | (_bytes >= 0x41) & (_bytes <= 0x5A)
+#: Second bytes, after 0xC3, of Latin-1's letters.
+IS_LETTER = (_bytes >= 0x80) & (_bytes <= 0xBF) & (_bytes != 0x97) & (_bytes != 0xB7)
 SHARD = "part int, seq int, doc_ids array<bigint>, lengths array<bigint>, n_tokens bigint, matrix binary"
 
 
@@ -136,6 +138,17 @@ class WaveletMatrix:
         return out.astype(np.uint32)
 
 
+def bounds(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of a whole array of large binaries."""
+    _, ends, data = words.buffers()
+    offsets = np.frombuffer(ends, np.int64, len(words) + 1) if ends else np.zeros(1, np.int64)
+    return offsets, np.frombuffer(data, np.uint8, int(offsets[-1])) if data else np.zeros(0, np.uint8)
+
+
+def as_list(words: pa.Array) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist()  # much faster than to_pylist
+
+
 class WordEncoder:
     """Ids of texts, word by word: the vocabulary's tokens never cross ASCII white space."""
 
@@ -160,15 +173,12 @@ class WordEncoder:
         data = np.frombuffer(b"".join(texts), np.uint8)
         offsets = np.cumsum([0, *map(len, texts)])
         starts, ends, first = word_spans(data, offsets)
-        met = self.words(data, starts, ends).dictionary_encode()
-        words = met.dictionary.to_pylist()
-        ids = pa.array(self.recall(words), pa.large_binary()).take(met.indices)
+        words, first = self.pieces(self.words(data, starts, ends), first)
+        met = words.dictionary_encode()
+        ids = self.recall(met.dictionary).take(met.indices)
         at = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[first].tolist() if len(ids) else [0] * len(first)
         flat = memoryview(ids.buffers()[2] or b"")
-        rows = [b"".join([flat[a:b], end]) for a, b in zip(at, at[1:])]
-        if len(self.known) > KEPT_WORDS // 2:  # words that aren't met again until the next time are forgotten
-            self.known, self.older = {}, {w: got for w, got in self.known.items() if len(w) <= 64}
-        return rows
+        return [b"".join([flat[a:b], end]) for a, b in zip(at, at[1:])]
 
     def words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
         """The vocabulary composes characters, then lower-cases them, so only words of ASCII are lower-cased here.
@@ -189,42 +199,59 @@ class WordEncoder:
             low = np.where(np.repeat(kept, lengths), raw, np.frombuffer(low, np.uint8))
         return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(low)])
 
-    def recall(self, words: list[bytes]) -> list[bytes]:
-        """Ids of all words, from what was known before or by learning them."""
-        ids = list(map(self.known.get, words))
-        new = [i for i, got in enumerate(ids) if got is None]
-        again = {w: got for w in map(words.__getitem__, new) if (got := self.older.get(w)) is not None}
-        self.known.update(again)
-        self.learn([w for w in map(words.__getitem__, new) if w not in again])
-        for i in new:
-            ids[i] = self.known[words[i]]
-        return ids
-
-    def learn(self, words: list[bytes]) -> None:
-        """Ids of words. Marks after a letter or digit are tokens of their own, so a word's core is learned once.
+    def pieces(self, words: pa.Array, first: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """Words without the marks at their ends, these marks as words of their own, and the index of each row's first one.
 
-        Letters of Latin-1 are composed and stay together: once lower-cased, only merges are left to do.
+        Marks after a letter or digit are tokens of their own, so a word is learned once, whatever mark follows it.
         """
-        known, marked = self.known, {}
-        for w in words:
-            core = w.rstrip(MARKS)
-            if core and len(core) < len(w) and (core[-1:].isalnum() or LATIN(core)):
-                marked[w] = core
-        parts = {*words}.difference(marked).union(marked.values(), {w[len(c) :] for w, c in marked.items()}).difference(known)
-        latin = [*filter(LATIN, parts)]
-        others = [*parts.difference(latin)]
+        offsets, flat = bounds(words)
+        marks = np.flatnonzero(IS_MARK[flat])
+        begins = np.where(np.diff(marks, prepend=-2) != 1, np.arange(len(marks)), 0)
+        runs = marks[np.maximum.accumulate(begins)]  # where each mark's run begins
+        marked = np.flatnonzero(IS_MARK[flat[offsets[1:] - 1]])
+        cuts = runs[np.searchsorted(marks, offsets[marked + 1] - 1)]
+        split = (cuts > offsets[marked]) & (IS_ALNUM[flat[cuts - 1]] | (flat[cuts - 2] == 0xC3) & IS_LETTER[flat[cuts - 1]])
+        marked, cuts = marked[split], cuts[split]
+        offsets = np.insert(offsets, marked + 1, cuts)
+        words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), words.buffers()[2]])
+        return words, first + np.searchsorted(marked, first)
+
+    def recall(self, words: pa.Array) -> pa.Array:
+        """Ids of different words, from what was known before or by learning them."""
+        known, listed = self.known, as_list(words)
+        ids = list(map(known.get, listed))
+        new = [i for i, got in enumerate(ids) if got is None]
+        old = list(map(self.older.get, map(listed.__getitem__, new)))
+        known.update((listed[i], got) for i, got in zip(new, old) if got is not None)
+        self.learn(words.take(pa.array([i for i, got in zip(new, old) if got is None], pa.int64())))
+        for i in new:
+            ids[i] = known[listed[i]]
+        if len(known) > KEPT_WORDS // 2:  # words that aren't met again until the next time are forgotten
+            self.known, self.older = {}, {w: got for w, got in known.items() if len(w) <= 64}
+        return pa.array(ids, pa.large_binary())
+
+    def learn(self, words: pa.Array) -> None:
+        """Ids of words. Letters of Latin-1 are composed and stay together: once lower-cased, only merges are left to do."""
+        known, (offsets, flat) = self.known, bounds(words)
+        ok = IS_LOWER[flat]
+        pair = (flat[:-1] == 0xC3) & IS_LETTER[flat[1:]]
+        ok[:-1] |= pair
+        ok[1:] |= pair
+        latin = np.ones(len(words), bool)
+        latin[np.searchsorted(offsets, np.flatnonzero(~ok), "right") - 1] = False
+        others = as_list(words.filter(pa.array(~latin)))
         for word, got in zip(others, self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)):
             known[word] = array("I", got.ids).tobytes()
-        for at in range(0, len(latin), RUN_WORDS):  # one call's words are told apart by their last tokens
-            run = latin[at : at + RUN_WORDS]
+        words = words.filter(pa.array(latin))
+        for at in range(0, len(words), RUN_WORDS):  # one call's words are told apart by their last tokens
+            run = as_list(words.slice(at, RUN_WORDS))
             text = b" ".join(run).decode().lower().encode().decode("latin-1")
             for x, y in self.renamed:  # names of the bytes, as in the vocabulary
                 text = text.replace(x, y)
             ids = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.r_[0, np.flatnonzero(self.last[ids]) + 1].astype(np.int32) * np.int32(4)
-            known.update(zip(run, pa.Array.from_buffers(pa.binary(), len(run), [None, pa.py_buffer(ends), pa.py_buffer(ids)]).to_pylist(), strict=True))
-        for w, core in marked.items():
-            known[w] = known[core] + known[w[len(core) :]]
+            ends = np.r_[0, np.flatnonzero(self.last[ids]) + 1] * 4
+            got = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+            known.update(zip(run, as_list(got), strict=True))
 
 
 @cache

@@ -97,6 +97,16 @@ def test_words_of_letters_need_merges_only(monkeypatch):
     assert own.encode([], b"") == [] and own.encode([b""], b"\1\0\0\0") == [b"\1\0\0\0"]
 
 
+def test_words_are_known_without_their_marks():
+    """One look-up for a word, whatever marks follow it; only marks after a letter or digit are parted from it."""
+    own, library = wavelet.WordEncoder(WORD), Tokenizer.from_file(WORD)
+    texts = ["plain plain, Plain. caf\u00e9 caf\u00e9; 12%% a*** ... ,", "", "x.y, \u00d7, \u0391\u03a3. a-, \u4e2d! <|endoftext|>, '. plain:", "."]
+    for text, ids in zip(texts, own.encode([t.encode() for t in texts], b""), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    words = "plain caf\u00e9 12 a x.y , . ; : %% *** ... \u00d7, \u0391\u03a3. a-, \u4e2d! <|endoftext|>, '."
+    assert {*own.known} == {w.encode() for w in words.split()}
+
+
 def test_wavelet_shards(spark, docs, none):
     folder, library = scratch(spark, "shards"), Tokenizer.from_file(WORD)
     wavelet.write_shards(docs, folder, WORD, shard_tokens=500)
